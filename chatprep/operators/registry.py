@@ -1 +1,89 @@
-"""Run registry: adapters, artifacts, manifests (filled in below)."""
+"""Run registry: which directories are adapters or local models, which artifacts are missing,
+where a missing tokenizer file can be taken from, and how merges relate to trainings.
+
+The input is a listing ``(dir, file, path, length, ...)`` (``sources.list_artifacts``) and the
+manifests read by ``sources.read_run_manifests``. Everything is aggregates and joins keyed by
+directory; per-directory flags are partial aggregates (``max`` of a boolean), never collected sets.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# --- fixed values ----------------------------------------------------------------------------
+ADAPTER_MARKER = "adapter_config.json"   # a directory is a LoRA adapter iff it holds this file
+MODEL_MARKER = "config.json"             # a model directory is "local" iff it holds this file
+TOKENIZER_MODEL = "tokenizer.model"      # the file the converters need and warn about
+REQUIRED_FILES = [TOKENIZER_MODEL]
+# Priority of the places a missing tokenizer file is taken from.
+SOURCE_PRIORITY = ["own", "base_model", "adapter"]
+# ---------------------------------------------------------------------------------------------
+
+
+def valid_adapters(listing: DataFrame) -> DataFrame:
+    """Per directory: ``is_adapter``, ``model_source`` (local / hub), ``n_files``, ``total_bytes``."""
+    f = F.col("file")
+    return listing.groupBy("dir").agg(
+        F.max(f == ADAPTER_MARKER).alias("is_adapter"),
+        F.max(f == MODEL_MARKER).alias("_local"),
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum("length").alias("total_bytes"),
+    ).select("dir", "is_adapter", F.when(F.col("_local"), F.lit("local")).otherwise(F.lit("hub")).alias("model_source"),
+             "n_files", "total_bytes")
+
+
+def missing_artifacts(listing: DataFrame, required: list[str] | None = None,
+                      dirs: DataFrame | None = None) -> DataFrame:
+    """``(dir, file)`` for every required file a directory lacks. The expected pairs come from
+    exploding the (fixed, small) required list per directory; an anti join removes present files."""
+    req = F.array(*[F.lit(x) for x in (required or REQUIRED_FILES)])
+    d = dirs if dirs is not None else listing.select("dir").distinct()
+    expected = d.select("dir", F.explode(req).alias("file"))
+    return expected.join(listing.select("dir", "file"), ["dir", "file"], "left_anti")
+
+
+def resolve_artifact_source(listing: DataFrame, requests: DataFrame, model_configs: DataFrame | None = None,
+                            file: str = TOKENIZER_MODEL) -> DataFrame:
+    """For each request ``(out_dir, base_model, adapter_dir)``: the first of own dir, base model,
+    adapter dir that holds ``file`` (``source``, ``source_dir``; NULL if none). A local base
+    model's name is taken from its ``config.json`` ``_name_or_path`` when present.
+
+    ``model_configs``: ``(dir, content)`` with the text of each ``config.json``."""
+    req = requests
+    if model_configs is not None:
+        cfg = model_configs.select(F.col("dir").alias("base_model"),
+                                   F.get_json_object("content", "$._name_or_path").alias("_origin"))
+        req = req.join(cfg, "base_model", "left")
+    else:
+        req = req.withColumn("_origin", F.lit(None).cast("string"))
+    origin = F.coalesce(F.col("_origin"), F.col("base_model"))
+    cands = req.select(
+        "out_dir",
+        F.posexplode(F.array(F.col("out_dir"), origin, F.col("adapter_dir"))).alias("_prio", "_dir"),
+    )
+    have = listing.filter(F.col("file") == file).select(F.col("dir").alias("_dir")).distinct()
+    hits = cands.join(have, "_dir", "left_semi")
+    best = hits.groupBy("out_dir").agg(F.min("_prio").alias("_prio"), F.min_by("_dir", "_prio").alias("source_dir"))
+    names = F.array(*[F.lit(s) for s in SOURCE_PRIORITY])
+    return req.drop("_origin").join(best, "out_dir", "left").withColumn(
+        "source", F.when(F.col("_prio").isNotNull(), F.element_at(names, F.col("_prio") + 1))).drop("_prio")
+
+
+def run_lineage(merges: DataFrame, trainings: DataFrame) -> DataFrame:
+    """Merge manifests with the training manifest of their adapter nested as ``training_info``
+    (NULL when the adapter has none)."""
+    fields = [c for c in trainings.columns if c not in ("dir", "path")]
+    t = trainings.select(F.col("dir").alias("lora_adapter"), F.struct(*fields).alias("_ti"))
+    m = merges.drop("training_info") if "training_info" in merges.columns else merges
+    return m.join(t, "lora_adapter", "left").withColumnRenamed("_ti", "training_info")
+
+
+def adapter_config_scan(configs: DataFrame) -> DataFrame:
+    """One row per (adapter, target module): rank, alpha (``alpha`` or ``lora_alpha``) and the
+    effective LoRA scale alpha / r."""
+    alpha = F.coalesce(F.col("alpha"), F.col("lora_alpha"))
+    return configs.select(
+        "dir", "r", alpha.alias("alpha"), (alpha.cast("double") / F.col("r")).alias("scale"),
+        F.explode_outer("target_modules").alias("module"),
+    )

@@ -23,7 +23,7 @@ from ..functions.text import (
     history_path,
     py_strip,
 )
-from ..operators import batches, messages, sessions, tokens, validate
+from ..operators import batches, messages, registry, sessions, tokens, validate
 from ..operators.tokens import TOKEN_PATTERN
 from ..session import ensure_conf, table
 from . import fixtures
@@ -760,3 +760,123 @@ SELECT sid, save_seq,
        ELSE 'history/' || requested END AS path
 FROM snaps""",
 }
+
+
+# ------------------------------------------------------------------------------------------
+# run registry
+# ------------------------------------------------------------------------------------------
+
+def q_valid_adapters(spark, d):
+    return registry.valid_adapters(fixtures.artifact_listing(spark, d))
+
+
+def q_missing_artifacts(spark, d):
+    return registry.missing_artifacts(fixtures.artifact_listing(spark, d))
+
+
+def q_resolve_artifact_source(spark, d):
+    r = registry.resolve_artifact_source(fixtures.artifact_listing(spark, d), fixtures.merge_requests(spark, d),
+                                         fixtures.model_configs(spark, d))
+    return r.select("out_dir", "base_model", "adapter_dir", "source_dir", "source")
+
+
+def q_run_lineage(spark, d):
+    r = registry.run_lineage(fixtures.merge_manifests(spark, d), fixtures.training_manifests(spark, d))
+    return r.select("dir", "base_model", "lora_adapter", F.col("training_info").isNotNull().alias("has_training"),
+                    F.col("training_info.model_name").alias("training_model_name"),
+                    F.col("training_info.epochs").alias("training_epochs"),
+                    F.col("training_info.total_examples").alias("training_total_examples"))
+
+
+def q_adapter_config_scan(spark, d):
+    return registry.adapter_config_scan(fixtures.adapter_configs(spark, d))
+
+
+QUERIES.update({
+    "valid_adapters": q_valid_adapters,
+    "missing_artifacts": q_missing_artifacts,
+    "resolve_artifact_source": q_resolve_artifact_source,
+    "run_lineage": q_run_lineage,
+    "adapter_config_scan": q_adapter_config_scan,
+})
+
+_FILES = ", ".join(f"'{f}'" for f in fixtures.ARTIFACT_FILES)
+_MODS = ", ".join(f"'{m}'" for m in fixtures.TARGET_MODULES)
+LISTING = f"""listing AS (
+  SELECT 'runs/r' || CAST(p_partkey // 7 AS VARCHAR) AS dir, ([{_FILES}])[p_partkey % 9 + 1] AS file,
+    CAST(p_size AS BIGINT) * 1000 + p_partkey AS length, p_partkey, p_size, p_retailprice, p_brand
+  FROM part)"""
+_RUN = "'runs/r' || CAST(p_partkey // 7 {} AS VARCHAR)"
+
+ORACLE_SQL.update({
+    "valid_adapters": "WITH " + LISTING + """
+SELECT dir, bool_or(file = 'adapter_config.json') AS is_adapter,
+  CASE WHEN bool_or(file = 'config.json') THEN 'local' ELSE 'hub' END AS model_source,
+  count(*) AS n_files, CAST(sum(length) AS BIGINT) AS total_bytes
+FROM listing GROUP BY dir""",
+    "missing_artifacts": "WITH " + LISTING + """
+SELECT d.dir, 'tokenizer.model' AS file FROM (SELECT DISTINCT dir FROM listing) d
+WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.dir = d.dir AND l.file = 'tokenizer.model')""",
+    "resolve_artifact_source": "WITH " + LISTING + f""",
+reqs AS (SELECT dir AS out_dir, {_RUN.format('+ 1')} AS base_model, {_RUN.format('- 1')} AS adapter_dir
+  FROM listing WHERE file = 'merge_info.json'),
+cfgs AS (SELECT dir, CASE WHEN p_size % 2 = 0 THEN '{{"_name_or_path": "' || {_RUN.format('+ 2')} || '", "model_type": "gemma3"}}'
+    ELSE '{{"model_type": "gemma3"}}' END AS content FROM listing WHERE file = 'config.json'),
+r2 AS (SELECT r.*, coalesce(json_extract_string(c.content, '$._name_or_path'), r.base_model) AS origin
+  FROM reqs r LEFT JOIN cfgs c ON c.dir = r.base_model),
+cands AS (SELECT out_dir, 0 AS prio, out_dir AS d FROM r2 UNION ALL SELECT out_dir, 1, origin FROM r2
+  UNION ALL SELECT out_dir, 2, adapter_dir FROM r2),
+best AS (SELECT out_dir, min(prio) AS prio, arg_min(d, prio) AS source_dir FROM cands
+  WHERE d IN (SELECT dir FROM listing WHERE file = 'tokenizer.model') GROUP BY out_dir)
+SELECT r.out_dir, r.base_model, r.adapter_dir, b.source_dir,
+  CASE b.prio WHEN 0 THEN 'own' WHEN 1 THEN 'base_model' WHEN 2 THEN 'adapter' END AS source
+FROM reqs r LEFT JOIN best b USING (out_dir)""",
+    "run_lineage": "WITH " + LISTING + f""",
+merges AS (SELECT dir, 'base/' || lower(replace(p_brand, '#', '')) AS base_model, {_RUN.format('- 1')} AS lora_adapter
+  FROM listing WHERE file = 'merge_info.json'),
+trains AS (SELECT dir, 'base/' || lower(replace(p_brand, '#', '')) AS model_name,
+    CAST(p_size % 5 + 1 AS INTEGER) AS epochs, p_partkey AS total_examples
+  FROM listing WHERE file = 'training_info.json')
+SELECT m.dir, m.base_model, m.lora_adapter, t.dir IS NOT NULL AS has_training, t.model_name AS training_model_name,
+  t.epochs AS training_epochs, t.total_examples AS training_total_examples
+FROM merges m LEFT JOIN trains t ON t.dir = m.lora_adapter""",
+    "adapter_config_scan": "WITH " + LISTING + f""",
+cfg AS (SELECT dir, CAST(8 * (p_size % 4 + 1) AS INTEGER) AS r, p_size FROM listing WHERE file = 'adapter_config.json'),
+x AS (SELECT dir, r, CAST(2 * r AS INTEGER) AS alpha, ([{_MODS}])[1:p_size % 7] AS mods FROM cfg)
+SELECT dir, r, alpha, alpha / r AS scale,
+  unnest(CASE WHEN len(mods) = 0 THEN [NULL]::VARCHAR[] ELSE mods END) AS module FROM x""",
+})
+
+
+# ------------------------------------------------------------------------------------------
+# per-example Python hook
+# ------------------------------------------------------------------------------------------
+
+PY_TOKEN_PATTERN = r"<[^<>\t\n\x0b\x0c\r ]+>|[^<\t\n\x0b\x0c\r ]+|<"  # TOKEN_PATTERN in Python syntax
+ASSISTANT_MARK = "\n\nAssistant: "
+
+
+def python_token_stats(example: dict) -> dict:
+    """Example user function: token count and first token by Python's ``re``; an example
+    without an assistant turn is refused (raises) and therefore dropped."""
+    import re
+
+    text = example["text"]
+    if ASSISTANT_MARK not in text:
+        raise ValueError("example has no assistant message")
+    toks = re.findall(PY_TOKEN_PATTERN, text)
+    return {"n_tokens": len(toks), "first_token": toks[0] if toks else None}
+
+
+def q_map_examples(spark, d):
+    from ..operators.udf import map_examples
+
+    return map_examples(_texts(spark, d), python_token_stats, "n_tokens int, first_token string",
+                        keep=["example_id"]).drop("error")
+
+
+QUERIES["map_examples"] = q_map_examples
+ORACLE_SQL["map_examples"] = "WITH " + TEXTS + f"""
+SELECT example_id, CAST(len(regexp_extract_all(text, '{TOKEN_PATTERN}')) AS INTEGER) AS n_tokens,
+  regexp_extract_all(text, '{TOKEN_PATTERN}')[1] AS first_token
+FROM texts WHERE contains(text, chr(10) || chr(10) || 'Assistant: ')"""

@@ -85,3 +85,91 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(t)
     )
     return d.select("doc_id", resp.alias("response"))
+
+
+# --- run registry, derived from `part` ---------------------------------------------------------
+# Every part row is one file: directory runs/r<p_partkey div 7>, file name ARTIFACT_FILES[p_partkey % 9].
+ARTIFACT_FILES = [
+    "adapter_config.json", "adapter_model.safetensors", "tokenizer.json", "tokenizer_config.json",
+    "training_info.json", "config.json", "tokenizer.model", "merge_info.json", "special_tokens_map.json",
+]
+TARGET_MODULES = ["q_proj", "v_proj", "k_proj", "o_proj", "gate_proj", "up_proj", "down_proj"]
+
+
+def _run_dir(k):
+    return F.concat(F.lit("runs/r"), k.cast("string"))
+
+
+def artifact_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(dir, file, path, length, p_partkey, p_size, p_retailprice, p_brand)``."""
+    p = table(spark, sf_dir, "part")
+    files = F.array(*[F.lit(f) for f in ARTIFACT_FILES])
+    d = _run_dir(F.floor(F.col("p_partkey") / 7).cast("long"))
+    f = F.element_at(files, (F.col("p_partkey") % len(ARTIFACT_FILES) + 1).cast("int"))
+    return p.select(
+        d.alias("dir"), f.alias("file"), F.concat(d, F.lit("/"), f).alias("path"),
+        (F.col("p_size").cast("long") * 1000 + F.col("p_partkey")).alias("length"),
+        "p_partkey", "p_size", "p_retailprice", "p_brand")
+
+
+def training_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The content of every training_info.json of the listing, from its part row."""
+    x = artifact_listing(spark, sf_dir).filter(F.col("file") == "training_info.json")
+    return x.select(
+        "dir", "path",
+        F.concat(F.lit("base/"), F.lower(F.regexp_replace("p_brand", "#", ""))).alias("model_name"),
+        F.lit("data/fine_tune_data.jsonl").alias("dataset_file"),
+        (F.col("p_size") % 5 + 1).cast("int").alias("epochs"),
+        F.lit(2).alias("batch_size"),
+        (F.col("p_retailprice") / 1e7).alias("learning_rate"),
+        F.lit(512).alias("max_length"),
+        F.lit(8).alias("gradient_accumulation_steps"),
+        F.lit(16).alias("lora_r"),
+        F.lit(32).alias("lora_alpha"),
+        F.lit(0.05).alias("lora_dropout"),
+        F.lit(100).alias("save_steps"),
+        F.col("p_partkey").alias("total_examples"),
+    )
+
+
+def adapter_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """adapter_config.json contents: r = 8 * (1 + p_size % 4); alpha = 2r, given under
+    ``lora_alpha`` instead when p_size % 3 = 0; the first (p_size % 7) target modules
+    (none -> empty list)."""
+    x = artifact_listing(spark, sf_dir).filter(F.col("file") == "adapter_config.json")
+    r = (F.lit(8) * (F.col("p_size") % 4 + 1)).cast("int")
+    alt = F.col("p_size") % 3 == 0
+    mods = F.slice(F.array(*[F.lit(m) for m in TARGET_MODULES]), 1, (F.col("p_size") % 7).cast("int"))
+    return x.select(
+        "dir", r.alias("r"),
+        F.when(~alt, r * 2).cast("int").alias("alpha"), F.when(alt, r * 2).cast("int").alias("lora_alpha"),
+        mods.alias("target_modules"))
+
+
+def merge_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """merge_info.json contents: the adapter is the run directory before this one."""
+    x = artifact_listing(spark, sf_dir).filter(F.col("file") == "merge_info.json")
+    k = F.floor(F.col("p_partkey") / 7).cast("long")
+    return x.select(
+        "dir", F.concat(F.lit("base/"), F.lower(F.regexp_replace("p_brand", "#", ""))).alias("base_model"),
+        _run_dir(k - 1).alias("lora_adapter"), F.lit("auto").alias("dtype"), F.lit("auto").alias("device_map"),
+        (F.col("p_size") % 2 == 0).alias("safe_serialization"))
+
+
+def merge_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One merge per merge_info.json: output = its directory, base model = the next run
+    directory, adapter = the previous one."""
+    x = artifact_listing(spark, sf_dir).filter(F.col("file") == "merge_info.json")
+    k = F.floor(F.col("p_partkey") / 7).cast("long")
+    return x.select(F.col("dir").alias("out_dir"), _run_dir(k + 1).alias("base_model"), _run_dir(k - 1).alias("adapter_dir"))
+
+
+def model_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """config.json texts: ``_name_or_path`` points two run directories on when p_size is even."""
+    x = artifact_listing(spark, sf_dir).filter(F.col("file") == "config.json")
+    k = F.floor(F.col("p_partkey") / 7).cast("long")
+    content = F.when(
+        F.col("p_size") % 2 == 0,
+        F.concat(F.lit('{"_name_or_path": "'), _run_dir(k + 2), F.lit('", "model_type": "gemma3"}')),
+    ).otherwise(F.lit('{"model_type": "gemma3"}'))
+    return x.select("dir", content.alias("content"))

@@ -2,17 +2,16 @@
 
 ``try_parse_json`` (VARIANT) is the fast path. Alone it is too lenient (it accepts trailing text
 such as ``{"a":1} x``), so a line is valid when it parses both inside ``[...]`` and as the value of
-``{"w": ...}``. Python's ``json.loads`` additionally accepts ``NaN``, ``Infinity`` and
-``-Infinity``; only lines that fail the fast path and contain one of those words are handed to a
-vectorised (Arrow) Python check. Every other row passes NULL to it, so the Python worker does
-almost no work.
+``{"w": ...}``. Python's ``json.loads`` additionally accepts the bare values ``NaN``,
+``Infinity`` and ``-Infinity``; a line that fails the fast path and holds one of them is parsed
+again with those bare values replaced by ``0`` (a number in the same place, so the structure is
+unchanged). Everything stays in the JVM; no Python worker is involved.
 """
 
 from __future__ import annotations
 
 import json as _json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +26,9 @@ STATUS_NOT_LIST = "messages_not_list"
 STATUSES = [STATUS_OK, STATUS_INVALID_JSON, STATUS_NOT_OBJECT, STATUS_MISSING, STATUS_NOT_LIST]
 
 _NONFINITE = r"NaN|Infinity"
+# A bare NaN / Infinity / -Infinity value: not preceded or followed by anything but JSON
+# punctuation or white space (inside a string the replacement is harmless: a string stays a string).
+_NONFINITE_VALUE = r"(?<![^\[:,\s])(?:NaN|-?Infinity)(?![^\]},\s])"
 
 
 def _col(c) -> Column:
@@ -57,14 +59,12 @@ def python_status(text: str | None) -> str | None:
     return STATUS_NOT_OBJECT
 
 
-@F.pandas_udf("string")
-def _python_status_udf(lines: pd.Series) -> pd.Series:
-    return lines.map(python_status, na_action="ignore")
-
-
-def _python_fallback(c: Column, fast_ok: Column) -> Column:
-    """Python status for the rare lines that need it, NULL for all others."""
-    return _python_status_udf(F.when(~fast_ok & c.rlike(_NONFINITE), c))
+def _parseable(c: Column) -> tuple[Column, Column]:
+    """(valid as Python reads it, the text to parse with VARIANT)."""
+    fast = F.coalesce(_fast_valid(c), F.lit(False))
+    patched = F.regexp_replace(c, _NONFINITE_VALUE, "0")
+    slow = c.rlike(_NONFINITE) & F.coalesce(_fast_valid(patched), F.lit(False))
+    return fast | slow, F.when(fast, c).otherwise(patched)
 
 
 def is_valid_json(c, strip: bool = False) -> Column:
@@ -72,10 +72,8 @@ def is_valid_json(c, strip: bool = False) -> Column:
     c = _col(c)
     if strip:
         c = py_strip(c)
-    fast = F.coalesce(_fast_valid(c), F.lit(False))
-    py = _python_fallback(c, fast)
-    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(
-        fast | F.coalesce(py != STATUS_INVALID_JSON, F.lit(False)))
+    ok, _ = _parseable(c)
+    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(ok)
 
 
 def _variant_status(c: Column) -> Column:
@@ -111,10 +109,9 @@ def line_status(c, strip: bool = True) -> Column:
     c = _col(c)
     if strip:
         c = py_strip(c)
-    fast = F.coalesce(_fast_valid(c), F.lit(False))
-    py = _python_fallback(c, fast)
+    ok, text = _parseable(c)
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(fast, _variant_status(c))
-        .otherwise(F.coalesce(py, F.lit(STATUS_INVALID_JSON)))
+        .when(ok, _variant_status(text))
+        .otherwise(F.lit(STATUS_INVALID_JSON))
     )

@@ -32,6 +32,7 @@ from .training import examples_from_texts, rendered_texts, training_examples
 # Parameters of the registered checks (fixed; not tuned to the data).
 CHECK_VOCAB_SIZE = 5000
 CHECK_MAX_LENGTH = 512
+VOCAB_BOUND = CHECK_VOCAB_SIZE + 4  # rows of a vocabulary built with CHECK_VOCAB_SIZE (specials included)
 PROMPT_CATALOG = [
     ("default", "You are a helpful assistant. Answer carefully."),
     ("assistant", "You are a capable assistant."),
@@ -145,7 +146,7 @@ def q_drop_invalid_examples(spark, d):
     convs = parse_chat_lines(_lines(spark, d))
     texts = rendered_texts(convs, "line_no")
     vocab = _vocab(spark, d)
-    ex = examples_from_texts(texts, vocab, CHECK_MAX_LENGTH)
+    ex = examples_from_texts(texts, vocab, CHECK_MAX_LENGTH, vocab_bound=VOCAB_BOUND)
     return ex.select("example_id", "n_tokens")
 
 
@@ -198,13 +199,13 @@ def q_build_vocabulary(spark, d):
 
 
 def q_encode_tokens(spark, d):
-    ids = tokens.encode_tokens(_texts(spark, d), _vocab(spark, d), max_length=None,
-                               vocab_bound=CHECK_VOCAB_SIZE + len(tokens.SPECIAL_TOKENS))
+    ids = tokens.encode_tokens(_texts(spark, d), _vocab(spark, d), max_length=None, vocab_bound=VOCAB_BOUND)
     return ids.select("example_id", F.size("token_ids").alias("n_tokens"), _ids("token_ids").alias("token_ids"))
 
 
 def q_training_examples(spark, d):
-    ex = training_examples(table(spark, d, "conversations"), vocab=_vocab(spark, d), max_length=CHECK_MAX_LENGTH)
+    ex = training_examples(table(spark, d, "conversations"), vocab=_vocab(spark, d), max_length=CHECK_MAX_LENGTH,
+                           vocab_bound=VOCAB_BOUND)
     return ex.select("example_id", "n_tokens", _ids("input_ids").alias("input_ids"),
                      _ids("attention_mask").alias("attention_mask"), _ids("labels").alias("labels"))
 

@@ -25,14 +25,20 @@ def rendered_texts(convs: DataFrame, id_col: str = "conv_id", template: dict | N
                    eos: str = EOS_TOKEN) -> DataFrame:
     """``(example_id, text)``: each conversation through the chat template, EOS ensured at the end
     (a conversation the template cannot render stays NULL)."""
-    text = render_chat("messages", template or PLAIN_TEMPLATE)
-    return convs.select(F.col(id_col).alias("example_id"), F.when(text.isNotNull(), ensure_eos(text, eos)).alias("text"))
+    rendered = convs.select(F.col(id_col).alias("example_id"), render_chat("messages", template or PLAIN_TEMPLATE).alias("_r"))
+    # separate projection: the rendered text is computed once, not once per CASE branch
+    return rendered.select("example_id", ensure_eos("_r", eos).alias("text"))
 
 
 def examples_from_texts(texts: DataFrame, vocab: DataFrame | None = None, max_length: int = DEFAULT_MAX_LENGTH,
-                        max_vocab: int = DEFAULT_VOCAB_SIZE, pad_id: int = PAD_ID) -> DataFrame:
-    """Encode, cut/pad to ``max_length``, add labels, drop examples without tokens."""
-    bound = None
+                        max_vocab: int = DEFAULT_VOCAB_SIZE, pad_id: int = PAD_ID,
+                        vocab_bound: int | None = None) -> DataFrame:
+    """Encode, cut/pad to ``max_length``, add labels, drop examples without tokens.
+
+    ``vocab_bound``: proven upper bound of the vocabulary's rows (a vocabulary built here has
+    at most ``max_vocab`` + specials), so the lookup side is broadcast and the ids are regrouped
+    without a shuffle (the texts stay partitioned by example id)."""
+    bound = vocab_bound
     if vocab is None:
         vocab = build_vocabulary(texts.filter(F.col("text").isNotNull()), "text", max_vocab)
         bound = max_vocab + len(SPECIAL_TOKENS)
@@ -43,11 +49,12 @@ def examples_from_texts(texts: DataFrame, vocab: DataFrame | None = None, max_le
 
 
 def training_examples(turns: DataFrame, vocab: DataFrame | None = None, max_length: int = DEFAULT_MAX_LENGTH,
-                      max_vocab: int = DEFAULT_VOCAB_SIZE, template: dict | None = None) -> DataFrame:
+                      max_vocab: int = DEFAULT_VOCAB_SIZE, template: dict | None = None,
+                      vocab_bound: int | None = None) -> DataFrame:
     """Turns ``(conv_id, turn, role, text)`` -> ``(example_id, n_tokens, input_ids,
     attention_mask, labels)``: fold -> render -> EOS -> encode -> pad -> labels -> drop empty."""
     texts = rendered_texts(fold_messages(turns), "conv_id", template)
-    return examples_from_texts(texts, vocab, max_length, max_vocab)
+    return examples_from_texts(texts, vocab, max_length, max_vocab, vocab_bound=vocab_bound)
 
 
 def training_examples_from_lines(lines: DataFrame, vocab: DataFrame | None = None,

@@ -63,7 +63,7 @@ def _parent_dir(path_col):
 def read_prompt_catalog(spark: SparkSession, directory: str) -> DataFrame:
     """``(name, prompt)`` for every ``*.txt`` file in ``directory``; the whole file, stripped."""
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(directory)
+        spark.read.text(directory, wholetext=True, pathGlobFilter="*.txt")
         .select(
             F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("name"),
             py_strip("value").alias("prompt"),

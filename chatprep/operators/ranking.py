@@ -29,6 +29,16 @@ def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
     return F.broadcast(df) if row_bound <= BROADCAST_ROW_LIMIT else df
 
 
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast a data-dependent (usually aggregated) side only after measuring it.
+
+    The frame is persisted and counted; at most ``max_rows`` rows -> broadcast hint (the big
+    side of the join is then never shuffled, so a hot key on it costs nothing); more -> a
+    regular shuffle join, where AQE's skew-join splitting handles hot keys."""
+    df = df.persist()
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def _num_partitions(spark: SparkSession, n: int | None) -> int:
     if n:
         return n

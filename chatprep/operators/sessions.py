@@ -9,8 +9,10 @@ the cleaned assistant turn (a failed generation removes the user turn again).
 
 Scale: the final state of a session only needs two numbers per session (first exit, last clear
 before it), found with partial (map-side) aggregates; no window is partitioned by session, so
-a session holding a large share of all events is never buffered in one task. Snapshot counts use
-``running_sum``, whose windows see one (session, block) at a time.
+a session holding a large share of all events is never buffered in one task. The per-session
+table is joined back to the events as a broadcast when its measured size allows (the events are
+then not shuffled at all), otherwise by a shuffle join that AQE splits on hot sessions.
+Snapshot counts use ``running_sum``, whose windows see one (session, block) at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import classify_command, clean_response, history_path, preview
 from .messages import FALLBACK_SYSTEM_PROMPT, message
-from .ranking import running_sum
+from .ranking import checked_broadcast, running_sum
 
 LOG_COLUMNS = ["sid", "seq", "ts", "text", "response"]
 
@@ -38,9 +40,10 @@ def session_bounds(log: DataFrame) -> DataFrame:
         F.min("seq").alias("first_seq"),
         F.count(F.lit(1)).alias("n_events"),
     )
+    first = checked_broadcast(first)
     active = x.join(first.select("sid", "first_exit_seq"), "sid").filter(_before_exit())
     clears = active.groupBy("sid").agg(F.max(F.when(F.col("cmd") == "clear", F.col("seq"))).alias("last_clear_seq"))
-    return first.join(clears, "sid", "left")
+    return checked_broadcast(first.join(clears, "sid", "left"))
 
 
 def _before_exit(inclusive: bool = False) -> Column:

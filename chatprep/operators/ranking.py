@@ -102,3 +102,10 @@ def running_sum(df: DataFrame, key: list[str], order_col: str, value: Column | s
         .withColumn(out, (F.col("_carry") + F.col("_in_blk")).cast("long"))
         .drop("_blk", "_v", "_in_blk", "_carry")
     )
+
+
+def position_in_group(df: DataFrame, key: list[str], order_col: str, out: str = "pos",
+                      block_size: int = 4096) -> DataFrame:
+    """0-based position of each row within its ``key`` group in ``order_col`` order (exact,
+    skew-safe: see ``running_sum``)."""
+    return running_sum(df, key, order_col, F.lit(1), out, block_size=block_size).withColumn(out, F.col(out) - 1)

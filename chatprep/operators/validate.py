@@ -19,6 +19,7 @@ from ..functions.json import (
     line_status,
 )
 from ..functions.text import py_strip
+from .ranking import position_in_group
 
 # --- fixed values ----------------------------------------------------------------------------
 # The trainer refuses a data set when more than this share of its lines is bad.
@@ -187,6 +188,46 @@ def chat_format_report(convs: DataFrame, messages: str = "messages") -> DataFram
         "is_valid", F.col("n_violations") == 0)
 
 
+def chat_format_report_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
+                             text: str = "text") -> DataFrame:
+    """``chat_format_report`` on the turn table itself, without folding conversations:
+    ``(key, violations, n_violations, is_valid)``, same codes and order.
+
+    Positions come from ``position_in_group`` (exact, block-wise); every rule is then a per-row
+    flag combined by a partial (map-side) aggregate, so a conversation holding a large share of
+    all turns is never gathered in one place. Alternation is checked for both possible starts
+    (with and without a leading system message) and the right one is picked per conversation."""
+    r, p = F.col(role), F.col("_pos")
+    x = position_in_group(turns.select(key, order, role, text), [key], order, "_pos")
+
+    def expected(start):
+        return F.when((p - start) % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
+
+    def off(start):
+        return (p >= start) & ~F.coalesce(r == expected(start), F.lit(False))
+
+    agg = x.groupBy(key).agg(
+        F.max(r.isNull() | ~r.isin(*CHAT_ROLES)).alias("bad_role"),
+        F.max((r == "system") & (p > 0)).alias("sys_late"),
+        F.max(F.col(text).isNull()).alias("null_content"),
+        F.max((p == 0) & F.coalesce(r == "system", F.lit(False))).alias("_lead"),
+        F.max(off(0)).alias("_off0"),
+        F.max(off(1)).alias("_off1"),
+        F.max_by(r, F.col(order)).alias("_last"),
+    )
+    not_alt = F.when(F.col("_lead"), F.col("_off1")).otherwise(F.col("_off0"))
+    no_final = ~F.coalesce(F.col("_last") == "assistant", F.lit(False))
+    codes = F.array(
+        F.when(F.coalesce(F.col("bad_role"), F.lit(False)), F.lit("bad_role")),
+        F.when(F.coalesce(F.col("sys_late"), F.lit(False)), F.lit("system_not_first")),
+        F.when(F.col("null_content"), F.lit("null_content")),
+        F.when(not_alt, F.lit("not_alternating")),
+        F.when(no_final, F.lit("no_final_assistant")),
+    )
+    return agg.select(key, F.filter(codes, lambda c: c.isNotNull()).alias("violations")).withColumn(
+        "n_violations", F.size("violations")).withColumn("is_valid", F.col("n_violations") == 0)
+
+
 def repair_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(REPAIR_RULES, "code string, suggestion string")
 

@@ -881,3 +881,12 @@ ORACLE_SQL["map_examples"] = "WITH " + TEXTS + f"""
 SELECT example_id, CAST(len(regexp_extract_all(text, '{TOKEN_PATTERN}')) AS INTEGER) AS n_tokens,
   regexp_extract_all(text, '{TOKEN_PATTERN}')[1] AS first_token
 FROM texts WHERE contains(text, chr(10) || chr(10) || 'Assistant: ')"""
+
+
+def q_chat_format_report_turns(spark, d):
+    r = validate.chat_format_report_turns(table(spark, d, "conversations"))
+    return r.select("conv_id", F.array_join("violations", ",").alias("violations"), "n_violations", "is_valid")
+
+
+QUERIES["chat_format_report_turns"] = q_chat_format_report_turns
+ORACLE_SQL["chat_format_report_turns"] = ORACLE_SQL["chat_format_report"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,64 @@ from ..operators.tokens import (
     encode_tokens,
     truncate_and_pad,
 )
+from ..operators.ranking import BROADCAST_ROW_LIMIT, checked_broadcast, position_in_group
 from ..operators.validate import drop_invalid_examples
 
+# TOKEN_PATTERN in Python syntax, for checking templates on the driver.
+_PY_TOKEN = re.compile(r"<[^<>\t\n\x0b\x0c\r ]+>|[^<\t\n\x0b\x0c\r ]+|<")
+_TOKEN_WS = "\t\n\x0b\x0c\r "
+
+
+def token_bounded_roles(template: dict) -> list[str]:
+    """Roles whose rendered message always adds at least one token of its own, never merged with
+    the previous message's tokens: the prefix holds a token and either starts with white space or
+    every role's suffix ends with white space. If every message after the first has such a role,
+    the first L tokens of a conversation lie within its first L + 1 messages."""
+    roles = template["roles"]
+    suffix_sep = all(sfx and sfx[-1] in _TOKEN_WS for _, sfx in roles.values())
+    return [r for r, (pre, _) in roles.items()
+            if _PY_TOKEN.search(pre) and (suffix_sep or (pre and pre[0] in _TOKEN_WS))]
+
+
+def fold_for_examples(turns: DataFrame, max_length: int, template: dict | None = None) -> DataFrame:
+    """``fold_messages`` for training examples, with long conversations cut *before* the fold.
+
+    Exact: only conversations with more than ``max_length + 1`` messages are cut, to the messages
+    at positions 0..max_length, which hold at least ``max_length`` tokens when every message after
+    the first has a token-bounded role; the cut text is then truncated to the same first
+    ``max_length`` tokens. A conversation with a non-bounded role in that prefix is folded whole,
+    and one with an unknown role or NULL content keeps its first bad message, so it still renders
+    NULL. The per-conversation cut table lists long conversations only; it is measured before it
+    is broadcast. Positions come from ``position_in_group`` (block-wise, skew-safe)."""
+    template = template or PLAIN_TEMPLATE
+    bounded = token_bounded_roles(template)
+    known = list(template["roles"])
+    if not bounded:
+        return fold_messages(turns)
+    L = max_length
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
+    long_ids = sizes.filter(F.col("_n") > L + 1).select("conv_id").persist()
+    n_long = long_ids.count()
+    if n_long == 0:  # nothing to cut: the plain fold is already bounded by max_length + 1 messages
+        long_ids.unpersist()
+        return fold_messages(turns)
+    long_ids = F.broadcast(long_ids) if n_long <= BROADCAST_ROW_LIMIT else long_ids
+    lt = turns.select("conv_id", "turn", "role", F.col("text").isNull().alias("_nul")).join(long_ids, "conv_id", "left_semi")
+    lt = position_in_group(lt, ["conv_id"], "turn", "_pos")
+    r, pos = F.col("role"), F.col("_pos")
+    bad = r.isNull() | ~r.isin(*known) | F.col("_nul")
+    cut = lt.groupBy("conv_id").agg(
+        F.max(F.when(pos == L, F.col("turn"))).alias("_cut"),
+        F.min(F.when(bad, F.col("turn"))).alias("_bad_turn"),
+        F.max((pos > 0) & (pos <= L) & ~F.coalesce(r.isin(*bounded), F.lit(False))).alias("_whole"),
+    )
+    cut = checked_broadcast(cut)
+    t = F.col("turn")
+    kept = turns.join(cut, "conv_id", "left").filter(
+        F.col("_cut").isNull() | F.col("_whole") | (t <= F.col("_cut")) | (t == F.col("_bad_turn"))
+    ).drop("_cut", "_bad_turn", "_whole")
+    return fold_messages(kept)
+
 
 def rendered_texts(convs: DataFrame, id_col: str = "conv_id", template: dict | None = None,
                    eos: str = EOS_TOKEN) -> DataFrame:
@@ -48,12 +106,26 @@ def examples_from_texts(texts: DataFrame, vocab: DataFrame | None = None, max_le
         "example_id", F.size("token_ids").alias("n_tokens"), "input_ids", "attention_mask", "labels")
 
 
+def message_pieces(turns: DataFrame, template: dict | None = None) -> DataFrame:
+    """``(conv_id, turn, text)``: every message rendered on its own (prefix + content + suffix)."""
+    roles = (template or PLAIN_TEMPLATE)["roles"]
+    pre = F.create_map(*[x for r, (p, _) in roles.items() for x in (F.lit(r), F.lit(p))])
+    suf = F.create_map(*[x for r, (_, q) in roles.items() for x in (F.lit(r), F.lit(q))])
+    return turns.select("conv_id", "turn", F.concat(F.element_at(pre, F.col("role")), F.col("text"),
+                                                    F.element_at(suf, F.col("role"))).alias("text"))
+
+
 def training_examples(turns: DataFrame, vocab: DataFrame | None = None, max_length: int = DEFAULT_MAX_LENGTH,
                       max_vocab: int = DEFAULT_VOCAB_SIZE, template: dict | None = None,
                       vocab_bound: int | None = None) -> DataFrame:
     """Turns ``(conv_id, turn, role, text)`` -> ``(example_id, n_tokens, input_ids,
-    attention_mask, labels)``: fold -> render -> EOS -> encode -> pad -> labels -> drop empty."""
-    texts = rendered_texts(fold_messages(turns), "conv_id", template)
+    attention_mask, labels)``: fold (long conversations cut first) -> render -> EOS -> encode ->
+    pad -> labels -> drop empty. Without a vocabulary, one is built from every message of the
+    corpus (``message_pieces``), so the cut does not change it."""
+    if vocab is None:
+        vocab = build_vocabulary(message_pieces(turns, template).filter(F.col("text").isNotNull()), "text", max_vocab)
+        vocab_bound = max_vocab + len(SPECIAL_TOKENS)
+    texts = rendered_texts(fold_for_examples(turns, max_length, template), "conv_id", template)
     return examples_from_texts(texts, vocab, max_length, max_vocab, vocab_bound=vocab_bound)
 
 

@@ -157,3 +157,59 @@ def test_running_sum_with_hot_key(spark):
 
 def test_bounded_broadcast():
     assert ranking.bounded_broadcast.__doc__
+
+
+def _long_turns(spark):
+    """Conversations of many sizes, some longer than the cut, with late system messages, an
+    unknown role far beyond the cut, a NULL content, and sparse turn numbers."""
+    rnd = random.Random(11)
+    rows = []
+    words = ["alpha", "beta", "gamma", "<tag>", "x<y", "  ", "", "end."]
+
+    def text():
+        return " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 4)))
+
+    for conv in range(40):
+        n = rnd.choice([1, 2, 5, 9, 10, 11, 30, 300])
+        start = rnd.choice([0, 1])
+        for i in range(n):
+            role = "system" if (i == 0 and start == 1) else ("user" if (i + start) % 2 == 0 else "assistant")
+            rows.append((conv, i * rnd.choice([1, 3]) if conv % 5 == 0 else i, role, text()))
+    rows.append((100, 0, "system", "sys"))
+    rows += [(100, i, "user" if i % 2 else "assistant", "w") for i in range(1, 50)]
+    rows.append((100, 50, "robot", "late unknown role"))
+    rows += [(101, i, "user" if i % 2 == 0 else "assistant", "v v") for i in range(60)]
+    rows.append((101, 3, "system", "late system in the prefix"))  # duplicate turn number is avoided below
+    rows = [r for r in rows if not (r[0] == 101 and r[1] == 3 and r[2] != "system")]
+    rows += [(102, i, "user" if i % 2 == 0 else "assistant", None if i == 40 else "z") for i in range(60)]
+    # make (conv, turn) unique after the sparse numbering
+    seen, out = set(), []
+    for r in rows:
+        if (r[0], r[1]) not in seen:
+            seen.add((r[0], r[1]))
+            out.append(r)
+    return spark.createDataFrame(out, "conv_id long, turn long, role string, text string")
+
+
+def test_cut_before_fold_is_exact(spark):
+    from chatprep.operators.messages import CHATML_TEMPLATE, PLAIN_TEMPLATE, fold_messages
+    from chatprep.plans.training import examples_from_texts, message_pieces, rendered_texts
+
+    turns = _long_turns(spark)
+    for template in (PLAIN_TEMPLATE, CHATML_TEMPLATE):
+        vocab = tokens.build_vocabulary(message_pieces(turns, template), "text", 50)
+        for L in (3, 8, 16):
+            got = training_examples(turns, vocab=vocab, max_length=L, template=template)
+            want = examples_from_texts(rendered_texts(fold_messages(turns), "conv_id", template), vocab, L)
+            g = sorted(tuple(r) for r in got.collect())
+            w = sorted(tuple(r) for r in want.collect())
+            assert g == w, (template["generation_prompt"], L)
+    assert 100 not in {r.example_id for r in got.collect()}  # unknown role beyond the cut still drops it
+
+
+def test_chat_format_report_turns_equals_array_form(spark):
+    turns = _long_turns(spark)
+    a = {r.conv_id: (list(r.violations), r.is_valid) for r in
+         validate.chat_format_report(messages.fold_messages(turns)).collect()}
+    b = {r.conv_id: (list(r.violations), r.is_valid) for r in validate.chat_format_report_turns(turns).collect()}
+    assert a == b

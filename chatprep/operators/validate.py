@@ -89,7 +89,7 @@ def validation_report(lines: DataFrame, max_error_rate: float = MAX_ERROR_RATE,
 
 def require_valid(report: DataFrame) -> DataFrame:
     """Raise ``ValueError`` when any file of the report failed (the report is one row per file)."""
-    failed = report.filter(~F.col("passed")).select("file", "error_count", "line_count", "invalid_utf8").collect()
+    failed = report.filter(~F.col("passed")).select("file", "error_count", "line_count", "invalid_utf8").take(1)
     if failed:
         r = failed[0]
         if r["invalid_utf8"]:

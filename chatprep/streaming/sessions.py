@@ -27,9 +27,10 @@ STATE_SCHEMA = ("n_events long, last_seq long, first_exit_seq long, last_clear_s
                 "total_messages long, exited boolean")
 
 
-def _step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _step(key, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None = None) -> Iterator[pd.DataFrame]:
     sid = key[0]
     if state.hasTimedOut:
+        # idle session: its last summary was already emitted; free the state
         state.remove()
         return
     if state.exists:
@@ -53,29 +54,43 @@ def _step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[p
             elif cmd == "message" and ok:
                 total += 2
     state.update((n_events, last_seq, first_exit, last_clear, total, exited))
+    if idle_ms:
+        state.setTimeoutDuration(idle_ms)
     yield pd.DataFrame([{
         "sid": sid, "total_messages": total, "ended_by_exit": exited, "first_exit_seq": first_exit,
         "last_clear_seq": last_clear, "n_events": n_events,
     }]).astype({"first_exit_seq": "Int64", "last_clear_seq": "Int64"})
 
 
-def replay_sessions_stream(log_stream: DataFrame, idle_timeout: str | None = None) -> DataFrame:
-    """Streaming session summaries from a streaming session log ``(sid, seq, text, response, ...)``."""
+def replay_sessions_stream(log_stream: DataFrame, idle_timeout_ms: int | None = None) -> DataFrame:
+    """Streaming session summaries from a streaming session log ``(sid, seq, text, response, ...)``.
+
+    ``idle_timeout_ms``: drop a session's state after this long without events (its last summary
+    has been emitted already); without it, state is kept for every session seen."""
     x = log_stream.select(
         F.col("sid").cast("long").alias("sid"), F.col("seq").cast("long").alias("seq"),
         classify_command("text").alias("cmd"), F.col("response").isNotNull().alias("ok"))
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout else GroupStateTimeout.NoTimeout
-    return x.groupBy("sid").applyInPandasWithState(_step, SUMMARY_SCHEMA, STATE_SCHEMA, "update", timeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
+
+    def step(key, batches, state):
+        return _step(key, batches, state, idle_timeout_ms)
+
+    return x.groupBy("sid").applyInPandasWithState(step, SUMMARY_SCHEMA, STATE_SCHEMA, "update", timeout)
 
 
 def run_replay_stream(log_stream: DataFrame, sink_table: str, checkpoint: str | None = None,
-                      available_now: bool = True):
+                      available_now: bool = True, idle_timeout_ms: int | None = None):
     """Start the stream into a memory table (tests, small runs); returns the started query.
 
-    The checkpoint goes under the cluster's checkpoint folder unless one is given."""
+    The checkpoint goes under the cluster's checkpoint folder unless one is given. With
+    ``available_now`` the query stops by itself once the input is processed (not combinable with
+    an idle timeout, which keeps no-data batches running: then call ``processAllAvailable`` and
+    ``stop``)."""
+    if available_now and idle_timeout_ms:
+        raise ValueError("an idle timeout needs a continuing trigger; use available_now=False")
     spark = log_stream.sparkSession
     cp = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/replay-{sink_table}"
-    w = (replay_sessions_stream(log_stream).writeStream.outputMode("update").format("memory")
+    w = (replay_sessions_stream(log_stream, idle_timeout_ms).writeStream.outputMode("update").format("memory")
          .queryName(sink_table).option("checkpointLocation", cp))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

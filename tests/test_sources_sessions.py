@@ -163,8 +163,39 @@ def test_stream_equals_batch(spark, tmp_dir, n_files):
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
     name = f"replay_{n_files}"
     q = run_replay_stream(stream, name, checkpoint=os.path.join(tmp_dir, f"cp{n_files}"))
-    q.awaitTermination(300)
+    assert q.awaitTermination(600)
     got = {tuple(r) for r in latest_summaries(spark.table(name)).collect()}
     want = {tuple(r) for r in sessions.replay_sessions(log).select(
         "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events").collect()}
     assert got == want
+
+
+def test_stream_with_idle_timeout_equals_batch(spark, tmp_dir):
+    import time
+
+    log = fixtures.session_log(spark, SF01).select("sid", "seq", "ts", "text", "response")
+    want = {tuple(r) for r in sessions.replay_sessions(log).select(
+        "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events").collect()}
+    src = os.path.join(tmp_dir, "src_to")
+    log.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(log.schema).parquet(src)
+    # with a timeout Spark keeps running no-data batches: poll the sink, then stop
+    q = run_replay_stream(stream, "replay_timeout", checkpoint=os.path.join(tmp_dir, "cp_to"),
+                          available_now=False, idle_timeout_ms=60_000)
+    got, deadline = set(), time.time() + 240
+    while got != want and time.time() < deadline:
+        time.sleep(2)
+        got = {tuple(r) for r in latest_summaries(spark.table("replay_timeout")).collect()}
+    q.stop()
+    assert got == want
+
+
+def test_require_examples_and_idempotent_drop(spark):
+    empty = spark.createDataFrame([], "example_id long, input_ids array<int>")
+    with pytest.raises(ValueError, match="No valid examples"):
+        validate.require_examples(validate.drop_invalid_examples(empty))
+    df = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "example_id long, input_ids array<int>")
+    once = validate.drop_invalid_examples(df)
+    assert sorted(r.example_id for r in once.collect()) == [1]
+    assert sorted(r.example_id for r in validate.drop_invalid_examples(once).collect()) == [1]
+    validate.require_examples(once)

@@ -81,27 +81,40 @@ def global_row_number(df: DataFrame, order_cols: list[str], group_col: str | Non
     )
 
 
-def running_sum(df: DataFrame, key: list[str], order_col: str, value: Column | str, out: str,
-                block_size: int = 4096, inclusive: bool = True) -> DataFrame:
-    """Running sum of ``value`` per ``key`` in ``order_col`` order (``order_col`` a unique long per key).
+def running_sums(df: DataFrame, key: list[str], order_col: str, values: dict[str, Column | str],
+                 block_size: int = 4096, inclusive: bool = True) -> DataFrame:
+    """Running sums of several values per ``key`` in ``order_col`` order (``order_col`` a unique
+    long per key), all in one pass: ``values`` maps output column -> value column.
 
     Exact, and no task ever holds more than one (key, block) of rows in a window buffer: a key
-    holding a third of all rows is spread over its blocks.
+    holding a third of all rows is spread over its blocks; the block totals (one row per block)
+    carry the prefix from block to block.
     """
-    v = F.col(value) if isinstance(value, str) else value
+    names = list(values)
     blk = F.floor(F.col(order_col) / F.lit(block_size)).cast("long")
-    x = df.withColumn("_blk", blk).withColumn("_v", v.cast("long"))
+    x = df.withColumn("_blk", blk)
+    for i, n in enumerate(names):
+        v = values[n]
+        x = x.withColumn(f"_v{i}", (F.col(v) if isinstance(v, str) else v).cast("long"))
     inner = Window.partitionBy(*key, "_blk").orderBy(order_col)
     inner = inner.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    x = x.withColumn("_in_blk", F.coalesce(F.sum("_v").over(inner), F.lit(0)))
-    totals = x.groupBy(*key, "_blk").agg(F.sum("_v").alias("_blk_sum"))
+    for i in range(len(names)):
+        x = x.withColumn(f"_in{i}", F.coalesce(F.sum(f"_v{i}").over(inner), F.lit(0)))
+    totals = x.groupBy(*key, "_blk").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
     prev = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.withColumn("_carry", F.coalesce(F.sum("_blk_sum").over(prev), F.lit(0))).drop("_blk_sum")
-    return (
-        x.join(carry, [*key, "_blk"])
-        .withColumn(out, (F.col("_carry") + F.col("_in_blk")).cast("long"))
-        .drop("_blk", "_v", "_in_blk", "_carry")
-    )
+    carry = totals.select(*key, "_blk", *[F.coalesce(F.sum(f"_t{i}").over(prev), F.lit(0)).alias(f"_c{i}")
+                                          for i in range(len(names))])
+    out = x.join(carry, [*key, "_blk"])
+    for i, n in enumerate(names):
+        out = out.withColumn(n, (F.col(f"_c{i}") + F.col(f"_in{i}")).cast("long"))
+    drop = ["_blk"] + [f"_{p}{i}" for i in range(len(names)) for p in ("v", "in", "c")]
+    return out.drop(*drop)
+
+
+def running_sum(df: DataFrame, key: list[str], order_col: str, value: Column | str, out: str,
+                block_size: int = 4096, inclusive: bool = True) -> DataFrame:
+    """Running sum of one value per ``key`` (see ``running_sums``)."""
+    return running_sums(df, key, order_col, {out: value}, block_size=block_size, inclusive=inclusive)
 
 
 def position_in_group(df: DataFrame, key: list[str], order_col: str, out: str = "pos",

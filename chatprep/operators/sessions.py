@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import classify_command, clean_response, history_path, preview
 from .messages import FALLBACK_SYSTEM_PROMPT, message
-from .ranking import checked_broadcast, running_sum
+from .ranking import checked_broadcast, running_sums
 
 LOG_COLUMNS = ["sid", "seq", "ts", "text", "response"]
 
@@ -118,13 +118,16 @@ def session_snapshots(log: DataFrame, block_size: int = 4096) -> DataFrame:
     messages the saved conversation holds. The snapshot's messages are the rows of
     ``replay_messages``-style events of the same session and segment with ``seq < save_seq``."""
     b = session_bounds(log).select("sid", "first_exit_seq")
-    x = _with_cmd(log).join(b, "sid").filter(_before_exit())
-    x = x.withColumn("_clear", (F.col("cmd") == "clear").cast("long"))
-    x = x.withColumn("_ok", ((F.col("cmd") == "message") & F.col("response").isNotNull()).cast("long"))
-    x = running_sum(x, ["sid"], "seq", "_clear", "segment", block_size=block_size)
-    x = running_sum(x, ["sid", "segment"], "seq", "_ok", "_msgs", block_size=block_size)
-    return x.filter(F.col("cmd") == "save").select(
-        "sid", F.col("seq").alias("save_seq"), "segment", (F.col("_msgs") * 2).alias("total_messages"), "ts")
+    x = _with_cmd(log).join(b, "sid").filter(_before_exit()).filter(F.col("cmd").isin("clear", "save", "message"))
+    is_clear = (F.col("cmd") == "clear").cast("long")
+    is_ok = ((F.col("cmd") == "message") & F.col("response").isNotNull()).cast("long")
+    # one pass: clears so far (= segment) and successful messages so far, per session
+    x = running_sums(x, ["sid"], "seq", {"segment": is_clear, "_ok_cum": is_ok}, block_size=block_size)
+    # messages of the current segment = count now - count at the clear that opened the segment
+    opened = x.filter(F.col("cmd") == "clear").select("sid", "segment", F.col("_ok_cum").alias("_ok_at_clear"))
+    saves = x.filter(F.col("cmd") == "save").join(opened, ["sid", "segment"], "left")
+    msgs = F.col("_ok_cum") - F.coalesce(F.col("_ok_at_clear"), F.lit(0))
+    return saves.select("sid", F.col("seq").alias("save_seq"), "segment", (msgs * 2).alias("total_messages"), "ts")
 
 
 def append_responses(convs: DataFrame, responses: DataFrame, key: str = "conv_id", messages: str = "messages",

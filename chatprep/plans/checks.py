@@ -243,8 +243,10 @@ def q_append_responses(spark, d):
     conv = table(spark, d, "conversations")
     last = conv.groupBy("conv_id").agg(F.max_by("role", "turn").alias("last_role"))
     pending = _convs(spark, d).join(last.filter(F.col("last_role") == "user"), "conv_id", "left_semi")
-    resp = fixtures.raw_responses(spark, d).filter(F.col("doc_id") % 4 != 0).select(
-        F.col("doc_id").alias("conv_id"), clean_response("response").alias("response"))
+    # generation failed (NULL response) for every fourth document, by rule
+    resp = fixtures.raw_responses(spark, d).select(
+        F.col("doc_id").alias("conv_id"),
+        F.when(F.col("doc_id") % 4 != 0, clean_response("response")).alias("response"))
     out = sessions.append_responses(pending, resp)
     return out.select("conv_id", F.size("messages").alias("n_messages"), _json("messages").alias("messages"))
 
@@ -726,7 +728,7 @@ SELECT doc_id, {_strip('response')} AS text, CAST(length({_strip('response')}) A
     "append_responses": "WITH " + FOLD + ", " + RESPONSES + f""",
 last AS (SELECT conv_id, arg_max(role, turn) AS last_role FROM conversations GROUP BY conv_id),
 pending AS (SELECT c.* FROM conv c JOIN last l USING (conv_id) WHERE l.last_role = 'user'),
-resp AS (SELECT doc_id AS conv_id, {_bold_sql(_eos_cut_sql('response'))} AS response FROM responses WHERE doc_id % 4 <> 0),
+resp AS (SELECT doc_id AS conv_id, CASE WHEN doc_id % 4 <> 0 THEN {_bold_sql(_eos_cut_sql('response'))} END AS response FROM responses),
 out AS (SELECT p.conv_id, CASE WHEN r.response IS NOT NULL THEN list_concat(p.m, [{{'role': 'assistant', 'content': r.response}}])
     ELSE p.m[1:len(p.m) - 1] END AS m
   FROM pending p LEFT JOIN resp r USING (conv_id))

@@ -892,3 +892,24 @@ def q_chat_format_report_turns(spark, d):
 
 QUERIES["chat_format_report_turns"] = q_chat_format_report_turns
 ORACLE_SQL["chat_format_report_turns"] = ORACLE_SQL["chat_format_report"]
+
+
+def q_history_records(spark, d):
+    from .runs import history_records
+
+    r = history_records(_log(spark, d))
+    return r.select("sid", F.col("record.timestamp").alias("timestamp"),
+                    F.col("record.total_messages").alias("total_messages"),
+                    F.col("record.model_info.saved_at").alias("saved_at"),
+                    F.col("record.model_info.session_duration").alias("session_duration"),
+                    _json("record.conversation").alias("conversation"))
+
+
+QUERIES["history_records"] = q_history_records
+ORACLE_SQL["history_records"] = "WITH " + _replay_conv_sql() + f"""
+SELECT r.sid, {_iso('s.end_ts')} AS timestamp,
+  CAST(len(list_filter(r.m, lambda x: NOT coalesce(x.role = 'system', false))) AS INTEGER) AS total_messages,
+  'history/chat_' || strftime(s.end_ts, '%Y%m%d_%H%M%S') || '.json' AS saved_at,
+  date_diff('microsecond', s.start_ts, s.end_ts) / 1e6 AS session_duration,
+  to_json(r.m) AS conversation
+FROM rconv r JOIN summary s USING (sid) WHERE len(r.m) > 1"""

@@ -199,3 +199,50 @@ def test_require_examples_and_idempotent_drop(spark):
     assert sorted(r.example_id for r in once.collect()) == [1]
     assert sorted(r.example_id for r in validate.drop_invalid_examples(once).collect()) == [1]
     validate.require_examples(once)
+
+
+def test_prepare_training_run_end_to_end(spark, tmp_dir):
+    from chatprep.plans.runs import prepare_training_run
+
+    lines = fixtures.chat_lines(spark, "/root/testdata/sf0.001").orderBy("line_no").select("line")
+    src = os.path.join(tmp_dir, "data.jsonl")
+    with open(src, "w", encoding="utf-8") as f:
+        for r in lines.collect():
+            f.write(r.line + "\n")
+    # the derived file has 40 % bad lines: the gate stops the run
+    with pytest.raises(ValueError, match="Too many errors"):
+        prepare_training_run(spark, src, os.path.join(tmp_dir, "run0"))
+    good = os.path.join(tmp_dir, "good.jsonl")
+    with open(src, encoding="utf-8") as fi, open(good, "w", encoding="utf-8") as fo:
+        for ln in fi:
+            if python_ok(ln):
+                fo.write(ln)
+    out = os.path.join(tmp_dir, "run1")
+    res = prepare_training_run(spark, good, out, model_name="m", max_length=32, max_vocab=200, epochs=2)
+    n_ok = sum(1 for _ in open(good, encoding="utf-8"))
+    assert res["total_examples"] == n_ok and res["report"][0]["passed"]
+    ex = spark.read.parquet(os.path.join(out, "examples"))
+    assert {len(r.input_ids) for r in ex.collect()} == {32}
+    plan = spark.read.parquet(os.path.join(out, "plan"))
+    assert plan.count() == 2 * (n_ok // 2 * 2)
+
+
+def python_ok(line):
+    from chatprep.functions.json import python_status
+
+    return python_status(line.strip()) == "ok"
+
+
+def test_export_histories(spark, tmp_dir):
+    from chatprep.plans.runs import export_histories
+
+    log = fixtures.session_log(spark, SF01)
+    out = os.path.join(tmp_dir, "hist")
+    export_histories(log, out)
+    recs = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    n_saved = validate.should_save(sessions.replay_conversations(log)).count()
+    assert len(recs) == n_saved
+    r0 = recs[0]
+    assert r0["conversation"][0]["role"] == "system"
+    assert r0["total_messages"] == len(r0["conversation"]) - 1
+    assert r0["model_info"]["saved_at"].startswith("history/chat_") and r0["model_info"]["session_duration"] >= 0

@@ -204,8 +204,8 @@ def q_encode_tokens(spark, d):
 
 
 def q_training_examples(spark, d):
-    ex = training_examples(table(spark, d, "conversations"), vocab=_vocab(spark, d), max_length=CHECK_MAX_LENGTH,
-                           vocab_bound=VOCAB_BOUND)
+    # as users call it: the vocabulary is built inside, from the corpus messages
+    ex = training_examples(table(spark, d, "conversations"), max_length=CHECK_MAX_LENGTH, max_vocab=CHECK_VOCAB_SIZE)
     return ex.select("example_id", "n_tokens", _ids("input_ids").alias("input_ids"),
                      _ids("attention_mask").alias("attention_mask"), _ids("labels").alias("labels"))
 

@@ -33,15 +33,17 @@ def prepare_training_run(spark: SparkSession, paths: str | list[str], out_dir: s
                          accumulation: int = DEFAULT_ACCUMULATION, seed: int = DEFAULT_SEED,
                          extra_config: dict | None = None) -> dict:
     """Writes ``out_dir/examples`` (Parquet), ``out_dir/plan`` (Parquet, partitioned by epoch) and
-    ``out_dir/manifest`` (one JSON object); returns the validation report rows and counts.
+    ``out_dir/manifest`` (one JSON object); returns file, line, error and example counts.
 
     Raises ``ValueError`` when a file fails the gate or no example is left. The examples are
     written once and read back, so the plan and the manifest do not recompute them (and a lost
     executor does not send the job back to the raw files)."""
     out = out_dir.rstrip("/")
     lines = read_jsonl_lines(spark, paths)
-    report = validation_report(lines)
-    report_rows = [r.asDict() for r in require_valid(report).collect()]  # one row per file
+    report = require_valid(validation_report(lines))
+    # one summary row for the caller (the report itself has one row per file)
+    totals = report.agg(F.count(F.lit(1)).alias("files"), F.sum("line_count").alias("lines"),
+                        F.sum("error_count").alias("errors")).first().asDict()
     write_training_set(training_examples_from_lines(lines, max_length=max_length, max_vocab=max_vocab),
                        f"{out}/examples")
     examples = require_examples(spark.read.parquet(f"{out}/examples"))
@@ -55,7 +57,7 @@ def prepare_training_run(spark: SparkSession, paths: str | list[str], out_dir: s
     }
     write_run_manifest(examples, config, f"{out}/manifest")
     manifest = spark.read.json(f"{out}/manifest").first().asDict()
-    return {"report": report_rows, "total_examples": manifest["total_examples"], "out_dir": out}
+    return {**totals, "total_examples": manifest["total_examples"], "out_dir": out}
 
 
 def history_records(log: DataFrame, system_prompt: str = FALLBACK_SYSTEM_PROMPT, base: str = "history") -> DataFrame:

@@ -30,3 +30,18 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["example_id", "n_tokens", "input_ids", "attention_mask", "labels"]
+
+
+def test_scale_check_sf01_small_splits(spark):
+    """Order- and split-sensitive operators at sf0.1 with small file splits and an odd number of
+    shuffle partitions still equal their SQL."""
+    names = ["plan_batches", "encode_tokens", "first_invalid_line", "session_snapshots", "chat_format_report_turns"]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        res = compare(spark, "/root/testdata/sf0.1", names, verbose=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert all(v.startswith("ok") for v in res.values()), res

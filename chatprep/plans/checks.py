@@ -913,3 +913,31 @@ SELECT r.sid, {_iso('s.end_ts')} AS timestamp,
   date_diff('microsecond', s.start_ts, s.end_ts) / 1e6 AS session_duration,
   to_json(r.m) AS conversation
 FROM rconv r JOIN summary s USING (sid) WHERE len(r.m) > 1"""
+
+
+# C9 / C10 on their own, with a length that cuts most conversations
+PAD_CHECK_LENGTH = 128
+
+
+def _ids_128(spark, d):
+    return tokens.encode_tokens(_texts(spark, d), _vocab(spark, d), max_length=PAD_CHECK_LENGTH, vocab_bound=VOCAB_BOUND)
+
+
+def q_truncate_and_pad(spark, d):
+    x = tokens.truncate_and_pad(_ids_128(spark, d), "token_ids", PAD_CHECK_LENGTH)
+    return x.select("example_id", _ids("input_ids").alias("input_ids"), _ids("attention_mask").alias("attention_mask"))
+
+
+def q_causal_labels(spark, d):
+    x = tokens.causal_labels(tokens.truncate_and_pad(_ids_128(spark, d), "token_ids", PAD_CHECK_LENGTH))
+    return x.select("example_id", _ids("labels").alias("labels"))
+
+
+QUERIES["truncate_and_pad"] = q_truncate_and_pad
+QUERIES["causal_labels"] = q_causal_labels
+_ENC_128 = "WITH " + TEXTS + ", " + _vocab_sql("texts", CHECK_VOCAB_SIZE) + ", " + _encode_sql("texts", PAD_CHECK_LENGTH)
+ORACLE_SQL["truncate_and_pad"] = _ENC_128 + f"""
+SELECT example_id, {_pad_sql('ids', PAD_CHECK_LENGTH, tokens.PAD_ID)} AS input_ids,
+  {_mask_sql('ids', PAD_CHECK_LENGTH)} AS attention_mask FROM encoded"""
+ORACLE_SQL["causal_labels"] = _ENC_128 + f"""
+SELECT example_id, {_pad_sql('ids', PAD_CHECK_LENGTH, tokens.PAD_ID)} AS labels FROM encoded"""

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import classify_command, clean_response, history_path, preview
+from ..functions.text import classify_command, clean_response, history_path, preview, py_strip
 from .messages import FALLBACK_SYSTEM_PROMPT, message
 from .ranking import checked_broadcast, running_sums
 
@@ -63,7 +63,7 @@ def replay_messages(log: DataFrame, extra_eos: str | None = None) -> DataFrame:
     pair = F.array(
         F.struct(F.lit(0).alias("part"), F.lit("user").alias("role"), F.col("text").alias("content")),
         F.struct(F.lit(1).alias("part"), F.lit("assistant").alias("role"),
-                 clean_response(F.col("response"), extra_eos).alias("content")),
+                 clean_response(py_strip("response"), extra_eos).alias("content")),  # decoded text is stripped first
     )
     return kept.select("sid", "seq", F.inline(pair))
 

@@ -591,7 +591,7 @@ def _replay_conv_sql() -> str:
 msg_rows AS (
   SELECT sid, seq, 0 AS part, 'user' AS role, text AS content FROM final_msgs
   UNION ALL
-  SELECT sid, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql('response'))} AS content FROM final_msgs),
+  SELECT sid, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql(_strip('response')))} AS content FROM final_msgs),
 folded AS (SELECT sid, list({{'role': role, 'content': content}} ORDER BY seq, part) AS m FROM msg_rows GROUP BY sid),
 rconv AS (
   SELECT s.sid, list_concat([{{'role': 'system', 'content': '{FALLBACK}'}}], coalesce(f.m, [])) AS m
@@ -749,7 +749,7 @@ FROM bounds b LEFT JOIN clears c USING (sid)""",
     "replay_messages": "WITH " + LOG + f"""
 SELECT sid, seq, 0 AS part, 'user' AS role, text AS content FROM final_msgs
 UNION ALL
-SELECT sid, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql('response'))} AS content FROM final_msgs""",
+SELECT sid, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql(_strip('response')))} AS content FROM final_msgs""",
     "session_snapshots": "WITH " + _snapshots_sql() + """
 SELECT sid, save_seq, segment, total_messages FROM snaps""",
     "session_duration": "WITH " + LOG + """,

@@ -1,11 +1,12 @@
-"""Strict JSON checks on text columns.
-
-``try_parse_json`` (VARIANT) is the fast path. Alone it is too lenient (it accepts trailing text
-such as ``{"a":1} x``), so a line is valid when it parses both inside ``[...]`` and as the value of
-``{"w": ...}``. Python's ``json.loads`` additionally accepts the bare values ``NaN``,
-``Infinity`` and ``-Infinity``; a line that fails the fast path and holds one of them is parsed
-again with those bare values replaced by ``0`` (a number in the same place, so the structure is
-unchanged). Everything stays in the JVM; no Python worker is involved.
+"""Strict JSON checks on text columns, with one parse per line.
+
+``try_parse_json`` (VARIANT) alone is too lenient (it accepts trailing text such as
+``{"a":1} x``). A line ``l`` is exactly one JSON value when ``[l]`` parses, has an element 0 and no
+element 1 (``1,2`` gives two elements, an empty line none); element 0 is then the value itself, so
+the line class is read from it without parsing again. Python's ``json.loads`` also accepts the
+bare values ``NaN``, ``Infinity`` and ``-Infinity``; a line that fails and holds one of them is
+parsed once more with those bare values replaced by ``0`` (a number in the same place, so the
+structure is unchanged). Everything stays in the JVM; no Python worker is involved.
 """
 
 from __future__ import annotations
@@ -35,11 +36,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _fast_valid(c: Column) -> Column:
-    return (
-        F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull()
-        & F.try_parse_json(F.concat(F.lit('{"w":'), c, F.lit("}"))).isNotNull()
-    )
+def _closes_early_safe(c: Column) -> Column:
+    """The parsers stop after the first complete value and ignore what follows, so ``[l]`` alone
+    accepts ``1],[2``. Such a line closes the array early with a stray ``]``, and then fails as
+    the value of ``{"w": l}`` (and vice versa for a stray ``}``). This second check only needs
+    to tokenize, so it uses the streaming ``json_object_keys`` (no value is built)."""
+    return F.json_object_keys(F.concat(F.lit('{"w":'), c, F.lit("}"))).isNotNull()
+
+
+def _single_value(c: Column) -> Column:
+    """The JSON value the text holds (as VARIANT), or NULL unless it is exactly one value."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    first = F.try_variant_get(wrapped, "$[0]", "variant")
+    second = F.try_variant_get(wrapped, "$[1]", "variant")
+    return F.when(second.isNull() & _closes_early_safe(c), first)
 
 
 def python_status(text: str | None) -> str | None:
@@ -59,12 +69,11 @@ def python_status(text: str | None) -> str | None:
     return STATUS_NOT_OBJECT
 
 
-def _parseable(c: Column) -> tuple[Column, Column]:
-    """(valid as Python reads it, the text to parse with VARIANT)."""
-    fast = F.coalesce(_fast_valid(c), F.lit(False))
-    patched = F.regexp_replace(c, _NONFINITE_VALUE, "0")
-    slow = c.rlike(_NONFINITE) & F.coalesce(_fast_valid(patched), F.lit(False))
-    return fast | slow, F.when(fast, c).otherwise(patched)
+def _parsed(c: Column) -> Column:
+    """The value of the line as Python's json.loads reads it (VARIANT), NULL when it fails."""
+    direct = _single_value(c)
+    patched = _single_value(F.regexp_replace(c, _NONFINITE_VALUE, "0"))
+    return F.coalesce(direct, F.when(c.rlike(_NONFINITE), patched))
 
 
 def is_valid_json(c, strip: bool = False) -> Column:
@@ -72,13 +81,11 @@ def is_valid_json(c, strip: bool = False) -> Column:
     c = _col(c)
     if strip:
         c = py_strip(c)
-    ok, _ = _parseable(c)
-    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(ok)
+    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(_parsed(c).isNotNull())
 
 
-def _variant_status(c: Column) -> Column:
-    """Status of a line already known to be valid JSON, read through VARIANT."""
-    v = F.try_parse_json(c)
+def _variant_status(v: Column) -> Column:
+    """Status of a parsed JSON value (VARIANT)."""
     kind = F.schema_of_variant(v)
     msgs = F.try_variant_get(v, "$.messages", "variant")
     as_string = F.try_variant_get(v, "$", "string")
@@ -102,6 +109,35 @@ def _variant_status(c: Column) -> Column:
     )
 
 
+def with_parsed_value(df, line_col: str = "line", out: str = "_v", strip: bool = True):
+    """Add ``out``: the line's JSON value as VARIANT (NULL when ``json.loads`` would fail).
+
+    The wrapped parse is its own projection, so each line is parsed once (the NaN/Infinity
+    re-parse only runs for lines that fail and contain one of those words)."""
+    text = py_strip(_col(line_col)) if strip else _col(line_col)
+    w = df.withColumn("_w", F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
+    direct = F.when(F.try_variant_get("_w", "$[1]", "variant").isNull() & _closes_early_safe(text),
+                    F.try_variant_get("_w", "$[0]", "variant"))
+    patched = _single_value(F.regexp_replace(text, _NONFINITE_VALUE, "0"))
+    return w.withColumn(out, F.coalesce(direct, F.when(text.rlike(_NONFINITE), patched))).drop("_w")
+
+
+def parsed_value(c, strip: bool = True) -> Column:
+    """The line's JSON value as VARIANT (NULL when ``json.loads`` would fail)."""
+    c = _col(c)
+    return _parsed(py_strip(c) if strip else c)
+
+
+def status_of_value(v, text) -> Column:
+    """Line class from an already parsed value (``parsed_value``) and the line itself."""
+    v, text = _col(v), _col(text)
+    return (
+        F.when(text.isNull(), F.lit(None).cast("string"))
+        .when(v.isNotNull(), _variant_status(v))
+        .otherwise(F.lit(STATUS_INVALID_JSON))
+    )
+
+
 def line_status(c, strip: bool = True) -> Column:
     """Class of one JSONL line: ok / invalid_json / not_object / missing_messages / messages_not_list.
 
@@ -109,9 +145,9 @@ def line_status(c, strip: bool = True) -> Column:
     c = _col(c)
     if strip:
         c = py_strip(c)
-    ok, text = _parseable(c)
+    v = _parsed(c)
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(ok, _variant_status(text))
+        .when(v.isNotNull(), _variant_status(v))
         .otherwise(F.lit(STATUS_INVALID_JSON))
     )

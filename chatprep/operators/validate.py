@@ -16,7 +16,8 @@ from ..functions.json import (
     STATUS_NOT_OBJECT,
     STATUS_OK,
     is_valid_json,
-    line_status,
+    status_of_value,
+    with_parsed_value,
 )
 from ..functions.text import py_strip
 from .ranking import position_in_group
@@ -59,8 +60,11 @@ REPAIR_RULES = [
 
 
 def classify_lines(lines: DataFrame, line_col: str = "line", strip: bool = True) -> DataFrame:
-    """Add ``status`` (ok / invalid_json / not_object / missing_messages / messages_not_list)."""
-    return lines.withColumn("status", line_status(line_col, strip=strip))
+    """Add ``status`` (ok / invalid_json / not_object / missing_messages / messages_not_list).
+
+    The line is parsed once, in its own projection; the class is then read from that value."""
+    parsed = with_parsed_value(lines, line_col, "_v", strip=strip)
+    return parsed.withColumn("status", status_of_value("_v", line_col)).drop("_v")
 
 
 def validation_report(lines: DataFrame, max_error_rate: float = MAX_ERROR_RATE,

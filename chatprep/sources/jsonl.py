@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.json import STATUS_OK, line_status
+from ..functions.json import STATUS_OK
 from ..operators.ranking import BROADCAST_ROW_LIMIT
 
 MESSAGE_TYPE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
@@ -50,7 +50,9 @@ def parse_chat_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFra
     """Chat examples from validated lines: only ``ok`` lines, parsed with the chat schema
     (other fields of the object are dropped, as the trainer does)."""
     keep = keep if keep is not None else [c for c in ("file", "line_no") if c in lines.columns]
-    ok = lines.filter(line_status("line") == STATUS_OK)
+    from ..operators.validate import classify_lines
+
+    ok = classify_lines(lines).filter(F.col("status") == STATUS_OK)
     parsed = F.from_json(F.col("line"), CHAT_SCHEMA)
     return ok.select(*keep, parsed.getField("messages").alias("messages"))
 

@@ -182,3 +182,25 @@ def test_error_report_messages(spark, tmp_dir):
     assert got[2].message == "Line 2 'messages' is not a list"
     assert got[3].message == "Line 3 has invalid JSON"
     assert 4 not in got
+
+
+ADVERSARIAL = [
+    '{"a":-Infinity}', '{"a":+1}', '{"a":-NaN}', '{"a":1e400}', '{"a":-0}', '{"a":"\\ud800"}', '"\\u0000"',
+    '{"a":1}}', '{"a":[1,2]]', '1]}', '1}]', '[1]]', '{"a":1}]', '1 ]', '1.', '.5', '1e', '0x10', 'tru', 'nul',
+    '"a', '"\\x"', '[1,]', '{"a" 1}', '{a:1}', '/*c*/1', '1//c', '[NaN]', '[Infinity,-Infinity]', '"NaN"',
+    '{"messages":[NaN]}', ' 1', '1 ', '[1\n,2]', '{"a":"\\/"}', '[' * 50 + ']' * 50, '"' + 'x' * 10000 + '"',
+    '{"a":1}{"b":2}', '[1][2]', '"a""b"', '1 2', '{"w":1}', '}', ']', '{', '[', ',', ':', '{"a":1,"b":}', '{"":1}',
+]
+
+
+def test_adversarial_strings_match_python(spark):
+    from chatprep.functions.json import is_valid_json, line_status
+
+    df = spark.createDataFrame([(s,) for s in ADVERSARIAL + GOLDEN], "l string")
+    for r in df.select("l", is_valid_json("l").alias("v"), line_status("l", strip=False).alias("s")).collect():
+        try:
+            json.loads(r.l)
+            ok = True
+        except ValueError:
+            ok = False
+        assert (r.v, r.s) == (ok, python_status(r.l)), r.l[:60]

@@ -674,13 +674,13 @@ SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens FROM encoded WHERE len(
     "should_save": "WITH " + _replay_conv_sql() + """
 SELECT sid, CAST(len(m) AS INTEGER) AS n_messages FROM rconv WHERE len(m) > 1""",
     "fold_messages": "WITH " + FOLD + """
-SELECT conv_id, CAST(len(m) AS INTEGER) AS n_messages, to_json(m) AS messages FROM conv""",
+SELECT conv_id, CAST(len(m) AS INTEGER) AS n_messages, CAST(to_json(m) AS VARCHAR) AS messages FROM conv""",
     "explode_messages": """
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, role, text AS content
 FROM conversations""",
     "inject_system_prompt": "WITH " + FOLD + f"""
-SELECT conv_id, to_json(CASE WHEN len(m) > 0 AND m[1].role = 'system' THEN m
-  ELSE list_concat([{{'role': 'system', 'content': '{FALLBACK}'}}], m) END) AS messages FROM conv""",
+SELECT conv_id, CAST(to_json(CASE WHEN len(m) > 0 AND m[1].role = 'system' THEN m
+  ELSE list_concat([{{'role': 'system', 'content': '{FALLBACK}'}}], m) END) AS VARCHAR) AS messages FROM conv""",
     "resolve_system_prompt": "WITH " + _catalog_sql() + ", " + _requests_sql() + """
 SELECT r.conv_id, r.prompt_name,
   coalesce(c.prompt, (SELECT prompt FROM catalog WHERE name = 'default'), '""" + FALLBACK + """') AS system_prompt
@@ -732,11 +732,11 @@ resp AS (SELECT doc_id AS conv_id, CASE WHEN doc_id % 4 <> 0 THEN {_bold_sql(_eo
 out AS (SELECT p.conv_id, CASE WHEN r.response IS NOT NULL THEN list_concat(p.m, [{{'role': 'assistant', 'content': r.response}}])
     ELSE p.m[1:len(p.m) - 1] END AS m
   FROM pending p LEFT JOIN resp r USING (conv_id))
-SELECT conv_id, CAST(len(m) AS INTEGER) AS n_messages, to_json(m) AS messages FROM out""",
+SELECT conv_id, CAST(len(m) AS INTEGER) AS n_messages, CAST(to_json(m) AS VARCHAR) AS messages FROM out""",
     "conversation_record": "WITH " + _replay_conv_sql() + f"""
 SELECT r.sid, {_iso('s.end_ts')} AS timestamp,
   CAST(len(list_filter(r.m, lambda x: NOT coalesce(x.role = 'system', false))) AS INTEGER) AS total_messages,
-  'history/chat_' || strftime(s.end_ts, '%Y%m%d_%H%M%S') || '.json' AS saved_at, to_json(r.m) AS conversation
+  'history/chat_' || strftime(s.end_ts, '%Y%m%d_%H%M%S') || '.json' AS saved_at, CAST(to_json(r.m) AS VARCHAR) AS conversation
 FROM rconv r JOIN summary s USING (sid)""",
     "history_view": "WITH " + FOLD + ", " + _history_view_sql("conv", "conv_id"),
     "history_view_sessions": "WITH " + _replay_conv_sql() + ", " + _history_view_sql("rconv", "sid"),
@@ -911,7 +911,7 @@ SELECT r.sid, {_iso('s.end_ts')} AS timestamp,
   CAST(len(list_filter(r.m, lambda x: NOT coalesce(x.role = 'system', false))) AS INTEGER) AS total_messages,
   'history/chat_' || strftime(s.end_ts, '%Y%m%d_%H%M%S') || '.json' AS saved_at,
   date_diff('microsecond', s.start_ts, s.end_ts) / 1e6 AS session_duration,
-  to_json(r.m) AS conversation
+  CAST(to_json(r.m) AS VARCHAR) AS conversation
 FROM rconv r JOIN summary s USING (sid) WHERE len(r.m) > 1"""
 
 

@@ -246,3 +246,50 @@ def test_export_histories(spark, tmp_dir):
     assert r0["conversation"][0]["role"] == "system"
     assert r0["total_messages"] == len(r0["conversation"]) - 1
     assert r0["model_info"]["saved_at"].startswith("history/chat_") and r0["model_info"]["session_duration"] >= 0
+
+
+def _brute_replay(rows):
+    """Plain Python chat loop over (sid, seq, text, response) rows: final summary per session and
+    the message count of every save."""
+    from chatprep.functions.text import EXIT_WORDS
+
+    by_sid = {}
+    for sid, seq, text, resp in sorted(rows, key=lambda r: (r[0], r[1])):
+        by_sid.setdefault(sid, []).append((seq, text, resp))
+    summary, saves = {}, {}
+    for sid, evs in by_sid.items():
+        msgs, exit_seq, last_clear = 0, None, None
+        for seq, text, resp in evs:
+            if exit_seq is not None:
+                continue
+            low = text.lower()
+            if low in EXIT_WORDS:
+                exit_seq = seq
+            elif low == "clear":
+                msgs, last_clear = 0, seq
+            elif low == "save":
+                saves[(sid, seq)] = msgs
+            elif low == "history" or not text.strip():
+                pass
+            elif resp is not None:
+                msgs += 2
+        summary[sid] = (msgs, exit_seq is not None, exit_seq, last_clear, len(evs))
+    return summary, saves
+
+
+def test_hot_session_matches_brute_force(spark):
+    # a third of all events belong to session 0; small blocks force many blocks per session
+    hot = F.col("seq") % 3 == 0
+    log = (fixtures.session_log(spark, SF01)
+           .withColumn("sid", F.when(hot, F.lit(0)).otherwise(F.col("sid") + 1))
+           # the hot session stays open all along: its exit commands become plain messages
+           .withColumn("text", F.when(hot & F.lower("text").isin("exit", "quit", "終了"), F.lit("stay"))
+                       .otherwise(F.col("text"))))
+    rows = [(r.sid, r.seq, r.text, r.response) for r in log.select("sid", "seq", "text", "response").collect()]
+    summary, saves = _brute_replay(rows)
+    got = {r.sid: (r.total_messages, r.ended_by_exit, r.first_exit_seq, r.last_clear_seq, r.n_events)
+           for r in sessions.replay_sessions(log).collect()}
+    assert got == summary
+    snaps = {(r.sid, r.save_seq): r.total_messages for r in sessions.session_snapshots(log, block_size=64).collect()}
+    assert snaps == saves
+    assert sum(1 for k in saves if k[0] == 0) > 10

@@ -100,3 +100,85 @@ def latest_summaries(updates: DataFrame) -> DataFrame:
     """Collapse the update stream to the last summary per session (largest n_events)."""
     return updates.groupBy("sid").agg(F.max_by(F.struct(*[c for c in updates.columns if c != "sid"]), "n_events").alias("s")).select(
         "sid", "s.*")
+
+
+# --- history records as a live process (transformWithStateInPandas) -------------------------
+
+RECORD_SCHEMA = ("sid long, seq long, kind string, total_messages int, "
+                 "conversation array<struct<role:string,content:string>>")
+STATE_STORE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _history_processor(system_prompt: str):
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    class HistoryProcessor(StatefulProcessor):
+        """Per session: value state (last seq, exited, events) and list state holding the current
+        conversation (cleared by ``clear``). ``save`` emits the conversation as it is, ``exit``
+        emits it a last time; later events of the session are ignored."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.meta = handle.getValueState("meta", "last_seq long, exited boolean")
+            self.msgs = handle.getListState("msgs", "role string, content string")
+
+        def _conversation(self):
+            conv = [{"role": "system", "content": system_prompt}]
+            for role, content in self.msgs.get():  # row tuples, in append order
+                conv.append({"role": role, "content": content})
+            return conv
+
+        def handleInputRows(self, key, rows, timerValues):
+            sid = key[0]
+            last_seq, exited = self.meta.get() if self.meta.exists() else (None, False)
+            frames = [b for b in rows if len(b)]
+            out = []
+            if frames:
+                pdf = pd.concat(frames).sort_values("seq", kind="mergesort")
+                for seq, cmd, user, answer in zip(pdf["seq"].tolist(), pdf["cmd"].tolist(),
+                                                  pdf["text"].tolist(), pdf["answer"].tolist()):
+                    if last_seq is not None and seq <= last_seq:
+                        continue  # late or repeated event
+                    last_seq = seq
+                    if exited:
+                        continue
+                    if cmd == "clear":
+                        self.msgs.clear()
+                    elif cmd == "message" and answer is not None:
+                        self.msgs.appendList([("user", user), ("assistant", answer)])
+                    elif cmd in ("save", "exit"):
+                        conv = self._conversation()
+                        out.append({"sid": sid, "seq": seq, "kind": cmd, "total_messages": len(conv) - 1,
+                                    "conversation": conv})
+                        if cmd == "exit":
+                            exited = True
+                            self.msgs.clear()
+            self.meta.update((last_seq, exited))
+            if out:
+                yield pd.DataFrame(out, columns=["sid", "seq", "kind", "total_messages", "conversation"])
+
+        def close(self) -> None:
+            pass
+
+    return HistoryProcessor()
+
+
+def replay_histories_stream(log_stream: DataFrame, system_prompt: str | None = None) -> DataFrame:
+    """History records from a streaming session log: one row per ``save`` (the conversation as it
+    is then) and one for the ``exit`` (the final conversation), each starting with the system
+    prompt. Needs the RocksDB state store provider, which is set on the session here.
+
+    Responses are cleaned (strip, EOS cut, bold markup) JVM-side before grouping; the Python
+    processor only appends messages to list state, so state per session is its current
+    conversation, as in the chat loop."""
+    from ..functions.text import clean_response, py_strip
+    from ..operators.messages import FALLBACK_SYSTEM_PROMPT
+
+    spark = log_stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
+    x = log_stream.select(
+        F.col("sid").cast("long").alias("sid"), F.col("seq").cast("long").alias("seq"),
+        classify_command("text").alias("cmd"), F.col("text"),
+        F.when(F.col("response").isNotNull(), clean_response(py_strip("response"))).alias("answer"))
+    proc = _history_processor(system_prompt if system_prompt is not None else FALLBACK_SYSTEM_PROMPT)
+    return x.groupBy("sid").transformWithStateInPandas(
+        statefulProcessor=proc, outputStructType=RECORD_SCHEMA, outputMode="Append", timeMode="None")

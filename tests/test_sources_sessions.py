@@ -293,3 +293,31 @@ def test_hot_session_matches_brute_force(spark):
     snaps = {(r.sid, r.save_seq): r.total_messages for r in sessions.session_snapshots(log, block_size=64).collect()}
     assert snaps == saves
     assert sum(1 for k in saves if k[0] == 0) > 10
+
+
+def test_history_stream_equals_batch(spark, tmp_dir):
+    from chatprep.streaming.sessions import replay_histories_stream
+
+    log = fixtures.session_log(spark, SF01).select("sid", "seq", "ts", "text", "response")
+    src = os.path.join(tmp_dir, "src_hist")
+    bounds = log.agg(F.min("seq"), F.max("seq")).collect()[0]
+    step = (bounds[1] + 1 - bounds[0] + 2) // 3
+    for i in range(3):  # three files in seq order
+        log.filter((F.col("seq") >= bounds[0] + i * step) & (F.col("seq") < bounds[0] + (i + 1) * step)) \
+            .coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (replay_histories_stream(stream).writeStream.format("memory").queryName("hist_stream")
+         .outputMode("append").option("checkpointLocation", os.path.join(tmp_dir, "cp_hist"))
+         .trigger(availableNow=True).start())
+    assert q.awaitTermination(600)
+    got = spark.table("hist_stream")
+    # final records of exited sessions == batch replay of those sessions
+    exits = {r.sid: [tuple(m) for m in r.conversation] for r in got.filter(F.col("kind") == "exit").collect()}
+    ended = {r.sid for r in sessions.replay_sessions(log).filter("ended_by_exit").collect()}
+    batch = {r.sid: [tuple(m) for m in r.messages] for r in sessions.replay_conversations(log).collect()}
+    assert set(exits) == ended
+    assert all(exits[s] == batch[s] for s in exits)
+    # snapshots at saves == batch snapshot counts
+    snaps = {(r.sid, r.seq): r.total_messages for r in got.filter(F.col("kind") == "save").collect()}
+    want = {(r.sid, r.save_seq): r.total_messages for r in sessions.session_snapshots(log).collect()}
+    assert snaps == want

@@ -213,3 +213,26 @@ def test_chat_format_report_turns_equals_array_form(spark):
          validate.chat_format_report(messages.fold_messages(turns)).collect()}
     b = {r.conv_id: (list(r.violations), r.is_valid) for r in validate.chat_format_report_turns(turns).collect()}
     assert a == b
+
+
+def test_resolve_special_ids_rules(spark):
+    # own EOS first, then candidates in list order, unk-mapped and repeated ids skipped
+    vocab = spark.createDataFrame(
+        [("<pad>", 0), ("<unk>", 1), ("<eos>", 3), ("</s>", 9), ("<|im_end|>", 7), ("<|endoftext|>", 3)],
+        "token string, token_id int")
+    r = tokens.resolve_special_ids(vocab).collect()[0]
+    assert list(r.eos_ids) == [3, 7, 9] and r.pad_id == 0
+    # an EOS candidate mapped to unk is not an EOS id; without a pad token, pad falls back to EOS
+    vocab2 = spark.createDataFrame([("<unk>", 1), ("<eos>", 5), ("<end_of_turn>", 1)], "token string, token_id int")
+    r2 = tokens.resolve_special_ids(vocab2).collect()[0]
+    assert list(r2.eos_ids) == [5] and r2.pad_id == 5
+
+
+def test_history_view_edges(spark):
+    from chatprep.operators import sessions
+
+    convs = spark.createDataFrame(
+        [(1, [("system", "s")]), (2, []), (3, [("user", "first is skipped"), ("user", "u" * 150), ("tool", "t")])],
+        "conv_id long, messages array<struct<role:string,content:string>>")
+    rows = sessions.history_view(convs).orderBy("conv_id", "idx").collect()
+    assert [(r.conv_id, r.line) for r in rows] == [(3, "1. User: " + "u" * 100 + "..."), (3, "2. Assistant: t")]

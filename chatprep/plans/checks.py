@@ -60,6 +60,11 @@ def _lines(spark, d):
     return fixtures.chat_lines(spark, d).select("file", "line_no", "line")
 
 
+def _unnumbered_lines(spark, d):
+    ensure_conf(spark)
+    return fixtures.chat_lines(spark, d, numbered=False).select("file", "line")
+
+
 def _convs(spark, d):
     return messages.fold_messages(table(spark, d, "conversations"))
 
@@ -93,7 +98,7 @@ def q_classify_lines(spark, d):
 
 
 def q_validation_report(spark, d):
-    return validate.validation_report(_lines(spark, d))
+    return validate.validation_report(_unnumbered_lines(spark, d))
 
 
 def q_first_invalid_line(spark, d):
@@ -105,7 +110,7 @@ def q_error_report(spark, d):
 
 
 def q_encoding_report(spark, d):
-    return validate.encoding_report(_lines(spark, d))
+    return validate.encoding_report(_unnumbered_lines(spark, d))
 
 
 def q_dataset_statistics(spark, d):

@@ -16,10 +16,12 @@ from ..session import table
 JSONL_FILE = "conversations.jsonl"
 
 
-def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chat_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """``(file, line_no, line)``: every conversation as one chat JSONL line, ordered by conv_id,
     corrupted by ``conv_id % 10``: 3 -> last character cut, 5 -> key renamed to "msgs",
-    7 -> ``{"messages":"x"}``, 9 -> " x" appended; others unchanged."""
+    7 -> ``{"messages":"x"}``, 9 -> " x" appended; others unchanged.
+
+    ``numbered=False`` skips the (global-order) line numbering for reports that do not use it."""
     convs = fold_messages(table(spark, sf_dir, "conversations"))
     line = F.to_json(F.struct(F.col("messages")))
     k = F.col("conv_id") % 10
@@ -31,6 +33,8 @@ def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("_l"))
     )
     lines = convs.select("conv_id", line.alias("_l")).select("conv_id", dirty.alias("line"))
+    if not numbered:
+        return lines.select(F.lit(JSONL_FILE).alias("file"), "line", "conv_id")
     numbered = global_row_number(lines, ["conv_id"], out="_rn")
     return numbered.select(F.lit(JSONL_FILE).alias("file"), (F.col("_rn") + 1).alias("line_no"), "line", "conv_id")
 

@@ -12,7 +12,8 @@ before it), found with partial (map-side) aggregates; no window is partitioned b
 a session holding a large share of all events is never buffered in one task. The per-session
 table is joined back to the events as a broadcast when its measured size allows (the events are
 then not shuffled at all), otherwise by a shuffle join that AQE splits on hot sessions.
-Snapshot counts use ``running_sum``, whose windows see one (session, block) at a time.
+Snapshot counts use ``running_sums`` (one pass for clears and messages), whose windows see one
+(session, block) at a time.
 """
 
 from __future__ import annotations

@@ -202,7 +202,9 @@ def chat_format_report_turns(turns: DataFrame, key: str = "conv_id", order: str
     all turns is never gathered in one place. Alternation is checked for both possible starts
     (with and without a leading system message) and the right one is picked per conversation."""
     r, p = F.col(role), F.col("_pos")
-    x = position_in_group(turns.select(key, order, role, text), [key], order, "_pos")
+    # only whether the text is NULL matters: keep the shuffled rows narrow
+    narrow = turns.select(key, order, role, F.col(text).isNull().alias("_nul"))
+    x = position_in_group(narrow, [key], order, "_pos")
 
     def expected(start):
         return F.when((p - start) % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
@@ -213,7 +215,7 @@ def chat_format_report_turns(turns: DataFrame, key: str = "conv_id", order: str
     agg = x.groupBy(key).agg(
         F.max(r.isNull() | ~r.isin(*CHAT_ROLES)).alias("bad_role"),
         F.max((r == "system") & (p > 0)).alias("sys_late"),
-        F.max(F.col(text).isNull()).alias("null_content"),
+        F.max(F.col("_nul")).alias("null_content"),
         F.max((p == 0) & F.coalesce(r == "system", F.lit(False))).alias("_lead"),
         F.max(off(0)).alias("_off0"),
         F.max(off(1)).alias("_off1"),

@@ -120,8 +120,10 @@ def session_snapshots(log: DataFrame, block_size: int = 4096) -> DataFrame:
     ``replay_messages``-style events of the same session and segment with ``seq < save_seq``."""
     b = session_bounds(log).select("sid", "first_exit_seq")
     x = _with_cmd(log).join(b, "sid").filter(_before_exit()).filter(F.col("cmd").isin("clear", "save", "message"))
+    # only narrow columns go through the running-sum shuffle
+    x = x.select("sid", "seq", "ts", "cmd", ((F.col("cmd") == "message") & F.col("response").isNotNull()).alias("_okf"))
     is_clear = (F.col("cmd") == "clear").cast("long")
-    is_ok = ((F.col("cmd") == "message") & F.col("response").isNotNull()).cast("long")
+    is_ok = F.col("_okf").cast("long")
     # one pass: clears so far (= segment) and successful messages so far, per session
     x = running_sums(x, ["sid"], "seq", {"segment": is_clear, "_ok_cum": is_ok}, block_size=block_size)
     # messages of the current segment = count now - count at the clear that opened the segment

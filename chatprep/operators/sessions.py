@@ -32,16 +32,20 @@ def _with_cmd(log: DataFrame) -> DataFrame:
     return log.withColumn("cmd", classify_command("text"))
 
 
+def _first_exits(x: DataFrame) -> DataFrame:
+    """Per session: ``first_exit_seq``, ``first_seq``, ``n_events`` (measured, then broadcast if small)."""
+    return checked_broadcast(x.groupBy("sid").agg(
+        F.min(F.when(F.col("cmd") == "exit", F.col("seq"))).alias("first_exit_seq"),
+        F.min("seq").alias("first_seq"),
+        F.count(F.lit(1)).alias("n_events"),
+    ))
+
+
 def session_bounds(log: DataFrame) -> DataFrame:
     """Per session: ``first_exit_seq`` (NULL if never exited), ``last_clear_seq`` (last clear
     before that exit), ``first_seq``, ``n_events``."""
     x = _with_cmd(log)
-    first = x.groupBy("sid").agg(
-        F.min(F.when(F.col("cmd") == "exit", F.col("seq"))).alias("first_exit_seq"),
-        F.min("seq").alias("first_seq"),
-        F.count(F.lit(1)).alias("n_events"),
-    )
-    first = checked_broadcast(first)
+    first = _first_exits(x)
     active = x.join(first.select("sid", "first_exit_seq"), "sid").filter(_before_exit())
     clears = active.groupBy("sid").agg(F.max(F.when(F.col("cmd") == "clear", F.col("seq"))).alias("last_clear_seq"))
     return checked_broadcast(first.join(clears, "sid", "left"))
@@ -118,8 +122,9 @@ def session_snapshots(log: DataFrame, block_size: int = 4096) -> DataFrame:
     where ``segment`` counts the clears before the save and ``total_messages`` the non-system
     messages the saved conversation holds. The snapshot's messages are the rows of
     ``replay_messages``-style events of the same session and segment with ``seq < save_seq``."""
-    b = session_bounds(log).select("sid", "first_exit_seq")
-    x = _with_cmd(log).join(b, "sid").filter(_before_exit()).filter(F.col("cmd").isin("clear", "save", "message"))
+    x = _with_cmd(log)
+    x = x.join(_first_exits(x).select("sid", "first_exit_seq"), "sid").filter(_before_exit())
+    x = x.filter(F.col("cmd").isin("clear", "save", "message"))
     # only narrow columns go through the running-sum shuffle
     x = x.select("sid", "seq", "ts", "cmd", ((F.col("cmd") == "message") & F.col("response").isNotNull()).alias("_okf"))
     is_clear = (F.col("cmd") == "clear").cast("long")

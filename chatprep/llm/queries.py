@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import quality_rff, quality_rules
+from . import jump_shards, packing, quality_rff, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,6 +27,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rff.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_jump_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jump_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op6_quality_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))

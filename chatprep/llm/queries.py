@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import jump_shards, packing, quality_rff, quality_rules
+from . import jump_shards, mixing, packing, quality_rff, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,6 +37,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_temperature_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))

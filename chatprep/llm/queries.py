@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import jump_shards, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
+from . import chosen_path, jump_shards, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_labelers.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query("op4_chosen_path")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op5_jump_shards")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.shard_documents(table(spark, sf_dir, "documents"))

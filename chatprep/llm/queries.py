@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import chosen_path, jump_shards, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
+from . import chosen_path, jump_shards, line_dedup, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -57,6 +57,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op9_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))

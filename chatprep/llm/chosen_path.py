@@ -325,3 +325,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     component = F.coalesce("root", "doc_id")
     return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
+    """``docs``, all columns as they are, with one document of each group: the rows of its smallest
+    id, and of rows that repeat id and text, one."""
+    found = materialize(near_duplicates(docs, key, text, percent), "found")
+    gone = found.filter(~F.col("kept")).select(F.col(key).alias("_path_id")).distinct()
+    rest = docs.join(_small(materialize(gone, "gone")), F.col(key) == F.col("_path_id"), "left_anti")
+    hashed = rest.select("*", *[F.xxhash64(F.lit(i), F.col(key), F.col(text)).alias(f"_path_{i}") for i in range(2)])
+    again = hashed.filter(F.col(key).isNotNull()).groupBy("_path_0", "_path_1").count().filter("count > 1").select("_path_0", "_path_1")
+    again = _small(materialize(again, "again"))
+    own = ["_path_0", "_path_1"]
+    once = hashed.join(again, own, "left_semi").dropDuplicates(own)
+    return hashed.join(again, own, "left_anti").unionByName(once).select(*docs.columns)

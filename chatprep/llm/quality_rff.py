@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .docstats import MEASURES, document_statistics
 from .shared import fold, materialize
 
+SMALL_ROWS = 500_000  # rejected rows (two longs each) are broadcast only if counted to be at most so many
 CLIP = 5.0  # standardised statistics beyond this many deviations count as this many
 
 
@@ -139,6 +140,34 @@ def fit(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
     return model
 
 
+def _row_key(key: Column, text: Column) -> list[Column]:
+    """Two hashes that tell rows apart by id and text (never null)."""
+    return [F.xxhash64(F.lit(i), key, text.isNull(), text).alias(f"_quality_{i}") for i in range(2)]
+
+
+def keep_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+                   label: str = "quality", threshold: float = 0.3, **fitting) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that score ``threshold`` or more. Rows are judged
+    by id and text, so equal rows share their fate. The texts are not shuffled while the rejected
+    rows' hashes are few (counted); beyond that they are joined by hash."""
+    own = [f"_quality_{i}" for i in range(2)]
+    keyed = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *_row_key(F.col(key), F.col(text)))
+    stats = materialize(document_statistics(keyed.withColumn("fold", fold(F.col("doc_id"))), ["doc_id", "fold", *own]), "docstats")
+    model = fit(stats, labels.select(F.col(key).alias("doc_id"), F.col(label).alias("quality")), **fitting)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                low = pa.array(model.score(_matrix(batch, 2)) < threshold)
+                yield pa.RecordBatch.from_arrays([c.filter(low) for c in batch.columns[:2]], names=own)
+
+    rejected = materialize(stats.select(*own, *MEASURES).mapInArrow(run, f"{own[0]} long, {own[1]} long").distinct(), "rejected")
+    if rejected.count() <= SMALL_ROWS:
+        rejected = F.broadcast(rejected)
+    hashed = docs.select("*", *_row_key(F.col(key), F.col(text)))
+    return hashed.join(rejected, own, "left_anti").select(*docs.columns)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                     label: str = "quality", threshold: float = 0.3, **fitting) -> DataFrame:
     """(key, held_out, score, predicted) for every row of ``docs``; see the module text."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import chosen_path, jump_shards, line_dedup, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
+from . import chat_collapse, chosen_path, jump_shards, line_dedup, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -22,6 +22,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_chat_collapse", sql="""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+c AS (SELECT conv_id, list({'r': role, 'x': text} ORDER BY turn NULLS FIRST) AS l, count(*) AS n FROM t GROUP BY conv_id),
+kept AS (
+  SELECT a.conv_id, a.n, a.l FROM c a
+  WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.n > a.n AND b.l[1] = a.l[1] AND b.l[1:a.n] = a.l)
+    AND NOT EXISTS (SELECT 1 FROM c b WHERE b.l[1] = a.l[1] AND b.l = a.l AND b.conv_id < a.conv_id)),
+turns AS (SELECT conv_id, n, unnest(l) AS m, unnest(range(n)) AS pos FROM kept)
+SELECT conv_id, n AS n_turns, pos, m.r AS role,
+       '<|im_start|>' || coalesce(m.r, 'unknown') || chr(10) || coalesce(m.x, '') || '<|im_end|>' || chr(10) AS piece
+FROM turns""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_collapse.collapse_snapshots(table(spark, sf_dir, "conversations"))
+
+
 @query("op2_quality_classifier")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rff.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -14,8 +14,10 @@
   ``tokens`` = 18 it misses all nodes with probability 0.25**18. Below a large node each level keeps it in
   1/t x t = 1 child on average; what one tree loses there, the others and the pivots find again.
   Signatures drop a pair only if its estimate lies 3.5 deviations under t.
-* Candidates that survive the estimates are confirmed on full shingle sets, first each class's best
-  partner and pivot, then all candidates across the components so far. Components are alternating stars.
+* Classes that possible links connect form a cluster (a large one is dealt into blocks). Within it, pairs
+  are bounded by shortened sets; the pairs that span what these bounds connect are confirmed on full
+  sets, and then every pair that the bounds allow across the confirmed components. No quadratic number
+  of pairs is written out. Components are alternating stars.
 
 Defined cases: null text counts as empty; an empty document has size 0 and is linked to nothing; a null
 id is linked to nothing, has a null component and is kept; an id that repeats is one vertex (all its
@@ -35,12 +37,13 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .shared import materialize
+from .shared import materialize, whole_groups
 
 SHINGLE = 5
 TREES, TOKENS = 6, 3
 SIGNATURE = 128
-SMALL_NODE = 512
+SMALL_NODE = 8192
+SHORT = 4096  # sets up to this size are shortened to four bytes per shingle; larger ones keep eight
 SMALL_ROWS = 500_000  # a table of ids or pivots is broadcast only after it was counted to have at most this many rows
 _rng = np.random.Generator(np.random.PCG64(975))
 _TOKEN = _rng.integers(1, 1 << 63, TREES * TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,72 +125,131 @@ def _close(n: np.ndarray, m: np.ndarray, share: float) -> np.ndarray:
     return np.minimum(n, m) >= share * np.maximum(n, m)
 
 
-def compare_nodes(rows: DataFrame, share: float, least: float, across: bool) -> DataFrame:
-    """Candidate pairs (a, b) from an exhaustive comparison within each node of ``rows``
-    (node, cid, n, signature, label). Rows are dealt and sorted by node and stream through; a node
-    is bounded, so is the memory.
+def _meetings(group: np.ndarray, n: np.ndarray, sign: np.ndarray, share: float, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j): all pairs within groups whose sizes and signatures allow a link, by distance in the order."""
+    last = np.searchsorted(group, group, side="right")
+    at, shift = np.arange(len(group)), 1
+    while True:
+        at = at[at + shift < last[at]]
+        if not len(at):
+            return
+        i = at[_close(n[at], n[at + shift], share)]
+        i = i[(sign[i] == sign[i + shift]).mean(axis=1) >= least]
+        yield i, i + shift
+        shift += 1
 
-    ``across`` False: each class's best partner and the node's first class, where estimates allow a
-    link. ``across`` True: all pairs with different labels whose estimates allow a link."""
+
+def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Join the labels of linked rows (labels are row numbers that point at smaller ones)."""
+    while True:
+        a, b = label[i], label[j]
+        if (a == b).all():
+            return label
+        low = np.minimum(a, b)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        while not (label[label] == label).all():
+            label = label[label]
+
+
+def _pair_batch(cid: pa.Array, left: list, right: list) -> pa.RecordBatch:
+    x, y = (np.concatenate(s) if s else np.zeros(0, np.int64) for s in (left, right))
+    return pa.RecordBatch.from_arrays([cid.take(pa.array(x)), cid.take(pa.array(y))], names=["a", "b"])
+
+
+def _pair_schema(rows: DataFrame) -> T.StructType:
     kind = rows.schema["cid"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    ordered = rows.select("node", "cid", "n", "signature", "label").repartition("node").sortWithinPartitions("node")
+    return T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+
+def _unordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
 
-    def pairs(table: pa.Table) -> pa.RecordBatch:
-        node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+
+def candidate_forest(rows: DataFrame, share: float, least: float) -> DataFrame:
+    """Compare each node of ``rows`` (node, cid, n, signature) exhaustively; return pairs (a, b) that connect
+    what possible links connect (as stars). A node is bounded, so is a task's memory."""
+    ordered = rows.select("node", "cid", "n", "signature").repartition("node").sortWithinPartitions("node", "cid")
+
+    def forest(table: pa.Table) -> pa.RecordBatch:
         sign = _signs(table.column("signature"))
-        cid = table.column("cid").combine_chunks()
-        label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        left, right = [], []
-        best, partner = np.full(len(node), -1.0), np.full(len(node), -1)
-        shift = 1
-        while shift < len(node):
-            at = np.flatnonzero(node[:-shift] == node[shift:])
-            if not len(at):
-                break
-            ok = at[_close(n[at], n[at + shift], share)]
-            if across:
-                ok = ok[label[ok] != label[ok + shift]]
-            estimate = (sign[ok] == sign[ok + shift]).mean(axis=1)
-            ok, estimate = ok[estimate >= least], estimate[estimate >= least]
-            if across:
-                left.append(ok), right.append(ok + shift)
-            else:
-                first = ok[(ok == 0) | (node[ok] != node[ok - 1])]
-                left.append(first), right.append(first + shift)
-                for x, y in ((ok, ok + shift), (ok + shift, ok)):
-                    better = estimate > best[x]
-                    best[x[better]], partner[x[better]] = estimate[better], y[better]
-            shift += 1
-        if not across:
-            found = np.flatnonzero(partner >= 0)
-            left.append(found), right.append(partner[found])
-        x = np.concatenate(left) if left else np.zeros(0, np.int64)
-        y = np.concatenate(right) if right else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([cid.take(pa.array(x)), cid.take(pa.array(y))], names=["a", "b"])
+        label = np.arange(table.num_rows)
+        for i, j in _meetings(table.column("node").to_numpy(), table.column("n").to_numpy(), sign, share, least):
+            if (label[i] != label[j]).any():
+                label = _merge(label, i, j)
+        member = np.flatnonzero(label != np.arange(len(label)))  # stars around the smallest id of each group
+        return _pair_batch(table.column("cid").combine_chunks(), [label[member]], [member])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
+        yield from whole_groups(batches, "node", forest)
+
+    return _unordered(ordered.mapInArrow(run, _pair_schema(rows)))
+
+
+def _most_common(values: list[np.ndarray], i: int, j: np.ndarray) -> np.ndarray:
+    """Upper bounds of the shingles that row i shares with rows j, from shortened hashes."""
+    own, out = values[i], np.zeros(len(j), np.int64)
+    if any(values[k].dtype != own.dtype for k in j):  # one has four bytes per shingle, the other eight
+        short = [v >> np.uint64(32) if v.itemsize == 8 else v for v in (own, *(values[k] for k in j))]
+        own, others = short[0].astype(np.uint32), [v.astype(np.uint32) for v in short[1:]]
+    else:
+        others = [values[k] for k in j]
+    at = 0
+    while at < len(j):  # about a million shingles at a time
+        stop, size = at, 0
+        while stop < len(j) and (size < 1 << 20 or stop == at):
+            size += len(others[stop])
+            stop += 1
+        every = np.concatenate(others[at:stop])
+        place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        of = np.repeat(np.arange(stop - at), [len(v) for v in others[at:stop]])
+        out[at:stop] = np.bincount(of[own[place] == every], minlength=stop - at)
+        at = stop
+    return out
+
+
+def cluster_links(rows: DataFrame, percent: int, least: float, every: bool) -> DataFrame:
+    """Pairs (a, b) of ``rows`` (node, cid, n, signature, compact, label) whose shortened sets allow a link.
+
+    ``every`` False: pairs that span what is connected by such pairs. ``every`` True: all such pairs
+    with different labels."""
+    share = percent / 100
+    ordered = rows.select("node", "cid", "n", "signature", "compact", "label").repartition("node").sortWithinPartitions("node", "cid")
+
+    def links(table: pa.Table) -> pa.RecordBatch:
+        n, sign = table.column("n").to_numpy(), _signs(table.column("signature"))
+        node = table.column("node").to_numpy()
+        given = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        values = [np.frombuffer(v, "<u4" if size <= SHORT else "<u8") for v, size in zip(table.column("compact").to_pylist(), n)]
+        label = given if every else np.arange(table.num_rows)
+        ends = np.searchsorted(node, node, side="right")
+        left, right = [], []
+        for i, end in enumerate(ends):  # each row against the later ones: links come as stars around small ids
+            j = np.arange(i + 1, end)
+            j = j[label[j] != label[i]]
+            j = j[_close(n[i], n[j], share)]
+            j = j[(sign[j] == sign[i]).mean(axis=1) >= least] if len(j) else j
+            if not len(j):
                 continue
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([held, table]) if held is not None else table
-            node = table.column("node").to_numpy()
-            whole = int(np.searchsorted(node, node[-1]))  # the last node may go on in the next batch
-            held = table.slice(whole)
-            if whole:
-                yield pairs(table.slice(0, whole).combine_chunks())
-        if held is not None:
-            yield pairs(held.combine_chunks())
+            j = j[(100 + percent) * _most_common(values, i, j) >= percent * (n[i] + n[j])]
+            if len(j):
+                own = np.full(len(j), i)
+                left.append(own), right.append(j)
+                if not every:
+                    label = _merge(label, own, j)
+        return _pair_batch(table.column("cid").combine_chunks(), left, right)
 
-    found = ordered.mapInArrow(run, schema)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from whole_groups(batches, "node", links)
+
+    return _unordered(ordered.mapInArrow(run, _pair_schema(rows)))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, n, shingles) of the documents whose ids are in ``wanted`` (cid): texts read again, once each."""
-    schema = T.StructType([T.StructField("cid", docs.schema["doc_id"].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))])
+    """(cid, shingles, compact) of the documents whose ids are in ``wanted`` (cid): their texts are read
+    again. ``compact`` holds the leading half of each hash for sets up to ``SHORT``, else the hashes."""
+    schema = T.StructType([T.StructField("cid", docs.schema["doc_id"].dataType), T.StructField("shingles", T.ArrayType(T.LongType())),
+                           T.StructField("compact", T.BinaryType())])
     rows = docs.join(_small(wanted.withColumnRenamed("cid", "doc_id")), "doc_id", "left_semi")
     rows = rows.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).select("doc_id", "text")
 
@@ -198,7 +260,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 part = offsets[lo:hi + 1]
                 starts, hashes = shingle_sets(data[part[0]:part[-1]], part - part[0])
                 sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], names=["cid", "shingles"])
+                half = (hashes >> np.uint64(32)).astype("<u4")
+                compact = [(half if b - a <= SHORT else hashes)[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets, pa.array(compact, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -212,6 +276,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return materialize(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "ends")
+
+
 def _estimates(rows: DataFrame) -> DataFrame:
     """``rows`` with ``estimate``: the share of equal bytes of ``signature`` and ``p_signature``."""
     keep = [c for c in rows.columns if c != "p_signature"]
@@ -241,26 +309,24 @@ def _children(rows: DataFrame, share: float) -> DataFrame:
     return picked.select(F.xxhash64("node", "_at", token).alias("node"), "cid", "n", "signature")
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """The members of large nodes dealt into block pairs, so that any two of a node meet in one."""
-    count = F.ceil(F.col("c") / F.lit(SMALL_NODE // 2)).cast("int")
-    own = rows.withColumn("_b", F.pmod(F.xxhash64("cid"), count).cast("int"))
-    pair = own.select("*", F.explode(F.sequence(F.lit(0), count - 1)).alias("_o"))
-    return pair.select(F.xxhash64("node", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("node"), "cid", "n", "signature")
+def _blocks(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` of groups of size ``c``: small groups as they are, large ones dealt into block pairs, so
+    that any two members of a group meet in one ``node`` of bounded size."""
+    count = F.when(F.col("c") <= SMALL_NODE, 1).otherwise(F.ceil(F.col("c") / F.lit(SMALL_NODE // 2))).cast("int")
+    own = rows.withColumn("_n", count).withColumn("_b", F.pmod(F.xxhash64("cid"), F.col("_n")).cast("int"))
+    pair = own.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o"))
+    node = F.xxhash64(F.col(group), F.least("_b", "_o"), F.greatest("_b", "_o"))
+    return pair.withColumn("node", node).drop("_n", "_b", "_o", "c")
 
 
-def near_duplicate_links(docs: DataFrame, classes: DataFrame, percent: int = 75, max_depth: int = 16) -> DataFrame:
-    """Links (a, b) between classes that span every component of similar classes; see the module text."""
+def path_leaves(docs: DataFrame, classes: DataFrame, percent: int, least: float, max_depth: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Grow the trees: (rows (node, cid, n, signature) of small nodes, links to pivots found on the way)."""
     share = percent / 100
-    least = share - 3.5 * (share * (1 - share) / SIGNATURE) ** 0.5
     between = max(2 * share - 1, 0)
     far = between - 4 * (max(between * (1 - between), 0.05) / SIGNATURE) ** 0.5
     entered = classes.select("cid", F.posexplode("tokens").alias("i", "t")).select(F.xxhash64("i", "t").alias("node"), "cid")
-    shared = materialize(_sized(entered), "entered")
-    described = classes.select("cid", "n", "signature")
-    wanted = shared.select("cid").distinct()
-    rows = materialize(shared.join(described, "cid").select("node", "c", "cid", "n", "signature"), "nodes")
-    sets = materialize(full_sets(docs, materialize(wanted, "wanted")), "sets")
+    shared = _sized(entered)
+    rows = materialize(shared.join(classes.select("cid", "n", "signature"), "cid").select("node", "c", "cid", "n", "signature"), "nodes")
     small, links = [rows.filter(F.col("c") <= SMALL_NODE).select("node", "cid", "n", "signature")], []
     large = rows.filter(F.col("c") > SMALL_NODE)
     for depth in range(max_depth):
@@ -273,8 +339,8 @@ def near_duplicate_links(docs: DataFrame, classes: DataFrame, percent: int = 75,
         met = large.join(_small(materialize(pivots.select("node", "p.*"), "pivots")), "node")
         met = materialize(_estimates(met.select("node", "c", "cid", "n", "p_cid", "p_n", "signature", "p_signature")), "met")
         likely = met.filter((F.col("estimate") >= least) & (F.least("n", "p_n") >= share * F.greatest("n", "p_n")) & (F.col("cid") != F.col("p_cid")))
-        pairs = likely.select(F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b")).distinct()
-        found = materialize(confirm(pairs, sets, percent), "links")
+        pairs = materialize(likely.select(F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b")).distinct(), "star")
+        found = materialize(confirm(pairs, materialize(full_sets(docs, _ends(pairs)), "sets"), percent), "links")
         links.append(found)
         tied = found.select(F.col("a").alias("cid"), F.col("b").alias("p_cid")).unionByName(
             found.select(F.col("b").alias("cid"), F.col("a").alias("p_cid"))).withColumn("tied", F.lit(True))
@@ -288,21 +354,37 @@ def near_duplicate_links(docs: DataFrame, classes: DataFrame, percent: int = 75,
         small.append(child.filter(F.col("c") <= SMALL_NODE).select("node", "cid", "n", "signature"))
         large = child.filter(F.col("c") > SMALL_NODE)
     else:
-        small.append(_blocks(large))
+        small.append(_blocks(large, "node").select("node", "cid", "n", "signature"))
     leaves = small[0]
     for s in small[1:]:
         leaves = leaves.unionByName(s)
-    likely = compare_nodes(leaves.withColumn("label", F.col("cid")), share, least, across=False)
-    links.append(materialize(confirm(materialize(likely, "likely"), sets, percent), "links"))
+    return leaves, links
+
+
+def near_duplicate_links(docs: DataFrame, classes: DataFrame, percent: int = 75, max_depth: int = 16) -> DataFrame:
+    """Pairs (a, b) that connect every component of similar classes: stars of confirmed links, and what the
+    last comparison adds; see the module text."""
+    share = percent / 100
+    least = share - 3.5 * (share * (1 - share) / SIGNATURE) ** 0.5
+    leaves, links = path_leaves(docs, classes, percent, least, max_depth)
+    forest = materialize(candidate_forest(leaves, share, least), "forest")
+    clusters = components(forest).withColumnsRenamed({"v": "cid", "root": "cluster"})
+    sizes = materialize(clusters.groupBy("cluster").agg(F.count("*").alias("c")), "clusters")
+    sets = materialize(full_sets(docs, materialize(clusters.select("cid"), "ends")), "sets")
+    members = clusters.join(sizes, "cluster").join(classes.select("cid", "n", "signature"), "cid").join(sets.select("cid", "compact"), "cid")
+    rows = materialize(_blocks(members, "cluster"), "members")
+    # An id that repeats has several classes and sets: only the set that fits a class's size is its own.
+    rows = rows.filter(F.octet_length("compact") == F.when(F.col("n") <= SHORT, F.col("n") * 4).otherwise(F.col("n") * 8))
+    spanning = materialize(cluster_links(rows.withColumn("label", F.col("cid")), percent, least, every=False), "spanning")
+    links.append(materialize(confirm(spanning, sets, percent), "links"))
     known = links[0]
     for s in links[1:]:
         known = known.unionByName(s)
     roots = components(known)
-    labelled = leaves.join(roots, leaves["cid"] == roots["v"], "left").select(
-        "node", "cid", "n", "signature", F.coalesce("root", "cid").alias("label"))
-    rest = materialize(compare_nodes(labelled, share, least, across=True), "rest")
-    links.append(materialize(confirm(rest, sets, percent), "links"))
-    return known.unionByName(links[-1])
+    labelled = rows.join(roots, rows["cid"] == roots["v"], "left").withColumn("label", F.coalesce("root", "cid"))
+    rest = materialize(cluster_links(labelled, percent, least, every=True), "rest")
+    more = materialize(confirm(rest, sets, percent), "links")
+    return roots.filter("v != root").select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:

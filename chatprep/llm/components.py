@@ -12,10 +12,14 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(v, root) for every end of a link in ``links`` (a, b): root is the smallest end reachable.
 
     Each round moves every vertex's links to its smallest neighbour, so paths shrink to stars in a
-    logarithmic number of rounds. Only (vertex, smallest) pairs are kept: a hub of any degree is a
+    logarithmic number of rounds, and a round that changes nothing is the last. Only (vertex, smallest) pairs are kept: a hub of any degree is a
     partial minimum, and its links are dealt by their other ends."""
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
-    seen = None
+
+    def state(df: DataFrame):
+        return df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
+
+    seen = state(edges)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "low")
@@ -25,9 +29,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if seen == state:
+        now = state(edges)
+        if now == seen:
             break
-        seen = state
+        seen = now
     roots = edges.select("v").distinct().select("v", F.col("v").alias("root"))
     return materialize(edges.select(F.col("u").alias("v"), F.col("v").alias("root")).unionByName(roots).groupBy("v").agg(F.min("root").alias("root")), "roots")

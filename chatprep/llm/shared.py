@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +25,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def fold(key: Column) -> Column:
     """crc32 of the key as text, modulo 5; rows with remainder 0 are held out of all learning."""
     return F.coalesce(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5, F.lit(0))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str, handle: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Apply ``handle`` to runs of whole groups of a stream sorted by ``column`` (a long); only the last
+    group of a batch is held back, since it may go on in the next one."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        key = table.column(column).to_numpy()
+        whole = int(np.searchsorted(key, key[-1]))
+        held = table.slice(whole)
+        if whole:
+            yield handle(table.slice(0, whole).combine_chunks())
+    if held is not None:
+        yield handle(held.combine_chunks())

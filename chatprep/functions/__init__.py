@@ -1,6 +1,6 @@
 """Column -> Column functions."""
 
-from .json import STATUSES, is_valid_json, line_status, parsed_value, python_status, status_of_value
+from .json import STATUSES, is_valid_json, line_status, python_status, with_status
 from .text import (
     EOS_CANDIDATES,
     EXIT_WORDS,
@@ -16,7 +16,7 @@ from .text import (
 )
 
 __all__ = [
-    "STATUSES", "is_valid_json", "line_status", "parsed_value", "python_status", "status_of_value",
+    "STATUSES", "is_valid_json", "line_status", "python_status", "with_status",
     "EOS_CANDIDATES", "EXIT_WORDS", "bold_to_ansi", "classify_command", "clean_response",
     "cut_at_eos", "ensure_eos", "history_path", "is_blank", "preview", "py_strip",
 ]

@@ -6,16 +6,24 @@ element 1 (``1,2`` gives two elements, an empty line none); element 0 is then th
 the line class is read from it without parsing again. Python's ``json.loads`` also accepts the
 bare values ``NaN``, ``Infinity`` and ``-Infinity``; a line that fails and holds one of them is
 parsed once more with those bare values replaced by ``0`` (a number in the same place, so the
-structure is unchanged). Everything stays in the JVM; no Python worker is involved.
+structure is unchanged).
+
+The JVM parsers have limits that Python's has not (strings of about 20 million characters, numbers
+of 1000 digits, 1000 nested levels). Only a line longer than ``LIMIT_FREE_LENGTH`` can reach one of
+them; such a line, if the JVM refuses it, is checked by ``json.loads`` in an Arrow-batched function
+that gets NULL for every other line.
 """
 
 from __future__ import annotations
 
 import json as _json
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ..session import ensure_conf
 from .text import py_strip
 
 # Status classes of one line of chat JSONL.
@@ -26,6 +34,8 @@ STATUS_MISSING = "missing_messages"
 STATUS_NOT_LIST = "messages_not_list"
 STATUSES = [STATUS_OK, STATUS_INVALID_JSON, STATUS_NOT_OBJECT, STATUS_MISSING, STATUS_NOT_LIST]
 
+# Shorter texts cannot reach a limit of the JVM parsers.
+LIMIT_FREE_LENGTH = 900
 _NONFINITE = r"NaN|Infinity"
 # A bare NaN / Infinity / -Infinity value: not preceded or followed by anything but JSON
 # punctuation or white space (inside a string the replacement is harmless: a string stays a string).
@@ -58,7 +68,7 @@ def python_status(text: str | None) -> str | None:
         return None
     try:
         data = _json.loads(text)
-    except ValueError:
+    except (ValueError, RecursionError):
         return STATUS_INVALID_JSON
     if isinstance(data, dict):
         if "messages" not in data:
@@ -69,8 +79,27 @@ def python_status(text: str | None) -> str | None:
     return STATUS_NOT_OBJECT
 
 
+@F.pandas_udf(StringType())
+def _python_status(text: pd.Series) -> pd.Series:
+    return text.map(python_status, na_action="ignore")
+
+
+def _or_python(status: Column, text: Column) -> Column:
+    """``status``, or what ``json.loads`` says of a long text that the JVM parsers refused."""
+    refused = (status == STATUS_INVALID_JSON) & (F.length(text) > LIMIT_FREE_LENGTH)
+    return F.coalesce(_python_status(F.when(refused, text)), status)
+
+
+def _session() -> None:
+    """Apply the settings the parse needs to the session the expression will run in."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ensure_conf(spark)
+
+
 def _parsed(c: Column) -> Column:
-    """The value of the line as Python's json.loads reads it (VARIANT), NULL when it fails."""
+    """The value of the line as the JVM parsers read it (VARIANT), NULL when they fail."""
+    _session()
     direct = _single_value(c)
     patched = _single_value(F.regexp_replace(c, _NONFINITE_VALUE, "0"))
     return F.coalesce(direct, F.when(c.rlike(_NONFINITE), patched))
@@ -81,7 +110,8 @@ def is_valid_json(c, strip: bool = False) -> Column:
     c = _col(c)
     if strip:
         c = py_strip(c)
-    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(_parsed(c).isNotNull())
+    native = F.when(_parsed(c).isNotNull(), F.lit("valid")).otherwise(F.lit(STATUS_INVALID_JSON))
+    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(_or_python(native, c) != STATUS_INVALID_JSON)
 
 
 def _variant_status(v: Column) -> Column:
@@ -109,45 +139,29 @@ def _variant_status(v: Column) -> Column:
     )
 
 
-def with_parsed_value(df, line_col: str = "line", out: str = "_v", strip: bool = True):
-    """Add ``out``: the line's JSON value as VARIANT (NULL when ``json.loads`` would fail).
+def with_status(df, line_col: str = "line", out: str = "status", strip: bool = True):
+    """Add ``out``: the class of each JSONL line, ok / invalid_json / not_object / missing_messages /
+    messages_not_list (NULL for a NULL line). ``strip=True`` is the trainer's gate (it strips first).
 
-    The wrapped parse is its own projection, so each line is parsed once (the NaN/Infinity
-    re-parse only runs for lines that fail and contain one of those words)."""
+    The wrapped parse is its own projection, so each line is parsed once (the NaN/Infinity re-parse
+    only runs for lines that fail and contain one of those words)."""
+    ensure_conf(df.sparkSession)
     text = py_strip(_col(line_col)) if strip else _col(line_col)
     w = df.withColumn("_w", F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
     direct = F.when(F.try_variant_get("_w", "$[1]", "variant").isNull() & _closes_early_safe(text),
                     F.try_variant_get("_w", "$[0]", "variant"))
     patched = _single_value(F.regexp_replace(text, _NONFINITE_VALUE, "0"))
-    return w.withColumn(out, F.coalesce(direct, F.when(text.rlike(_NONFINITE), patched))).drop("_w")
-
-
-def parsed_value(c, strip: bool = True) -> Column:
-    """The line's JSON value as VARIANT (NULL when ``json.loads`` would fail)."""
-    c = _col(c)
-    return _parsed(py_strip(c) if strip else c)
-
-
-def status_of_value(v, text) -> Column:
-    """Line class from an already parsed value (``parsed_value``) and the line itself."""
-    v, text = _col(v), _col(text)
-    return (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(v.isNotNull(), _variant_status(v))
-        .otherwise(F.lit(STATUS_INVALID_JSON))
-    )
+    w = w.withColumn("_v", F.coalesce(direct, F.when(text.rlike(_NONFINITE), patched)))
+    native = F.when(F.col("_v").isNotNull(), _variant_status(F.col("_v"))).otherwise(F.lit(STATUS_INVALID_JSON))
+    w = w.withColumn("_n", F.when(_col(line_col).isNotNull(), native))
+    return w.withColumn(out, _or_python(F.col("_n"), text)).drop("_w", "_v", "_n")
 
 
 def line_status(c, strip: bool = True) -> Column:
-    """Class of one JSONL line: ok / invalid_json / not_object / missing_messages / messages_not_list.
-
-    ``strip=True`` is the trainer's gate (it strips each line first)."""
+    """The class of one JSONL line as an expression (see ``with_status``)."""
     c = _col(c)
     if strip:
         c = py_strip(c)
     v = _parsed(c)
-    return (
-        F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(v.isNotNull(), _variant_status(v))
-        .otherwise(F.lit(STATUS_INVALID_JSON))
-    )
+    native = F.when(v.isNotNull(), _variant_status(v)).otherwise(F.lit(STATUS_INVALID_JSON))
+    return F.when(c.isNotNull(), _or_python(native, c))

@@ -13,12 +13,12 @@ DEFAULT_EPOCHS = 3
 DEFAULT_SEED = 42
 
 
-def shuffle_key(seed: int, epoch, example_id) -> F.Column:
-    """Deterministic pseudo-random order key: md5 of ``seed:epoch:id``."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), example_id.cast("string")))
+def shuffle_key(seed: int, epoch, *example_id) -> F.Column:
+    """Deterministic pseudo-random order key: md5 of ``seed:epoch:id`` (several id columns joined alike)."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), *[c.cast("string") for c in example_id]))
 
 
-def plan_batches(examples: DataFrame, id_col: str = "example_id", batch_size: int = DEFAULT_BATCH_SIZE,
+def plan_batches(examples: DataFrame, id_col: str | list[str] = "example_id", batch_size: int = DEFAULT_BATCH_SIZE,
                  accumulation: int = DEFAULT_ACCUMULATION, epochs: int = DEFAULT_EPOCHS,
                  seed: int = DEFAULT_SEED, drop_last: bool = True) -> DataFrame:
     """``(epoch, example_id, position, batch, step)``: every example once per epoch, in a shuffled
@@ -28,14 +28,14 @@ def plan_batches(examples: DataFrame, id_col: str = "example_id", batch_size: in
     Epochs come from ``explode(sequence(...))`` (no join); the global position comes from
     range partitioning plus per-partition offsets (no single-task window). Only the narrow id
     frame is ranked; join the plan back to the examples on ``id_col`` when the features are needed."""
-    ids = examples.select(F.col(id_col).alias("example_id"))
-    per_epoch = ids.select(F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"), "example_id")
-    keyed = per_epoch.withColumn("_key", shuffle_key(seed, F.col("epoch"), F.col("example_id")))
-    ranked = global_row_number(keyed, ["_key", "example_id"], group_col="epoch", out="position")
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    per_epoch = examples.select(F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"), *ids)
+    keyed = per_epoch.withColumn("_key", shuffle_key(seed, F.col("epoch"), *[F.col(c) for c in ids]))
+    ranked = global_row_number(keyed, ["_key", *ids], group_col="epoch", out="position")
     n = ranked.groupBy("epoch").agg(F.count(F.lit(1)).alias("_n"))
     out = ranked.join(F.broadcast(n), "epoch")  # one row per epoch
     out = out.withColumn("batch", F.floor(F.col("position") / batch_size).cast("long")).withColumn(
         "step", F.floor(F.col("batch") / accumulation).cast("long"))
     if drop_last:
         out = out.filter(F.col("batch") < F.floor(F.col("_n") / batch_size))
-    return out.select("epoch", F.col("example_id").alias(id_col), "position", "batch", "step")
+    return out.select("epoch", *ids, "position", "batch", "step")

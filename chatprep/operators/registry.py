@@ -8,7 +8,7 @@ directory; per-directory flags are partial aggregates (``max`` of a boolean), ne
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values ----------------------------------------------------------------------------
@@ -21,6 +21,18 @@ SOURCE_PRIORITY = ["own", "base_model", "adapter"]
 # ---------------------------------------------------------------------------------------------
 
 
+def normal_path(path: Column | str, base: str | None = None) -> Column:
+    """One spelling per directory: no ``file:`` scheme, no ``.`` steps, single slashes, no slash at the
+    end; a relative path is taken below ``base`` if one is given. Other schemes are kept."""
+    p = F.col(path) if isinstance(path, str) else path
+    p = F.regexp_replace(p, r"^file:/+", "/")
+    if base is not None:
+        p = F.when(p.rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), p).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), p))
+    p = F.regexp_replace(p, r"(?<!:)/{2,}", "/")
+    p = F.regexp_replace(p, r"(?<=/)(\./)+|^(\./)+|/\.$", "")
+    return F.when(F.length(p) > 1, F.regexp_replace(p, "/+$", "")).otherwise(p)
+
+
 def valid_adapters(listing: DataFrame) -> DataFrame:
     """Per directory: ``is_adapter``, ``model_source`` (local / hub), ``n_files``, ``total_bytes``."""
     f = F.col("file")
@@ -44,17 +56,17 @@ def missing_artifacts(listing: DataFrame, required: list[str] | None = None,
 
 
 def resolve_artifact_source(listing: DataFrame, requests: DataFrame, model_configs: DataFrame | None = None,
-                            file: str = TOKENIZER_MODEL) -> DataFrame:
-    """For each request ``(out_dir, base_model, adapter_dir)``: the first of own dir, base model,
+                            file: str = TOKENIZER_MODEL, base: str | None = None) -> DataFrame:
+    """For each request ``(out_dir, base_model, adapter_dir)`` (paths compared by ``normal_path``): the first of own dir, base model,
     adapter dir that holds ``file`` (``source``, ``source_dir``; NULL if none). A local base
     model's name is taken from its ``config.json`` ``_name_or_path`` when present.
 
     ``model_configs``: ``(dir, content)`` with the text of each ``config.json``."""
     req = requests
     if model_configs is not None:
-        cfg = model_configs.select(F.col("dir").alias("base_model"),
+        cfg = model_configs.select(normal_path("dir", base).alias("_cfg"),
                                    F.get_json_object("content", "$._name_or_path").alias("_origin"))
-        req = req.join(cfg, "base_model", "left")
+        req = req.join(cfg, normal_path("base_model", base) == F.col("_cfg"), "left").drop("_cfg")
     else:
         req = req.withColumn("_origin", F.lit(None).cast("string"))
     origin = F.coalesce(F.col("_origin"), F.col("base_model"))
@@ -62,21 +74,23 @@ def resolve_artifact_source(listing: DataFrame, requests: DataFrame, model_confi
         "out_dir",
         F.posexplode(F.array(F.col("out_dir"), origin, F.col("adapter_dir"))).alias("_prio", "_dir"),
     )
-    have = listing.filter(F.col("file") == file).select(F.col("dir").alias("_dir")).distinct()
-    hits = cands.join(have, "_dir", "left_semi")
+    cands = cands.withColumn("_at", normal_path("_dir", base))
+    have = listing.filter(F.col("file") == file).select(normal_path("dir", base).alias("_at")).distinct()
+    hits = cands.join(have, "_at", "left_semi")
     best = hits.groupBy("out_dir").agg(F.min("_prio").alias("_prio"), F.min_by("_dir", "_prio").alias("source_dir"))
     names = F.array(*[F.lit(s) for s in SOURCE_PRIORITY])
     return req.drop("_origin").join(best, "out_dir", "left").withColumn(
         "source", F.when(F.col("_prio").isNotNull(), F.element_at(names, F.col("_prio") + 1))).drop("_prio")
 
 
-def run_lineage(merges: DataFrame, trainings: DataFrame) -> DataFrame:
+def run_lineage(merges: DataFrame, trainings: DataFrame, base: str | None = None) -> DataFrame:
     """Merge manifests with the training manifest of their adapter nested as ``training_info``
-    (NULL when the adapter has none)."""
+    (NULL when the adapter has none). The adapter's path and the manifest's directory are compared by
+    ``normal_path``, relative ones below ``base`` if it is given."""
     fields = [c for c in trainings.columns if c not in ("dir", "path")]
-    t = trainings.select(F.col("dir").alias("lora_adapter"), F.struct(*fields).alias("_ti"))
+    t = trainings.select(normal_path("dir", base).alias("_at"), F.struct(*fields).alias("_ti"))
     m = merges.drop("training_info") if "training_info" in merges.columns else merges
-    return m.join(t, "lora_adapter", "left").withColumnRenamed("_ti", "training_info")
+    return m.join(t, normal_path("lora_adapter", base) == F.col("_at"), "left").drop("_at").withColumnRenamed("_ti", "training_info")
 
 
 def adapter_config_scan(configs: DataFrame) -> DataFrame:

@@ -7,13 +7,11 @@ failed). The loop's rules: exit/quit/終了 end the session, clear resets it to
 history/save/blank lines change nothing, a message adds the user turn and, if generation worked,
 the cleaned assistant turn (a failed generation removes the user turn again).
 
-Scale: the final state of a session only needs two numbers per session (first exit, last clear
-before it), found with partial (map-side) aggregates; no window is partitioned by session, so
-a session holding a large share of all events is never buffered in one task. The per-session
-table is joined back to the events as a broadcast when its measured size allows (the events are
-then not shuffled at all), otherwise by a shuffle join that AQE splits on hot sessions.
-Snapshot counts use ``running_sums`` (one pass for clears and messages), whose windows see one
-(session, block) at a time.
+Scale: everything comes from one numbering of the log (``session_steps``): running counts of exits,
+clears and answered messages per session, by range partitions of (session, seq), so a session that holds a
+large share of all events is spread over many tasks. Reports per session are partial aggregates over
+it; outputs that need the texts join them back by (session, seq), a key without hot values. No join or
+window is dealt by session alone, except the fold of one conversation into one record.
 """
 
 from __future__ import annotations
@@ -24,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.text import classify_command, clean_response, history_path, preview, py_strip
 from .messages import FALLBACK_SYSTEM_PROMPT, message
 from .ranking import checked_broadcast, running_sums
+from .validate import should_save
 
 LOG_COLUMNS = ["sid", "seq", "ts", "text", "response"]
 
@@ -32,124 +31,179 @@ def _with_cmd(log: DataFrame) -> DataFrame:
     return log.withColumn("cmd", classify_command("text"))
 
 
-def _first_exits(x: DataFrame) -> DataFrame:
-    """Per session: ``first_exit_seq``, ``first_seq``, ``n_events`` (measured, then broadcast if small)."""
-    return checked_broadcast(x.groupBy("sid").agg(
+def session_steps(log: DataFrame) -> DataFrame:
+    """The log without its texts, numbered: ``(sid, seq, ts, cmd, answered, exits_before, clears, answers)``.
+
+    ``exits_before`` counts the exits before the event (0: the session is live), ``clears`` and ``answers``
+    the clears and the answered messages up to and including it. The result is pinned: reports read
+    it more than once."""
+    x = _with_cmd(log)
+    answered = (F.col("cmd") == "message") & F.col("response").isNotNull()
+    narrow = x.select("sid", "seq", "ts", "cmd", F.coalesce(answered, F.lit(False)).alias("answered"))
+    is_exit = (F.col("cmd") == "exit").cast("long")
+    steps = running_sums(narrow, ["sid"], "seq", {
+        "_exits": is_exit, "clears": (F.col("cmd") == "clear").cast("long"), "answers": F.col("answered").cast("long")})
+    steps = steps.withColumn("exits_before", F.col("_exits") - F.coalesce(is_exit, F.lit(0))).drop("_exits")
+    return steps.checkpoint(eager=True)
+
+
+def _live() -> Column:
+    return F.col("exits_before") == 0
+
+
+def session_bounds(log: DataFrame, steps: DataFrame | None = None) -> DataFrame:
+    """Per session: ``first_exit_seq`` (NULL if never exited), ``last_clear_seq`` (last clear before that
+    exit), ``n_clears`` and ``n_answers`` before it, ``n_answers_cleared`` (those up to the last clear),
+    ``first_seq``, ``n_events``, ``start_ts``, ``end_ts`` (last event up to and including the exit)."""
+    steps = session_steps(log) if steps is None else steps
+    live_clear = _live() & (F.col("cmd") == "clear")
+    return steps.groupBy("sid").agg(
         F.min(F.when(F.col("cmd") == "exit", F.col("seq"))).alias("first_exit_seq"),
+        F.max(F.when(live_clear, F.col("seq"))).alias("last_clear_seq"),
+        F.coalesce(F.max(F.when(_live(), F.col("clears"))), F.lit(0)).alias("n_clears"),
+        F.coalesce(F.max(F.when(_live(), F.col("answers"))), F.lit(0)).alias("n_answers"),
+        F.coalesce(F.max(F.when(live_clear, F.col("answers"))), F.lit(0)).alias("n_answers_cleared"),
         F.min("seq").alias("first_seq"),
         F.count(F.lit(1)).alias("n_events"),
-    ))
+        F.min("ts").alias("start_ts"),
+        F.max(F.when(_live(), F.col("ts"))).alias("end_ts"),
+    )
 
 
-def session_bounds(log: DataFrame) -> DataFrame:
-    """Per session: ``first_exit_seq`` (NULL if never exited), ``last_clear_seq`` (last clear
-    before that exit), ``first_seq``, ``n_events``."""
-    x = _with_cmd(log)
-    first = _first_exits(x)
-    active = x.join(first.select("sid", "first_exit_seq"), "sid").filter(_before_exit())
-    clears = active.groupBy("sid").agg(F.max(F.when(F.col("cmd") == "clear", F.col("seq"))).alias("last_clear_seq"))
-    return checked_broadcast(first.join(clears, "sid", "left"))
+def _message_pairs(kept: DataFrame, extra_eos: str | None, *more: str) -> DataFrame:
+    """The two messages of every answered event: ``(more..., sid, seq, part, role, content)``."""
+    pair = F.array(
+        F.struct(F.lit(0).alias("part"), F.lit("user").alias("role"), F.col("text").alias("content")),
+        F.struct(F.lit(1).alias("part"), F.lit("assistant").alias("role"),
+                 clean_response(py_strip("response"), extra_eos).alias("content")),  # decoded text is stripped first
+    )
+    return kept.select(*more, "sid", "seq", F.inline(pair))
 
 
-def _before_exit(inclusive: bool = False) -> Column:
-    s, e = F.col("seq"), F.col("first_exit_seq")
-    return e.isNull() | ((s <= e) if inclusive else (s < e))
+def _final_steps(steps: DataFrame) -> DataFrame:
+    """(sid, seq) of the answered messages of every session's final conversation: live, and with no live
+    clear after them. Clears that follow are counted from the far end, again by range partitions."""
+    live = steps.filter(_live()).select("sid", "seq", "answered", (-F.col("seq")).alias("_back"), (F.col("cmd") == "clear").cast("long").alias("_clear"))
+    after = running_sums(live, ["sid"], "_back", {"_after": F.col("_clear")})
+    return after.filter(F.col("answered") & (F.col("_after") == 0)).select("sid", "seq")
 
 
-def replay_messages(log: DataFrame, extra_eos: str | None = None) -> DataFrame:
+def replay_messages(log: DataFrame, extra_eos: str | None = None, steps: DataFrame | None = None) -> DataFrame:
     """The final conversation of every session in long form (system prompt not included):
     ``(sid, seq, part, role, content)``, ``part`` 0 = user turn, 1 = assistant turn."""
-    b = session_bounds(log).select("sid", "first_exit_seq", "last_clear_seq")
-    x = _with_cmd(log).join(b, "sid")
-    kept = x.filter(
-        (F.col("cmd") == "message") & F.col("response").isNotNull() & _before_exit()
-        & (F.col("last_clear_seq").isNull() | (F.col("seq") > F.col("last_clear_seq")))
-    )
-    pair = F.array(
-        F.struct(F.lit(0).alias("part"), F.lit("user").alias("role"), F.col("text").alias("content")),
-        F.struct(F.lit(1).alias("part"), F.lit("assistant").alias("role"),
-                 clean_response(py_strip("response"), extra_eos).alias("content")),  # decoded text is stripped first
-    )
-    return kept.select("sid", "seq", F.inline(pair))
+    final = _final_steps(session_steps(log) if steps is None else steps)
+    return _message_pairs(log.join(final, ["sid", "seq"], "left_semi"), extra_eos)
 
 
-def replay_sessions(log: DataFrame) -> DataFrame:
+def replay_sessions(log: DataFrame, steps: DataFrame | None = None) -> DataFrame:
     """One row per session: ``total_messages`` (non-system messages of the final conversation),
     ``ended_by_exit``, ``first_exit_seq``, ``last_clear_seq``, ``n_events``, ``start_ts``,
     ``end_ts`` (last event up to and including the exit)."""
-    b = session_bounds(log)
-    x = _with_cmd(log).join(b.select("sid", "first_exit_seq", "last_clear_seq"), "sid")
-    ok_msg = (
-        (F.col("cmd") == "message") & F.col("response").isNotNull() & _before_exit()
-        & (F.col("last_clear_seq").isNull() | (F.col("seq") > F.col("last_clear_seq")))
-    )
-    per = x.groupBy("sid").agg(
-        (F.count_if(ok_msg) * 2).alias("total_messages"),
-        F.min("ts").alias("start_ts"),
-        F.max(F.when(_before_exit(inclusive=True), F.col("ts"))).alias("end_ts"),
-    )
-    return b.join(per, "sid").select(
-        "sid", "total_messages", F.col("first_exit_seq").isNotNull().alias("ended_by_exit"),
+    b = session_bounds(log, steps)
+    return b.select(
+        "sid", ((F.col("n_answers") - F.col("n_answers_cleared")) * 2).alias("total_messages"),
+        F.col("first_exit_seq").isNotNull().alias("ended_by_exit"),
         "first_exit_seq", "last_clear_seq", "n_events", "start_ts", "end_ts")
 
 
+def _seconds() -> Column:
+    return F.expr("timestampdiff(MICROSECOND, start_ts, end_ts)") / F.lit(1e6)
+
+
 def session_duration(log: DataFrame) -> DataFrame:
-    """``(sid, session_duration)``: seconds from the first event to the last one up to the exit."""
-    s = replay_sessions(log)
-    return s.select("sid", (F.expr("timestampdiff(MICROSECOND, start_ts, end_ts)") / F.lit(1e6)).alias("session_duration"))
+    """``(sid, session_duration)``: seconds from the first event to the last one up to the exit. Two
+    partial aggregates and one join of per-session rows; the log is not numbered for it."""
+    x = _with_cmd(log).select("sid", "seq", "ts", "cmd")
+    exits = x.filter(F.col("cmd") == "exit").groupBy("sid").agg(F.min("seq").alias("first_exit_seq"))
+    spans = x.join(checked_broadcast(exits), "sid", "left").groupBy("sid").agg(
+        F.min("ts").alias("start_ts"),
+        F.max(F.when(F.col("first_exit_seq").isNull() | (F.col("seq") <= F.col("first_exit_seq")), F.col("ts"))).alias("end_ts"))
+    return spans.select("sid", _seconds().alias("session_duration"))
+
+
+def _fold(msgs: DataFrame, keys: list[str], system_prompt: str | Column) -> DataFrame:
+    """``(keys, messages)``: one row per group, the system prompt first."""
+    p = F.lit(system_prompt) if isinstance(system_prompt, str) else system_prompt
+    ordered = F.array_sort(F.collect_list(F.when(F.col("role").isNotNull(), F.struct("seq", "part", "role", "content"))))
+    folded = msgs.groupBy(*keys).agg(ordered.alias("_m"))
+    return folded.select(*keys, F.concat(F.array(message("system", p)), F.transform("_m", lambda m: message(m["role"], m["content"]))).alias("messages"))
 
 
 def replay_conversations(log: DataFrame, system_prompt: str | Column = FALLBACK_SYSTEM_PROMPT,
-                         extra_eos: str | None = None) -> DataFrame:
+                         extra_eos: str | None = None, steps: DataFrame | None = None) -> DataFrame:
     """``(sid, messages)``: the system prompt followed by the final conversation (a session that
     exited at once still gets a row with only the system prompt). This folds one session into one
     row, which is what a history record is; use ``replay_messages`` to stay in long form."""
-    msgs = replay_messages(log, extra_eos)
-    folded = msgs.groupBy("sid").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "part", "role", "content"))).alias("_m"))
-    sids = log.select("sid").distinct()
-    p = F.lit(system_prompt) if isinstance(system_prompt, str) else system_prompt
-    return sids.join(folded, "sid", "left").select(
-        "sid",
-        F.concat(F.array(message("system", p)),
-                 F.transform(F.coalesce(F.col("_m"), F.array().cast("array<struct<seq:long,part:int,role:string,content:string>>")),
-                             lambda m: message(m["role"], m["content"]))).alias("messages"),
-    )
+    steps = session_steps(log) if steps is None else steps
+    sids = steps.select("sid").distinct().select("sid", F.lit(None).cast(log.schema["seq"].dataType).alias("seq"),
+                                                 F.lit(None).cast("int").alias("part"), F.lit(None).cast("string").alias("role"),
+                                                 F.lit(None).cast("string").alias("content"))
+    return _fold(replay_messages(log, extra_eos, steps).unionByName(sids), ["sid"], system_prompt)
 
 
-def session_snapshots(log: DataFrame, block_size: int = 4096) -> DataFrame:
+def session_snapshots(log: DataFrame, steps: DataFrame | None = None) -> DataFrame:
     """One row per ``save`` before the exit: ``(sid, save_seq, segment, total_messages, ts)``,
     where ``segment`` counts the clears before the save and ``total_messages`` the non-system
-    messages the saved conversation holds. The snapshot's messages are the rows of
-    ``replay_messages``-style events of the same session and segment with ``seq < save_seq``."""
-    x = _with_cmd(log)
-    x = x.join(_first_exits(x).select("sid", "first_exit_seq"), "sid").filter(_before_exit())
-    x = x.filter(F.col("cmd").isin("clear", "save", "message"))
-    # only narrow columns go through the running-sum shuffle
-    x = x.select("sid", "seq", "ts", "cmd", ((F.col("cmd") == "message") & F.col("response").isNotNull()).alias("_okf"))
-    is_clear = (F.col("cmd") == "clear").cast("long")
-    is_ok = F.col("_okf").cast("long")
-    # one pass: clears so far (= segment) and successful messages so far, per session
-    x = running_sums(x, ["sid"], "seq", {"segment": is_clear, "_ok_cum": is_ok}, block_size=block_size)
+    messages the saved conversation holds (``snapshot_messages`` gives the messages themselves)."""
+    steps = (session_steps(log) if steps is None else steps).filter(_live())
     # messages of the current segment = count now - count at the clear that opened the segment
-    opened = x.filter(F.col("cmd") == "clear").select("sid", "segment", F.col("_ok_cum").alias("_ok_at_clear"))
-    saves = x.filter(F.col("cmd") == "save").join(opened, ["sid", "segment"], "left")
-    msgs = F.col("_ok_cum") - F.coalesce(F.col("_ok_at_clear"), F.lit(0))
+    opened = steps.filter(F.col("cmd") == "clear").select("sid", F.col("clears").alias("segment"), F.col("answers").alias("_at_clear"))
+    saves = steps.filter(F.col("cmd") == "save").withColumnRenamed("clears", "segment").join(opened, ["sid", "segment"], "left")
+    msgs = F.col("answers") - F.coalesce(F.col("_at_clear"), F.lit(0))
     return saves.select("sid", F.col("seq").alias("save_seq"), "segment", (msgs * 2).alias("total_messages"), "ts")
 
 
+def snapshot_messages(log: DataFrame, extra_eos: str | None = None, steps: DataFrame | None = None) -> DataFrame:
+    """The saved conversation of every ``save`` in long form, system prompt not included:
+    ``(sid, save_seq, seq, part, role, content)``. A save holds all messages of its segment before it, so
+    the output has as many rows as the saved files have messages."""
+    steps = session_steps(log) if steps is None else steps
+    live = steps.filter(_live())
+    saves = live.filter(F.col("cmd") == "save").select("sid", F.col("clears").alias("segment"), F.col("seq").alias("save_seq"))
+    said = live.filter("answered").select("sid", F.col("clears").alias("segment"), "seq")
+    held = saves.join(said, ["sid", "segment"]).filter("seq < save_seq").select("sid", "seq", "save_seq")
+    return _message_pairs(log.join(held, ["sid", "seq"]), extra_eos, "save_seq")
+
+
+def final_records(log: DataFrame, system_prompt: str | Column = FALLBACK_SYSTEM_PROMPT, base: str = "history",
+                  requested: str | None = None, steps: DataFrame | None = None) -> DataFrame:
+    """What every session writes when it ends, by an exit or not: ``(sid, messages, start_ts, end_ts, path)``.
+
+    Only sessions worth saving have a row: more than the system prompt, or a path asked for. The path
+    asked for is the value of the log's ``requested`` column at the session's first event."""
+    steps = session_steps(log) if steps is None else steps
+    convs = replay_conversations(log, system_prompt, steps=steps)
+    bounds = session_bounds(log, steps).select("sid", "start_ts", "end_ts")
+    convs = convs.join(bounds, "sid")
+    if requested is None:
+        convs = convs.withColumn("requested", F.lit(None).cast("string"))
+    else:
+        asked = log.groupBy("sid").agg(F.min_by(requested, "seq").alias("requested"))
+        convs = convs.join(asked, "sid")
+    kept = should_save(convs, requested="requested")
+    return kept.select("sid", "messages", "start_ts", "end_ts", history_path("requested", "end_ts", base).alias("path"))
+
+
 def append_responses(convs: DataFrame, responses: DataFrame, key: str = "conv_id", messages: str = "messages",
-                     response: str = "response") -> DataFrame:
-    """Each conversation ends with a pending user message. A response appends the assistant
-    message; no response (NULL or no row) removes the pending user message."""
-    r = responses.select(key, F.col(response).alias("_resp"))
-    m = F.col(messages)
-    joined = convs.join(r, key, "left")
-    return joined.withColumn(
-        messages,
-        F.when(F.col("_resp").isNotNull(), F.concat(m, F.array(message("assistant", F.col("_resp")))))
-        .otherwise(F.slice(m, 1, F.greatest(F.size(m) - 1, F.lit(0)))),
-    ).drop("_resp")
+                     response: str = "response", turn: str | None = None) -> DataFrame:
+    """Answer the conversations that wait for one: those that end in a user message.
+
+    A response appends the assistant message; none (NULL or no row) removes the waiting user message, as a
+    failed generation does. Conversations that do not end in a user message stay as they are. With ``turn``
+    a response belongs to the message at that place (from 0) and is used only if that message is the
+    waiting one. Two responses for one place are an error."""
+    m, n = F.col(messages), F.size(messages)
+    place = [key] + ([turn] if turn else [])
+    r = responses.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"), F.first(response).alias("_resp"))
+    on = F.col("c." + key) == F.col("r." + key)
+    if turn:
+        on = on & (F.size(F.col("c." + messages)) - 1 == F.col("r." + turn))
+    joined = convs.alias("c").join(r.alias("r"), on, "left").select("c.*", "_rows", "_resp")
+    waits = (n > 0) & F.coalesce(F.element_at(m, -1).getField("role") == "user", F.lit(False))
+    twice = F.raise_error(F.concat(F.lit("more than one response for "), F.col(key).cast("string")))
+    answered = F.when(F.col("_resp").isNotNull(), F.concat(m, F.array(message("assistant", F.col("_resp"))))).otherwise(
+        F.slice(m, 1, F.greatest(n - 1, F.lit(0))))
+    return joined.withColumn(messages, F.when(~waits, m).when(F.col("_rows") > 1, twice.cast(convs.schema[messages].dataType)).otherwise(answered)).drop("_rows", "_resp")
 
 
 def iso_timestamp(ts) -> Column:

@@ -16,8 +16,7 @@ from ..functions.json import (
     STATUS_NOT_OBJECT,
     STATUS_OK,
     is_valid_json,
-    status_of_value,
-    with_parsed_value,
+    with_status,
 )
 from ..functions.text import py_strip
 from .ranking import position_in_group
@@ -38,10 +37,10 @@ CHAT_ROLES = ["system", "user", "assistant"]
 # ---------------------------------------------------------------------------------------------
 
 ERROR_MESSAGES = {
-    STATUS_INVALID_JSON: "has invalid JSON",
-    STATUS_NOT_OBJECT: "is not a JSON object",
-    STATUS_MISSING: "missing 'messages' field",
-    STATUS_NOT_LIST: "'messages' is not a list",
+    STATUS_INVALID_JSON: "cannot be parsed as one JSON value",
+    STATUS_NOT_OBJECT: "holds a JSON value that is no object",
+    STATUS_MISSING: "has no messages key",
+    STATUS_NOT_LIST: "has a messages value that is no list",
 }
 
 REPAIR_RULES = [
@@ -60,17 +59,26 @@ REPAIR_RULES = [
 
 
 def classify_lines(lines: DataFrame, line_col: str = "line", strip: bool = True) -> DataFrame:
-    """Add ``status`` (ok / invalid_json / not_object / missing_messages / messages_not_list).
+    """Add ``status`` (ok / invalid_json / not_object / missing_messages / messages_not_list)."""
+    return with_status(lines, line_col, "status", strip=strip)
 
-    The line is parsed once, in its own projection; the class is then read from that value."""
-    parsed = with_parsed_value(lines, line_col, "_v", strip=strip)
-    return parsed.withColumn("status", status_of_value("_v", line_col)).drop("_v")
+
+def _with_empty_files(report: DataFrame, by: list[str], files: DataFrame | None, passed: str = "passed") -> DataFrame:
+    """Add a row of zero counts (which passes) for every group of ``files`` without a line."""
+    if files is None:
+        return report
+    rest = files.select(*by).distinct().join(report.select(*by), by, "left_anti")
+    zeros = [F.lit(0).cast("long").alias(c) for c in report.columns if c not in by and report.schema[c].dataType.typeName() == "long"]
+    return report.unionByName(rest.select(*by, *zeros, F.lit(True).alias(passed)), allowMissingColumns=True)
 
 
 def validation_report(lines: DataFrame, max_error_rate: float = MAX_ERROR_RATE,
-                      by: list[str] | None = None, line_col: str = "line") -> DataFrame:
+                      by: list[str] | None = None, line_col: str = "line", files: DataFrame | None = None) -> DataFrame:
     """Per file: line and error counts, counts per class, undecodable lines and ``passed``.
 
+    ``files`` (a listing with the ``by`` columns, see ``sources.list_input_files``) adds a row for every
+    file without lines; such a file has an unknown error rate and passes.
+
     ``passed`` is false when ``error_count > line_count * max_error_rate`` (double arithmetic,
     as in Python: exactly 10 % bad still passes) or when any line is not valid UTF-8."""
     by = by if by is not None else ["file"]
@@ -85,35 +93,46 @@ def validation_report(lines: DataFrame, max_error_rate: float = MAX_ERROR_RATE,
         F.count_if(st == STATUS_NOT_LIST).alias("messages_not_list"),
         F.count_if(~F.is_valid_utf8(F.col(line_col))).alias("invalid_utf8"),
     )
-    return agg.withColumn("error_rate", F.round(F.col("error_count") / F.col("line_count"), 6)).withColumn(
+    report = agg.withColumn("error_rate", F.round(F.col("error_count") / F.col("line_count"), 6)).withColumn(
         "passed",
         ~(F.col("error_count") > F.col("line_count") * F.lit(float(max_error_rate))) & (F.col("invalid_utf8") == 0),
     )
+    return _with_empty_files(report, by, files)
+
+
+NAMED_FAILURES = 20  # failed files that the error names; it counts all of them
 
 
 def require_valid(report: DataFrame) -> DataFrame:
-    """Raise ``ValueError`` when any file of the report failed (the report is one row per file)."""
-    failed = report.filter(~F.col("passed")).select("file", "error_count", "line_count", "invalid_utf8").take(1)
-    if failed:
-        r = failed[0]
-        if r["invalid_utf8"]:
-            raise ValueError(f"{r['file']}: {r['invalid_utf8']} lines are not valid UTF-8")
-        raise ValueError(f"Too many errors in dataset {r['file']}: {r['error_count']}/{r['line_count']}")
-    return report
-
-
-def first_invalid_line(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The standalone checker: per file, the first line that is not valid JSON (unstripped, as the
+    """Raise ``ValueError`` when any file of the report failed (the report is one row per file).
+
+    The error counts all failed files and names the first ``NAMED_FAILURES`` of them by path."""
+    bad = report.filter(~F.col("passed")).select("file", "error_count", "line_count", "invalid_utf8")
+    named = bad.orderBy("file").limit(NAMED_FAILURES + 1).collect()
+    if not named:
+        return report
+    parts = [f"{r['file']}: {r['invalid_utf8']} lines are not valid UTF-8" if r["invalid_utf8"]
+             else f"{r['file']}: {r['error_count']} of {r['line_count']} lines are bad" for r in named[:NAMED_FAILURES]]
+    total = bad.count() if len(named) > NAMED_FAILURES else len(named)
+    raise ValueError(f"{total} file(s) refused: " + "; ".join(parts) + ("; ..." if total > len(parts) else ""))
+
+
+def first_invalid_line(lines: DataFrame, by: list[str] | None = None, files: DataFrame | None = None) -> DataFrame:
+    """The standalone checker (``files`` as in ``validation_report``): per file, the first line that is not valid JSON (unstripped, as the
     checker reads it), its stripped content, and how many lines were checked (up to and including
     that line, or all)."""
     by = by if by is not None else ["file"]
-    bad = ~is_valid_json("line", strip=False)
-    bad_no = F.when(bad, F.col("line_no"))
-    return lines.groupBy(*by).agg(
+    checked = lines.withColumn("_bad", ~is_valid_json("line", strip=False))
+    bad_no = F.when(F.col("_bad"), F.col("line_no"))
+    report = checked.groupBy(*by).agg(
         F.coalesce(F.min(bad_no), F.count(F.lit(1))).alias("lines_checked"),
         F.min(bad_no).alias("first_bad_line"),
-        F.min_by(F.when(bad, py_strip("line")), bad_no).alias("first_bad_content"),
+        F.min_by(F.when(F.col("_bad"), py_strip("line")), bad_no).alias("first_bad_content"),
     )
+    if files is None:
+        return report
+    rest = files.select(*by).distinct().join(report.select(*by), by, "left_anti")
+    return report.unionByName(rest.withColumn("lines_checked", F.lit(0).cast("long")), allowMissingColumns=True)
 
 
 def error_report(lines: DataFrame) -> DataFrame:
@@ -130,13 +149,14 @@ def error_report(lines: DataFrame) -> DataFrame:
     )
 
 
-def encoding_report(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
+def encoding_report(lines: DataFrame, by: list[str] | None = None, files: DataFrame | None = None) -> DataFrame:
     """Per file: lines that are not valid UTF-8 (a strict UTF-8 reader would reject the file)."""
     by = by if by is not None else ["file"]
-    return lines.groupBy(*by).agg(
+    report = lines.groupBy(*by).agg(
         F.count(F.lit(1)).alias("line_count"),
         F.count_if(~F.is_valid_utf8("line")).alias("invalid_utf8_lines"),
     ).withColumn("passed", F.col("invalid_utf8_lines") == 0)
+    return _with_empty_files(report, by, files)
 
 
 def dataset_statistics(turns: DataFrame, key: str = "conv_id", role: str = "role", text: str = "text") -> DataFrame:
@@ -199,7 +219,7 @@ def chat_format_report_turns(turns: DataFrame, key: str = "conv_id", order: str
 
     Positions come from ``position_in_group`` (exact, block-wise); every rule is then a per-row
     flag combined by a partial (map-side) aggregate, so a conversation holding a large share of
-    all turns is never gathered in one place. Alternation is checked for both possible starts
+    all turns is never gathered in one place. A null key is one conversation, a null order comes first. Alternation is checked for both possible starts
     (with and without a leading system message) and the right one is picked per conversation."""
     r, p = F.col(role), F.col("_pos")
     # only whether the text is NULL matters: keep the shuffled rows narrow
@@ -219,10 +239,10 @@ def chat_format_report_turns(turns: DataFrame, key: str = "conv_id", order: str
         F.max((p == 0) & F.coalesce(r == "system", F.lit(False))).alias("_lead"),
         F.max(off(0)).alias("_off0"),
         F.max(off(1)).alias("_off1"),
-        F.max_by(r, F.col(order)).alias("_last"),
+        F.max_by(F.struct(r.alias("r")), F.col("_pos")).alias("_l"),
     )
     not_alt = F.when(F.col("_lead"), F.col("_off1")).otherwise(F.col("_off0"))
-    no_final = ~F.coalesce(F.col("_last") == "assistant", F.lit(False))
+    no_final = ~F.coalesce(F.col("_l.r") == "assistant", F.lit(False))
     codes = F.array(
         F.when(F.coalesce(F.col("bad_role"), F.lit(False)), F.lit("bad_role")),
         F.when(F.coalesce(F.col("sys_late"), F.lit(False)), F.lit("system_not_first")),

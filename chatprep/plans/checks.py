@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.json import is_valid_json
 from ..functions.text import (
-    PY_WHITESPACE_CLASS,
     bold_to_ansi,
     classify_command,
     clean_response,
@@ -24,15 +23,13 @@ from ..functions.text import (
     py_strip,
 )
 from ..operators import batches, messages, registry, sessions, tokens, validate
-from ..operators.tokens import TOKEN_PATTERN
-from ..session import ensure_conf, table
+from ..session import table
 from . import fixtures
-from .training import examples_from_texts, rendered_texts, training_examples
+from .training import rendered_texts, training_examples, training_examples_from_lines
 
 # Parameters of the registered checks (fixed; not tuned to the data).
-CHECK_VOCAB_SIZE = 5000
 CHECK_MAX_LENGTH = 512
-VOCAB_BOUND = CHECK_VOCAB_SIZE + 4  # rows of a vocabulary built with CHECK_VOCAB_SIZE (specials included)
+CHECK_TOP_TOKENS = 1000  # of the top-k vocabulary query
 PROMPT_CATALOG = [
     ("default", "You are a helpful assistant. Answer carefully."),
     ("assistant", "You are a capable assistant."),
@@ -56,12 +53,10 @@ def _ids(c):
 # ------------------------------------------------------------------------------------------
 
 def _lines(spark, d):
-    ensure_conf(spark)
     return fixtures.chat_lines(spark, d).select("file", "line_no", "line")
 
 
 def _unnumbered_lines(spark, d):
-    ensure_conf(spark)
     return fixtures.chat_lines(spark, d, numbered=False).select("file", "line")
 
 
@@ -74,7 +69,7 @@ def _texts(spark, d):
 
 
 def _vocab(spark, d):
-    return tokens.build_vocabulary(_texts(spark, d), "text", CHECK_VOCAB_SIZE)
+    return tokens.build_vocabulary(_texts(spark, d), "text")
 
 
 def _log(spark, d):
@@ -110,7 +105,7 @@ def q_error_report(spark, d):
 
 
 def q_encoding_report(spark, d):
-    return validate.encoding_report(_unnumbered_lines(spark, d))
+    return validate.encoding_report(fixtures.undecodable_lines(spark, d))
 
 
 def q_dataset_statistics(spark, d):
@@ -124,14 +119,14 @@ def q_turn_count_histogram(spark, d):
 
 
 def q_chat_format_report(spark, d):
-    r = validate.chat_format_report(_convs(spark, d))
+    r = validate.chat_format_report(messages.fold_messages(fixtures.dirty_turns(spark, d)))
     return r.select("conv_id", F.array_join("violations", ",").alias("violations"), "n_violations", "is_valid")
 
 
 def q_repair_suggestions(spark, d):
     bad_lines = validate.classify_lines(_lines(spark, d)).filter(F.col("status") != "ok").select(
         F.lit("line").alias("source"), F.col("line_no").alias("item"), F.col("status").alias("code"))
-    bad_convs = validate.chat_format_report(_convs(spark, d)).select(
+    bad_convs = validate.chat_format_report(messages.fold_messages(fixtures.dirty_turns(spark, d))).select(
         F.lit("conversation").alias("source"), F.col("conv_id").alias("item"), F.explode("violations").alias("code"))
     return validate.repair_suggestions(bad_lines.unionByName(bad_convs), "code").select("source", "item", "code", "suggestion")
 
@@ -141,18 +136,33 @@ def q_dataset_readiness(spark, d):
 
 
 def q_recommend_config(spark, d):
-    counts = table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n_examples"))
-    return validate.recommend_config(counts)
+    counts = table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("lang", "n", F.explode(F.array(*[F.lit(k) for k in (1, 10, 100)])).alias("k"))
+    return validate.recommend_config(counts.select("lang", (F.col("n") * F.col("k")).cast("long").alias("n_examples")))
+
+
+def _texts_with_gaps(spark, d):
+    """The rendered texts, empty where the id is a multiple of 7, else missing where it is one of 11."""
+    i, t = F.col("example_id"), F.col("text")
+    return _texts(spark, d).select(i, F.when(i % 7 == 0, F.lit("")).when(i % 11 == 0, F.lit(None).cast("string")).otherwise(t).alias("text"))
 
 
 def q_drop_invalid_examples(spark, d):
+    ids = tokens.encode_tokens(_texts_with_gaps(spark, d), _vocab(spark, d), max_length=CHECK_MAX_LENGTH)
+    return validate.drop_invalid_examples(ids, "token_ids").select("example_id", F.size("token_ids").alias("n_tokens"))
+
+
+def q_training_examples_from_lines(spark, d):
+    ex = training_examples_from_lines(_lines(spark, d), max_length=CHECK_MAX_LENGTH)
+    return ex.select("file", "line_no", "n_tokens", _ids("input_ids").alias("input_ids"),
+                     _ids("attention_mask").alias("attention_mask"), _ids("labels").alias("labels"))
+
+
+def q_parse_chat_lines(spark, d):
     from ..sources.jsonl import parse_chat_lines
 
-    convs = parse_chat_lines(_lines(spark, d))
-    texts = rendered_texts(convs, "line_no")
-    vocab = _vocab(spark, d)
-    ex = examples_from_texts(texts, vocab, CHECK_MAX_LENGTH, vocab_bound=VOCAB_BOUND)
-    return ex.select("example_id", "n_tokens")
+    r = parse_chat_lines(_lines(spark, d))
+    return r.select("file", "line_no", F.size("messages").alias("n_messages"), _json("messages").alias("messages"))
 
 
 def q_should_save(spark, d):
@@ -195,22 +205,28 @@ def q_render_chat(spark, d):
 
 
 def q_ensure_eos(spark, d):
-    c = _convs(spark, d)
-    return c.select("conv_id", ensure_eos(messages.render_chat("messages"), tokens.EOS_TOKEN).alias("text"))
+    r = _convs(spark, d).select("conv_id", messages.render_chat("messages").alias("r"))
+    # every fifth text already ends with the token
+    r = r.withColumn("r", F.when(F.col("conv_id") % 5 == 0, F.concat("r", F.lit(tokens.EOS_TOKEN))).otherwise(F.col("r")))
+    return r.select("conv_id", ensure_eos("r", tokens.EOS_TOKEN).alias("text"))
 
 
 def q_build_vocabulary(spark, d):
     return _vocab(spark, d)
 
 
+def q_build_vocabulary_top(spark, d):
+    return tokens.build_vocabulary(_texts(spark, d), "text", max_size=CHECK_TOP_TOKENS)
+
+
 def q_encode_tokens(spark, d):
-    ids = tokens.encode_tokens(_texts(spark, d), _vocab(spark, d), max_length=None, vocab_bound=VOCAB_BOUND)
+    ids = tokens.encode_tokens(_texts(spark, d), _vocab(spark, d), max_length=None)
     return ids.select("example_id", F.size("token_ids").alias("n_tokens"), _ids("token_ids").alias("token_ids"))
 
 
 def q_training_examples(spark, d):
-    # as users call it: the vocabulary is built inside, from the corpus messages
-    ex = training_examples(table(spark, d, "conversations"), max_length=CHECK_MAX_LENGTH, max_vocab=CHECK_VOCAB_SIZE)
+    # as users call it: the vocabulary is built inside, from the examples' own tokens
+    ex = training_examples(table(spark, d, "conversations"), max_length=CHECK_MAX_LENGTH)
     return ex.select("example_id", "n_tokens", _ids("input_ids").alias("input_ids"),
                      _ids("attention_mask").alias("attention_mask"), _ids("labels").alias("labels"))
 
@@ -222,7 +238,7 @@ def q_plan_batches(spark, d):
 
 def q_resolve_special_ids(spark, d):
     resp = fixtures.raw_responses(spark, d).select(F.col("response").alias("text"))
-    vocab = tokens.build_vocabulary(resp, "text", CHECK_VOCAB_SIZE)
+    vocab = tokens.build_vocabulary(resp, "text")
     r = tokens.resolve_special_ids(vocab)
     return r.select(_ids("eos_ids").alias("eos_ids"), "pad_id")
 
@@ -240,19 +256,19 @@ def q_clean_response(spark, d):
 
 
 def q_py_strip(spark, d):
-    r = fixtures.raw_responses(spark, d)
+    r = fixtures.spaced_texts(spark, d)
     return r.select("doc_id", py_strip("response").alias("text"), F.length(py_strip("response")).cast("long").alias("n_chars"))
 
 
 def q_append_responses(spark, d):
-    conv = table(spark, d, "conversations")
-    last = conv.groupBy("conv_id").agg(F.max_by("role", "turn").alias("last_role"))
-    pending = _convs(spark, d).join(last.filter(F.col("last_role") == "user"), "conv_id", "left_semi")
-    # generation failed (NULL response) for every fourth document, by rule
-    resp = fixtures.raw_responses(spark, d).select(
-        F.col("doc_id").alias("conv_id"),
-        F.when(F.col("doc_id") % 4 != 0, clean_response("response")).alias("response"))
-    out = sessions.append_responses(pending, resp)
+    convs = _convs(spark, d)
+    # one response per conversation, by rule: generation failed (NULL) for every fourth, and every
+    # fifth belongs to an earlier turn than the last
+    last = table(spark, d, "conversations").groupBy("conv_id").agg((F.count(F.lit(1)) - 1).alias("_last"))
+    resp = fixtures.raw_responses(spark, d).join(last, F.col("doc_id") == F.col("conv_id")).select(
+        "conv_id", F.when(F.col("doc_id") % 4 != 0, clean_response("response")).alias("response"),
+        (F.col("_last") - F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).alias("turn"))
+    out = sessions.append_responses(convs, resp, turn="turn")
     return out.select("conv_id", F.size("messages").alias("n_messages"), _json("messages").alias("messages"))
 
 
@@ -287,6 +303,15 @@ def q_session_snapshots(spark, d):
     return sessions.session_snapshots(_log(spark, d)).select("sid", "save_seq", "segment", "total_messages")
 
 
+def q_snapshot_messages(spark, d):
+    return sessions.snapshot_messages(_log(spark, d))
+
+
+def q_final_records(spark, d):
+    r = sessions.final_records(_log(spark, d), requested="requested")
+    return r.select("sid", F.size("messages").alias("n_messages"), "path")
+
+
 def q_session_duration(spark, d):
     return sessions.session_duration(_log(spark, d))
 
@@ -316,6 +341,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_readiness": q_dataset_readiness,
     "recommend_config": q_recommend_config,
     "drop_invalid_examples": q_drop_invalid_examples,
+    "parse_chat_lines": q_parse_chat_lines,
+    "training_examples_from_lines": q_training_examples_from_lines,
     "should_save": q_should_save,
     "fold_messages": q_fold_messages,
     "explode_messages": q_explode_messages,
@@ -324,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "render_chat": q_render_chat,
     "ensure_eos": q_ensure_eos,
     "build_vocabulary": q_build_vocabulary,
+    "build_vocabulary_top": q_build_vocabulary_top,
     "encode_tokens": q_encode_tokens,
     "training_examples": q_training_examples,
     "plan_batches": q_plan_batches,
@@ -340,6 +368,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_sessions": q_replay_sessions,
     "replay_messages": q_replay_messages,
     "session_snapshots": q_session_snapshots,
+    "snapshot_messages": q_snapshot_messages,
+    "final_records": q_final_records,
     "session_duration": q_session_duration,
     "history_path": q_history_path,
 }
@@ -349,7 +379,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # oracle SQL (DuckDB)
 # ------------------------------------------------------------------------------------------
 
-WS = PY_WHITESPACE_CLASS
+# Fixed values, written out here so that a wrong constant in the library turns a row red.
+WS = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+      r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+TOKEN_SQL = r"<[^<>\x{9}-\x{D} ]+>|[^<\x{9}-\x{D} ]+|<"
+EOS = "<eos>"
+SPECIALS_SQL = ["<pad>", "<unk>", "<bos>", "<eos>"]
+EOS_SQL = ["<end_of_turn>", "<|im_end|>", "</s>", "<|endoftext|>"]
+PLAIN_SQL = {"system": ("", ""), "user": ("\n\nUser: ", ""), "assistant": ("\n\nAssistant: ", "")}
+PLAIN_GENERATION_SQL = "\n\nAssistant:"
+CHATML_SQL = {r: (f"<|im_start|>{r}\n", "<|im_end|>\n") for r in ("system", "user", "assistant")}
+FALLBACK = "あなたは親切で知識豊富なAIアシスタントです。ユーザーの質問に丁寧に答えてください。"
+BANDS_SQL = [("small", 0, 1000, 8, 16, 0.1, 1e-4), ("medium", 1000, 10001, 16, 32, 0.05, 5e-5), ("large", 10001, None, 32, 64, 0.05, 2e-5)]
+MESSAGES_SQL = {
+    "invalid_json": "cannot be parsed as one JSON value", "not_object": "holds a JSON value that is no object",
+    "missing_messages": "has no messages key", "messages_not_list": "has a messages value that is no list"}
 STRIP = f"'^{WS}+|{WS}+\\z'"
 NL2 = "chr(10) || chr(10)"
 ESC = "chr(27)"
@@ -373,7 +417,12 @@ lines AS (
            WHEN 5 THEN '{"msgs":' || substring(l, 13)
            WHEN 7 THEN '{"messages":"x"}'
            WHEN 9 THEN l || ' x'
-           ELSE l END AS line,
+           ELSE CASE conv_id % 20
+             WHEN 6 THEN '123'
+             WHEN 16 THEN chr(12288) || l
+             WHEN 11 THEN '{"messages":[],"a":1,"a":2}'
+             WHEN 1 THEN l || chr(133)
+             ELSE l END END AS line,
          conv_id
   FROM clean_lines)"""
 
@@ -411,9 +460,7 @@ def _render_sql(m: str, roles: dict, gen: str | None = None) -> str:
     return f"(CASE WHEN {m} IS NULL OR {bad} THEN NULL ELSE {body} END)"
 
 
-PLAIN = messages.PLAIN_TEMPLATE
-RENDER = _render_sql("m", PLAIN["roles"])
-EOS = tokens.EOS_TOKEN
+RENDER = _render_sql("m", PLAIN_SQL)
 
 TEXTS = FOLD + f""",
 rendered AS (SELECT conv_id AS example_id, {RENDER} AS r FROM conv),
@@ -421,20 +468,23 @@ texts AS (SELECT example_id,
     CASE WHEN r IS NULL THEN NULL WHEN ends_with(r, '{EOS}') THEN r ELSE r || '{EOS}' END AS text
   FROM rendered)"""
 
-SPECIALS = " UNION ALL ".join(f"SELECT '{t}' AS token, {i}::INTEGER AS token_id" for i, t in enumerate(tokens.SPECIAL_TOKENS))
-SPECIAL_LIST = ", ".join(f"'{t}'" for t in tokens.SPECIAL_TOKENS)
+SPECIALS = " UNION ALL ".join(f"SELECT '{t}' AS token, {i}::INTEGER AS token_id" for i, t in enumerate(SPECIALS_SQL))
+SPECIAL_LIST = ", ".join(f"'{t}'" for t in SPECIALS_SQL)
 
 
-def _vocab_sql(texts: str, size: int) -> str:
+def _vocab_sql(texts: str, size: int | None = None, max_len: int | None = None) -> str:
+    """All tokens of the texts; the ``size`` most frequent; or those of the first ``max_len`` of each text."""
+    cut = f"[1:{max_len}]" if max_len else ""
+    top = f"LIMIT {size}" if size else ""
     return f"""tok_counts AS (
   SELECT token, count(*) AS n FROM (
-    SELECT unnest(regexp_extract_all(text, '{TOKEN_PATTERN}')) AS token FROM {texts} WHERE text IS NOT NULL)
+    SELECT unnest(regexp_extract_all(text, '{TOKEN_SQL}'){cut}) AS token FROM {texts} WHERE text IS NOT NULL)
   WHERE token NOT IN ({SPECIAL_LIST}) GROUP BY token),
-top_tokens AS (SELECT token, n FROM tok_counts ORDER BY n DESC, token LIMIT {size}),
+top_tokens AS (SELECT token, n FROM tok_counts ORDER BY n DESC, token {top}),
 vocab AS (
   {SPECIALS}
   UNION ALL
-  SELECT token, (row_number() OVER (ORDER BY n DESC, token) + {len(tokens.SPECIAL_TOKENS) - 1})::INTEGER AS token_id
+  SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 3)::INTEGER AS token_id
   FROM top_tokens)"""
 
 
@@ -443,9 +493,9 @@ def _encode_sql(texts: str, max_len: int | None) -> str:
     return f"""exploded AS (
   SELECT example_id, token, pos FROM (
     SELECT example_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos
-    FROM (SELECT example_id, regexp_extract_all(text, '{TOKEN_PATTERN}') AS t FROM {texts} WHERE text IS NOT NULL)) {cut}),
+    FROM (SELECT example_id, regexp_extract_all(text, '{TOKEN_SQL}') AS t FROM {texts} WHERE text IS NOT NULL)) {cut}),
 encoded AS (
-  SELECT e.example_id, list(coalesce(v.token_id, {tokens.UNK_ID}) ORDER BY e.pos) AS ids
+  SELECT e.example_id, list(coalesce(v.token_id, 1) ORDER BY e.pos) AS ids
   FROM exploded e LEFT JOIN vocab v ON e.token = v.token GROUP BY e.example_id)"""
 
 
@@ -487,17 +537,11 @@ final_msgs AS (
 
 def _eos_cut_sql(x: str) -> str:
     parts = []
-    for e in tokens_eos_list():
+    for e in EOS_SQL:
         parts.append(f"WHEN contains({x}, '{e}') THEN {_strip(f'split_part({x}, {chr(39)}{e}{chr(39)}, 1)')}")
     return f"(CASE {' '.join(parts)} ELSE {x} END)"
 
 
-def tokens_eos_list():
-    from ..functions.text import EOS_CANDIDATES
-
-    return EOS_CANDIDATES
-
-
 def _bold_sql(x: str) -> str:
     return f"regexp_replace({x}, '\\*\\*([^\\n]*?)\\*\\*', {ESC} || '[1m\\1' || {ESC} || '[0m', 'g')"
 
@@ -514,7 +558,16 @@ RESPONSES = """responses AS (
       ELSE text END AS response
   FROM documents)"""
 
-FALLBACK = messages.FALLBACK_SYSTEM_PROMPT
+SPACED = """responses AS (
+  SELECT doc_id,
+    CASE doc_id % 6
+      WHEN 1 THEN chr(12288) || text || chr(8232)
+      WHEN 2 THEN chr(9) || chr(133) || text || chr(28)
+      WHEN 3 THEN chr(160) || chr(8287) || text
+      WHEN 4 THEN chr(65279) || text || chr(10)
+      WHEN 5 THEN ' ' || chr(8195) || chr(5760) || ' '
+      ELSE text END AS response
+  FROM documents)"""
 
 
 def _iso(ts: str) -> str:
@@ -549,9 +602,18 @@ def _requests_sql() -> str:
             f"FROM (SELECT DISTINCT conv_id FROM conversations))")
 
 
+DIRTY_FOLD = """dturns AS (
+  SELECT conv_id, turn,
+    CASE WHEN conv_id % 9 = 1 AND turn = 1 THEN 'tool' WHEN conv_id % 9 = 2 AND turn = 2 THEN 'system'
+         WHEN conv_id % 9 = 4 AND turn % 2 = 1 THEN 'user' ELSE role END AS role,
+    CASE WHEN conv_id % 9 = 3 AND turn = 0 THEN NULL ELSE text END AS text
+  FROM conversations),
+dconv AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS m FROM dturns GROUP BY conv_id)"""
+
+
 def _chat_format_sql() -> str:
-    return FOLD + """,
-g AS (SELECT conv_id, m, CASE WHEN len(m) > 0 AND m[1].role = 'system' THEN 1 ELSE 0 END AS lead FROM conv),
+    return DIRTY_FOLD + """,
+g AS (SELECT conv_id, m, CASE WHEN len(m) > 0 AND m[1].role = 'system' THEN 1 ELSE 0 END AS lead FROM dconv),
 v AS (SELECT conv_id, list_filter([
     CASE WHEN len(m) = 0 THEN 'empty' END,
     CASE WHEN len(list_filter(m, lambda x: x.role IS NULL OR x.role NOT IN ('system', 'user', 'assistant'))) > 0 THEN 'bad_role' END,
@@ -570,13 +632,13 @@ def _rules_sql() -> str:
 
 def _bands_sql() -> str:
     rows = []
-    for i, (name, lo, hi, r, a, dr, lr) in enumerate(validate.SIZE_BANDS):
+    for i, (name, lo, hi, r, a, dr, lr) in enumerate(BANDS_SQL):
         rows.append(f"SELECT '{name}' AS band, {lo} AS lo, {('NULL' if hi is None else hi)} AS hi, {r}::INTEGER AS lora_r, "
                     f"{a}::INTEGER AS lora_alpha, {dr}::DOUBLE AS lora_dropout, {lr}::DOUBLE AS learning_rate")
     return "bands AS (" + " UNION ALL ".join(rows) + ")"
 
 
-ERRMSG = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in validate.ERROR_MESSAGES.items())
+ERRMSG = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in MESSAGES_SQL.items())
 
 
 def _snapshots_sql() -> str:
@@ -640,7 +702,8 @@ FROM lines GROUP BY file""",
 SELECT file, line_no, status, 'Line ' || CAST(line_no AS VARCHAR) || ' ' || (CASE status {ERRMSG} END) AS message, line
 FROM classified WHERE status <> 'ok'""",
     "encoding_report": "WITH " + CHAT_LINES + """
-SELECT file, count(*) AS line_count, CAST(0 AS BIGINT) AS invalid_utf8_lines, true AS passed FROM lines GROUP BY file""",
+SELECT file, count(*) AS line_count, count(*) FILTER (WHERE conv_id % 6 = 1) AS invalid_utf8_lines,
+  count(*) FILTER (WHERE conv_id % 6 = 1) = 0 AS passed FROM lines GROUP BY file""",
     "dataset_statistics": """
 SELECT role, count(*) AS n_messages, count(DISTINCT conv_id) AS n_conversations,
   CAST(sum(length(text)) AS BIGINT) AS total_chars, round(avg(length(text)), 6) AS avg_chars,
@@ -652,7 +715,7 @@ GROUP BY n_turns""",
     "chat_format_report": "WITH " + _chat_format_sql() + """
 SELECT conv_id, array_to_string(violations, ',') AS violations, CAST(len(violations) AS INTEGER) AS n_violations,
   len(violations) = 0 AS is_valid FROM v""",
-    "repair_suggestions": "WITH " + CHAT_LINES + ", " + STATUS + ", " + _chat_format_sql().replace(FOLD + ",", "", 1)
+    "repair_suggestions": "WITH " + CHAT_LINES + ", " + STATUS + ", " + _chat_format_sql()
     + ", " + _rules_sql() + """,
 errs AS (
   SELECT 'line' AS source, line_no AS item, status AS code FROM classified WHERE status <> 'ok'
@@ -664,17 +727,26 @@ SELECT d.lang, count(*) AS n_examples, count(l.quality) AS n_labeled, round(avg(
   CASE WHEN count(*) >= 400 THEN 'ready' WHEN count(*) >= 200 THEN 'ready_if_high_quality' ELSE 'too_small' END AS readiness
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
     "recommend_config": "WITH " + _bands_sql() + """,
-counts AS (SELECT lang, count(*) AS n_examples FROM documents GROUP BY lang)
+counts AS (SELECT lang, CAST(n * k AS BIGINT) AS n_examples FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang), (VALUES (1), (10), (100)) f(k))
 SELECT c.lang, c.n_examples, b.band, b.lora_r, b.lora_alpha, b.lora_dropout, b.learning_rate
 FROM counts c LEFT JOIN bands b ON c.n_examples >= b.lo AND (b.hi IS NULL OR c.n_examples < b.hi)""",
-    "drop_invalid_examples": "WITH " + CHAT_LINES + ", " + STATUS + f""",
-okc AS (SELECT line_no AS example_id, CAST(json_extract(line, '$.messages') AS STRUCT(role VARCHAR, content VARCHAR)[]) AS m
-  FROM classified WHERE status = 'ok'),
-rendered2 AS (SELECT example_id, {RENDER} AS r FROM okc),
+    "parse_chat_lines": "WITH " + CHAT_LINES + ", " + STATUS + """,
+okc AS (SELECT file, line_no, CAST(json_extract(s, '$.messages') AS STRUCT(role VARCHAR, content VARCHAR)[]) AS m FROM classified JOIN status_lines USING (file, line_no) WHERE status = 'ok')
+SELECT file, line_no, CAST(len(m) AS INTEGER) AS n_messages, CAST(to_json(m) AS VARCHAR) AS messages FROM okc""",
+    "training_examples_from_lines": "WITH " + CHAT_LINES + ", " + STATUS + f""",
+okc AS (SELECT file, line_no, CAST(json_extract(s, '$.messages') AS STRUCT(role VARCHAR, content VARCHAR)[]) AS m FROM classified JOIN status_lines USING (file, line_no) WHERE status = 'ok'),
+rendered2 AS (SELECT line_no AS example_id, {RENDER} AS r FROM okc),
 texts2 AS (SELECT example_id, CASE WHEN r IS NULL THEN NULL WHEN ends_with(r, '{EOS}') THEN r ELSE r || '{EOS}' END AS text FROM rendered2),
-{TEXTS.replace(FOLD + ',', '', 1)},
-{_vocab_sql('texts', CHECK_VOCAB_SIZE)},
+{_vocab_sql('texts2', None, CHECK_MAX_LENGTH)},
 {_encode_sql('texts2', CHECK_MAX_LENGTH)}
+SELECT 'conversations.jsonl' AS file, example_id AS line_no, CAST(len(ids) AS INTEGER) AS n_tokens,
+  {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS input_ids,
+  {_mask_sql('ids', CHECK_MAX_LENGTH)} AS attention_mask,
+  {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS labels
+FROM encoded WHERE len(ids) > 0""",
+    "drop_invalid_examples": "WITH " + TEXTS + ", " + _vocab_sql("texts") + f""",
+gaps AS (SELECT example_id, CASE WHEN example_id % 7 = 0 THEN '' WHEN example_id % 11 = 0 THEN NULL ELSE text END AS text FROM texts),
+{_encode_sql('gaps', CHECK_MAX_LENGTH)}
 SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens FROM encoded WHERE len(ids) > 0""",
     "should_save": "WITH " + _replay_conv_sql() + """
 SELECT sid, CAST(len(m) AS INTEGER) AS n_messages FROM rconv WHERE len(m) > 1""",
@@ -691,21 +763,24 @@ SELECT r.conv_id, r.prompt_name,
   coalesce(c.prompt, (SELECT prompt FROM catalog WHERE name = 'default'), '""" + FALLBACK + """') AS system_prompt
 FROM requests r LEFT JOIN catalog c ON r.prompt_name = c.name""",
     "render_chat": "WITH " + FOLD + f"""
-SELECT conv_id, {RENDER} AS text, {_render_sql('m', PLAIN['roles'], PLAIN['generation_prompt'])} AS prompt,
-  {_render_sql('m', messages.CHATML_TEMPLATE['roles'])} AS chatml FROM conv""",
+SELECT conv_id, {RENDER} AS text, {_render_sql('m', PLAIN_SQL, PLAIN_GENERATION_SQL)} AS prompt,
+  {_render_sql('m', CHATML_SQL)} AS chatml FROM conv""",
     "ensure_eos": "WITH " + FOLD + f""",
-r AS (SELECT conv_id, {RENDER} AS r FROM conv)
+r0 AS (SELECT conv_id, {RENDER} AS r FROM conv),
+r AS (SELECT conv_id, CASE WHEN conv_id % 5 = 0 THEN r || '{EOS}' ELSE r END AS r FROM r0)
 SELECT conv_id, CASE WHEN ends_with(r, '{EOS}') THEN r ELSE r || '{EOS}' END AS text FROM r""",
-    "build_vocabulary": "WITH " + TEXTS + ", " + _vocab_sql("texts", CHECK_VOCAB_SIZE) + """
+    "build_vocabulary": "WITH " + TEXTS + ", " + _vocab_sql("texts") + """
+SELECT token, token_id FROM vocab""",
+    "build_vocabulary_top": "WITH " + TEXTS + ", " + _vocab_sql("texts", CHECK_TOP_TOKENS) + """
 SELECT token, token_id FROM vocab""",
-    "encode_tokens": "WITH " + TEXTS + ", " + _vocab_sql("texts", CHECK_VOCAB_SIZE) + ", " + _encode_sql("texts", None) + f"""
+    "encode_tokens": "WITH " + TEXTS + ", " + _vocab_sql("texts") + ", " + _encode_sql("texts", None) + f"""
 SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens, {_ids_sql('ids')} AS token_ids FROM encoded""",
-    "training_examples": "WITH " + TEXTS + ", " + _vocab_sql("texts", CHECK_VOCAB_SIZE) + ", "
+    "training_examples": "WITH " + TEXTS + ", " + _vocab_sql("texts", None, CHECK_MAX_LENGTH) + ", "
     + _encode_sql("texts", CHECK_MAX_LENGTH) + f"""
 SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens,
-  {_pad_sql('ids', CHECK_MAX_LENGTH, tokens.PAD_ID)} AS input_ids,
+  {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS input_ids,
   {_mask_sql('ids', CHECK_MAX_LENGTH)} AS attention_mask,
-  {_pad_sql('ids', CHECK_MAX_LENGTH, tokens.PAD_ID)} AS labels
+  {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS labels
 FROM encoded WHERE len(ids) > 0""",
     "plan_batches": f"""WITH ex AS (SELECT DISTINCT conv_id AS example_id FROM conversations),
 ep AS (SELECT CAST(e.epoch AS INTEGER) AS epoch, x.example_id FROM ex x, range({batches.DEFAULT_EPOCHS}) e(epoch)),
@@ -716,7 +791,7 @@ SELECT epoch, example_id, position, position // {batches.DEFAULT_BATCH_SIZE} AS
   position // {batches.DEFAULT_BATCH_SIZE} // {batches.DEFAULT_ACCUMULATION} AS step
 FROM ranked WHERE position // {batches.DEFAULT_BATCH_SIZE} < n // {batches.DEFAULT_BATCH_SIZE}""",
     "resolve_special_ids": "WITH " + RESPONSES + ", rtexts AS (SELECT response AS text FROM responses), "
-    + _vocab_sql("rtexts", CHECK_VOCAB_SIZE) + """,
+    + _vocab_sql("rtexts") + """,
 cands AS (SELECT * FROM (VALUES (0, '<eos>'), (1, '<end_of_turn>'), (2, '<|im_end|>'), (3, '</s>'), (4, '<|endoftext|>')) t(pos, token)),
 hits AS (SELECT v.token_id, min(c.pos) AS pos FROM cands c JOIN vocab v USING (token) WHERE v.token_id <> 1 GROUP BY v.token_id),
 eos AS (SELECT list(token_id ORDER BY pos) AS ids FROM hits)
@@ -728,15 +803,16 @@ SELECT doc_id, {_eos_cut_sql('response')} AS text FROM responses""",
 SELECT doc_id, {_bold_sql('response')} AS text FROM responses""",
     "clean_response": "WITH " + RESPONSES + f"""
 SELECT doc_id, {_bold_sql(_eos_cut_sql('response'))} AS text FROM responses""",
-    "py_strip": "WITH " + RESPONSES + f"""
+    "py_strip": "WITH " + SPACED + f"""
 SELECT doc_id, {_strip('response')} AS text, CAST(length({_strip('response')}) AS BIGINT) AS n_chars FROM responses""",
     "append_responses": "WITH " + FOLD + ", " + RESPONSES + f""",
-last AS (SELECT conv_id, arg_max(role, turn) AS last_role FROM conversations GROUP BY conv_id),
-pending AS (SELECT c.* FROM conv c JOIN last l USING (conv_id) WHERE l.last_role = 'user'),
-resp AS (SELECT doc_id AS conv_id, CASE WHEN doc_id % 4 <> 0 THEN {_bold_sql(_eos_cut_sql('response'))} END AS response FROM responses),
-out AS (SELECT p.conv_id, CASE WHEN r.response IS NOT NULL THEN list_concat(p.m, [{{'role': 'assistant', 'content': r.response}}])
+resp AS (SELECT c.conv_id, CASE WHEN doc_id % 4 <> 0 THEN {_bold_sql(_eos_cut_sql('response'))} END AS response,
+    len(c.m) - 1 - CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS turn FROM responses JOIN conv c ON doc_id = c.conv_id),
+out AS (SELECT p.conv_id, CASE
+    WHEN p.m[len(p.m)].role <> 'user' THEN p.m
+    WHEN r.response IS NOT NULL THEN list_concat(p.m, [{{'role': 'assistant', 'content': r.response}}])
     ELSE p.m[1:len(p.m) - 1] END AS m
-  FROM pending p LEFT JOIN resp r USING (conv_id))
+  FROM conv p LEFT JOIN resp r ON p.conv_id = r.conv_id AND r.turn = len(p.m) - 1)
 SELECT conv_id, CAST(len(m) AS INTEGER) AS n_messages, CAST(to_json(m) AS VARCHAR) AS messages FROM out""",
     "conversation_record": "WITH " + _replay_conv_sql() + f"""
 SELECT r.sid, {_iso('s.end_ts')} AS timestamp,
@@ -757,6 +833,18 @@ UNION ALL
 SELECT sid, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql(_strip('response')))} AS content FROM final_msgs""",
     "session_snapshots": "WITH " + _snapshots_sql() + """
 SELECT sid, save_seq, segment, total_messages FROM snaps""",
+    "snapshot_messages": "WITH " + _snapshots_sql() + f""",
+held AS (SELECT s.sid, s.save_seq, a.seq, a.text, a.response FROM snaps s JOIN act2 a ON a.sid = s.sid AND a.segment = s.segment
+  AND a.seq < s.save_seq WHERE a.cmd = 'message' AND a.response IS NOT NULL)
+SELECT sid, save_seq, seq, 0 AS part, 'user' AS role, text AS content FROM held
+UNION ALL
+SELECT sid, save_seq, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql(_strip('response')))} AS content FROM held""",
+    "final_records": "WITH " + _replay_conv_sql() + """,
+asked AS (SELECT sid, arg_min_null(requested, seq) AS requested FROM log GROUP BY sid)
+SELECT r.sid, CAST(len(r.m) AS INTEGER) AS n_messages,
+  CASE WHEN a.requested IS NULL OR a.requested = '' THEN 'history/chat_' || strftime(s.end_ts, '%Y%m%d_%H%M%S') || '.json'
+       WHEN starts_with(a.requested, '/') THEN a.requested ELSE 'history/' || a.requested END AS path
+FROM rconv r JOIN summary s USING (sid) JOIN asked a USING (sid) WHERE len(r.m) > 1 OR coalesce(a.requested, '') <> ''""",
     "session_duration": "WITH " + LOG + """,
 ends AS (SELECT c.sid, min(c.ts) AS t0, max(c.ts) FILTER (WHERE b.first_exit_seq IS NULL OR c.seq <= b.first_exit_seq) AS t1
   FROM cmds c JOIN bounds b USING (sid) GROUP BY c.sid)
@@ -809,7 +897,6 @@ QUERIES.update({
 })
 
 _FILES = ", ".join(f"'{f}'" for f in fixtures.ARTIFACT_FILES)
-_MODS = ", ".join(f"'{m}'" for m in fixtures.TARGET_MODULES)
 LISTING = f"""listing AS (
   SELECT 'runs/r' || CAST(p_partkey // 7 AS VARCHAR) AS dir, ([{_FILES}])[p_partkey % 9 + 1] AS file,
     CAST(p_size AS BIGINT) * 1000 + p_partkey AS length, p_partkey, p_size, p_retailprice, p_brand
@@ -850,7 +937,7 @@ SELECT m.dir, m.base_model, m.lora_adapter, t.dir IS NOT NULL AS has_training, t
 FROM merges m LEFT JOIN trains t ON t.dir = m.lora_adapter""",
     "adapter_config_scan": "WITH " + LISTING + f""",
 cfg AS (SELECT dir, CAST(8 * (p_size % 4 + 1) AS INTEGER) AS r, p_size FROM listing WHERE file = 'adapter_config.json'),
-x AS (SELECT dir, r, CAST(2 * r AS INTEGER) AS alpha, ([{_MODS}])[1:p_size % 7] AS mods FROM cfg)
+x AS (SELECT dir, r, CAST(2 * r AS INTEGER) AS alpha, list_transform(range(1, p_size % 7 + 1), lambda i: 'module_' || CAST(i AS VARCHAR)) AS mods FROM cfg)
 SELECT dir, r, alpha, alpha / r AS scale,
   unnest(CASE WHEN len(mods) = 0 THEN [NULL]::VARCHAR[] ELSE mods END) AS module FROM x""",
 })
@@ -860,7 +947,7 @@ SELECT dir, r, alpha, alpha / r AS scale,
 # per-example Python hook
 # ------------------------------------------------------------------------------------------
 
-PY_TOKEN_PATTERN = r"<[^<>\t\n\x0b\x0c\r ]+>|[^<\t\n\x0b\x0c\r ]+|<"  # TOKEN_PATTERN in Python syntax
+PY_TOKEN_PATTERN = r"<[^<>\t\n\x0b\x0c\r ]+>|[^<\t\n\x0b\x0c\r ]+|<"  # the token pattern in Python syntax
 ASSISTANT_MARK = "\n\nAssistant: "
 
 
@@ -885,13 +972,13 @@ def q_map_examples(spark, d):
 
 QUERIES["map_examples"] = q_map_examples
 ORACLE_SQL["map_examples"] = "WITH " + TEXTS + f"""
-SELECT example_id, CAST(len(regexp_extract_all(text, '{TOKEN_PATTERN}')) AS INTEGER) AS n_tokens,
-  regexp_extract_all(text, '{TOKEN_PATTERN}')[1] AS first_token
+SELECT example_id, CAST(len(regexp_extract_all(text, '{TOKEN_SQL}')) AS INTEGER) AS n_tokens,
+  regexp_extract_all(text, '{TOKEN_SQL}')[1] AS first_token
 FROM texts WHERE contains(text, chr(10) || chr(10) || 'Assistant: ')"""
 
 
 def q_chat_format_report_turns(spark, d):
-    r = validate.chat_format_report_turns(table(spark, d, "conversations"))
+    r = validate.chat_format_report_turns(fixtures.dirty_turns(spark, d))
     return r.select("conv_id", F.array_join("violations", ",").alias("violations"), "n_violations", "is_valid")
 
 
@@ -920,29 +1007,26 @@ SELECT r.sid, {_iso('s.end_ts')} AS timestamp,
 FROM rconv r JOIN summary s USING (sid) WHERE len(r.m) > 1"""
 
 
-# C9 / C10 on their own, with a length that cuts most conversations
-PAD_CHECK_LENGTH = 128
-
-
-def _ids_128(spark, d):
-    return tokens.encode_tokens(_texts(spark, d), _vocab(spark, d), max_length=PAD_CHECK_LENGTH, vocab_bound=VOCAB_BOUND)
+# C9 on its own, with a length that cuts most conversations; C10 on whole texts
+CUT_CHECK_LENGTH = 128
 
 
 def q_truncate_and_pad(spark, d):
-    x = tokens.truncate_and_pad(_ids_128(spark, d), "token_ids", PAD_CHECK_LENGTH)
+    ids = tokens.encode_tokens(_texts(spark, d), _vocab(spark, d))
+    x = tokens.truncate_and_pad(ids, "token_ids", CUT_CHECK_LENGTH)
     return x.select("example_id", _ids("input_ids").alias("input_ids"), _ids("attention_mask").alias("attention_mask"))
 
 
 def q_causal_labels(spark, d):
-    x = tokens.causal_labels(tokens.truncate_and_pad(_ids_128(spark, d), "token_ids", PAD_CHECK_LENGTH))
+    x = tokens.causal_labels(tokens.encode_tokens(_texts(spark, d), _vocab(spark, d)), "token_ids")
     return x.select("example_id", _ids("labels").alias("labels"))
 
 
 QUERIES["truncate_and_pad"] = q_truncate_and_pad
 QUERIES["causal_labels"] = q_causal_labels
-_ENC_128 = "WITH " + TEXTS + ", " + _vocab_sql("texts", CHECK_VOCAB_SIZE) + ", " + _encode_sql("texts", PAD_CHECK_LENGTH)
-ORACLE_SQL["truncate_and_pad"] = _ENC_128 + f"""
-SELECT example_id, {_pad_sql('ids', PAD_CHECK_LENGTH, tokens.PAD_ID)} AS input_ids,
-  {_mask_sql('ids', PAD_CHECK_LENGTH)} AS attention_mask FROM encoded"""
-ORACLE_SQL["causal_labels"] = _ENC_128 + f"""
-SELECT example_id, {_pad_sql('ids', PAD_CHECK_LENGTH, tokens.PAD_ID)} AS labels FROM encoded"""
+_ENCODED = "WITH " + TEXTS + ", " + _vocab_sql("texts") + ", " + _encode_sql("texts", None)
+ORACLE_SQL["truncate_and_pad"] = _ENCODED + f"""
+SELECT example_id, {_pad_sql('ids', CUT_CHECK_LENGTH, 0)} AS input_ids,
+  {_mask_sql('ids', CUT_CHECK_LENGTH)} AS attention_mask FROM encoded"""
+ORACLE_SQL["causal_labels"] = _ENCODED + f"""
+SELECT example_id, {_ids_sql('ids')} AS labels FROM encoded"""

@@ -19,7 +19,9 @@ JSONL_FILE = "conversations.jsonl"
 def chat_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """``(file, line_no, line)``: every conversation as one chat JSONL line, ordered by conv_id,
     corrupted by ``conv_id % 10``: 3 -> last character cut, 5 -> key renamed to "msgs",
-    7 -> ``{"messages":"x"}``, 9 -> " x" appended; others unchanged.
+    7 -> ``{"messages":"x"}``, 9 -> " x" appended; then by ``conv_id % 20``: 6 -> the number 123,
+    16 -> U+3000 in front (stripped by the gate), 11 -> a repeated key and no message, 1 -> U+0085 behind;
+    others unchanged.
 
     ``numbered=False`` skips the (global-order) line numbering for reports that do not use it."""
     convs = fold_messages(table(spark, sf_dir, "conversations"))
@@ -30,6 +32,10 @@ def chat_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataF
         .when(k == 5, F.concat(F.lit('{"msgs":'), F.expr("substring(_l, 13)")))
         .when(k == 7, F.lit('{"messages":"x"}'))
         .when(k == 9, F.concat(F.col("_l"), F.lit(" x")))
+        .when(F.col("conv_id") % 20 == 6, F.lit("123"))
+        .when(F.col("conv_id") % 20 == 16, F.concat(F.lit("\u3000"), F.col("_l")))
+        .when(F.col("conv_id") % 20 == 11, F.lit('{"messages":[],"a":1,"a":2}'))
+        .when(F.col("conv_id") % 20 == 1, F.concat(F.col("_l"), F.lit("\u0085")))
         .otherwise(F.col("_l"))
     )
     lines = convs.select("conv_id", line.alias("_l")).select("conv_id", dirty.alias("line"))
@@ -39,6 +45,35 @@ def chat_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataF
     return numbered.select(F.lit(JSONL_FILE).alias("file"), (F.col("_rn") + 1).alias("line_no"), "line", "conv_id")
 
 
+def undecodable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``chat_lines`` unnumbered; where ``conv_id % 6 = 1`` a byte that is not UTF-8 is appended."""
+    x = chat_lines(spark, sf_dir, numbered=False)
+    bad = F.concat(F.col("line").cast("binary"), F.lit(bytearray(b"\xff")))
+    return x.select("file", F.when(F.col("conv_id") % 6 == 1, bad).otherwise(F.col("line").cast("binary")).cast("string").alias("line"))
+
+
+def dirty_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` with format faults by ``conv_id % 9``: 1 -> turn 1 has role "tool", 2 -> turn 2 has
+    role "system", 3 -> turn 0 has no text, 4 -> odd turns have role "user"; others unchanged."""
+    c, t = F.col("conv_id") % 9, F.col("turn")
+    role = (F.when((c == 1) & (t == 1), F.lit("tool")).when((c == 2) & (t == 2), F.lit("system"))
+            .when((c == 4) & (t % 2 == 1), F.lit("user")).otherwise(F.col("role")))
+    text = F.when(~((c == 3) & (t == 0)), F.col("text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+def spaced_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, response)``: document texts between white space of many kinds, by ``doc_id % 6``: 1 -> U+3000 ...
+    U+2028; 2 -> tab, U+0085 ... U+001C; 3 -> U+00A0 U+205F in front; 4 -> U+FEFF (not white space) ... line
+    feed; 5 -> only white space; 0 -> as is."""
+    d = table(spark, sf_dir, "documents")
+    k, t = F.col("doc_id") % 6, F.col("text")
+    resp = (F.when(k == 1, F.concat(F.lit("\u3000"), t, F.lit("\u2028"))).when(k == 2, F.concat(F.lit("\t\u0085"), t, F.lit("\u001c")))
+            .when(k == 3, F.concat(F.lit("\u00a0\u205f"), t)).when(k == 4, F.concat(F.lit("\ufeff"), t, F.lit("\n")))
+            .when(k == 5, F.lit(" \u2003\u1680 ")).otherwise(t))
+    return d.select("doc_id", resp.alias("response"))
+
+
 def session_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as chat-loop input: ``sid = user_id``, ``seq = event_id``. Text by rule, first
     match wins: event_id % 997 = 0 -> "exit"; % 41 = 0 -> "終了"; % 50 = 0 -> "save";
@@ -97,7 +132,6 @@ ARTIFACT_FILES = [
     "adapter_config.json", "adapter_model.safetensors", "tokenizer.json", "tokenizer_config.json",
     "training_info.json", "config.json", "tokenizer.model", "merge_info.json", "special_tokens_map.json",
 ]
-TARGET_MODULES = ["q_proj", "v_proj", "k_proj", "o_proj", "gate_proj", "up_proj", "down_proj"]
 
 
 def _run_dir(k):
@@ -139,11 +173,13 @@ def training_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adapter_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """adapter_config.json contents: r = 8 * (1 + p_size % 4); alpha = 2r, given under
     ``lora_alpha`` instead when p_size % 3 = 0; the first (p_size % 7) target modules
-    (none -> empty list)."""
+    module_1, module_2, ... (none -> empty list)."""
     x = artifact_listing(spark, sf_dir).filter(F.col("file") == "adapter_config.json")
     r = (F.lit(8) * (F.col("p_size") % 4 + 1)).cast("int")
     alt = F.col("p_size") % 3 == 0
-    mods = F.slice(F.array(*[F.lit(m) for m in TARGET_MODULES]), 1, (F.col("p_size") % 7).cast("int"))
+    count = (F.col("p_size") % 7).cast("int")
+    names = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.concat(F.lit("module_"), i.cast("string")))
+    mods = F.when(count > 0, names).otherwise(F.array().cast("array<string>"))
     return x.select(
         "dir", r.alias("r"),
         F.when(~alt, r * 2).cast("int").alias("alpha"), F.when(alt, r * 2).cast("int").alias("lora_alpha"),

@@ -18,36 +18,38 @@ from ..operators.batches import (
     plan_batches,
 )
 from ..operators.messages import FALLBACK_SYSTEM_PROMPT
-from ..operators.sessions import conversation_record, replay_conversations, replay_sessions
-from ..operators.tokens import DEFAULT_MAX_LENGTH, DEFAULT_VOCAB_SIZE
-from ..operators.validate import require_examples, require_valid, should_save, validation_report
-from ..functions.text import history_path
-from ..sources.jsonl import read_jsonl_lines
+from ..operators.sessions import conversation_record, final_records
+from ..operators.tokens import DEFAULT_MAX_LENGTH
+from ..operators.validate import require_examples, require_valid, validation_report
+from ..session import checkpoint_dir
+from ..sources.jsonl import list_input_files, read_jsonl_lines
 from ..sources.sinks import write_history, write_run_manifest, write_training_set
 from .training import training_examples_from_lines
 
 
 def prepare_training_run(spark: SparkSession, paths: str | list[str], out_dir: str, model_name: str = "",
-                         max_length: int = DEFAULT_MAX_LENGTH, max_vocab: int = DEFAULT_VOCAB_SIZE,
+                         max_length: int = DEFAULT_MAX_LENGTH, max_vocab: int | None = None,
                          epochs: int = DEFAULT_EPOCHS, batch_size: int = DEFAULT_BATCH_SIZE,
                          accumulation: int = DEFAULT_ACCUMULATION, seed: int = DEFAULT_SEED,
                          extra_config: dict | None = None) -> dict:
-    """Writes ``out_dir/examples`` (Parquet), ``out_dir/plan`` (Parquet, partitioned by epoch) and
-    ``out_dir/manifest`` (one JSON object); returns file, line, error and example counts.
+    """Writes ``out_dir/examples`` (Parquet, keyed by file and line number), ``out_dir/plan`` (Parquet,
+    partitioned by epoch) and ``out_dir/training_info.json``; returns file, line, error and example counts.
 
-    Raises ``ValueError`` when a file fails the gate or no example is left. The examples are
-    written once and read back, so the plan and the manifest do not recompute them (and a lost
-    executor does not send the job back to the raw files)."""
+    Raises ``ValueError`` when a file fails the gate or no example is left. The report and the numbered
+    lines are pinned once, the examples are written once and read back, so nothing is computed twice
+    (and a lost executor does not send the job back to the raw files)."""
     out = out_dir.rstrip("/")
-    lines = read_jsonl_lines(spark, paths)
-    report = require_valid(validation_report(lines))
+    checkpoint_dir(spark)
+    lines = read_jsonl_lines(spark, paths).checkpoint(eager=True)
+    report = validation_report(lines, files=list_input_files(spark, paths)).checkpoint(eager=True)
+    require_valid(report)
     # one summary row for the caller (the report itself has one row per file)
     totals = report.agg(F.count(F.lit(1)).alias("files"), F.sum("line_count").alias("lines"),
                         F.sum("error_count").alias("errors")).first().asDict()
     write_training_set(training_examples_from_lines(lines, max_length=max_length, max_vocab=max_vocab),
                        f"{out}/examples")
     examples = require_examples(spark.read.parquet(f"{out}/examples"))
-    plan = plan_batches(examples, batch_size=batch_size, accumulation=accumulation, epochs=epochs, seed=seed)
+    plan = plan_batches(examples, id_col=["file", "line_no"], batch_size=batch_size, accumulation=accumulation, epochs=epochs, seed=seed)
     write_training_set(plan, f"{out}/plan", partition_by=["epoch"])
     config = {
         "model_name": model_name,
@@ -55,24 +57,24 @@ def prepare_training_run(spark: SparkSession, paths: str | list[str], out_dir: s
         "epochs": epochs, "batch_size": batch_size, "max_length": max_length,
         "gradient_accumulation_steps": accumulation, **(extra_config or {}),
     }
-    write_run_manifest(examples, config, f"{out}/manifest")
-    manifest = spark.read.json(f"{out}/manifest").first().asDict()
+    manifest = write_run_manifest(examples, config, out)
     return {**totals, "total_examples": manifest["total_examples"], "out_dir": out}
 
 
-def history_records(log: DataFrame, system_prompt: str = FALLBACK_SYSTEM_PROMPT, base: str = "history") -> DataFrame:
-    """One history record per session worth saving (more than the system prompt), timestamped
-    with the session's last event, ``saved_at`` the default timestamped path, and
-    ``session_duration`` filled in."""
-    convs = replay_conversations(log, system_prompt)
-    summ = replay_sessions(log).select(
-        "sid", "end_ts", (F.expr("timestampdiff(MICROSECOND, start_ts, end_ts)") / F.lit(1e6)).alias("duration"))
-    rec = conversation_record(should_save(convs).join(summ, "sid"), ts="end_ts",
-                              saved_at=history_path(F.lit(None).cast("string"), F.col("end_ts"), base),
-                              duration="duration")
+def history_records(log: DataFrame, system_prompt: str = FALLBACK_SYSTEM_PROMPT, base: str = "history",
+                    requested: str | None = None) -> DataFrame:
+    """One history record per session worth saving (more than the system prompt, or a path asked for in
+    the log's column ``requested``), timestamped with the session's last event, ``saved_at`` the path asked
+    for or the default timestamped one, and ``session_duration`` filled in."""
+    final = final_records(log, system_prompt, base, requested)
+    final = final.withColumn("duration", F.expr("timestampdiff(MICROSECOND, start_ts, end_ts)") / F.lit(1e6))
+    rec = conversation_record(final, ts="end_ts", saved_at="path", duration="duration")
     return rec.select("sid", "record")
 
 
-def export_histories(log: DataFrame, out_dir: str, system_prompt: str = FALLBACK_SYSTEM_PROMPT) -> None:
-    """Write the history records as JSON lines (NULL fields kept, non-ASCII not escaped)."""
-    write_history(history_records(log, system_prompt).select("record.*"), out_dir)
+def export_histories(log: DataFrame, out_dir: str, system_prompt: str = FALLBACK_SYSTEM_PROMPT,
+                     requested: str | None = None) -> None:
+    """Write the history records as JSON lines (NULL fields kept, non-ASCII not escaped), the records of
+    each path in a directory of their own: ``out_dir/saved_at=<path, URL-encoded>/``."""
+    records = history_records(log, system_prompt, requested=requested)
+    write_history(records.select("record.*", F.url_encode("record.model_info.saved_at").alias("saved_at")), out_dir, partition_by=["saved_at"])

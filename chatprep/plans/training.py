@@ -11,16 +11,15 @@ from ..functions.text import ensure_eos
 from ..operators.messages import PLAIN_TEMPLATE, fold_messages, render_chat
 from ..operators.tokens import (
     DEFAULT_MAX_LENGTH,
-    DEFAULT_VOCAB_SIZE,
     EOS_TOKEN,
     PAD_ID,
-    SPECIAL_TOKENS,
     build_vocabulary,
     causal_labels,
     encode_tokens,
     truncate_and_pad,
 )
-from ..operators.ranking import BROADCAST_ROW_LIMIT, checked_broadcast, position_in_group
+from ..operators.ranking import checked_broadcast, running_sum
+from ..session import checkpoint_dir
 from ..operators.validate import drop_invalid_examples
 
 # TOKEN_PATTERN in Python syntax, for checking templates on the driver.
@@ -42,40 +41,31 @@ def token_bounded_roles(template: dict) -> list[str]:
 def fold_for_examples(turns: DataFrame, max_length: int, template: dict | None = None) -> DataFrame:
     """``fold_messages`` for training examples, with long conversations cut *before* the fold.
 
-    Exact: only conversations with more than ``max_length + 1`` messages are cut, to the messages
-    at positions 0..max_length, which hold at least ``max_length`` tokens when every message after
-    the first has a token-bounded role; the cut text is then truncated to the same first
-    ``max_length`` tokens. A conversation with a non-bounded role in that prefix is folded whole,
-    and one with an unknown role or NULL content keeps its first bad message, so it still renders
-    NULL. The per-conversation cut table lists long conversations only; it is measured before it
-    is broadcast. Positions come from ``position_in_group`` (block-wise, skew-safe)."""
+    Exact: a conversation with more than ``max_length + 1`` messages is cut after the message that is
+    its ``max_length + 1``-th of a token-bounded role; what is kept holds at least ``max_length``
+    tokens, and the cut text is then truncated to the same first ``max_length`` tokens. A conversation
+    with an unknown role or NULL content keeps its first bad message, so it still renders NULL. The
+    cut table lists long conversations only and is measured before it is broadcast; the running counts
+    are by range partition, so no long conversation is gathered."""
     template = template or PLAIN_TEMPLATE
     bounded = token_bounded_roles(template)
     known = list(template["roles"])
     if not bounded:
         return fold_messages(turns)
-    L = max_length
     sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
-    long_ids = sizes.filter(F.col("_n") > L + 1).select("conv_id").persist()
-    n_long = long_ids.count()
-    if n_long == 0:  # nothing to cut: the plain fold is already bounded by max_length + 1 messages
-        long_ids.unpersist()
+    long_ids = checked_broadcast(sizes.filter(F.col("_n") > max_length + 1).select("conv_id"))
+    if long_ids.isEmpty():  # nothing to cut: the plain fold is already bounded by max_length + 1 messages
         return fold_messages(turns)
-    long_ids = F.broadcast(long_ids) if n_long <= BROADCAST_ROW_LIMIT else long_ids
+    r = F.col("role")
     lt = turns.select("conv_id", "turn", "role", F.col("text").isNull().alias("_nul")).join(long_ids, "conv_id", "left_semi")
-    lt = position_in_group(lt, ["conv_id"], "turn", "_pos")
-    r, pos = F.col("role"), F.col("_pos")
+    lt = running_sum(lt, ["conv_id"], "turn", F.coalesce(r.isin(*bounded), F.lit(False)), "_bounded")
     bad = r.isNull() | ~r.isin(*known) | F.col("_nul")
-    cut = lt.groupBy("conv_id").agg(
-        F.max(F.when(pos == L, F.col("turn"))).alias("_cut"),
-        F.min(F.when(bad, F.col("turn"))).alias("_bad_turn"),
-        F.max((pos > 0) & (pos <= L) & ~F.coalesce(r.isin(*bounded), F.lit(False))).alias("_whole"),
-    )
-    cut = checked_broadcast(cut)
+    cut = checked_broadcast(lt.groupBy("conv_id").agg(
+        F.min(F.when(F.col("_bounded") > max_length, F.col("turn"))).alias("_cut"),
+        F.min(F.when(bad, F.col("turn"))).alias("_bad_turn")))
     t = F.col("turn")
     kept = turns.join(cut, "conv_id", "left").filter(
-        F.col("_cut").isNull() | F.col("_whole") | (t <= F.col("_cut")) | (t == F.col("_bad_turn"))
-    ).drop("_cut", "_bad_turn", "_whole")
+        F.col("_cut").isNull() | (t <= F.col("_cut")) | (t == F.col("_bad_turn"))).drop("_cut", "_bad_turn")
     return fold_messages(kept)
 
 
@@ -89,53 +79,39 @@ def rendered_texts(convs: DataFrame, id_col: str = "conv_id", template: dict | N
 
 
 def examples_from_texts(texts: DataFrame, vocab: DataFrame | None = None, max_length: int = DEFAULT_MAX_LENGTH,
-                        max_vocab: int = DEFAULT_VOCAB_SIZE, pad_id: int = PAD_ID,
-                        vocab_bound: int | None = None) -> DataFrame:
+                        max_vocab: int | None = None, pad_id: int = PAD_ID,
+                        id_col: str | list[str] = "example_id") -> DataFrame:
     """Encode, cut/pad to ``max_length``, add labels, drop examples without tokens.
 
-    ``vocab_bound``: proven upper bound of the vocabulary's rows (a vocabulary built here has
-    at most ``max_vocab`` + specials), so the lookup side is broadcast and the ids are regrouped
-    without a shuffle (the texts stay partitioned by example id)."""
-    bound = vocab_bound
+    Without a vocabulary, one is built from the tokens that these examples hold (the first
+    ``max_length`` of every text that could be rendered), so no token of theirs is unknown unless
+    ``max_vocab`` asks for a top-k. The texts are then pinned, since they are read twice."""
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
     if vocab is None:
-        vocab = build_vocabulary(texts.filter(F.col("text").isNotNull()), "text", max_vocab)
-        bound = max_vocab + len(SPECIAL_TOKENS)
-    ids = encode_tokens(texts, vocab, "example_id", "text", max_length=max_length, vocab_bound=bound)
-    ex = causal_labels(truncate_and_pad(ids, "token_ids", max_length, pad_id))
+        checkpoint_dir(texts.sparkSession)
+        texts = texts.checkpoint(eager=True)
+        vocab = build_vocabulary(texts.filter(F.col("text").isNotNull()), "text", max_vocab, max_length)
+    encoded = encode_tokens(texts, vocab, ids, "text", max_length=max_length)
+    ex = causal_labels(truncate_and_pad(encoded, "token_ids", max_length, pad_id))
     return drop_invalid_examples(ex).select(
-        "example_id", F.size("token_ids").alias("n_tokens"), "input_ids", "attention_mask", "labels")
-
-
-def message_pieces(turns: DataFrame, template: dict | None = None) -> DataFrame:
-    """``(conv_id, turn, text)``: every message rendered on its own (prefix + content + suffix)."""
-    roles = (template or PLAIN_TEMPLATE)["roles"]
-    pre = F.create_map(*[x for r, (p, _) in roles.items() for x in (F.lit(r), F.lit(p))])
-    suf = F.create_map(*[x for r, (_, q) in roles.items() for x in (F.lit(r), F.lit(q))])
-    return turns.select("conv_id", "turn", F.concat(F.element_at(pre, F.col("role")), F.col("text"),
-                                                    F.element_at(suf, F.col("role"))).alias("text"))
+        *ids, F.size("token_ids").alias("n_tokens"), "input_ids", "attention_mask", "labels")
 
 
 def training_examples(turns: DataFrame, vocab: DataFrame | None = None, max_length: int = DEFAULT_MAX_LENGTH,
-                      max_vocab: int = DEFAULT_VOCAB_SIZE, template: dict | None = None,
-                      vocab_bound: int | None = None) -> DataFrame:
+                      max_vocab: int | None = None, template: dict | None = None) -> DataFrame:
     """Turns ``(conv_id, turn, role, text)`` -> ``(example_id, n_tokens, input_ids,
     attention_mask, labels)``: fold (long conversations cut first) -> render -> EOS -> encode ->
-    pad -> labels -> drop empty. Without a vocabulary, one is built from every message of the
-    corpus (``message_pieces``), so the cut does not change it."""
-    if vocab is None:
-        vocab = build_vocabulary(message_pieces(turns, template).filter(F.col("text").isNotNull()), "text", max_vocab)
-        vocab_bound = max_vocab + len(SPECIAL_TOKENS)
+    pad -> labels -> drop empty. The vocabulary is that of ``examples_from_texts``."""
     texts = rendered_texts(fold_for_examples(turns, max_length, template), "conv_id", template)
-    return examples_from_texts(texts, vocab, max_length, max_vocab, vocab_bound=vocab_bound)
+    return examples_from_texts(texts, vocab, max_length, max_vocab)
 
 
 def training_examples_from_lines(lines: DataFrame, vocab: DataFrame | None = None,
-                                 max_length: int = DEFAULT_MAX_LENGTH, max_vocab: int = DEFAULT_VOCAB_SIZE,
+                                 max_length: int = DEFAULT_MAX_LENGTH, max_vocab: int | None = None,
                                  template: dict | None = None) -> DataFrame:
-    """Validated JSONL lines ``(file, line_no, line)`` -> examples keyed by line number within
-    file (``example_id`` = a stable hash of file and line number)."""
+    """Validated JSONL lines ``(file, line_no, line)`` -> examples keyed by ``(file, line_no)``."""
     from ..sources.jsonl import parse_chat_lines
 
-    convs = parse_chat_lines(lines).withColumn("conv_id", F.xxhash64("file", "line_no"))
-    texts = rendered_texts(convs, "conv_id", template)
-    return examples_from_texts(texts, vocab, max_length, max_vocab)
+    rendered = parse_chat_lines(lines).select("file", "line_no", render_chat("messages", template or PLAIN_TEMPLATE).alias("_r"))
+    texts = rendered.select("file", "line_no", ensure_eos("_r", EOS_TOKEN).alias("text"))
+    return examples_from_texts(texts, vocab, max_length, max_vocab, id_col=["file", "line_no"])

@@ -48,19 +48,26 @@ def ensure_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests, the check driver) do we set one of our own.
-    """
+    A local session without one (tests, the check driver) gets a folder of its own; on a cluster such
+    a folder would exist on the driver only, so there the setting is required."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="chatprep-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def is_local_master(master: str) -> bool:
+    """Does this master run driver and executors in one process on one machine?"""
+    return master == "local" or master.startswith("local[")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver tables, ``<sf_dir>/<name>.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

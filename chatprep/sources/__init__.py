@@ -1,11 +1,20 @@
 """Readers and writers."""
 
 from .files import list_artifacts, read_prompt_catalog, read_run_manifests
-from .jsonl import CHAT_SCHEMA, MESSAGES_TYPE, parse_chat_lines, read_chat_jsonl, read_jsonl_lines
+from .jsonl import (
+    CHAT_SCHEMA,
+    MESSAGES_TYPE,
+    list_input_files,
+    parse_chat_lines,
+    read_chat_jsonl,
+    read_jsonl_lines,
+    read_unnumbered_lines,
+)
 from .sinks import run_manifest, write_history, write_run_manifest, write_training_set
 
 __all__ = [
     "list_artifacts", "read_prompt_catalog", "read_run_manifests",
     "CHAT_SCHEMA", "MESSAGES_TYPE", "parse_chat_lines", "read_chat_jsonl", "read_jsonl_lines",
+    "list_input_files", "read_unnumbered_lines",
     "run_manifest", "write_history", "write_run_manifest", "write_training_set",
 ]

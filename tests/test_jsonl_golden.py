@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chatprep.functions.json import python_status
 from chatprep.operators import validate
-from chatprep.sources import read_jsonl_lines
+from chatprep.sources import list_input_files, read_jsonl_lines
 
 GOLDEN = [
     "",
@@ -106,16 +106,56 @@ def test_gate_exactly_ten_percent_passes(spark, tmp_dir):
     assert rep["ten.jsonl"].line_count == 30 and rep["ten.jsonl"].error_count == 3
     assert rep["ten.jsonl"].passed is True
     assert rep["eleven.jsonl"].passed is False
-    with pytest.raises(ValueError, match="Too many errors"):
+    with pytest.raises(ValueError, match="lines are bad"):
         validate.require_valid(validate.validation_report(read_jsonl_lines(spark, p11)))
     validate.require_valid(validate.validation_report(read_jsonl_lines(spark, p10)))
 
 
 def test_empty_file_passes(spark, tmp_dir):
     p = write(tmp_dir, "empty.jsonl", b"")
-    rep = validate.validation_report(read_jsonl_lines(spark, p))
-    assert rep.count() == 0
-    validate.require_valid(rep)
+    p2 = write(tmp_dir, "one.jsonl", b'{"messages":[]}\nx\n')
+    files = list_input_files(spark, [p, p2])
+    lines = read_jsonl_lines(spark, [p, p2])
+    rep = {os.path.basename(r.file): r for r in validate.validation_report(lines, files=files).collect()}
+    assert (rep["empty.jsonl"].line_count, rep["empty.jsonl"].error_count, rep["empty.jsonl"].passed) == (0, 0, True)
+    assert rep["one.jsonl"].line_count == 2 and rep["one.jsonl"].passed is False
+    first = {os.path.basename(r.file): r for r in validate.first_invalid_line(lines, files=files).collect()}
+    assert first["empty.jsonl"].lines_checked == 0 and first["empty.jsonl"].first_bad_line is None
+    assert {r.line_count for r in validate.encoding_report(lines, files=files).collect()} == {0, 2}
+    validate.require_valid(validate.validation_report(read_jsonl_lines(spark, p), files=files.filter(F.col("file").endswith("empty.jsonl"))))
+
+
+def test_all_failed_files_are_counted(spark, tmp_dir):
+    ps = [write(tmp_dir, f"bad{i:02d}.jsonl", b"x\n") for i in range(25)]
+    with pytest.raises(ValueError, match=r"25 file\(s\) refused: .*bad00.jsonl: 1 of 1 lines are bad.*; \.\.\.$"):
+        validate.require_valid(validate.validation_report(read_jsonl_lines(spark, ps)))
+
+
+def test_no_ok_line_is_lost(spark, tmp_dir):
+    """In a session without any of the library's settings: lines in = examples + refused lines, for lines
+    led by every kind of white space, with repeated keys, and beyond the limits of the JVM parsers."""
+    from chatprep.plans.training import training_examples_from_lines
+    from chatprep.sources.jsonl import parse_chat_lines
+
+    plain = spark.newSession()
+    plain.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    m = '"messages":[{"role":"user","content":"%s"}]'
+    good = [w + "{" + m % "a" + "}" + w for w in ("", " ", "\u000b", "\u000c", "\u001f", "\u0085", "\u00a0", "\u3000")]
+    good += ["{" + m % "dup" + ',"a":1,"a":2}', "{" + m % "num" + ',"n":' + "1" * 1100 + "}", "{" + m % "deep" + ',"n":' + "[" * 1200 + "]" * 1200 + "}",
+             "{" + m % ("z" * 25_000_000) + "}", '{"messages":[{"role":"user","content":7}]}', '{"messages":[1,{"role":"user","content":"x"}]}', '{"messages":[]}']
+    bad = ["{" + m % "cut" + "", "[" * 1200, "1" * 1100 + "x", '{"messages":"x"}', "123", '"messages"', "[1]", ""]
+    path = write(tmp_dir, "mixed.jsonl", ("\n".join(good + bad) + "\n").encode())
+    lines = read_jsonl_lines(plain, path)
+    status = {r.line_no: r.status for r in validate.classify_lines(lines).collect()}
+    assert [status[i + 1] for i in range(len(good + bad))] == [python_status(x.strip()) for x in good + bad]
+    parsed = parse_chat_lines(lines).collect()
+    assert sorted(r.line_no for r in parsed) == list(range(1, len(good) + 1))
+    by_no = {r.line_no: r.messages for r in parsed}
+    assert len(by_no[12][0].content) == 25_000_000 and by_no[13][0].content == "7" and by_no[14][1].content == "x"
+    examples = training_examples_from_lines(lines, max_length=8).collect()
+    refused = validate.error_report(lines).count()
+    # a message that is no object cannot be rendered; everything else becomes an example
+    assert len(examples) + 1 + refused == len(good + bad) and len({(r.file, r.line_no) for r in examples}) == len(examples)
 
 
 def test_invalid_utf8_fails_gate(spark, tmp_dir):
@@ -178,9 +218,9 @@ def test_line_numbers_across_many_splits(spark, tmp_dir):
 def test_error_report_messages(spark, tmp_dir):
     p = write(tmp_dir, "err.jsonl", b'{"msgs":[]}\n{"messages":null}\nnope\n{"messages":[]}\n')
     got = {r.line_no: r for r in validate.error_report(read_jsonl_lines(spark, p)).collect()}
-    assert got[1].message == "Line 1 missing 'messages' field"
-    assert got[2].message == "Line 2 'messages' is not a list"
-    assert got[3].message == "Line 3 has invalid JSON"
+    assert got[1].message == "Line 1 has no messages key"
+    assert got[2].message == "Line 2 has a messages value that is no list"
+    assert got[3].message == "Line 3 cannot be parsed as one JSON value"
     assert 4 not in got
 
 

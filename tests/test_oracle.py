@@ -1,5 +1,7 @@
 """Every registered query equals its SQL (run by DuckDB) on the sf0.01 tables."""
 
+import re
+
 import pytest
 
 from conftest import SF01
@@ -7,12 +9,14 @@ from conftest import SF01
 import __spark_entry__ as entry_mod
 from tools.compare import compare
 
-NAMES = sorted(entry_mod.queries())
+NAMES = sorted(entry_mod.oracle_sql())
+# Queries without SQL are those of the training-data subpackage; they have tests of their own.
+OTHER = re.compile(r"op[0-9]+_|pipeline$")
 
 
 def test_every_query_has_oracle_or_is_listed():
     missing = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
-    assert missing == set()
+    assert not [n for n in missing if not OTHER.match(n)]
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +39,8 @@ def test_entry_smoke(spark):
 def test_scale_check_sf01_small_splits(spark):
     """Order- and split-sensitive operators at sf0.1 with small file splits and an odd number of
     shuffle partitions still equal their SQL."""
-    names = ["plan_batches", "encode_tokens", "first_invalid_line", "session_snapshots", "chat_format_report_turns"]
+    names = ["plan_batches", "encode_tokens", "first_invalid_line", "session_snapshots", "chat_format_report_turns",
+             "replay_messages", "training_examples_from_lines", "snapshot_messages"]
     old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
     spark.conf.set("spark.sql.shuffle.partitions", "13")

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from chatprep.functions import text as tx
@@ -148,15 +149,75 @@ def test_running_sum_with_hot_key(spark):
         key = 0 if rnd.random() < 0.6 else rnd.randint(1, 20)  # one key holds most rows
         rows.append((key, seq, rnd.randint(0, 3)))
     df = spark.createDataFrame(rows, "k long, seq long, v long")
-    got = {(r.k, r.seq): r.acc for r in ranking.running_sum(df, ["k"], "seq", "v", "acc", block_size=64).collect()}
+    got = {(r.k, r.seq): r.acc for r in ranking.running_sum(df, ["k"], "seq", "v", "acc", num_partitions=13).collect()}
     acc = {}
     for k, seq, v in rows:
         acc[k] = acc.get(k, 0) + v
         assert got[(k, seq)] == acc[k]
 
 
-def test_bounded_broadcast():
-    assert ranking.bounded_broadcast.__doc__
+def test_running_sum_sparse_and_null_order_and_key(spark):
+    """Order values far apart, missing keys and missing orders: exact, and a hot key is spread over tasks."""
+    rnd = random.Random(2)
+    rows = [(None if rnd.random() < 0.1 else (7 if rnd.random() < 0.5 else rnd.randint(0, 9)), seq * 10**9 + seq, rnd.randint(0, 3))
+            for seq in range(4000)]
+    rows += [(k, None, 5) for k in (None, 7, 3)]
+    df = spark.createDataFrame(rows, "k long, seq long, v long")
+    out = ranking.running_sum(df, ["k"], "seq", "v", "acc", num_partitions=16).withColumn("pid", F.spark_partition_id()).collect()
+    acc, want = {}, {}
+    for k, seq, v in sorted(rows, key=lambda r: -1 if r[1] is None else r[1]):
+        acc[k] = acc.get(k, 0) + v
+        want[(k, seq)] = acc[k]
+    assert {(r.k, r.seq): r.acc for r in out} == want
+    assert ranking.position_in_group(df.limit(0), ["k"], "seq").count() == 0
+
+
+def test_hot_key_is_cut_into_pieces(spark, monkeypatch):
+    """No (partition, key) piece of the running sums holds more than a few partitions' share."""
+    df = spark.range(20000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), (F.col("id") * 10**7).alias("seq"))
+    seen = {}
+    plain = ranking.Window.partitionBy
+
+    def watched(*cols):
+        seen["window"] = cols
+        return plain(*cols)
+
+    monkeypatch.setattr(ranking.Window, "partitionBy", watched)
+    out = ranking.running_sum(df, ["k"], "seq", F.lit(1), "acc", num_partitions=20)
+    assert seen["window"][0] == "_pid"  # the row windows are dealt by range partition and key
+    assert out.filter("k = 0").agg(F.max("acc")).first()[0] == df.filter("k = 0").count()
+
+
+def test_checked_broadcast_measures_rows_and_bytes(spark):
+    df = spark.createDataFrame([("x" * 1000,)] * 50, "s string")
+
+    def hinted(d):
+        return "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(ranking.checked_broadcast(df))
+    assert not hinted(ranking.checked_broadcast(df, max_rows=49))
+    assert not hinted(ranking.checked_broadcast(df, max_bytes=40_000))
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from chatprep.session import checkpoint_dir, is_local_master
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+    assert is_local_master("local[8]") and is_local_master("local") and not is_local_master("local-cluster[2,1,1024]")
 
 
 def _long_turns(spark):
@@ -193,11 +254,11 @@ def _long_turns(spark):
 
 def test_cut_before_fold_is_exact(spark):
     from chatprep.operators.messages import CHATML_TEMPLATE, PLAIN_TEMPLATE, fold_messages
-    from chatprep.plans.training import examples_from_texts, message_pieces, rendered_texts
+    from chatprep.plans.training import examples_from_texts, rendered_texts
 
     turns = _long_turns(spark)
     for template in (PLAIN_TEMPLATE, CHATML_TEMPLATE):
-        vocab = tokens.build_vocabulary(message_pieces(turns, template), "text", 50)
+        vocab = tokens.build_vocabulary(rendered_texts(fold_messages(turns), "conv_id", template).dropna(), "text", 50)
         for L in (3, 8, 16):
             got = training_examples(turns, vocab=vocab, max_length=L, template=template)
             want = examples_from_texts(rendered_texts(fold_messages(turns), "conv_id", template), vocab, L)
@@ -228,6 +289,53 @@ def test_resolve_special_ids_rules(spark):
     assert list(r2.eos_ids) == [5] and r2.pad_id == 5
 
 
+def test_special_ids_without_own_eos(spark):
+    vocab = spark.createDataFrame([("<unk>", 1), ("</s>", 9)], "token string, token_id int")
+    r = tokens.resolve_special_ids(vocab).collect()[0]
+    assert list(r.eos_ids) == [9] and r.pad_id is None  # no pad token and no own EOS: nothing to pad with
+    vocab = spark.createDataFrame([("<unk>", 1), ("<eos>", 1), ("</s>", 9)], "token string, token_id int")
+    r = tokens.resolve_special_ids(vocab).collect()[0]
+    assert list(r.eos_ids) == [1, 9] and r.pad_id == 1  # the own EOS stays whatever its id
+
+
+def test_no_token_of_the_corpus_is_unknown(spark):
+    turns = spark.read.parquet(f"{SF001}/conversations.parquet")
+    ids = [i for r in training_examples(turns, max_length=64).collect() for i, m in zip(r.input_ids, r.attention_mask) if m]
+    assert tokens.UNK_ID not in ids
+
+
+def test_texts_with_one_id_stay_apart(spark):
+    texts = spark.createDataFrame([(1, "a b"), (1, "c d"), (1, "c d"), (2, None), (3, "")], "example_id long, text string")
+    vocab = tokens.build_vocabulary(texts, "text")
+    got = sorted((r.example_id, r.token_ids) for r in tokens.encode_tokens(texts, vocab).collect() if r.token_ids is not None)
+    assert [(i, len(t)) for i, t in got] == [(1, 2), (1, 2), (3, 0)] and got[0][1] != got[1][1]
+
+
+def test_chat_format_report_keeps_null_keys_and_orders(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, None, "robot", "x"), (1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: list(r.violations) for r in validate.chat_format_report_turns(turns).collect()}
+    assert got == {None: [], 1: ["bad_role", "not_alternating"]}
+
+
+def test_map_examples_keeps_types(spark):
+    from chatprep.operators.udf import map_examples
+
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, "a"), (None, "b"), (3, "bad")], "id long, t string")
+
+    def fn(r):
+        if r["t"] == "bad":
+            raise ValueError("no")
+        return {"twice": None if r["id"] is None else r["id"] * 2, "wrong": r["t"]}
+
+    good, errors = map_examples(df, fn, "twice long, wrong string", on_error="split", keep=["id"])
+    assert {(r.id, r.twice) for r in good.collect()} == {(big, big * 2), (None, None)}
+    assert [(r.id, r.error) for r in errors.collect()] == [(3, "ValueError: no")]
+    kept = map_examples(df, lambda r: {"n": r["t"]}, "n long", on_error="keep", keep=["id"]).collect()
+    assert len(kept) == 3 and all(r.error for r in kept)
+
+
 def test_history_view_edges(spark):
     from chatprep.operators import sessions
 

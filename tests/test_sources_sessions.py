@@ -67,8 +67,16 @@ def test_manifests_listing_and_lineage(spark, tmp_dir):
     trainings = sources.read_run_manifests(spark, root, "training_info")
     merges = sources.read_run_manifests(spark, root, "merge_info")
     assert trainings.count() == 1 and merges.count() == 1
-    lin = registry.run_lineage(merges.withColumn("lora_adapter", F.concat(F.lit("file:"), "lora_adapter")), trainings).collect()[0]
+    lin = registry.run_lineage(merges, trainings).collect()[0]  # a plain path, as the merge wrote it
     assert lin.training_info is not None and lin.training_info.total_examples == 400
+    for spelled in ("file:" + ad, "file://" + ad, ad + "/", os.path.join(root, ".", "adapter1"), root + "//adapter1"):
+        assert registry.run_lineage(merges.withColumn("lora_adapter", F.lit(spelled)), trainings).first().training_info is not None, spelled
+    relative = merges.withColumn("lora_adapter", F.lit("./models/adapter1"))
+    assert registry.run_lineage(relative, trainings, base=tmp_dir).first().training_info is not None
+    assert registry.run_lineage(relative, trainings).first().training_info is None
+    request = spark.createDataFrame([(merged, root + "/none", ad + "/")], "out_dir string, base_model string, adapter_dir string")
+    found = registry.resolve_artifact_source(listing, request, file="adapter_model.safetensors").first()
+    assert (found.source, found.source_dir) == ("adapter", ad + "/")
     cfgs = sources.read_run_manifests(spark, root, "adapter_config")
     scan = registry.adapter_config_scan(cfgs).collect()
     assert sorted(r.module for r in scan) == ["q_proj", "v_proj"] and scan[0].scale == 2.0
@@ -86,10 +94,19 @@ def test_sinks_roundtrip(spark, tmp_dir):
     assert any(ord(ch) > 127 for r in back for ch in r.value)  # non-ASCII not escaped
 
     ex = spark.range(5).withColumnRenamed("id", "example_id")
-    man = os.path.join(tmp_dir, "manifest")
-    sources.write_run_manifest(ex, {"model_name": "m", "epochs": 3, "learning_rate": 1e-4}, man)
-    m = spark.read.json(man).collect()
-    assert len(m) == 1 and m[0].total_examples == 5 and m[0].epochs == 3
+    man = os.path.join(tmp_dir, "run7")
+    sources.write_run_manifest(ex, {"model_name": "m", "epochs": 3, "learning_rate": 1e-4, "note": "é"}, man)
+    m = sources.read_run_manifests(spark, tmp_dir).collect()
+    assert len(m) == 1 and m[0].total_examples == 5 and m[0].epochs == 3 and m[0].save_steps is None
+    with open(os.path.join(man, "training_info.json"), encoding="utf-8") as f:
+        raw = json.load(f)
+    assert list(raw) == [*sources.sinks.MANIFEST_FIELDS, "note"] and raw["note"] == "é"
+    # write -> read -> lineage
+    os.makedirs(os.path.join(tmp_dir, "merged"))
+    with open(os.path.join(tmp_dir, "merged", "merge_info.json"), "w") as f:
+        json.dump({"base_model": "b", "lora_adapter": man}, f)
+    merges = sources.read_run_manifests(spark, tmp_dir, "merge_info")
+    assert registry.run_lineage(merges, sources.read_run_manifests(spark, tmp_dir)).first().training_info.total_examples == 5
 
     ts = os.path.join(tmp_dir, "train")
     sources.write_training_set(ex.withColumn("epoch", F.col("example_id") % 2), ts, partition_by=["epoch"])
@@ -145,8 +162,42 @@ def test_snapshots(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [(1, 1, t, "a", "x"), (1, 2, t, "save", None), (1, 3, t, "b", "y"), (1, 4, t, "save", None),
             (1, 5, t, "clear", None), (1, 6, t, "save", None), (1, 7, t, "exit", None), (1, 8, t, "save", None)]
-    snaps = sessions.session_snapshots(_log(spark, rows), block_size=2).orderBy("save_seq").collect()
+    snaps = sessions.session_snapshots(_log(spark, rows)).orderBy("save_seq").collect()
     assert [(r.save_seq, r.segment, r.total_messages) for r in snaps] == [(2, 0, 2), (4, 0, 4), (6, 1, 0)]
+    said = sessions.snapshot_messages(_log(spark, rows)).orderBy("save_seq", "seq", "part").collect()
+    assert [(r.save_seq, r.role, r.content) for r in said] == [
+        (2, "user", "a"), (2, "assistant", "x"), (4, "user", "a"), (4, "assistant", "x"), (4, "user", "b"), (4, "assistant", "y")]
+
+
+def test_append_responses_rules(spark):
+    convs = spark.createDataFrame([
+        (1, [("user", "q")]), (2, [("user", "q")]), (3, [("system", "s")]), (4, [("user", "q"), ("assistant", "a")]), (5, []), (6, [("user", "q")])],
+        "conv_id long, messages array<struct<role:string,content:string>>")
+    resp = spark.createDataFrame([(1, 0, "yes"), (3, 0, "x"), (4, 1, "x"), (5, 0, "x"), (6, 4, "other turn")], "conv_id long, turn int, response string")
+    got = {r.conv_id: [tuple(m) for m in r.messages] for r in sessions.append_responses(convs, resp, turn="turn").collect()}
+    assert got == {1: [("user", "q"), ("assistant", "yes")], 2: [], 3: [("system", "s")], 4: [("user", "q"), ("assistant", "a")], 5: [], 6: []}
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "conv_id long, response string")
+    with pytest.raises(Exception, match="more than one response for 1"):
+        sessions.append_responses(convs, twice).collect()
+
+
+def test_final_records_and_requested_paths(spark, tmp_dir):
+    import datetime as dt
+    from urllib.parse import quote
+
+    from chatprep.plans.runs import export_histories
+
+    t = dt.datetime(2024, 1, 2, 3, 4, 5)
+    rows = [(1, 1, t, "hi", "yo", None), (2, 1, t, "exit", None, None), (3, 1, t, "exit", None, "mine.json"),
+            (4, 1, t, "hi", "yo", "/abs/x.json"), (4, 2, t, "exit", None, None), (5, 1, t, "hi", None, "")]
+    log = spark.createDataFrame(rows, "sid long, seq long, ts timestamp_ntz, text string, response string, requested string")
+    got = {r.sid: (len(r.messages), r.path) for r in sessions.final_records(log, requested="requested").collect()}
+    # 2 and 5 say nothing and ask for nothing; 3 asked for its (empty) conversation; 1 never exits and is saved too
+    assert got == {1: (3, "history/chat_20240102_030405.json"), 3: (1, "history/mine.json"), 4: (3, "/abs/x.json")}
+    out = os.path.join(tmp_dir, "final")
+    export_histories(log, out, requested="requested")
+    assert sorted(d for d in os.listdir(out) if d.startswith("saved_at=")) == sorted(
+        "saved_at=" + quote(quote(p, safe=""), safe="") for _, p in got.values())
 
 
 @pytest.mark.parametrize("n_files", [1, 3, 10])
@@ -161,33 +212,74 @@ def test_stream_equals_batch(spark, tmp_dir, n_files):
         chunk = log.filter((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step))
         chunk.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    name = f"replay_{n_files}"
-    q = run_replay_stream(stream, name, checkpoint=os.path.join(tmp_dir, f"cp{n_files}"))
+    out = os.path.join(tmp_dir, f"out{n_files}")
+    q = run_replay_stream(stream, out, checkpoint=os.path.join(tmp_dir, f"cp{n_files}"))
     assert q.awaitTermination(600)
-    got = {tuple(r) for r in latest_summaries(spark.table(name)).collect()}
+    last = latest_summaries(spark.read.parquet(out))
+    assert last.filter("n_late > 0").count() == 0
+    got = {tuple(r) for r in last.drop("n_late").collect()}
     want = {tuple(r) for r in sessions.replay_sessions(log).select(
         "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events").collect()}
     assert got == want
 
 
-def test_stream_with_idle_timeout_equals_batch(spark, tmp_dir):
+def _files(spark, parts, src, schema):
+    """One file per part, in order, with modification times that keep it."""
     import time
 
-    log = fixtures.session_log(spark, SF01).select("sid", "seq", "ts", "text", "response")
-    want = {tuple(r) for r in sessions.replay_sessions(log).select(
-        "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events").collect()}
-    src = os.path.join(tmp_dir, "src_to")
-    log.coalesce(1).write.parquet(src)
-    stream = spark.readStream.schema(log.schema).parquet(src)
-    # with a timeout Spark keeps running no-data batches: poll the sink, then stop
-    q = run_replay_stream(stream, "replay_timeout", checkpoint=os.path.join(tmp_dir, "cp_to"),
-                          available_now=False, idle_timeout_ms=60_000)
-    got, deadline = set(), time.time() + 240
-    while got != want and time.time() < deadline:
-        time.sleep(2)
-        got = {tuple(r) for r in latest_summaries(spark.table("replay_timeout")).collect()}
-    q.stop()
-    assert got == want
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+
+
+def test_late_events_are_counted(spark, tmp_dir):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    schema = "sid long, seq long, ts timestamp_ntz, text string, response string"
+    parts = [[(1, 1, t, "a", "x"), (1, 5, t, "b", "y"), (2, 1, t, "a", "x")], [(1, 3, t, "late", "z"), (1, 5, t, "b", "y"), (1, 6, t, "c", "w")]]
+    src, out = os.path.join(tmp_dir, "src_late"), os.path.join(tmp_dir, "out_late")
+    _files(spark, parts, src, schema)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    assert run_replay_stream(stream, out, checkpoint=os.path.join(tmp_dir, "cp_late")).awaitTermination(600)
+    got = {r.sid: (r.n_events, r.n_late, r.total_messages) for r in latest_summaries(spark.read.parquet(out)).collect()}
+    assert got == {1: (3, 2, 6), 2: (1, 0, 2)}
+
+
+def test_history_stream_ends_idle_sessions_and_lists_late_events(spark, tmp_dir):
+    import datetime as dt
+    import time
+
+    from chatprep.streaming.sessions import replay_histories_stream
+
+    t = dt.datetime(2024, 1, 1)
+    schema = "sid long, seq long, ts timestamp_ntz, text string, response string"
+    src, out = os.path.join(tmp_dir, "src_idle"), os.path.join(tmp_dir, "out_idle")
+    _files(spark, [[(1, 1, t, "a", "x"), (2, 1, t, "b", "y"), (2, 2, t, "exit", None)]], src, schema)
+    stream = spark.readStream.schema(schema).parquet(src)
+    q = (replay_histories_stream(stream, "sys", idle_timeout_ms=2000).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(tmp_dir, "cp_idle")).outputMode("append").trigger(processingTime="1 second").start())
+
+    def rows():
+        try:
+            return {(r.sid, r.seq, r.kind): r.conversation for r in spark.read.parquet(out).collect()}
+        except Exception:  # nothing written yet
+            return {}
+
+    def wait(key):
+        deadline = time.time() + 120
+        while key not in rows() and time.time() < deadline:
+            time.sleep(1)
+
+    try:
+        wait((1, 1, "idle"))
+        _files(spark, [[(1, 2, t, "too late", "z"), (2, 3, t, "after exit", "z")]], src, schema)
+        wait((1, 2, "late"))
+    finally:
+        q.stop()
+    got = rows()
+    assert set(got) == {(1, 1, "idle"), (2, 2, "exit"), (1, 2, "late"), (2, 3, "late")}
+    assert [tuple(m) for m in got[(1, 1, "idle")]] == [("system", "sys"), ("user", "a"), ("assistant", "x")]
 
 
 def test_require_examples_and_idempotent_drop(spark):
@@ -210,7 +302,7 @@ def test_prepare_training_run_end_to_end(spark, tmp_dir):
         for r in lines.collect():
             f.write(r.line + "\n")
     # the derived file has 40 % bad lines: the gate stops the run
-    with pytest.raises(ValueError, match="Too many errors"):
+    with pytest.raises(ValueError, match="lines are bad"):
         prepare_training_run(spark, src, os.path.join(tmp_dir, "run0"))
     good = os.path.join(tmp_dir, "good.jsonl")
     with open(src, encoding="utf-8") as fi, open(good, "w", encoding="utf-8") as fo:
@@ -224,7 +316,9 @@ def test_prepare_training_run_end_to_end(spark, tmp_dir):
     ex = spark.read.parquet(os.path.join(out, "examples"))
     assert {len(r.input_ids) for r in ex.collect()} == {32}
     plan = spark.read.parquet(os.path.join(out, "plan"))
-    assert plan.count() == 2 * (n_ok // 2 * 2)
+    assert plan.count() == 2 * (n_ok // 2 * 2) and {"file", "line_no"} <= set(plan.columns)
+    manifest = sources.read_run_manifests(spark, out).collect()
+    assert len(manifest) == 1 and (manifest[0].model_name, manifest[0].total_examples, manifest[0].epochs) == ("m", n_ok, 2)
 
 
 def python_ok(line):
@@ -278,7 +372,7 @@ def _brute_replay(rows):
 
 
 def test_hot_session_matches_brute_force(spark):
-    # a third of all events belong to session 0; small blocks force many blocks per session
+    # a third of all events belong to session 0; range partitions cut it into pieces
     hot = F.col("seq") % 3 == 0
     log = (fixtures.session_log(spark, SF01)
            .withColumn("sid", F.when(hot, F.lit(0)).otherwise(F.col("sid") + 1))
@@ -290,7 +384,7 @@ def test_hot_session_matches_brute_force(spark):
     got = {r.sid: (r.total_messages, r.ended_by_exit, r.first_exit_seq, r.last_clear_seq, r.n_events)
            for r in sessions.replay_sessions(log).collect()}
     assert got == summary
-    snaps = {(r.sid, r.save_seq): r.total_messages for r in sessions.session_snapshots(log, block_size=64).collect()}
+    snaps = {(r.sid, r.save_seq): r.total_messages for r in sessions.session_snapshots(log).collect()}
     assert snaps == saves
     assert sum(1 for k in saves if k[0] == 0) > 10
 

@@ -41,7 +41,8 @@ def votes(texts: DataFrame, keys: list[str], body: str) -> DataFrame:
     pairs = listed.select(*keys, F.explode(F.arrays_zip(
         F.col("_w").alias("a"), F.slice("_w", F.lit(2), F.size("_w")).alias("b"))).alias("_t"))
     first, second = F.col("_t.a"), F.col("_t.b")
-    weight = F.least(F.length(first), F.lit(HEAVIEST)) + F.coalesce(F.least(F.length(second), F.lit(HEAVIEST)), F.lit(0))
+    # (least() skips nulls: the missing second word of the last term weighs nothing)
+    weight = F.least(F.length(first), F.lit(HEAVIEST)) + F.least(F.length(F.coalesce(second, F.lit(""))), F.lit(HEAVIEST))
     terms = pairs.select(*keys, F.xxhash64(first, second).alias("_term"), weight.cast("long").alias("_n"))
     sums = [F.sum(F.shiftrightunsigned("_term", k).bitwiseAND(F.lit(LANE)) * F.col("_n")).alias(f"v{k}") for k in range(32)]
     return terms.groupBy(*keys).agg(F.sum("_n").alias("total"), *sums)

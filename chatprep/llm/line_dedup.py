@@ -10,8 +10,9 @@ more; lines with fewer than ``min_words`` distinct words stay and match nothing.
    n - ceil(t n) + 1 of each. Tasks pack these entries (word, line set, size, position, parity bitmap)
    into arrays dealt by word, one row per array, copies of a line set within a task only once. A frequent
    word's group is dealt into block pairs, so that no group outgrows a task and any two lines still meet.
-3. In a group, pairs must pass the length filter, the positional filter, and the bitmap bound (equal
-   words cannot differ in parity, so the bits in which two bitmaps differ bound the overlap from above).
+3. In a group, pairs must pass the length filter, the positional filter (enough words left at the first
+   common one), and the bitmap bound (equal words cannot differ in parity, so the bits in which two
+   bitmaps differ bound the overlap from above).
    Entries without a possible partner end here; only the rest is written.
 4. The sets of the lines that are left are read again, and candidates are verified: first each line
    set's most alike earlier partner and its group's first one; lines that are found need no more. For
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from ..operators.ranking import global_row_number
 from . import words as W
 from .chosen_path import _small, confirm
-from .shared import materialize
+from .shared import materialize, whole_groups
 
 U = np.uint64
 BUCKET_BITS = 18       # buckets of the rarity table: 2 MB, whatever the input
@@ -49,7 +50,8 @@ FREQUENT = 2048        # a word is counted by name in a task where it makes up 1
 GROUP = 8192           # entries that one group may be expected to hold
 BUFFER = 1 << 20       # entries that a task holds before it deals them out
 WIDE = 8               # longs of the bitmap that verification candidates use
-ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("pos", "<u2"), ("sid", "<u8"), ("bits", "<u8")])
+BITS = 2               # longs of the bitmap that an entry carries
+ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("pos", "<u2"), ("sid", "<u8"), ("bits", "<u8", (BITS,))])
 
 
 def line_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -152,24 +154,30 @@ def _parity(tokens: np.ndarray, line: np.ndarray, count: int, width: int, seed:
     bit = U(1) << (h & U(63))
     word = ((h >> U(6)) % U(width)).astype(np.int64)
     out = np.zeros((count, width), np.uint64)
-    if width == 1:
-        starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
-        if len(starts):
-            out[line[starts], 0] = np.bitwise_xor.reduceat(bit, starts)
-    else:
-        np.bitwise_xor.at(out, (line, word), bit)
+    starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+    for w in range(width) if len(starts) else ():
+        out[line[starts], w] = np.bitwise_xor.reduceat(np.where(word == w, bit, U(0)), starts)
     return out
 
 
+def _distinct(e: np.ndarray) -> np.ndarray:
+    """``e`` sorted by key, equal (key, line set) entries once (but for line sets that agree in 32 bits)."""
+    e = e[np.argsort((e["key"].astype(np.uint64) << U(32)) | (e["sid"] & U(0xFFFFFFFF)))]
+    new = np.ones(len(e), bool)
+    new[1:] = (e["key"][1:] != e["key"][:-1]) | (e["sid"][1:] != e["sid"][:-1])
+    return e[new]
+
+
 def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], percent: int, min_words: int, parts: int) -> DataFrame:
-    """One pass over the texts with two kinds of rows, both dealt by ``part``: (doc_id, line_no, sid) of
-    every eligible line, and a ``blob`` of packed group entries."""
+    """One pass over the texts with two kinds of rows, both dealt by ``part``: (doc_id, line_no, sid, again) of
+    every eligible line (``again``: an earlier line of the text has the same set), and a ``blob`` of packed
+    group entries."""
     low = TOKEN_BITS - BUCKET_BITS
     blocks = {}
     for name, count in frequent.items():
         bucket, rest = name >> low, name & ((1 << low) - 1)
         blocks[(int(rank[bucket]) << low) | rest] = -(-count // GROUP)
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("line_no int, sid long, part int, blob binary").fields])
+    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("line_no int, sid long, again boolean, part int, blob binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -177,23 +185,16 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
         kind = None
 
         def dealt() -> Iterator[pa.RecordBatch]:
-            entries = np.concatenate(held)
-            # Copies of a line set give equal entries: keep one per task and deal.
-            order = np.lexsort((entries["sid"], entries["key"]))
-            entries = entries[order]
-            new = np.ones(len(entries), bool)
-            new[1:] = (entries["key"][1:] != entries["key"][:-1]) | (entries["sid"][1:] != entries["sid"][:-1])
-            entries = entries[new]
-            part = (W.mix(entries["key"].astype(np.uint64), 6) % U(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            entries, part = entries[order], part[order]
-            cut = np.searchsorted(part, np.arange(parts + 1))
+            entries = _distinct(np.concatenate(held))  # copies of a line set give equal entries: one per task
+            # Parts are ranges of keys, and the entries are sorted by key.
+            cut = np.searchsorted(entries["key"], -(-(np.arange(parts + 1, dtype=np.int64) << 32) // parts))
             some = np.flatnonzero(np.diff(cut))
             for lo in range(0, len(some), 64):
                 chosen = some[lo:lo + 64]
                 blobs = pa.array([entries[cut[p]:cut[p + 1]].tobytes() for p in chosen], pa.binary())
-                empty = len(chosen)
-                yield pa.RecordBatch.from_arrays([pa.nulls(empty, kind), pa.nulls(empty, pa.int32()), pa.nulls(empty, pa.int64()), pa.array(chosen, pa.int32()), blobs], names=schema.names)
+                n = len(chosen)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()),
+                                                  pa.array(chosen, pa.int32()), blobs], names=schema.names)
 
         for batch in batches:
             kind = batch.column(0).type
@@ -212,12 +213,14 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
                 line, ldoc, number, n = index[line], ldoc[good], number[good], n[good]
                 first = np.concatenate([[0], np.cumsum(n)[:-1]])
                 sid = W.mix(np.add.reduceat(W.mix(token, 8), first) ^ n.astype(np.uint64), 9)
-                entry = _entries(token, line, n, sid, _parity(token, line, len(n), 1, 10)[:, 0], first, percent, blocks)
+                _, again = W.repeated(W.mix(sid ^ W.mix(ldoc.astype(np.uint64), 12)))
+                entry = _entries(token, line, n, sid, _parity(token, line, len(n), BITS, 10), first, percent, blocks)
                 held.append(entry)
                 size += len(entry)
                 ids = batch.column(0).slice(lo, hi - lo).take(pa.array(ldoc))
                 rows = len(ldoc)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(sid.view(np.int64)), pa.array((sid % U(parts)).astype(np.int32)), pa.nulls(rows, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(sid.view(np.int64)), pa.array(again),
+                                                  pa.array((sid % U(parts)).astype(np.int32)), pa.nulls(rows, pa.binary())], names=schema.names)
                 if size >= BUFFER:
                     yield from dealt()
                     held, size = [], 0
@@ -228,56 +231,60 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
 
 
 def _candidates(e: np.ndarray, bitmap: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, differing bits) of entry pairs of one group that pass all filters. ``e`` is sorted by key."""
-    key, n, pos = e["key"], e["n"].astype(np.int64), e["pos"].astype(np.int64)
-    last = np.searchsorted(key, key, side="right")
-    at, shift = np.arange(len(key)), 1
-    while len(at):
+    """(i, j, differing bits) of entry pairs of one group that pass all filters; i has the smaller set.
+    ``e`` is sorted by key and size.
+
+    With a = ceil(p (n_i + n_j) / (100 + p)) words to share, a similar pair meets at its first common word,
+    where both sides have a words left: pos <= n - a. For the smaller side a is at least
+    2p / (100 + p) of its size, so entries behind that never start a pair."""
+    key, n, pos = e["key"].astype(np.int64), e["n"].astype(np.int64), e["pos"].astype(np.int64)
+    full = n >= 65535  # sizes that do not fit pass every filter
+    # In its group, an entry meets sizes from its own up to the largest that the length filter allows.
+    last = np.searchsorted(key << 20 | n, key << 20 | np.where(full, 65535, np.minimum(n * 100 // percent, 65535)), side="right")
+    at, shift = np.flatnonzero((pos <= n - -(-2 * percent * n // (100 + percent))) | full), 1
+    while True:
         at = at[at + shift < last[at]]
+        if not len(at):
+            return
         i, j = at, at + shift
-        ok = np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
-        i, j = i[ok], j[ok]
-        bound = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
         total = n[i] + n[j]
-        ok = (100 + percent) * bound >= percent * total
-        i, j, total = i[ok], j[ok], total[ok]
-        differ = np.bitwise_count(bitmap[i] ^ bitmap[j]).astype(np.int64)
-        differ = differ.sum(axis=1) if differ.ndim > 1 else differ
-        ok = ((100 + percent) * (total - differ) >= 2 * percent * total) | (total >= 65535)
+        share = -(-percent * total // (100 + percent))
+        large = full[j]
+        ok = ((pos[i] <= n[i] - share) & (pos[j] <= n[j] - share)) | large
+        i, j, total, large = i[ok], j[ok], total[ok], large[ok]
+        differ = np.bitwise_count(bitmap[i] ^ bitmap[j]).sum(axis=1, dtype=np.int64)
+        ok = ((100 + percent) * (total - differ) >= 2 * percent * total) | large
         yield i[ok], j[ok], differ[ok]
         shift += 1
 
 
 def active_entries(scanned: DataFrame, percent: int, parts: int) -> DataFrame:
     """The line rows as they are, and (key, sid, n, pos) of the entries with a possible partner in their group."""
-    schema = T.StructType([*(scanned.schema[c] for c in ("doc_id", "line_no", "sid")), *T._parse_datatype_string("key long, n int, pos int").fields])
+    schema = T.StructType([*(scanned.schema[c] for c in ("doc_id", "line_no", "sid", "again")), *T._parse_datatype_string("key long, n int, pos int").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, kind = [], None
         for batch in batches:
             kind = batch.column(0).type
-            packed = batch.column(3).is_valid()
-            got += [np.frombuffer(b, ENTRY) for b in batch.column(3).filter(packed).to_pylist()]
-            own = batch.filter(batch.column(3).is_null())
+            packed = batch.column(4).is_valid()
+            got += [np.frombuffer(b, ENTRY) for b in batch.column(4).filter(packed).to_pylist()]
+            own = batch.filter(batch.column(4).is_null())
             none = pa.nulls(own.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([*own.columns[:3], pa.nulls(own.num_rows, pa.int64()), none, none], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*own.columns[:4], pa.nulls(own.num_rows, pa.int64()), none, none], names=schema.names)
         if not got:
             return
-        e = np.concatenate(got)
-        e = e[np.lexsort((e["sid"], e["key"]))]
-        new = np.ones(len(e), bool)
-        new[1:] = (e["key"][1:] != e["key"][:-1]) | (e["sid"][1:] != e["sid"][:-1])
-        e = e[new]
+        e = _distinct(np.concatenate(got))
         same = e["key"][1:] == e["key"][:-1]
         e = e[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        e = e[np.lexsort((e["n"], e["key"]))]
         active = np.zeros(len(e), bool)
         for i, j, _ in _candidates(e, e["bits"], percent):
             active[i] = active[j] = True
         e = e[active]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(e), kind), pa.nulls(len(e), pa.int32()), pa.array(e["sid"].view(np.int64)),
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(e), kind), pa.nulls(len(e), pa.int32()), pa.array(e["sid"].view(np.int64)), pa.nulls(len(e), pa.bool_()),
                                           pa.array(e["key"].astype(np.int64)), pa.array(e["n"].astype(np.int32)), pa.array(e["pos"].astype(np.int32))], names=schema.names)
 
-    return scanned.repartition(parts, "part").select("doc_id", "line_no", "sid", "blob").mapInArrow(run, schema)
+    return scanned.repartition(parts, "part").select("doc_id", "line_no", "sid", "again", "blob").mapInArrow(run, schema)
 
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame, rank: np.ndarray) -> DataFrame:
@@ -317,64 +324,64 @@ def partners(entries: DataFrame, percent: int, every: bool) -> DataFrame:
 
     ``every`` False: for each entry the most alike earlier partner, and the earliest possible one.
     ``every`` True: all earlier partners of entries that are not ``done``."""
-    ordered = entries.select("key", "sid", "n", "pos", "bitmap", "at", "done").repartition("key").sortWithinPartitions("key", "at")
+    ordered = entries.select("key", "sid", "n", "pos", "bitmap", "at", "done").repartition("key").sortWithinPartitions("key", "n")
 
     def pairs(t: pa.Table) -> pa.RecordBatch:
         e = np.zeros(t.num_rows, [("key", "<i8"), ("n", "<i8"), ("pos", "<i8")])
         for c in ("key", "n", "pos"):
             e[c] = t.column(c).to_numpy()
-        sid, done = t.column("sid").to_numpy(), t.column("done").to_numpy()
+        sid, done, place = t.column("sid").to_numpy(), t.column("done").to_numpy(), t.column("at").to_numpy()
         bitmap = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(-1, WIDE)
         left, right = [], []
         best, alike = np.full(len(e), -1), np.full(len(e), 1 << 40)
-        first = np.full(len(e), len(e))
-        for i, j, differ in _candidates(e, bitmap, percent):  # i comes earlier: sorted by position in a group
-            other = sid[i] != sid[j]
+        first, early = np.full(len(e), -1), np.full(len(e), np.iinfo(np.int64).max)
+        for i, j, differ in _candidates(e, bitmap, percent):
+            other = place[i] != place[j]
             i, j, differ = i[other], j[other], differ[other]
+            i, j = np.where(place[i] < place[j], i, j), np.where(place[i] < place[j], j, i)  # i is the earlier line set
             if every:
                 open_ = ~done[j]
                 left.append(i[open_]), right.append(j[open_])
             else:
-                better = differ < alike[j]
-                best[j[better]], alike[j[better]] = i[better], differ[better]
-                first[j] = np.minimum(first[j], i)
+                # In one pass an entry is the earlier of at most one pair and the later of at most one from
+                # each side, so the updates are made one side at a time.
+                for side in (i < j, i > j):
+                    x, y, d = i[side], j[side], differ[side]
+                    better = d < alike[y]
+                    best[y[better]], alike[y[better]] = x[better], d[better]
+                    better = place[x] < early[y]
+                    first[y[better]], early[y[better]] = x[better], place[x][better]
         if not every:
-            for found in (best, np.where(first < len(e), first, -1)):
+            for found in (best, first):
                 ok = np.flatnonzero(found >= 0)
                 left.append(found[ok]), right.append(ok)
         x, y = (np.concatenate(s) if s else np.zeros(0, np.int64) for s in (left, right))
         return pa.RecordBatch.from_arrays([pa.array(sid[x]), pa.array(sid[y])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([held, table]) if held is not None else table
-            key = table.column("key").to_numpy()
-            whole = int(np.searchsorted(key, key[-1]))
-            held = table.slice(whole)
-            if whole:
-                yield pairs(table.slice(0, whole).combine_chunks())
-        if held is not None:
-            yield pairs(held.combine_chunks())
+        yield from whole_groups(batches, "key", pairs)
 
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def kept_lines(docs: DataFrame, percent: int = 75, min_words: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(lines, kept): every eligible line (doc_id, line_no, sid) of ``docs`` (doc_id, text), and those that stay."""
+def gone_lines(docs: DataFrame, percent: int = 75, min_words: int = 3) -> DataFrame:
+    """(doc_id, line_no) of every line of ``docs`` (doc_id, text) that is removed."""
     docs = docs.filter(F.col("doc_id").isNotNull())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     rank, frequent = word_counts(docs)
     dealt = materialize(active_entries(scan_lines(docs, rank, frequent, percent, min_words, parts), percent, parts), "dealt")
-    lines = dealt.filter("key IS NULL").select("doc_id", "line_no", "sid")
+    lines = dealt.filter("key IS NULL").select("doc_id", "line_no", "sid", "again")
     active = dealt.filter("key IS NOT NULL").select("key", "sid", "n", "pos")
-    first = lines.groupBy("sid").agg(F.min(F.struct("doc_id", "line_no")).alias("f"))
-    first = materialize(first.select("sid", "f.doc_id", "f.line_no"), "first")
-    wanted = first.join(active.select("sid").distinct(), "sid", "left_semi")
-    wanted = materialize(global_row_number(materialize(wanted, "wanted"), ["doc_id", "line_no", "sid"], out="at"), "wanted")
+    fresh = lines.filter(~F.col("again"))
+    # Line sets that several documents hold, with the first of these.
+    held = fresh.groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("c"))
+    held = _small(materialize(held.filter("c > 1").select("sid", "first_id"), "held"))
+    copied = fresh.join(held, "sid").filter(F.col("doc_id") != F.col("first_id"))
+    # First places of the line sets that may be like others, numbered in order.
+    possible = _small(materialize(active.select("sid").distinct(), "possible"))
+    wanted = fresh.join(possible, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("doc_id", "line_no")).alias("f"))
+    wanted = materialize(wanted.select("sid", "f.doc_id", "f.line_no"), "wanted")
+    wanted = materialize(global_row_number(wanted, ["doc_id", "line_no", "sid"], out="at"), "wanted")
     sets = materialize(wanted_sets(docs, wanted, rank), "sets")
     info = sets.select(F.col("cid").alias("sid"), "bitmap").join(wanted.select("sid", "at"), "sid")
     entries = materialize(active.join(info, "sid"), "entries")
@@ -384,16 +391,23 @@ def kept_lines(docs: DataFrame, percent: int = 75, min_words: int = 3) -> tuple[
     flagged = entries.join(gone.withColumn("done", F.lit(True)), "sid", "left").withColumn("done", F.coalesce("done", F.lit(False)))
     more = confirm(materialize(partners(flagged, percent, True), "rest"), plain, percent)
     gone = materialize(gone.unionByName(more.select(F.col("b").alias("sid"))).distinct(), "gone")
-    return lines, first.join(gone, "sid", "left_anti").select("doc_id", "line_no")
+    place = ["doc_id", "line_no"]
+    out = lines.filter("again").select(*place).unionByName(copied.select(*place)).unionByName(wanted.join(gone, "sid").select(*place))
+    # Rows that repeat an id share its line numbers: one that stays for any of them stays.
+    repeated = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return out
+    own = lines.join(_small(repeated), "doc_id", "left_semi").join(held, "sid", "left").join(gone.withColumn("like", F.lit(True)), "sid", "left")
+    stay = own.filter(~F.col("again") & (F.col("first_id").isNull() | (F.col("first_id") == F.col("doc_id"))) & F.col("like").isNull())
+    return out.join(stay.select(*place).distinct(), place, "left_anti")
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, min_words: int = 3) -> DataFrame:
     """(key, n_lines, n_removed, removed): per row of ``docs`` the numbers (from 0) of its removed lines, comma-joined."""
     plain = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    lines, kept = kept_lines(plain, percent, min_words)
-    gone = lines.select("doc_id", "line_no").distinct().join(kept, ["doc_id", "line_no"], "left_anti")
-    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line_no")).alias("gone"))
-    counted = plain.select("doc_id", (F.length("text") - F.length(F.translate("text", "\n", "")) + 1).cast("long").alias("n_lines"))
+    gone = gone_lines(plain, percent, min_words).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    counted = plain.select("doc_id", (breaks + 1).cast("long").alias("n_lines"))
     out = counted.join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     # Only rows that repeat an id can be shorter than the numbers removed for it.
     own = F.filter("gone", lambda x: x < F.col("n_lines"))
@@ -404,9 +418,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", perc
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, min_words: int = 3) -> DataFrame:
     """``docs`` without the removed lines. A document that had words and keeps none is left out."""
     plain = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    lines, kept = kept_lines(plain, percent, min_words)
-    gone = lines.select("doc_id", "line_no").distinct().join(kept, ["doc_id", "line_no"], "left_anti")
-    gone = gone.groupBy(F.col("doc_id").alias("_line_id")).agg(F.collect_list("line_no").alias("_line_gone"))
+    gone = gone_lines(plain, percent, min_words).groupBy(F.col("doc_id").alias("_line_id")).agg(F.collect_set("line_no").alias("_line_gone"))
     joined = docs.join(_small(materialize(gone, "gone")), F.col(key) == F.col("_line_id"), "left")
     stay = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains("_line_gone", i))
     joined = joined.withColumn("_line_text", F.when(F.col("_line_gone").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n")))

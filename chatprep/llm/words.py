@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SEGMENT = 1 << 20  # bytes hashed at a time: bounds the memory of the prefix sums
+SEGMENT = 1 << 15  # bytes hashed at a time: the prefix sums stay in the processor's cache
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -45,7 +45,7 @@ _POW: dict[int, np.ndarray] = {}
 def _powers(base: int, n: int) -> np.ndarray:
     if base not in _POW or len(_POW[base]) < n:
         table = powers(base, max(n, SEGMENT + 1))
-        if n > 4 * SEGMENT:  # a single huge word: do not keep its table
+        if n > 1 << 22:  # a single huge word: do not keep its table
             return table
         _POW[base] = table
     return _POW[base][:n]
@@ -93,15 +93,20 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Byte starts and ends of all words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~IS_SPACE[data]
-    edge = offsets[(offsets > 0) & (offsets < len(data))]
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    first[edge] = word[edge]
-    last = word.copy()
-    last[:-1] &= ~word[1:]
-    last[edge - 1] = word[edge - 1]
-    return np.flatnonzero(first), np.flatnonzero(last) + 1
+    word = (data > 32) | (data < 9) | ((data > 13) & (data < 32))
+    turn = np.flatnonzero(word[1:] != word[:-1]) + 1
+    opens = word[turn]
+    starts, ends = turn[opens], turn[~opens]
+    if word[0]:
+        starts = np.concatenate([[0], starts])
+    if word[-1]:
+        ends = np.concatenate([ends, [len(data)]])
+    edge = np.unique(offsets[(offsets > 0) & (offsets < len(data))])
+    edge = edge[word[edge] & word[edge - 1]]  # a word ends with its text
+    if len(edge):
+        starts = np.insert(starts, np.searchsorted(starts, edge), edge)
+        ends = np.insert(ends, np.searchsorted(ends, edge), edge)
+    return starts, ends
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,8 +108,11 @@ def shingled(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+def _small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """A written table with a broadcast hint if it was counted to be small, else as it is (a plain join).
+    ``weight`` counts what a row holds where that is not one value per column."""
+    rows = df.count() if weight is None else df.agg(F.sum(weight + 1)).first()[0] or 0
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
 
 
 def _signs(column: pa.Array) -> np.ndarray:

@@ -289,7 +289,8 @@ def active_entries(scanned: DataFrame, percent: int, parts: int) -> DataFrame:
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame, rank: np.ndarray) -> DataFrame:
     """(sid, cid, shingles, bitmap): the words of the lines ``wanted`` (sid, doc_id, line_no), read again."""
-    lists = _small(materialize(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "sid")).alias("asked")), "asked"))
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "sid")).alias("asked"))
+    lists = _small(materialize(lists, "asked"), F.size("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -419,7 +420,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     """``docs`` without the removed lines. A document that had words and keeps none is left out."""
     plain = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     gone = gone_lines(plain, percent, min_words).groupBy(F.col("doc_id").alias("_line_id")).agg(F.collect_set("line_no").alias("_line_gone"))
-    joined = docs.join(_small(materialize(gone, "gone")), F.col(key) == F.col("_line_id"), "left")
+    gone = _small(materialize(gone, "gone"), F.size("_line_gone"))
+    joined = docs.join(gone, F.col(key) == F.col("_line_id"), "left")
     stay = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains("_line_gone", i))
     joined = joined.withColumn("_line_text", F.when(F.col("_line_gone").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n")))
     empty = F.col("_line_gone").isNotNull() & ~F.col("_line_text").rlike("[^\\x20\\x09-\\x0D]")

@@ -7,9 +7,10 @@ carry the same alias on both sides. The SQL runs in DuckDB over the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.json import is_valid_json
@@ -23,7 +24,7 @@ from ..functions.text import (
     py_strip,
 )
 from ..operators import batches, messages, registry, sessions, tokens, validate
-from ..session import table
+from ..session import checkpoint_dir, table
 from . import fixtures
 from .training import rendered_texts, training_examples, training_examples_from_lines
 
@@ -84,6 +85,33 @@ def _catalog(spark):
 # queries
 # ------------------------------------------------------------------------------------------
 
+def _written_lines(spark, lines):
+    """Write lines in order as text files under the checkpoint folder (a few files); returns the path."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/lines-{uuid.uuid4().hex}"
+    lines.repartitionByRange(4, "line_no").sortWithinPartitions("line_no").select("line").write.text(path)
+    return path
+
+
+def q_read_jsonl_lines(spark, d):
+    """Written and read again: the lines of the files in order, numbered through."""
+    from ..sources.jsonl import read_jsonl_lines
+
+    read = read_jsonl_lines(spark, _written_lines(spark, _lines(spark, d)))
+    sizes = read.groupBy("file").agg(F.count(F.lit(1)).alias("n"))  # one row per file
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return read.join(F.broadcast(sizes), "file").select((F.col("line_no") + F.col("before")).alias("line_no"), "line")
+
+
+def q_read_chat_jsonl(spark, d):
+    """Written and read again: the messages of every line that passes the gate."""
+    from ..sources.jsonl import read_chat_jsonl
+
+    ok = validate.classify_lines(_lines(spark, d)).filter("status = 'ok'")
+    read = read_chat_jsonl(spark, _written_lines(spark, ok.select("line_no", py_strip("line").alias("line"))))
+    return read.select(F.size("messages").alias("n_messages"), _json("messages").alias("messages"))
+
+
 def q_is_valid_json(spark, d):
     return _lines(spark, d).select("file", "line_no", is_valid_json("line").alias("valid"))
 
@@ -295,6 +323,20 @@ def q_replay_sessions(spark, d):
         "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events")
 
 
+def q_replay_sessions_stream(spark, d):
+    """The events as a stream, run to its end; the last summary of every session."""
+    from ..streaming.sessions import latest_summaries, run_replay_stream
+
+    events = f"{d.rstrip('/')}/events.parquet"
+    # as a pattern, the path may be one file as well as a directory of files
+    stream = spark.readStream.schema(spark.read.parquet(events).schema).parquet(events[:-1] + "[t]")
+    run = f"{checkpoint_dir(spark).rstrip('/')}/tables/stream-{uuid.uuid4().hex}"
+    q = run_replay_stream(fixtures.as_session_log(stream), f"{run}/out", checkpoint=f"{run}/state")
+    q.awaitTermination()
+    return latest_summaries(spark.read.parquet(f"{run}/out")).select(
+        "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events")
+
+
 def q_replay_messages(spark, d):
     return sessions.replay_messages(_log(spark, d))
 
@@ -328,6 +370,8 @@ def q_history_view_sessions(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "read_jsonl_lines": q_read_jsonl_lines,
+    "read_chat_jsonl": q_read_chat_jsonl,
     "is_valid_json": q_is_valid_json,
     "classify_lines": q_classify_lines,
     "validation_report": q_validation_report,
@@ -366,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_view_sessions": q_history_view_sessions,
     "classify_command": q_classify_command,
     "replay_sessions": q_replay_sessions,
+    "replay_sessions_stream": q_replay_sessions_stream,
     "replay_messages": q_replay_messages,
     "session_snapshots": q_session_snapshots,
     "snapshot_messages": q_snapshot_messages,
@@ -678,6 +723,11 @@ SELECT {key}, CAST(idx AS INTEGER) AS idx, CAST(idx AS VARCHAR) || '. ' || lab |
 
 
 ORACLE_SQL: dict[str, str] = {
+    "read_jsonl_lines": "WITH " + CHAT_LINES + """
+SELECT line_no, line FROM lines""",
+    "read_chat_jsonl": "WITH " + CHAT_LINES + ", " + STATUS + """,
+okc AS (SELECT CAST(json_extract(s, '$.messages') AS STRUCT(role VARCHAR, content VARCHAR)[]) AS m FROM classified JOIN status_lines USING (file, line_no) WHERE status = 'ok')
+SELECT CAST(len(m) AS INTEGER) AS n_messages, CAST(to_json(m) AS VARCHAR) AS messages FROM okc""",
     "is_valid_json": "WITH " + CHAT_LINES + """
 SELECT file, line_no, json_valid(line) AS valid FROM lines""",
     "classify_lines": "WITH " + CHAT_LINES + ", " + STATUS + """
@@ -826,6 +876,10 @@ SELECT sid, seq, cmd FROM cmds""",
     "replay_sessions": "WITH " + LOG + """
 SELECT b.sid, CAST(2 * (SELECT count(*) FROM final_msgs f WHERE f.sid = b.sid) AS BIGINT) AS total_messages,
   b.first_exit_seq IS NOT NULL AS ended_by_exit, b.first_exit_seq, c.last_clear_seq, b.n_events
+FROM bounds b LEFT JOIN clears c USING (sid)""",
+    "replay_sessions_stream": "WITH " + LOG + """
+SELECT b.sid, CAST(2 * (SELECT count(*) FROM final_msgs f WHERE f.sid = b.sid) AS BIGINT) AS total_messages,
+  b.first_exit_seq IS NOT NULL AS ended_by_exit, b.first_exit_seq, c.last_clear_seq, b.n_events
 FROM bounds b LEFT JOIN clears c USING (sid)""",
     "replay_messages": "WITH " + LOG + f"""
 SELECT sid, seq, 0 AS part, 'user' AS role, text AS content FROM final_msgs

@@ -81,7 +81,11 @@ def session_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     message: commands are not stripped); otherwise the event's props. Response: NULL for error
     events (generation failed), else "**<event_type>** <props><end_of_turn> trailer".
     ``requested`` (save path asked for) by event_id % 4: NULL, '', '/abs/<sid>.json', 'user_<sid>.json'."""
-    ev = table(spark, sf_dir, "events")
+    return as_session_log(table(spark, sf_dir, "events"))
+
+
+def as_session_log(ev: DataFrame) -> DataFrame:
+    """``session_log`` of an events table, or of a stream of events."""
     eid = F.col("event_id")
     text = (
         F.when(eid % 997 == 0, F.lit("exit"))

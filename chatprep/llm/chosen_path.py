@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .shared import materialize, whole_groups
+from .shared import materialize, trimmed, whole_groups
 
 SHINGLE = 5
 TREES, TOKENS = 6, 3
@@ -105,7 +105,7 @@ def shingled(docs: DataFrame) -> DataFrame:
                 blobs = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(np.arange(0, (hi - lo + 1) * SIGNATURE, SIGNATURE, dtype=np.int32)), pa.py_buffer(sign)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2), lists, blobs], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def _small(df: DataFrame, weight: Column | None = None) -> DataFrame:
@@ -186,7 +186,7 @@ def candidate_forest(rows: DataFrame, share: float, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole_groups(batches, "node", forest)
 
-    return _unordered(ordered.mapInArrow(run, _pair_schema(rows)))
+    return _unordered(ordered.mapInArrow(trimmed(run), _pair_schema(rows)))
 
 
 def _most_common(values: list[np.ndarray], i: int, j: np.ndarray) -> np.ndarray:
@@ -245,7 +245,7 @@ def cluster_links(rows: DataFrame, percent: int, least: float, every: bool) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole_groups(batches, "node", links)
 
-    return _unordered(ordered.mapInArrow(run, _pair_schema(rows)))
+    return _unordered(ordered.mapInArrow(trimmed(run), _pair_schema(rows)))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 compact = [(half if b - a <= SHORT else hashes)[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets, pa.array(compact, pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -294,7 +294,7 @@ def _estimates(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(e)], names=[*keep, "estimate"])
 
     assert keep[-1] == "signature"
-    return rows.select(*keep, "p_signature").mapInArrow(run, schema)
+    return rows.select(*keep, "p_signature").mapInArrow(trimmed(run), schema)
 
 
 def _sized(rows: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import words as W
+from .shared import trimmed
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -110,4 +111,4 @@ def document_statistics(docs: DataFrame, keys: list[str], text: str = "text") ->
                     + [pa.array(s[c], pa.int64()) for c in COUNTS] + [pa.array(s[c], pa.float64()) for c in MEASURES],
                     names=[*keys, *COUNTS, *MEASURES])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)

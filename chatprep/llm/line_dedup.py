@@ -39,16 +39,16 @@ from pyspark.sql import types as T
 from ..operators.ranking import global_row_number
 from . import words as W
 from .chosen_path import _small, confirm
-from .shared import materialize, whole_groups
+from .shared import materialize, trimmed, whole_groups
 
 U = np.uint64
 BUCKET_BITS = 18       # buckets of the rarity table: 2 MB, whatever the input
 TOKEN_BITS = 44        # of a word's hash in candidate generation; the rest of a long numbers the line
 LINES_AT_ONCE = 1 << (64 - TOKEN_BITS)
-SLICE = 1 << 21        # bytes of text per numpy step: fewer lines with words than LINES_AT_ONCE
+SLICE = 1 << 20        # bytes of text per numpy step: fewer lines with words than LINES_AT_ONCE
 FREQUENT = 2048        # a word is counted by name in a task where it makes up 1 in this many words
 GROUP = 8192           # entries that one group may be expected to hold
-BUFFER = 1 << 20       # entries that a task holds before it deals them out
+BUFFER = 1 << 19       # entries that a task holds before it deals them out
 WIDE = 8               # longs of the bitmap that verification candidates use
 BITS = 2               # longs of the bitmap that an entry carries
 ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("pos", "<u2"), ("sid", "<u8"), ("bits", "<u8", (BITS,))])
@@ -109,7 +109,7 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
                                          names=["bucket", "name", "count"])
 
     # One row per bucket and per frequent word: a fixed number of the first, at most FREQUENT per slice of the second.
-    total = docs.select("text").mapInArrow(run, "bucket long, name long, count long").groupBy("bucket", "name").agg(F.sum("count").alias("count"))
+    total = docs.select("text").mapInArrow(trimmed(run), "bucket long, name long, count long").groupBy("bucket", "name").agg(F.sum("count").alias("count"))
     total = total.filter((F.col("name") < 0) | (F.col("count") > GROUP)).toArrow()
     bucket, name, count = (total.column(i).to_numpy() for i in range(3))
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
@@ -227,7 +227,7 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
         if held:
             yield from dealt()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def _candidates(e: np.ndarray, bitmap: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -284,7 +284,7 @@ def active_entries(scanned: DataFrame, percent: int, parts: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.nulls(len(e), kind), pa.nulls(len(e), pa.int32()), pa.array(e["sid"].view(np.int64)), pa.nulls(len(e), pa.bool_()),
                                           pa.array(e["key"].astype(np.int64)), pa.array(e["n"].astype(np.int32)), pa.array(e["pos"].astype(np.int32))], names=schema.names)
 
-    return scanned.repartition(parts, "part").select("doc_id", "line_no", "sid", "again", "blob").mapInArrow(run, schema)
+    return scanned.repartition(parts, "part").select("doc_id", "line_no", "sid", "again", "blob").mapInArrow(trimmed(run), schema)
 
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame, rank: np.ndarray) -> DataFrame:
@@ -317,7 +317,7 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame, rank: np.ndarray) -> DataFra
                 blobs = pa.array([b.tobytes() for b in bitmap], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(sid[chosen]), sets, blobs], names=["cid", "shingles", "bitmap"])
 
-    return docs.join(lists, "doc_id").select("text", "asked").mapInArrow(run, "cid long, shingles array<long>, bitmap binary")
+    return docs.join(lists, "doc_id").select("text", "asked").mapInArrow(trimmed(run), "cid long, shingles array<long>, bitmap binary")
 
 
 def partners(entries: DataFrame, percent: int, every: bool) -> DataFrame:
@@ -362,7 +362,7 @@ def partners(entries: DataFrame, percent: int, every: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole_groups(batches, "key", pairs)
 
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(trimmed(run), "a long, b long").distinct()
 
 
 def gone_lines(docs: DataFrame, percent: int = 75, min_words: int = 3) -> DataFrame:

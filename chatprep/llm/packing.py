@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_row_number
-from .shared import materialize
+from .shared import materialize, trimmed
 
 VOCABULARY = "byte_bpe_50k.json"
 CLOSING_ID = 2
@@ -105,7 +105,7 @@ def tokenize_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", ca
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
 
 
 @dataclass
@@ -189,7 +189,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", cap
 
     kind = pieces.schema["doc_id"].dataType.simpleString()
     placed = ranked.select(*columns, F.col("rank").cast("long")).mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        trimmed(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     return placed.withColumnRenamed("doc_id", key)
 
 

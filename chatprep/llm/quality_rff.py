@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .docstats import MEASURES, document_statistics
-from .shared import fold, materialize
+from .shared import fold, materialize, trimmed
 
 SMALL_ROWS = 500_000  # rejected rows (two longs each) are broadcast only if counted to be at most so many
 CLIP = 5.0  # standardised statistics beyond this many deviations count as this many
@@ -97,8 +97,8 @@ def normal_equations(rows: DataFrame, model: QualityModel, adders: int = 16) ->
                 right += np.frombuffer(r)
         yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()]), pa.array([right.tobytes()])], names=["gram", "right"])
 
-    blocks = rows.select("label", *MEASURES).mapInArrow(sums, "gram binary, right binary")
-    parts = blocks.repartition(adders).mapInArrow(add, "gram binary, right binary").collect()
+    blocks = rows.select("label", *MEASURES).mapInArrow(trimmed(sums), "gram binary, right binary")
+    parts = blocks.repartition(adders).mapInArrow(trimmed(add), "gram binary, right binary").collect()
     gram = sum((np.frombuffer(p["gram"]) for p in parts), np.zeros(size * size)).reshape(size, size)
     return gram, sum((np.frombuffer(p["right"]) for p in parts), np.zeros(size))
 
@@ -131,7 +131,7 @@ def fit(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((r * bins).astype(np.int32))], names=["label", "bin"])
 
     def grid(part: DataFrame) -> list:
-        binned = part.select("label", *MEASURES).mapInArrow(raw, "label double, bin int")
+        binned = part.select("label", *MEASURES).mapInArrow(trimmed(raw), "label double, bin int")
         return binned.groupBy("bin").agg(F.count("label").alias("n"), F.sum("label").alias("y")).orderBy("bin").collect()
 
     cells = grid(rows.filter("fold = 1")) or grid(rows)
@@ -161,7 +161,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
                 low = pa.array(model.score(_matrix(batch, 2)) < threshold)
                 yield pa.RecordBatch.from_arrays([c.filter(low) for c in batch.columns[:2]], names=own)
 
-    rejected = materialize(stats.select(*own, *MEASURES).mapInArrow(run, f"{own[0]} long, {own[1]} long").distinct(), "rejected")
+    rejected = materialize(stats.select(*own, *MEASURES).mapInArrow(trimmed(run), f"{own[0]} long, {own[1]} long").distinct(), "rejected")
     if rejected.count() <= SMALL_ROWS:
         rejected = F.broadcast(rejected)
     hashed = docs.select("*", *_row_key(F.col(key), F.col(text)))
@@ -182,6 +182,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], names=["doc_id", "fold", "score"])
 
     scored = stats.select("doc_id", "fold", *MEASURES).mapInArrow(
-        run, f"doc_id {stats.schema['doc_id'].dataType.simpleString()}, fold long, score double")
+        trimmed(run), f"doc_id {stats.schema['doc_id'].dataType.simpleString()}, fold long, score double")
     return scored.select(F.col("doc_id").alias(key), (F.col("fold") == 0).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

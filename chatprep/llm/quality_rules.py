@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .docstats import COUNTS, MEASURES, document_statistics
-from .shared import fold, materialize
+from .shared import fold, materialize, trimmed
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -160,7 +160,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
                                              names=["doc_id", *COUNTS, "probability"])
 
     schema = f"doc_id {stats.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{c} long' for c in COUNTS)}, probability double"
-    scored = stats.select("doc_id", *COUNTS, *MEASURES).mapInArrow(run, schema)
+    scored = stats.select("doc_id", *COUNTS, *MEASURES).mapInArrow(trimmed(run), schema)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.withColumn("base_failed", failed).select(
         F.col("doc_id").alias(key), *COUNTS, "base_failed", "probability",

@@ -78,7 +78,7 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
-def slices(offsets: np.ndarray, most: int = 4 << 20) -> list[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 20) -> list[tuple[int, int]]:
     """Cut a batch into runs of whole texts of about ``most`` bytes."""
     out, lo, n = [], 0, len(offsets) - 1
     while lo < n:

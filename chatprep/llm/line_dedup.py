@@ -2,12 +2,14 @@
 
 A line (split at \\n) is the set of its distinct words, A-Z in lower case. A line is removed if an
 earlier line (by id, then line number; removed or not) has a Jaccard similarity of ``percent`` or
-more; lines with fewer than ``min_words`` distinct words stay and match nothing.
+more; lines with fewer than ``min_words`` distinct words stay and match nothing. With ``min_words=1``, as
+the queries call it, every line with a word takes part.
 
 1. Word counts over all lines, added up in a fixed number of hash buckets, order words by rarity. Any
    fixed order gives the exact result; a good one makes it cheap. Very frequent words are counted by name.
 2. Every line enters the groups of its rarest words: two similar lines share a word among the first
-   n - ceil(t n) + 1 of each. Tasks pack these entries (word, line set, size, position, parity bitmap)
+   n - ceil(t n) + 1 of each. Lines too short to be similar to any other set (n / (n + 1) < t: one or two
+   words at 0.75) match equal sets only, so they enter none and are found by their set's hash. Tasks pack these entries (word, line set, size, position, parity bitmap)
    into arrays dealt by word, one row per array, copies of a line set within a task only once. A frequent
    word's group is dealt into block pairs, so that no group outgrows a task and any two lines still meet.
 3. In a group, pairs must pass the length filter, the positional filter (enough words left at the first
@@ -84,6 +86,11 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
+def _alone(n: np.ndarray, percent: int) -> np.ndarray:
+    """Is a line of n words similar to equal sets only? (Unequal sets have at most n / (n + 1) in common.)"""
+    return n * (100 - percent) < percent
+
+
 def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
     """(rank of each bucket by count, {token bits of a frequent word: count}) over all words of ``docs`` (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +128,10 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
 
 def _entries(tokens: np.ndarray, line: np.ndarray, n: np.ndarray, sid: np.ndarray, bits: np.ndarray, first: np.ndarray,
              percent: int, blocks: dict[int, int]) -> np.ndarray:
-    """The group entries of a run of lines: one per prefix word, more for words dealt into blocks."""
+    """The group entries of a run of lines: one per prefix word, more for words dealt into blocks, none for
+    lines that only equal sets are similar to."""
     pos = np.arange(len(tokens)) - first[line]
-    take = pos <= (n - _needed(n, percent))[line]
+    take = (pos <= (n - _needed(n, percent))[line]) & ~_alone(n, percent)[line]
     token, at, pos = tokens[take], line[take], pos[take]
     entry = np.empty(len(token), ENTRY)
     key = W.mix(token, 3)
@@ -219,8 +227,10 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
                 size += len(entry)
                 ids = batch.column(0).slice(lo, hi - lo).take(pa.array(ldoc))
                 rows = len(ldoc)
+                # Short lines repeat most: they are dealt evenly, not by line set.
+                deal = np.where(_alone(n, percent), np.arange(rows, dtype=np.uint64) + sid[0] % U(parts), sid)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(sid.view(np.int64)), pa.array(again),
-                                                  pa.array((sid % U(parts)).astype(np.int32)), pa.nulls(rows, pa.binary())], names=schema.names)
+                                                  pa.array((deal % U(parts)).astype(np.int32)), pa.nulls(rows, pa.binary())], names=schema.names)
                 if size >= BUFFER:
                     yield from dealt()
                     held, size = [], 0

@@ -74,7 +74,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents"), min_words=1)
 
 
 @query("op10_simhash")

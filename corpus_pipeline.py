@@ -31,7 +31,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.deduplicated(docs)
+    out = line_dedup.deduplicated(docs, min_words=1)
     if "n_chars" not in docs.columns:
         return out
     count = F.length("text").cast(docs.schema["n_chars"].dataType)

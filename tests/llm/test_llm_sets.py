@@ -8,6 +8,8 @@ import pytest
 from llm_brute import near_components, removed_lines
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_mod
+import corpus_pipeline
 from chatprep.llm import chosen_path, components, line_dedup, simhash
 
 SF01 = "/root/testdata/sf0.01"
@@ -127,6 +129,32 @@ def test_line_dedup_defined_cases(spark):
     assert line_dedup.removed_lines(docs.limit(0)).count() == 0 and line_dedup.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_short_lines_match_equal_sets(spark):
+    wide = "文" * 400
+    texts = ["Thanks.\nalpha beta gamma", "thanks.\nThanks. \nThanks. you", f"{wide}\nhm hm hm", f"you THANKS.\n\n{wide}\nhm", "alpha beta\nalpha beta gamma delta"]
+    rows = list(enumerate(texts))
+    expected = removed_lines(rows, 1)
+    assert expected == {1: [0, 1], 3: [0, 2, 3], 4: [1]}
+    assert gone(spark, rows, min_words=1) == {i: expected[i] for i, _ in rows}
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, docs, "").collect()}
+    assert kept == {0: texts[0], 1: "Thanks. you", 2: texts[2], 4: "alpha beta"}
+
+
+@pytest.mark.parametrize("seed,alphabet", [(15, 400), (16, 5)])
+def test_removed_lines_of_any_length_equal_all_pairs(spark, seed, alphabet):
+    rows = variants(seed, groups=8, most=25, alphabet=alphabet)
+    expected = removed_lines(rows, 1)
+    assert gone(spark, rows, min_words=1) == {i: expected[i] for i, _ in rows}
+
+
+def test_line_dedup_query_leaves_no_equal_line(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
+    expected = removed_lines(rows, 1)
+    got = {r.doc_id: [int(x) for x in r.removed.split(",") if x] for r in entry_mod.queries()["op9_line_dedup"](spark, SF01).collect()}
+    assert got == {i: expected[i] for i, _ in rows}
+
+
 def test_fingerprints_equal_plain_python(spark):
     rows = variants(21, groups=6, most=20) + [(100000 + i, t) for i, t in enumerate(["é😀" * 7, "x" * 4000, "same", "same"])]
     got = {r.doc_id: r for r in simhash.fingerprint_documents(spark.createDataFrame(rows, SCHEMA).withColumn("_h", F.lit(1))).collect()}

@@ -79,6 +79,13 @@ def test_components_of_chains_and_hubs(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_that_have_not_converged_are_an_error(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="rounds"):
+        components.components(links, rounds=1)
+    assert {r.root for r in components.components(links).collect()} == {0}
+
+
 def test_near_duplicates_defined_cases(spark):
     text = "the quick brown fox jumps over the lazy dog again and again"
     rows = [(3, text), (3, text), (9, text), (None, text), (5, None), (6, ""), (7, "alone"), (8, "alone"), (10, "other text that is its own one here"), (10, text)]

@@ -131,6 +131,14 @@ def test_spans_are_added_where_the_base_fails(spark):
     assert got[3].spans == ""
 
 
+def test_long_secrets_are_covered_whole(spark):
+    key = "token=" + "aB3_" * 150
+    mixed = "password=" + "1" * 20000 + "a" * 20000  # the labelers stay linear in it
+    texts = [f"use {key} now", "mail a@b.com or call +1 (212) 555-0101 please", mixed, "nothing here"] * 20
+    got = {r.doc_id: r for r in pii_labelers.find_personal_data(frame(spark, texts)).collect()}
+    assert len(got) == len(texts) and got[0].spans == f"secret:4:{4 + len(key)}"
+
+
 def test_reliability_is_recovered():
     rng = random.Random(2)
     right = [0.95, 0.9, 0.8, 0.7, 0.6]

@@ -10,8 +10,10 @@ the queries call it, every line with a word takes part.
 2. Every line enters the groups of its rarest words: two similar lines share a word among the first
    n - ceil(t n) + 1 of each. Lines too short to be similar to any other set (n / (n + 1) < t: one or two
    words at 0.75) match equal sets only, so they enter none and are found by their set's hash. Tasks pack these entries (word, line set, size, position, parity bitmap)
-   into arrays dealt by word, one row per array, copies of a line set within a task only once. A frequent
-   word's group is dealt into block pairs, so that no group outgrows a task and any two lines still meet.
+   into arrays dealt by word, one row per array, copies of a line set within a task only once. The
+   group of a word counted by name (over 1 in FREQUENT words of a slice) is dealt into block pairs, and any
+   two lines still meet. Any other word's group is in one task whole, compared in time up to the square of
+   its size, which grows with the input.
 3. In a group, pairs must pass the length filter, the positional filter (enough words left at the first
    common one), and the bitmap bound (equal words cannot differ in parity, so the bits in which two
    bitmaps differ bound the overlap from above).

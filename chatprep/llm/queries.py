@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import chat_collapse, chosen_path, jump_shards, line_dedup, mixing, packing, pii_labelers, quality_rff, quality_rules, simhash
+from . import (chat_collapse, chosen_path, hard_negatives, jump_shards, line_dedup, merkle, mixing, packing, pii_labelers, quality_rff,
+               quality_rules, simhash, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -80,3 +81,67 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_toxicity_trees")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_hard_negatives", sql="""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same),
+n AS (SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+        AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+      WHERE place <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_negatives(table(spark, sf_dir, "embeddings"), label=hard_negatives.planted_label())
+
+
+@query("op13_merkle_manifest", sql="""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, n_chars, '' || coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+         coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS mid, coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS mid2,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))) AS crc
+  FROM documents),
+l AS (
+  SELECT doc_id, lang, sha256(head || mid || tail) AS leaf, CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN sha256(head || mid2 || tail) ELSE sha256(head || mid || tail) END AS used,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(head || mid || tail)) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+  FROM d),
+t AS (
+  SELECT lang, 0 AS lvl, idx, leaf AS digest, n FROM l
+  UNION ALL
+  SELECT lang, lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, lvl, idx // 2, n),
+s AS (SELECT lang, lvl AS depth, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS lvl, idx, subroot AS digest, n FROM s
+  UNION ALL
+  SELECT lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY lvl, idx // 2, n),
+p AS (
+  SELECT l.doc_id, l.leaf, l.used, s.subroot, s.idx AS place, s.depth, l.lang, l.idx, 0 AS lvl, l.used AS acc, '' AS proof
+  FROM l JOIN s ON l.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.used, p.subroot, p.place, p.depth, p.lang, p.idx, p.lvl + 1,
+         CASE WHEN o.digest IS NULL THEN sha256(acc) WHEN (CASE WHEN p.lvl < depth THEN p.idx >> p.lvl ELSE p.place >> (p.lvl - depth) END) % 2 = 1 THEN sha256(o.digest || acc)
+              ELSE sha256(acc || o.digest) END, proof || coalesce(o.digest, '')
+  FROM p LEFT JOIN (SELECT lang, false AS high, lvl, idx, digest FROM t UNION ALL SELECT NULL, true, lvl, idx, digest FROM u) o
+    ON o.high = (p.lvl >= depth) AND (o.high OR o.lang IS NOT DISTINCT FROM p.lang)
+       AND o.lvl = CASE WHEN p.lvl < depth THEN p.lvl ELSE p.lvl - depth END
+       AND o.idx = xor(CASE WHEN p.lvl < depth THEN p.idx >> p.lvl ELSE p.place >> (p.lvl - depth) END, 1)
+  WHERE p.lvl < depth + (SELECT max(lvl) FROM u))
+SELECT doc_id, leaf, subroot, (SELECT digest FROM u WHERE n = 1) AS root, sha256(proof) AS proof_sha256, acc AS folded_root,
+       acc = (SELECT digest FROM u WHERE n = 1) AS verified
+FROM p WHERE lvl = depth + (SELECT max(lvl) FROM u)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))

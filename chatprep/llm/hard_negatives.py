@@ -208,9 +208,9 @@ def _cut(found: DataFrame, k: int) -> DataFrame:
 
 
 def _percent(score: Column, percent: int) -> Column:
-    """``percent`` hundredths of a score, rounded down, in whole numbers."""
-    x = F.lit(percent) * score
-    return F.call_function("div", x - F.pmod(x, F.lit(100)), F.lit(100))
+    """``percent`` hundredths of a score, rounded down, in whole numbers that stay within 64 bits."""
+    rest = F.pmod(score, F.lit(100))
+    return F.lit(percent) * F.call_function("div", score - rest, F.lit(100)) + F.call_function("div", F.lit(percent) * rest, F.lit(100))
 
 
 def mine_negatives(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str | Column = "label",
@@ -242,7 +242,7 @@ def mine_negatives(rows: DataFrame, key: str = "vec_id", vector: str = "embeddin
     chosen = chosen.select("anchor_id", "limits", "slots", F.explode("found").alias("p")).select("anchor_id", "limits", "slots", "p.*")
     slot = F.array_position("limits", _percent(F.col("positive_score"), high)).cast("int") - 1
     suffix = F.slice(F.filter("slots", lambda s: s["slot"] >= F.col("own")), 1, k)
-    window = F.filter("suffix", lambda s: s["score"] * 100 >= F.lit(low) * F.col("positive_score"))
+    window = F.filter("suffix", lambda s: s["score"] >= -_percent(-F.col("positive_score"), low))
     chosen = chosen.withColumn("own", slot).withColumn("suffix", suffix)
     out = chosen.select("anchor_id", "positive_id", "positive_score", F.posexplode(window).alias("at", "n"))
     return out.select("anchor_id", "positive_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.id").alias("negative_id"),

@@ -264,6 +264,12 @@ def q_plan_batches(spark, d):
     return batches.plan_batches(ex)
 
 
+def q_resume_batches(spark, d):
+    """Steps 2 to 4 of the second epoch, without the rest of the plan."""
+    ex = table(spark, d, "conversations").select(F.col("conv_id").alias("example_id")).distinct()
+    return batches.resume_batches(batches.number_examples(ex), epoch=1, first_step=2, steps=3)
+
+
 def q_resolve_special_ids(spark, d):
     resp = fixtures.raw_responses(spark, d).select(F.col("response").alias("text"))
     vocab = tokens.build_vocabulary(resp, "text")
@@ -399,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_tokens": q_encode_tokens,
     "training_examples": q_training_examples,
     "plan_batches": q_plan_batches,
+    "resume_batches": q_resume_batches,
     "resolve_special_ids": q_resolve_special_ids,
     "cut_at_eos": q_cut_at_eos,
     "bold_to_ansi": q_bold_to_ansi,
@@ -580,6 +587,33 @@ final_msgs AS (
   WHERE a.cmd = 'message' AND a.response IS NOT NULL AND (c.last_clear_seq IS NULL OR a.seq > c.last_clear_seq))"""
 
 
+def _mix_sql(x: str, key: str) -> str:
+    """A number below 2**31 from a number and a key."""
+    z = f"((y * 48271 + c + {key}) % 2147483647)"
+    return f"list_reduce([1013904223::BIGINT, 374761393, 668265263], lambda y, c: xor({z}, {z} >> 15), {x})"
+
+
+def _plan_sql(epochs: int) -> str:
+    """placed(epoch, example_id, position, n): examples numbered in id order, each number moved by six rounds
+    over a rectangle of width * height cells, and again while it is out of range."""
+    left, right = "(x // height)", "(x % height)"
+    rounds = f"""list_reduce(keys, lambda x, k: CASE WHEN k % 2 = 0
+    THEN (({left} + {_mix_sql(right, "(k // 2)")}) % width) * height + {right}
+    ELSE {left} * height + ({right} + {_mix_sql(left, "(k // 2)")}) % height END, """
+    return f"""WITH ex AS (SELECT DISTINCT conv_id AS example_id FROM conversations),
+sized AS (SELECT example_id, row_number() OVER (ORDER BY example_id) - 1 AS number, count(*) OVER () AS n FROM ex),
+roots AS (SELECT n, (SELECT min(h) FROM range(1, 100000) r(h) WHERE h * h >= m.n) AS root FROM (SELECT DISTINCT n FROM sized) m),
+tall AS (SELECT s.*, (SELECT arg_min(h, ((n + h - 1) // h * h - n) * 10000 + h) FROM range(1, 100000) q(h)
+  WHERE h >= root AND h < root + least(root // 8 + 1, 4096)) AS height FROM sized s JOIN roots USING (n)),
+wide AS (SELECT *, (n + height - 1) // height AS width FROM tall),
+bases AS (SELECT CAST(e AS INTEGER) AS epoch, {_mix_sql(_mix_sql("42::BIGINT", "0") + " + e", "0")} AS base FROM range({epochs}) r(e)),
+keyed AS (SELECT epoch, list_transform(range(6), lambda i: {_mix_sql("(base + i)", "0")} * 2 + i % 2) AS keys FROM bases),
+first AS (SELECT *, {rounds}number) AS moved FROM wide, keyed),
+placed AS (SELECT epoch, example_id, n, CASE WHEN moved < n THEN moved ELSE
+  list_reduce(range(width * height - n), lambda v, w: CASE WHEN v < n THEN v ELSE {rounds}v) END, moved) END AS position FROM first)
+"""
+
+
 def _eos_cut_sql(x: str) -> str:
     parts = []
     for e in EOS_SQL:
@@ -832,14 +866,10 @@ SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens,
   {_mask_sql('ids', CHECK_MAX_LENGTH)} AS attention_mask,
   {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS labels
 FROM encoded WHERE len(ids) > 0""",
-    "plan_batches": f"""WITH ex AS (SELECT DISTINCT conv_id AS example_id FROM conversations),
-ep AS (SELECT CAST(e.epoch AS INTEGER) AS epoch, x.example_id FROM ex x, range({batches.DEFAULT_EPOCHS}) e(epoch)),
-ranked AS (SELECT epoch, example_id,
-    row_number() OVER (PARTITION BY epoch ORDER BY md5('{batches.DEFAULT_SEED}' || ':' || CAST(epoch AS VARCHAR) || ':' || CAST(example_id AS VARCHAR)), example_id) - 1 AS position,
-    count(*) OVER (PARTITION BY epoch) AS n FROM ep)
-SELECT epoch, example_id, position, position // {batches.DEFAULT_BATCH_SIZE} AS batch,
-  position // {batches.DEFAULT_BATCH_SIZE} // {batches.DEFAULT_ACCUMULATION} AS step
-FROM ranked WHERE position // {batches.DEFAULT_BATCH_SIZE} < n // {batches.DEFAULT_BATCH_SIZE}""",
+    "plan_batches": _plan_sql(3) + """SELECT epoch, example_id, position, position // 2 AS batch, position // 16 AS step
+FROM placed WHERE position // 2 < n // 2""",
+    "resume_batches": _plan_sql(2) + """SELECT epoch, example_id, position, position // 2 AS batch, position // 16 AS step
+FROM placed WHERE position // 2 < n // 2 AND epoch = 1 AND position // 16 BETWEEN 2 AND 4""",
     "resolve_special_ids": "WITH " + RESPONSES + ", rtexts AS (SELECT response AS text FROM responses), "
     + _vocab_sql("rtexts") + """,
 cands AS (SELECT * FROM (VALUES (0, '<eos>'), (1, '<end_of_turn>'), (2, '<|im_end|>'), (3, '</s>'), (4, '<|endoftext|>')) t(pos, token)),

@@ -32,17 +32,18 @@ def _with_cmd(log: DataFrame) -> DataFrame:
 
 
 def session_steps(log: DataFrame) -> DataFrame:
-    """The log without its texts, numbered: ``(sid, seq, ts, cmd, answered, exits_before, clears, answers)``.
+    """The log without its texts, numbered: ``(sid, seq, ts, cmd, answered, exits_before, clears, answers, saves)``.
 
-    ``exits_before`` counts the exits before the event (0: the session is live), ``clears`` and ``answers``
-    the clears and the answered messages up to and including it. The result is pinned: reports read
-    it more than once."""
+    ``exits_before`` counts the exits before the event (0: the session is live), ``clears``, ``answers`` and
+    ``saves`` the clears, the answered messages and the saves up to and including it. The result is
+    pinned: reports read it more than once."""
     x = _with_cmd(log)
     answered = (F.col("cmd") == "message") & F.col("response").isNotNull()
     narrow = x.select("sid", "seq", "ts", "cmd", F.coalesce(answered, F.lit(False)).alias("answered"))
     is_exit = (F.col("cmd") == "exit").cast("long")
     steps = running_sums(narrow, ["sid"], "seq", {
-        "_exits": is_exit, "clears": (F.col("cmd") == "clear").cast("long"), "answers": F.col("answered").cast("long")})
+        "_exits": is_exit, "clears": (F.col("cmd") == "clear").cast("long"), "answers": F.col("answered").cast("long"),
+        "saves": (F.col("cmd") == "save").cast("long")})
     steps = steps.withColumn("exits_before", F.col("_exits") - F.coalesce(is_exit, F.lit(0))).drop("_exits")
     return steps.checkpoint(eager=True)
 
@@ -153,16 +154,65 @@ def session_snapshots(log: DataFrame, steps: DataFrame | None = None) -> DataFra
     return saves.select("sid", F.col("seq").alias("save_seq"), "segment", (msgs * 2).alias("total_messages"), "ts")
 
 
-def snapshot_messages(log: DataFrame, extra_eos: str | None = None, steps: DataFrame | None = None) -> DataFrame:
+def _segments(live: DataFrame) -> DataFrame:
+    """Per (session, segment) that has a save: ``last_no`` (the number of its last save, counted through the
+    session) and ``low`` (answered messages when it began)."""
+    first_save = F.min(F.when(F.col("cmd") == "save", F.col("saves")))
+    found = live.groupBy("sid", F.col("clears").alias("segment")).agg(
+        first_save.alias("_first"), F.max("saves").alias("last_no"), F.min("answers").alias("low"))
+    return found.filter(F.col("_first").isNotNull()).drop("_first")
+
+
+def _held_intervals(live: DataFrame, segments: DataFrame) -> DataFrame:
+    """``(sid, seq, segment, answers, first_no, last_no)`` of the messages that some save holds: the saves of a message
+    are those of its segment after it, one run of numbers."""
+    said = live.filter("answered").select("sid", "seq", F.col("clears").alias("segment"), "answers", (F.col("saves") + 1).alias("first_no"))
+    return said.join(segments.drop("low"), ["sid", "segment"]).filter("first_no <= last_no")
+
+
+def snapshot_intervals(log: DataFrame, extra_eos: str | None = None, steps: DataFrame | None = None) -> DataFrame:
+    """The messages of all saved conversations, each once, with the saves that hold it:
+    ``(sid, segment, seq, part, role, content, first_save, last_save, n_saves)``, where ``first_save`` and
+    ``last_save`` are the numbers (from 1, per session) of the first and the last save that hold the message, and
+    every save between them does too. As many rows as messages, however many saves there are."""
+    live = (session_steps(log) if steps is None else steps).filter(_live())
+    held = _held_intervals(live, checked_broadcast(_segments(live))).select(
+        "sid", "seq", "segment", F.col("first_no").alias("first_save"), F.col("last_no").alias("last_save"),
+        (F.col("last_no") - F.col("first_no") + 1).alias("n_saves"))
+    pairs = _message_pairs(log.join(held, ["sid", "seq"]), extra_eos, "segment", "first_save", "last_save", "n_saves")
+    return pairs.select("sid", "segment", "seq", "part", "role", "content", "first_save", "last_save", "n_saves")
+
+
+def snapshot_messages(log: DataFrame, extra_eos: str | None = None, steps: DataFrame | None = None,
+                      save_block: int = 256, message_block: int = 4096) -> DataFrame:
     """The saved conversation of every ``save`` in long form, system prompt not included:
     ``(sid, save_seq, seq, part, role, content)``. A save holds all messages of its segment before it, so
-    the output has as many rows as the saved files have messages."""
-    steps = session_steps(log) if steps is None else steps
-    live = steps.filter(_live())
-    saves = live.filter(F.col("cmd") == "save").select("sid", F.col("clears").alias("segment"), F.col("seq").alias("save_seq"))
-    said = live.filter("answered").select("sid", F.col("clears").alias("segment"), "seq")
-    held = saves.join(said, ["sid", "segment"]).filter("seq < save_seq").select("sid", "seq", "save_seq")
-    return _message_pairs(log.join(held, ["sid", "seq"]), extra_eos, "save_seq")
+    the output has as many rows as the saved files have messages.
+
+    It is a range join of the messages' save numbers (``snapshot_intervals``) with the numbered saves, cut
+    into a grid: ``save_block`` consecutive saves of a session by ``message_block`` consecutive messages. A message
+    goes to the blocks of saves that hold it, a block of saves to the blocks of messages before it, and a
+    cell joins them by equality. So one session's saves and messages, however many, spread over as many tasks
+    as their output needs, and no cell holds more than its two blocks."""
+    live = (session_steps(log) if steps is None else steps).filter(_live())
+    segments = checked_broadcast(_segments(live))
+
+    def block(x: Column, size: int) -> Column:
+        return F.call_function("div", x, F.lit(size))
+
+    def run(low: Column, high: Column, size: int) -> Column:
+        return F.explode(F.sequence(block(low, size), block(high, size)))
+
+    held = _held_intervals(live, segments).join(log.select("sid", "seq", "text", "response"), ["sid", "seq"])
+    messages = held.select("sid", "seq", "text", "response", "first_no", "last_no", block(F.col("answers"), message_block).alias("mb"),
+                           run(F.col("first_no"), F.col("last_no"), save_block).alias("sb"))
+    saves = live.filter(F.col("cmd") == "save").select("sid", F.col("clears").alias("segment"), F.col("seq").alias("save_seq"), "saves", "answers")
+    blocks = saves.join(segments.drop("last_no"), ["sid", "segment"]).groupBy("sid", block(F.col("saves"), save_block).alias("sb")).agg(
+        F.collect_list(F.struct("saves", "save_seq")).alias("list"), F.min("low").alias("low"), F.max("answers").alias("high"))
+    blocks = blocks.select("sid", "sb", "list", run(F.col("low"), F.greatest("low", "high"), message_block).alias("mb"))
+    inside = F.filter("list", lambda x: x["saves"].between(F.col("first_no"), F.col("last_no")))
+    out = messages.join(blocks, ["sid", "sb", "mb"]).select("sid", "seq", "text", "response", F.explode(inside).alias("s"))
+    return _message_pairs(out.select("sid", "seq", "text", "response", F.col("s.save_seq").alias("save_seq")), extra_eos, "save_seq")
 
 
 def final_records(log: DataFrame, system_prompt: str | Column = FALLBACK_SYSTEM_PROMPT, base: str = "history",

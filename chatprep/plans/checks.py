@@ -355,6 +355,10 @@ def q_snapshot_messages(spark, d):
     return sessions.snapshot_messages(_log(spark, d))
 
 
+def q_snapshot_intervals(spark, d):
+    return sessions.snapshot_intervals(_log(spark, d))
+
+
 def q_final_records(spark, d):
     r = sessions.final_records(_log(spark, d), requested="requested")
     return r.select("sid", F.size("messages").alias("n_messages"), "path")
@@ -421,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_messages": q_replay_messages,
     "session_snapshots": q_session_snapshots,
     "snapshot_messages": q_snapshot_messages,
+    "snapshot_intervals": q_snapshot_intervals,
     "final_records": q_final_records,
     "session_duration": q_session_duration,
     "history_path": q_history_path,
@@ -923,6 +928,15 @@ held AS (SELECT s.sid, s.save_seq, a.seq, a.text, a.response FROM snaps s JOIN a
 SELECT sid, save_seq, seq, 0 AS part, 'user' AS role, text AS content FROM held
 UNION ALL
 SELECT sid, save_seq, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql(_strip('response')))} AS content FROM held""",
+    "snapshot_intervals": "WITH " + _snapshots_sql() + f""",
+numbered AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY save_seq) AS no FROM snaps),
+held AS (SELECT a.sid, a.segment, a.seq, a.text, a.response, min(s.no) AS first_save, max(s.no) AS last_save, count(*) AS n_saves
+  FROM act2 a JOIN numbered s ON a.sid = s.sid AND a.segment = s.segment AND a.seq < s.save_seq
+  WHERE a.cmd = 'message' AND a.response IS NOT NULL GROUP BY ALL)
+SELECT sid, CAST(segment AS BIGINT) AS segment, seq, 0 AS part, 'user' AS role, text AS content, first_save, last_save, n_saves FROM held
+UNION ALL
+SELECT sid, CAST(segment AS BIGINT) AS segment, seq, 1 AS part, 'assistant' AS role, {_bold_sql(_eos_cut_sql(_strip('response')))} AS content,
+  first_save, last_save, n_saves FROM held""",
     "final_records": "WITH " + _replay_conv_sql() + """,
 asked AS (SELECT sid, arg_min_null(requested, seq) AS requested FROM log GROUP BY sid)
 SELECT r.sid, CAST(len(r.m) AS INTEGER) AS n_messages,

@@ -7,6 +7,7 @@ carry the same alias on both sides. The SQL runs in DuckDB over the same tables.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -343,6 +344,48 @@ def q_replay_sessions_stream(spark, d):
         "sid", "total_messages", "ended_by_exit", "first_exit_seq", "last_clear_seq", "n_events")
 
 
+def _shuffled_log(spark, d):
+    """The session log as a stream in four files, every event up to six hours late (by rule), and a heartbeat."""
+    run = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    log = fixtures.session_log(spark, d).withColumn("ts", F.col("ts").cast("timestamp")).select("sid", "seq", "ts", "text", "response")
+    came = F.unix_seconds("ts") + (F.col("seq") * 7919) % (6 * 3600)
+    span = log.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    first, last = span["a"].timestamp(), span["b"].timestamp()
+    slot = F.least(F.floor((came - F.lit(int(first))) * 4 / F.lit(int(last - first) + 1)), F.lit(3))
+    slotted = log.withColumn("slot", slot)
+    for i in range(4):
+        slotted.filter(F.col("slot") == i).drop("slot").repartition(2, "seq").write.mode("append").parquet(f"{run}/log")
+    beat = log.limit(0).unionByName(spark.createDataFrame([(None, None, span["b"] + datetime.timedelta(days=1), None, None)], log.schema))
+    beat.coalesce(1).write.mode("append").parquet(f"{run}/log")
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(f"{run}/log"), run
+
+
+def _drained(frame, run):
+    q = frame.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return frame.sparkSession.read.schema(frame.schema).parquet(f"{run}/out")
+
+
+def q_replay_sessions_ordered(spark, d):
+    """Events that come up to six hours late, replayed in order by a stream with a watermark of six hours."""
+    from ..streaming.ordered import replay_sessions_ordered
+    from ..streaming.sessions import latest_summaries
+
+    stream, run = _shuffled_log(spark, d)
+    out = _drained(replay_sessions_ordered(stream, datetime.timedelta(hours=6), datetime.timedelta(days=365)), run)
+    return latest_summaries(out)
+
+
+def q_replay_histories_ordered(spark, d):
+    """The history records that the same stream writes: one per save and per exit."""
+    from ..streaming.ordered import replay_histories_ordered
+
+    stream, run = _shuffled_log(spark, d)
+    out = _drained(replay_histories_ordered(stream, datetime.timedelta(hours=6), datetime.timedelta(days=365)), run)
+    said = F.array_join(F.transform("conversation", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "|")
+    return out.select("sid", "seq", "kind", "total_messages", F.md5(said).alias("conversation_md5"))
+
+
 def q_replay_messages(spark, d):
     return sessions.replay_messages(_log(spark, d))
 
@@ -422,6 +465,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_command": q_classify_command,
     "replay_sessions": q_replay_sessions,
     "replay_sessions_stream": q_replay_sessions_stream,
+    "replay_sessions_ordered": q_replay_sessions_ordered,
+    "replay_histories_ordered": q_replay_histories_ordered,
     "replay_messages": q_replay_messages,
     "session_snapshots": q_session_snapshots,
     "snapshot_messages": q_snapshot_messages,
@@ -916,6 +961,21 @@ FROM bounds b LEFT JOIN clears c USING (sid)""",
 SELECT b.sid, CAST(2 * (SELECT count(*) FROM final_msgs f WHERE f.sid = b.sid) AS BIGINT) AS total_messages,
   b.first_exit_seq IS NOT NULL AS ended_by_exit, b.first_exit_seq, c.last_clear_seq, b.n_events
 FROM bounds b LEFT JOIN clears c USING (sid)""",
+    "replay_sessions_ordered": "WITH " + LOG + """
+SELECT b.sid, CAST(2 * (SELECT count(*) FROM final_msgs f WHERE f.sid = b.sid) AS BIGINT) AS total_messages,
+  b.first_exit_seq IS NOT NULL AS ended_by_exit, b.first_exit_seq, c.last_clear_seq, b.n_events, CAST(0 AS BIGINT) AS n_late
+FROM bounds b LEFT JOIN clears c USING (sid)""",
+    "replay_histories_ordered": "WITH " + _snapshots_sql() + f""",
+points AS (
+  SELECT sid, save_seq AS seq, 'save' AS kind, segment FROM snaps
+  UNION ALL
+  SELECT sid, first_exit_seq, 'exit', (SELECT count(*) FROM active a WHERE a.sid = b.sid AND a.cmd = 'clear') FROM bounds b WHERE first_exit_seq IS NOT NULL),
+told AS (
+  SELECT p.sid, p.seq, p.kind, CAST(2 * count(a.seq) AS INTEGER) AS total_messages,
+    string_agg('|user: ' || a.text || '|assistant: ' || {_bold_sql(_eos_cut_sql(_strip('a.response')))}, '' ORDER BY a.seq) AS said
+  FROM points p LEFT JOIN act2 a ON a.sid = p.sid AND a.segment = p.segment AND a.seq < p.seq AND a.cmd = 'message' AND a.response IS NOT NULL
+  GROUP BY p.sid, p.seq, p.kind)
+SELECT sid, seq, kind, total_messages, md5('system: {FALLBACK}' || coalesce(said, '')) AS conversation_md5 FROM told""",
     "replay_messages": "WITH " + LOG + f"""
 SELECT sid, seq, 0 AS part, 'user' AS role, text AS content FROM final_msgs
 UNION ALL

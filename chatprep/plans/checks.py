@@ -254,7 +254,7 @@ def q_encode_tokens(spark, d):
 
 
 def q_training_examples(spark, d):
-    # as users call it: the vocabulary is built inside, from the examples' own tokens
+    # as users call it: the vocabulary is built inside, from every token of the conversations
     ex = training_examples(table(spark, d, "conversations"), max_length=CHECK_MAX_LENGTH)
     return ex.select("example_id", "n_tokens", _ids("input_ids").alias("input_ids"),
                      _ids("attention_mask").alias("attention_mask"), _ids("labels").alias("labels"))
@@ -574,13 +574,12 @@ SPECIALS = " UNION ALL ".join(f"SELECT '{t}' AS token, {i}::INTEGER AS token_id"
 SPECIAL_LIST = ", ".join(f"'{t}'" for t in SPECIALS_SQL)
 
 
-def _vocab_sql(texts: str, size: int | None = None, max_len: int | None = None) -> str:
-    """All tokens of the texts; the ``size`` most frequent; or those of the first ``max_len`` of each text."""
-    cut = f"[1:{max_len}]" if max_len else ""
+def _vocab_sql(texts: str, size: int | None = None) -> str:
+    """All tokens of the texts, or the ``size`` most frequent."""
     top = f"LIMIT {size}" if size else ""
     return f"""tok_counts AS (
   SELECT token, count(*) AS n FROM (
-    SELECT unnest(regexp_extract_all(text, '{TOKEN_SQL}'){cut}) AS token FROM {texts} WHERE text IS NOT NULL)
+    SELECT unnest(regexp_extract_all(text, '{TOKEN_SQL}')) AS token FROM {texts} WHERE text IS NOT NULL)
   WHERE token NOT IN ({SPECIAL_LIST}) GROUP BY token),
 top_tokens AS (SELECT token, n FROM tok_counts ORDER BY n DESC, token {top}),
 vocab AS (
@@ -871,7 +870,7 @@ SELECT file, line_no, CAST(len(m) AS INTEGER) AS n_messages, CAST(to_json(m) AS
 okc AS (SELECT file, line_no, CAST(json_extract(s, '$.messages') AS STRUCT(role VARCHAR, content VARCHAR)[]) AS m FROM classified JOIN status_lines USING (file, line_no) WHERE status = 'ok'),
 rendered2 AS (SELECT line_no AS example_id, {RENDER} AS r FROM okc),
 texts2 AS (SELECT example_id, CASE WHEN r IS NULL THEN NULL WHEN ends_with(r, '{EOS}') THEN r ELSE r || '{EOS}' END AS text FROM rendered2),
-{_vocab_sql('texts2', None, CHECK_MAX_LENGTH)},
+{_vocab_sql('texts2')},
 {_encode_sql('texts2', CHECK_MAX_LENGTH)}
 SELECT 'conversations.jsonl' AS file, example_id AS line_no, CAST(len(ids) AS INTEGER) AS n_tokens,
   {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS input_ids,
@@ -909,7 +908,7 @@ SELECT token, token_id FROM vocab""",
 SELECT token, token_id FROM vocab""",
     "encode_tokens": "WITH " + TEXTS + ", " + _vocab_sql("texts") + ", " + _encode_sql("texts", None) + f"""
 SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens, {_ids_sql('ids')} AS token_ids FROM encoded""",
-    "training_examples": "WITH " + TEXTS + ", " + _vocab_sql("texts", None, CHECK_MAX_LENGTH) + ", "
+    "training_examples": "WITH " + TEXTS + ", " + _vocab_sql("texts") + ", "
     + _encode_sql("texts", CHECK_MAX_LENGTH) + f"""
 SELECT example_id, CAST(len(ids) AS INTEGER) AS n_tokens,
   {_pad_sql('ids', CHECK_MAX_LENGTH, 0)} AS input_ids,

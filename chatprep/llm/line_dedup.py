@@ -9,11 +9,12 @@ the queries call it, every line with a word takes part.
    fixed order gives the exact result; a good one makes it cheap. Very frequent words are counted by name.
 2. Every line enters the groups of its rarest words: two similar lines share a word among the first
    n - ceil(t n) + 1 of each. Lines too short to be similar to any other set (n / (n + 1) < t: one or two
-   words at 0.75) match equal sets only, so they enter none and are found by their set's hash. Tasks pack these entries (word, line set, size, position, parity bitmap)
-   into arrays dealt by word, one row per array, copies of a line set within a task only once. The
-   group of a word counted by name (over 1 in FREQUENT words of a slice) is dealt into block pairs, and any
-   two lines still meet. Any other word's group is in one task whole, compared in time up to the square of
-   its size, which grows with the input.
+   words at 0.75) match equal sets only, so they enter none and are found by their set's hash. Tasks pack
+   these entries (word, line set, size, position, parity bitmap) into arrays dealt by ranges of words, as many
+   ranges as the counted entries need, one row per array, copies of a line set within a task only once.
+   The groups of the NAMED most frequent words are dealt into block pairs at once; a task that finds
+   another group larger than GROUP sends it on to be dealt into block pairs too. Any two lines of a group
+   still meet, and no task compares more than two blocks at a time.
 3. In a group, pairs must pass the length filter, the positional filter (enough words left at the first
    common one), and the bitmap bound (equal words cannot differ in parity, so the bits in which two
    bitmaps differ bound the overlap from above).
@@ -22,7 +23,9 @@ the queries call it, every line with a word takes part.
    set's most alike earlier partner and its group's first one; lines that are found need no more. For
    the others all candidates are verified. No group's matches are all written out.
 
-Line sets are known by a 64-bit hash; candidate words by 44 bits of their hash, verified words by 64.
+Words are known by a 64-bit hash; line sets by two 64-bit hashes of their words' (128 bits), which decide on equal
+sets; in candidate groups, words by 44 bits and line sets by the first hash, and what these suggest is verified on sets
+of 64-bit words.
 
 Defined cases: null or empty text is one empty line and stays; null ids are left alone and match
 nothing; rows that repeat an id share its line numbers, and a number kept for one is kept for all; the
@@ -36,14 +39,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ranking import global_row_number
 from . import words as W
-from .chosen_path import _small, confirm
-from .shared import materialize, trimmed, whole_groups
+from .chosen_path import confirm
+from .shared import materialize, release, trimmed, whole_groups
 
 U = np.uint64
 BUCKET_BITS = 18       # buckets of the rarity table: 2 MB, whatever the input
@@ -51,13 +54,23 @@ TOKEN_BITS = 44        # of a word's hash in candidate generation; the rest of a
 LINES_AT_ONCE = 1 << (64 - TOKEN_BITS)
 SLICE = 1 << 20        # bytes of text per numpy step: fewer lines with words than LINES_AT_ONCE
 FREQUENT = 2048        # a word is counted by name in a task where it makes up 1 in this many words
-GROUP = 8192           # entries that one group may be expected to hold
+NAMED = 4096           # so many words at most are dealt into block pairs from the start
+GROUP = 8192           # entries of one block; a group of more is dealt into block pairs
+PART = 1 << 20         # entries that one task may be expected to hold
+SMALL_ROWS = 50_000    # a table of ids or numbers is broadcast only if counted to hold at most so many
 BUFFER = 1 << 19       # entries that a task holds before it deals them out
 WIDE = 8               # longs of the bitmap that verification candidates use
 BITS = 2               # longs of the bitmap that an entry carries
 ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("pos", "<u2"), ("sid", "<u8"), ("bits", "<u8", (BITS,))])
 
 
+def _small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """A written table with a broadcast hint if it was counted to be small, else as it is (a plain join).
+    ``weight`` counts what a row holds beyond itself."""
+    rows = df.count() if weight is None else df.agg(F.sum(weight + 1)).first()[0] or 0
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
 def line_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(line of each word, its hash, then per line: text, number in the text) of a run of texts."""
     ls, _, ldoc = W.lines(data, offsets)
@@ -70,17 +83,23 @@ def line_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return line, W.hash_spans(data, starts, ends), ldoc, np.arange(len(ls)) - first[ldoc]
 
 
-def ordered_tokens(line: np.ndarray, hashes: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (line, token) pairs, tokens of a line in order of rarity."""
+def ordered_tokens(line: np.ndarray, hashes: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (line, word) pairs with the word's token and hash, words of a line in order of rarity (then hash)."""
     low = U(TOKEN_BITS - BUCKET_BITS)
     token = (rank[(hashes >> U(64 - BUCKET_BITS)).astype(np.int64)] << low) | ((hashes >> U(64 - TOKEN_BITS)) & ((U(1) << low) - U(1)))
-    if len(line) and line[-1] >= LINES_AT_ONCE:
-        return W.distinct_per(line, token)
-    both = (line.astype(np.uint64) << U(TOKEN_BITS)) | token
-    both.sort()
-    if len(both):
-        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
-    return (both >> U(TOKEN_BITS)).astype(np.int64), both & ((U(1) << U(TOKEN_BITS)) - U(1))
+    wide = len(line) and line[-1] >= LINES_AT_ONCE
+    both = token if wide else (line.astype(np.uint64) << U(TOKEN_BITS)) | token
+    order = np.lexsort((token, line)) if wide else np.argsort(both)
+    line, token, hashes = line[order], token[order], hashes[order]
+    same = (token[1:] == token[:-1]) & (line[1:] == line[:-1])
+    if (same & (hashes[1:] != hashes[:-1])).any():  # two words with one token: bring equal words together
+        order = np.lexsort((hashes, token, line))
+        line, token, hashes = line[order], token[order], hashes[order]
+        same = (token[1:] == token[:-1]) & (line[1:] == line[:-1])
+    if len(line):
+        new = np.concatenate([[True], ~(same & (hashes[1:] == hashes[:-1]))])
+        line, token, hashes = line[new], token[new], hashes[new]
+    return line, token, hashes
 
 
 def _needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -93,8 +112,8 @@ def _alone(n: np.ndarray, percent: int) -> np.ndarray:
     return n * (100 - percent) < percent
 
 
-def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
-    """(rank of each bucket by count, {token bits of a frequent word: count}) over all words of ``docs`` (doc_id, text)."""
+def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int], int]:
+    """(rank of each bucket by count, {token bits of a frequent word: count}, all words) of ``docs`` (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = np.zeros(1 << BUCKET_BITS, np.int64)
         named: dict[int, int] = {}
@@ -119,13 +138,16 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
 
     # One row per bucket and per frequent word: a fixed number of the first, at most FREQUENT per slice of the second.
     total = docs.select("text").mapInArrow(trimmed(run), "bucket long, name long, count long").groupBy("bucket", "name").agg(F.sum("count").alias("count"))
-    total = total.filter((F.col("name") < 0) | (F.col("count") > GROUP)).toArrow()
-    bucket, name, count = (total.column(i).to_numpy() for i in range(3))
+    total = materialize(total, "words")
+    named = total.filter((F.col("name") >= 0) & (F.col("count") > GROUP)).orderBy(F.desc("count"), "name").limit(NAMED)
+    table = total.filter("name < 0").unionByName(named).toArrow()
+    release(total)
+    bucket, name, count = (table.column(i).to_numpy() for i in range(3))
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
     counts[bucket[name < 0]] = count[name < 0]
     rank = np.empty(1 << BUCKET_BITS, np.uint64)
     rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts), dtype=np.uint64)
-    return rank, {int(a): int(c) for a, c in zip(name[name >= 0], count[name >= 0])}
+    return rank, {int(a): int(c) for a, c in zip(name[name >= 0], count[name >= 0])}, int(counts.sum())
 
 
 def _entries(tokens: np.ndarray, line: np.ndarray, n: np.ndarray, sid: np.ndarray, bits: np.ndarray, first: np.ndarray,
@@ -170,6 +192,21 @@ def _parity(tokens: np.ndarray, line: np.ndarray, count: int, width: int, seed:
     return out
 
 
+def _again(doc: np.ndarray, sid: np.ndarray, sid2: np.ndarray) -> np.ndarray:
+    """Is this line's set also that of an earlier line of its text?"""
+    key = W.mix(sid ^ W.mix(doc.astype(np.uint64), 12))
+    order = np.argsort(key, kind="stable")
+    d, a, b = doc[order], sid[order], sid2[order]
+    same = (a[1:] == a[:-1]) & (d[1:] == d[:-1])
+    if (same & (b[1:] != b[:-1])).any():
+        order = np.lexsort((np.arange(len(doc)), sid2, sid, doc))
+        d, a, b = doc[order], sid[order], sid2[order]
+        same = (a[1:] == a[:-1]) & (d[1:] == d[:-1])
+    out = np.zeros(len(doc), bool)
+    out[order[1:]] = same & (b[1:] == b[:-1])
+    return out
+
+
 def _distinct(e: np.ndarray) -> np.ndarray:
     """``e`` sorted by key, equal (key, line set) entries once (but for line sets that agree in 32 bits)."""
     e = e[np.argsort((e["key"].astype(np.uint64) << U(32)) | (e["sid"] & U(0xFFFFFFFF)))]
@@ -179,7 +216,7 @@ def _distinct(e: np.ndarray) -> np.ndarray:
 
 
 def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], percent: int, min_words: int, parts: int) -> DataFrame:
-    """One pass over the texts with two kinds of rows, both dealt by ``part``: (doc_id, line_no, sid, again) of
+    """One pass over the texts with two kinds of rows, both dealt by ``part``: (doc_id, line_no, sid, sid2, again) of
     every eligible line (``again``: an earlier line of the text has the same set), and a ``blob`` of packed
     group entries."""
     low = TOKEN_BITS - BUCKET_BITS
@@ -187,7 +224,7 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
     for name, count in frequent.items():
         bucket, rest = name >> low, name & ((1 << low) - 1)
         blocks[(int(rank[bucket]) << low) | rest] = -(-count // GROUP)
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("line_no int, sid long, again boolean, part int, blob binary").fields])
+    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("line_no int, sid long, sid2 long, again boolean, part int, blob binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -203,7 +240,7 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
                 chosen = some[lo:lo + 64]
                 blobs = pa.array([entries[cut[p]:cut[p + 1]].tobytes() for p in chosen], pa.binary())
                 n = len(chosen)
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()),
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()),
                                                   pa.array(chosen, pa.int32()), blobs], names=schema.names)
 
         for batch in batches:
@@ -212,18 +249,18 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
             for lo, hi in W.slices(offsets, SLICE):
                 p = offsets[lo:hi + 1]
                 line, hashes, ldoc, number = line_words(data[p[0]:p[-1]], p - p[0])
-                line, token = ordered_tokens(line, hashes, rank)
+                line, token, word = ordered_tokens(line, hashes, rank)
                 n = np.bincount(line, minlength=len(ldoc))
                 good = n >= min_words
                 keep = good[line]
-                line, token = line[keep], token[keep]
+                line, token, word = line[keep], token[keep], word[keep]
                 if not len(line):
                     continue
                 index = np.cumsum(good) - 1
                 line, ldoc, number, n = index[line], ldoc[good], number[good], n[good]
                 first = np.concatenate([[0], np.cumsum(n)[:-1]])
-                sid = W.mix(np.add.reduceat(W.mix(token, 8), first) ^ n.astype(np.uint64), 9)
-                _, again = W.repeated(W.mix(sid ^ W.mix(ldoc.astype(np.uint64), 12)))
+                sid, sid2 = (W.mix(np.add.reduceat(W.mix(word, seed), first) ^ n.astype(np.uint64), seed + 1) for seed in (8, 14))
+                again = _again(ldoc, sid, sid2)
                 entry = _entries(token, line, n, sid, _parity(token, line, len(n), BITS, 10), first, percent, blocks)
                 held.append(entry)
                 size += len(entry)
@@ -231,7 +268,7 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
                 rows = len(ldoc)
                 # Short lines repeat most: they are dealt evenly, not by line set.
                 deal = np.where(_alone(n, percent), np.arange(rows, dtype=np.uint64) + sid[0] % U(parts), sid)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(sid.view(np.int64)), pa.array(again),
+                yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(sid.view(np.int64)), pa.array(sid2.view(np.int64)), pa.array(again),
                                                   pa.array((deal % U(parts)).astype(np.int32)), pa.nulls(rows, pa.binary())], names=schema.names)
                 if size >= BUFFER:
                     yield from dealt()
@@ -270,33 +307,85 @@ def _candidates(e: np.ndarray, bitmap: np.ndarray, percent: int) -> Iterator[tup
         shift += 1
 
 
+def _sizes(e: np.ndarray) -> np.ndarray:
+    """Entries in the group of each entry of ``e``, sorted by key."""
+    edge = np.flatnonzero(np.concatenate([[True], e["key"][1:] != e["key"][:-1]])) if len(e) else np.zeros(0, np.int64)
+    count = np.diff(np.append(edge, len(e)))
+    return np.repeat(count, count)
+
+
 def active_entries(scanned: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The line rows as they are, and (key, sid, n, pos) of the entries with a possible partner in their group."""
-    schema = T.StructType([*(scanned.schema[c] for c in ("doc_id", "line_no", "sid", "again")), *T._parse_datatype_string("key long, n int, pos int").fields])
+    """The line rows as they are, (key, sid, n, pos) of the entries with a possible partner in their group, and
+    unchecked the entries, with ``bits``, of groups that are too large for one task."""
+    own = ("doc_id", "line_no", "sid", "sid2", "again")
+    schema = T.StructType([*(scanned.schema[c] for c in own), *T._parse_datatype_string("key long, n int, pos int, bits binary, size int").fields])
+
+    def rows(e: np.ndarray, kind: pa.DataType, size: np.ndarray | None = None) -> pa.RecordBatch:
+        m = len(e)
+        flat = np.ascontiguousarray(e["bits"]).view(np.uint8)
+        at = np.arange(0, (m + 1) * 8 * BITS, 8 * BITS, dtype=np.int32)
+        bits = pa.nulls(m, pa.binary()) if size is None else pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(at), pa.py_buffer(flat)])
+        return pa.RecordBatch.from_arrays([pa.nulls(m, kind), pa.nulls(m, pa.int32()), pa.array(e["sid"].view(np.int64)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()),
+                                           pa.array(e["key"].astype(np.int64)), pa.array(e["n"].astype(np.int32)), pa.array(e["pos"].astype(np.int32)), bits,
+                                           pa.nulls(m, pa.int32()) if size is None else pa.array(size.astype(np.int32))], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, kind = [], None
         for batch in batches:
             kind = batch.column(0).type
-            packed = batch.column(4).is_valid()
-            got += [np.frombuffer(b, ENTRY) for b in batch.column(4).filter(packed).to_pylist()]
-            own = batch.filter(batch.column(4).is_null())
-            none = pa.nulls(own.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([*own.columns[:4], pa.nulls(own.num_rows, pa.int64()), none, none], names=schema.names)
+            got += [np.frombuffer(b, ENTRY) for b in batch.column(5).filter(batch.column(5).is_valid()).to_pylist()]
+            lines = batch.filter(batch.column(5).is_null())
+            n = lines.num_rows
+            none = pa.nulls(n, pa.int32())
+            yield pa.RecordBatch.from_arrays([*lines.columns[:5], pa.nulls(n, pa.int64()), none, none, pa.nulls(n, pa.binary()), none], names=schema.names)
         if not got:
             return
         e = _distinct(np.concatenate(got))
-        same = e["key"][1:] == e["key"][:-1]
-        e = e[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        got.clear()
+        size = _sizes(e)
+        large = size > 2 * GROUP
+        for lo in range(0, int(large.sum()), BUFFER):
+            yield rows(e[large][lo:lo + BUFFER], kind, size[large][lo:lo + BUFFER])
+        e = e[(size > 1) & ~large]
         e = e[np.lexsort((e["n"], e["key"]))]
-        active = np.zeros(len(e), bool)
-        for i, j, _ in _candidates(e, e["bits"], percent):
-            active[i] = active[j] = True
-        e = e[active]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(e), kind), pa.nulls(len(e), pa.int32()), pa.array(e["sid"].view(np.int64)), pa.nulls(len(e), pa.bool_()),
-                                          pa.array(e["key"].astype(np.int64)), pa.array(e["n"].astype(np.int32)), pa.array(e["pos"].astype(np.int32))], names=schema.names)
+        yield rows(e[_possible(e, percent)], kind)
+
+    return scanned.repartition(parts, "part").select(*own, "blob").mapInArrow(trimmed(run), schema)
+
+
+def _possible(e: np.ndarray, percent: int) -> np.ndarray:
+    active = np.zeros(len(e), bool)
+    for i, j, _ in _candidates(e, e["bits"], percent):
+        active[i] = active[j] = True
+    return active
+
+
+def large_groups(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, sid, n, pos) of the entries of large groups (key, sid, n, pos, bits, size) with a possible partner, in
+    block pairs of their group: a new key for every two blocks, in which any two of their entries meet."""
+    blocks = F.ceil(F.col("size") / F.lit(GROUP)).cast("int")
+    dealt = rows.withColumns({"c": blocks, "mine": F.pmod(F.xxhash64("sid"), blocks).cast("int")})
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
+    # The new key lies beyond 32 bits, where no other group's key is.
+    pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
+    dealt = dealt.select(pair.bitwiseOR(F.lit(1 << 62)).alias("key"), "sid", "n", "pos", "bits")
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "n")
+
+    def check(t: pa.Table) -> pa.RecordBatch:
+        key = t.column("key").to_numpy()
+        e = np.zeros(t.num_rows, ENTRY)
+        edge = np.concatenate([[True], key[1:] != key[:-1]])
+        e["key"] = np.cumsum(edge) - 1
+        for c in ("n", "pos"):
+            e[c] = t.column(c).to_numpy()
+        e["bits"] = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITS)
+        active = pa.array(_possible(e, percent))
+        return pa.RecordBatch.from_arrays([t.column(c).combine_chunks().filter(active) for c in ("key", "sid", "n", "pos")], names=["key", "sid", "n", "pos"])
 
-    return scanned.repartition(parts, "part").select("doc_id", "line_no", "sid", "again", "blob").mapInArrow(trimmed(run), schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from whole_groups(batches, "key", check)
+
+    return dealt.mapInArrow(trimmed(run), "key long, sid long, n int, pos int")
 
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame, rank: np.ndarray) -> DataFrame:
@@ -341,7 +430,9 @@ def partners(entries: DataFrame, percent: int, every: bool) -> DataFrame:
 
     def pairs(t: pa.Table) -> pa.RecordBatch:
         e = np.zeros(t.num_rows, [("key", "<i8"), ("n", "<i8"), ("pos", "<i8")])
-        for c in ("key", "n", "pos"):
+        key = t.column("key").to_numpy()
+        e["key"] = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+        for c in ("n", "pos"):
             e[c] = t.column(c).to_numpy()
         sid, done, place = t.column("sid").to_numpy(), t.column("done").to_numpy(), t.column("at").to_numpy()
         bitmap = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(-1, WIDE)
@@ -378,41 +469,56 @@ def partners(entries: DataFrame, percent: int, every: bool) -> DataFrame:
 
 
 def gone_lines(docs: DataFrame, percent: int = 75, min_words: int = 3) -> DataFrame:
-    """(doc_id, line_no) of every line of ``docs`` (doc_id, text) that is removed."""
+    """(doc_id, line_no) of every line of ``docs`` (doc_id, text) that is removed, as a written table."""
     docs = docs.filter(F.col("doc_id").isNotNull())
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    rank, frequent = word_counts(docs)
+    rank, frequent, words = word_counts(docs)
+    # A line of n words has at most n - ceil(percent n / 100) + 1 entries, and none if it has fewer than three.
+    expected = words * (100 - percent) // 100 + words // 3
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), expected // PART)
     dealt = materialize(active_entries(scan_lines(docs, rank, frequent, percent, min_words, parts), percent, parts), "dealt")
-    lines = dealt.filter("key IS NULL").select("doc_id", "line_no", "sid", "again")
-    active = dealt.filter("key IS NOT NULL").select("key", "sid", "n", "pos")
+    lines = dealt.filter("key IS NULL").select("doc_id", "line_no", "sid", "sid2", "again")
+    active = dealt.filter("key IS NOT NULL AND bits IS NULL").select("key", "sid", "n", "pos")
+    beyond = dealt.filter("bits IS NOT NULL").select("key", "sid", "n", "pos", "bits", "size")
+    if not beyond.isEmpty():
+        active = active.unionByName(large_groups(beyond, percent))
+    active = materialize(active, "active")
     fresh = lines.filter(~F.col("again"))
     # Line sets that several documents hold, with the first of these.
-    held = fresh.groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("c"))
-    held = _small(materialize(held.filter("c > 1").select("sid", "first_id"), "held"))
-    copied = fresh.join(held, "sid").filter(F.col("doc_id") != F.col("first_id"))
-    # First places of the line sets that may be like others, numbered in order.
-    possible = _small(materialize(active.select("sid").distinct(), "possible"))
-    wanted = fresh.join(possible, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("doc_id", "line_no")).alias("f"))
-    wanted = materialize(wanted.select("sid", "f.doc_id", "f.line_no"), "wanted")
-    wanted = materialize(global_row_number(wanted, ["doc_id", "line_no", "sid"], out="at"), "wanted")
-    sets = materialize(wanted_sets(docs, wanted, rank), "sets")
-    info = sets.select(F.col("cid").alias("sid"), "bitmap").join(wanted.select("sid", "at"), "sid")
-    entries = materialize(active.join(info, "sid"), "entries")
+    held = fresh.groupBy("sid", "sid2").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("c"))
+    held = materialize(held.filter("c > 1").select("sid", "sid2", "first_id"), "held")
+    near = _small(held)
+    copied = fresh.join(near, ["sid", "sid2"]).filter(F.col("doc_id") != F.col("first_id"))
+    # First places of the line sets that may be like others, numbered in order. Two sets with one first hash (a
+    # matter of chance) are told apart by a number of their own, and each has the other's entries as well.
+    possible = materialize(active.select("sid").distinct(), "possible")
+    wanted = fresh.join(_small(possible), "sid", "left_semi").groupBy("sid", "sid2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"))
+    first = materialize(wanted.select("sid", "sid2", "f.doc_id", "f.line_no"), "wanted")
+    wanted = materialize(global_row_number(first, ["doc_id", "line_no", "sid"], out="at"), "numbered")
+    sets = materialize(wanted_sets(docs, wanted.select("doc_id", "line_no", F.col("at").alias("sid")), rank), "sets")
+    info = sets.select(F.col("cid").alias("at"), "bitmap").join(wanted.select("sid", "at"), "at")
+    entries = active.join(info, "sid").select("key", F.col("at").alias("sid"), "n", "pos", "bitmap", "at")
+    entries = materialize(entries, "entries")
+    release(active, possible, first)
     plain = sets.select("cid", "shingles")
-    found = confirm(materialize(partners(entries.withColumn("done", F.lit(False)), percent, False), "likely"), plain, percent)
-    gone = materialize(found.select(F.col("b").alias("sid")).distinct(), "gone")
-    flagged = entries.join(gone.withColumn("done", F.lit(True)), "sid", "left").withColumn("done", F.coalesce("done", F.lit(False)))
-    more = confirm(materialize(partners(flagged, percent, True), "rest"), plain, percent)
-    gone = materialize(gone.unionByName(more.select(F.col("b").alias("sid"))).distinct(), "gone")
+    likely = materialize(partners(entries.withColumn("done", F.lit(False)), percent, False), "likely")
+    found = materialize(confirm(likely, plain, percent).select(F.col("b").alias("sid")).distinct(), "found")
+    flagged = entries.join(found.withColumn("done", F.lit(True)), "sid", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    rest = materialize(partners(flagged, percent, True), "rest")
+    more = confirm(rest, plain, percent).select(F.col("b").alias("sid"))
+    gone = materialize(found.unionByName(more).distinct().withColumnRenamed("sid", "at").join(wanted, "at"), "gone")
+    release(entries, sets, likely, rest, found, wanted)
     place = ["doc_id", "line_no"]
-    out = lines.filter("again").select(*place).unionByName(copied.select(*place)).unionByName(wanted.join(gone, "sid").select(*place))
+    out = lines.filter("again").select(*place).unionByName(copied.select(*place)).unionByName(gone.select(*place))
     # Rows that repeat an id share its line numbers: one that stays for any of them stays.
     repeated = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return out
-    own = lines.join(_small(repeated), "doc_id", "left_semi").join(held, "sid", "left").join(gone.withColumn("like", F.lit(True)), "sid", "left")
-    stay = own.filter(~F.col("again") & (F.col("first_id").isNull() | (F.col("first_id") == F.col("doc_id"))) & F.col("like").isNull())
-    return out.join(stay.select(*place).distinct(), place, "left_anti")
+    if not repeated.isEmpty():
+        both = ["sid", "sid2"]
+        own = lines.join(_small(repeated), "doc_id", "left_semi").join(near, both, "left").join(gone.select(*both, F.lit(True).alias("like")), both, "left")
+        stay = own.filter(~F.col("again") & (F.col("first_id").isNull() | (F.col("first_id") == F.col("doc_id"))) & F.col("like").isNull())
+        out = out.join(stay.select(*place).distinct(), place, "left_anti")
+    out = materialize(out, "lines-gone")
+    release(dealt, held, gone, repeated)
+    return out
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, min_words: int = 3) -> DataFrame:
@@ -431,10 +537,15 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", perc
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, min_words: int = 3) -> DataFrame:
     """``docs`` without the removed lines. A document that had words and keeps none is left out."""
     plain = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    gone = gone_lines(plain, percent, min_words).groupBy(F.col("doc_id").alias("_line_id")).agg(F.collect_set("line_no").alias("_line_gone"))
-    gone = _small(materialize(gone, "gone"), F.size("_line_gone"))
-    joined = docs.join(gone, F.col(key) == F.col("_line_id"), "left")
-    stay = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains("_line_gone", i))
+    places = gone_lines(plain, percent, min_words)
+    # A text's removed lines as a byte per line up to the last of them: built and read in linear time.
+    ordered = F.sort_array(F.collect_set("line_no"))
+    gaps = F.transform("_l", lambda x, i: F.concat(F.repeat(F.lit("0"), x - F.when(i > 0, F.get("_l", i - 1)).otherwise(-1) - 1), F.lit("1")))
+    gone = places.groupBy(F.col("doc_id").alias("_line_id")).agg(ordered.alias("_l"))
+    gone = materialize(gone.select("_line_id", F.array_join(gaps, "").cast("binary").alias("_line_gone")), "gone")
+    release(places)
+    joined = docs.join(_small(gone, F.length("_line_gone")), F.col(key) == F.col("_line_id"), "left")
+    stay = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: F.substring("_line_gone", i + 1, F.lit(1)) != F.lit(b"1"))
     joined = joined.withColumn("_line_text", F.when(F.col("_line_gone").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n")))
     empty = F.col("_line_gone").isNotNull() & ~F.col("_line_text").rlike("[^\\x20\\x09-\\x0D]")
     return joined.filter(~empty).select(*[F.col("_line_text").alias(c) if c == text else F.col(c) for c in docs.columns])

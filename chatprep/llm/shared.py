@@ -20,7 +20,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` whose last reader has been written itself."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):

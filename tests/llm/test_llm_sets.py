@@ -117,6 +117,32 @@ def test_removed_lines_with_frequent_words_in_blocks(spark, monkeypatch):
     assert gone(spark, rows) == {i: expected[i] for i, _ in rows}
 
 
+@pytest.mark.parametrize("named", [0, 2])
+def test_removed_lines_with_large_groups_found_in_tasks(spark, monkeypatch, named):
+    rows = variants(15, groups=20, most=25, alphabet=14)
+    called, large = [], line_dedup.large_groups
+    monkeypatch.setattr(line_dedup, "large_groups", lambda *a: called.append(1) or large(*a))
+    monkeypatch.setattr(line_dedup, "NAMED", named)
+    monkeypatch.setattr(line_dedup, "GROUP", 4)
+    expected = removed_lines(rows)
+    assert gone(spark, rows) == {i: expected[i] for i, _ in rows} and called
+
+
+def test_words_that_agree_in_44_bits_are_different_words(spark):
+    rows = [(1, "w13811188"), (2, "w03821880"), (3, "alpha beta gamma w11487113"), (4, "alpha beta gamma w05237401"), (5, "alpha beta gamma other"),
+            (6, "w13811188 w03821880"), (7, "w03821880 w13811188"), (8, "w13811188 w13811188")]
+    tokens = [line_dedup.line_words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[1][0] for _, t in rows[:2]]
+    assert int(tokens[0]) >> 20 == int(tokens[1]) >> 20 and tokens[0] != tokens[1]  # the case is the one meant
+    assert gone(spark, rows, min_words=1) == {1: [], 2: [], 3: [], 4: [], 5: [], 6: [], 7: [0], 8: [0]}
+
+
+def test_a_text_of_very_many_lines(spark):
+    text = "\n".join(f"line number {i // 2} of a long text" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, "line number 7 of a long text\nfresh words only here")], SCHEMA)
+    kept = {r.doc_id: r.text for r in line_dedup.deduplicated(docs, percent=100).collect()}
+    assert kept[1] == "\n".join(f"line number {i} of a long text" for i in range(30_000)) and kept[2] == "fresh words only here"
+
+
 def test_removed_lines_on_the_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
     expected = removed_lines(rows)

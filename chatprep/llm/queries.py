@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
 from . import (chat_collapse, chosen_path, hard_negatives, jump_shards, line_dedup, merkle, mixing, packing, pii_labelers, quality_rff,
@@ -23,8 +24,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def logged_snapshots(turns: DataFrame) -> DataFrame:
+    """``conversations`` as a log would hold them: a conversation is written whenever its number of turns reaches a
+    power of two, and at its end, under a new id each time; every third one is written twice at its end."""
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    ends = F.filter(F.sequence(F.lit(0), F.lit(40)), lambda k: (F.call_function("shiftleft", F.lit(1).cast("long"), k) > F.col("turn"))
+                    & ((k == 0) | (F.call_function("shiftleft", F.lit(1).cast("long"), k - 1) <= F.col("last"))))
+    twice = F.when(F.col("conv_id") % 3 == 0, F.array(F.lit(50))).otherwise(F.array().cast("array<int>"))
+    joined = turns.join(last, "conv_id").select("conv_id", "turn", "role", "text", F.explode(F.concat(ends, twice)).alias("k"))
+    return joined.select((F.col("conv_id") * 64 + F.col("k")).alias("conv_id"), "turn", "role", "text")
+
+
 @query("op1_chat_collapse", sql="""
-WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+WITH ends AS (SELECT conv_id, max(turn) AS last FROM conversations GROUP BY conv_id),
+log AS (
+  SELECT conv_id * 64 + k AS conv_id, turn, role, text FROM (
+    SELECT c.conv_id, turn, role, text, unnest(list_concat(
+      list_filter(range(41), lambda k: (1::BIGINT << k) > turn AND (k = 0 OR (1::BIGINT << greatest(k - 1, 0)) <= last)),
+      CASE WHEN c.conv_id % 3 = 0 THEN [50::BIGINT] ELSE [] END)) AS k
+    FROM conversations c JOIN ends USING (conv_id))),
+t AS (SELECT DISTINCT conv_id, turn, role, text FROM log),
 c AS (SELECT conv_id, list({'r': role, 'x': text} ORDER BY turn NULLS FIRST) AS l, count(*) AS n FROM t GROUP BY conv_id),
 kept AS (
   SELECT a.conv_id, a.n, a.l FROM c a
@@ -35,7 +54,7 @@ SELECT conv_id, n AS n_turns, pos, m.r AS role,
        '<|im_start|>' || coalesce(m.r, 'unknown') || chr(10) || coalesce(m.x, '') || '<|im_end|>' || chr(10) AS piece
 FROM turns""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_collapse.collapse_snapshots(table(spark, sf_dir, "conversations"))
+    return chat_collapse.collapse_snapshots(logged_snapshots(table(spark, sf_dir, "conversations")))
 
 
 @query("op2_quality_classifier")

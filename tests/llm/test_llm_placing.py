@@ -1,5 +1,6 @@
 """Sharding, packing, mixing, chat collapse and the pipeline."""
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -7,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from llm_brute import near_components, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -20,9 +22,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def test_shards(spark):
@@ -48,6 +48,34 @@ def test_jump_path_is_consistent_and_even(spark):
     assert all(a == b or b == 100 for a, b in zip(shards[100], shards[101]))
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 in plain Python: each value is hashed with the hash before it as seed; null changes nothing."""
+    h = 42
+    for v, size in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else int(v).to_bytes(size, "little", signed=True), seed=h)
+    return h
+
+
+def test_jump_path_equals_a_plain_loop(spark):
+    keys = [0, 1, -5, 7, 10**12, None] + list(range(50, 400))
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for n in (1, 2, 40, 64):
+        got = df.select(jump_shards.jump_path(F.col("k"), n).alias("p")).collect()
+        for k, r in zip(keys, got):
+            want = []
+            for shards in (n, n + 1):
+                shard = at = 0
+                step = 1
+                while True:
+                    at = math.floor((at + 1) / (((spark_hash((k, 8), (0, 4), (step, 4)) >> 33) + 1) / 2**31))
+                    if at >= shards:
+                        break
+                    shard, step = at, step + 1
+                want.append(shard)
+            assert [r.p["shard"], r.p.grown] == want, (k, n)
+
+
 def test_shards_defined_cases(spark):
     rows = [(None, "x", None, None, None), (None, "x", None, None, None), (1, None, None, None, None), (1, None, None, None, None)]
     docs = spark.createDataFrame(rows, DOCS).withColumn("shard", F.lit("q")).withColumn("slot", F.lit(3))
@@ -61,6 +89,8 @@ def test_encoder_equals_tokenizers(tokenizer):
     rng = random.Random(3)
     enc = packing.encoder(None)
     cases = ["", "<|endoftext|> a", "\x00\x1c \x85  \n\n x", "é　ü ", "'s 'S it's", "😀 नमस्ते 你好", " " * 3000 + "x", "a" * 5000, "\n" * 999, "!?" * 900]
+    end = "<|endoftext|>"
+    cases += [end, f"a {end} b", f"{end}{end}", f" {end} ", f"a{end}", f"{end}a", f"<|endof{end}text|>", "<|endoftext", "<| endoftext|>", f"x\n{end}\n\n{end}y" * 40]
     cases += ["".join(rng.choice("ab 1'st\n\t\r 　é漢.,!<|>") for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     for c in cases:
         assert list(enc.ids(c)) == tokenizer.encode(c, add_special_tokens=False).ids, c

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from llm_brute import near_components, removed_lines
 from pyspark.sql import functions as F
 
@@ -232,3 +234,31 @@ def test_fingerprints_defined_cases(spark):
     one = simhash.fingerprint_documents(docs.filter("doc_id = 2")).collect()
     assert [(r.near_edited, r.near_next, r.n_near) for r in one] == [(1.0, 1.0, None)]
     assert simhash.fingerprint_documents(docs.limit(0)).count() == 0
+
+
+def plain_fingerprint(text):
+    """Signed votes of all terms, bit by bit."""
+    words = [w for w in re.split("[\\x20\\x09-\\x0D]+", text) if w]
+    score = [0] * 64
+    for i, a in enumerate(words):
+        b = words[i + 1] if i + 1 < len(words) else None
+        h = xxhash.xxh64_intdigest(a.encode(), seed=42)
+        h = h if b is None else xxhash.xxh64_intdigest(b.encode(), seed=h)
+        weight = min(len(a), 12) + min(len(b or ""), 12)
+        for bit in range(64):
+            score[bit] += weight if h >> bit & 1 else -weight
+    return f"{sum(1 << bit for bit in range(64) if score[bit] > 0):016x}"
+
+
+def test_fingerprints_equal_signed_votes(spark):
+    rng = random.Random(9)
+    texts = ["", None, "one", "one two", "two one", " \t\x0b spaced\n out ", "é 日本 ß", "x" * 30 + " " + "y" * 12, "same same same"]
+    texts += [" ".join(rng.choice(["alpha", "be", "gammagammagamma", "d", "日本語"]) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    texts += ["word " * 30_000 + "end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).withColumns({c: F.lit(1) for c in ("v0", "total", "which", "rn", "copies")})
+    got = {r.doc_id: r for r in simhash.fingerprint_documents(docs).collect()}
+    for i, t in enumerate(texts):
+        t, follow = t or "", texts[(i + 1) % len(texts)] or ""
+        half = len(t) // 2
+        edited = t[:len(t) - half] + follow[:half]
+        assert got[i].fingerprint == plain_fingerprint(t) and got[i].edited_fingerprint == plain_fingerprint(edited), t[:50]

@@ -19,7 +19,8 @@ the queries call it, every line with a word takes part.
    common one), and the bitmap bound (equal words cannot differ in parity, so the bits in which two
    bitmaps differ bound the overlap from above).
    Entries without a possible partner end here; only the rest is written.
-4. The sets of the lines that are left are read again, and candidates are verified: first each line
+4. The sets of the lines that are left are read again where the texts lie (a filter of at most 16 MB tells which
+   lines to take), and candidates are verified: first each line
    set's most alike earlier partner and its group's first one; lines that are found need no more. For
    the others all candidates are verified. No group's matches are all written out.
 
@@ -57,7 +58,7 @@ FREQUENT = 2048        # a word is counted by name in a task where it makes up 1
 NAMED = 4096           # so many words at most are dealt into block pairs from the start
 GROUP = 8192           # entries of one block; a group of more is dealt into block pairs
 PART = 1 << 20         # entries that one task may be expected to hold
-SMALL_ROWS = 50_000    # a table of ids or numbers is broadcast only if counted to hold at most so many
+SMALL_ROWS = 20_000    # a table of ids or numbers is broadcast only if counted to hold at most so many
 BUFFER = 1 << 19       # entries that a task holds before it deals them out
 WIDE = 8               # longs of the bitmap that verification candidates use
 BITS = 2               # longs of the bitmap that an entry carries
@@ -192,6 +193,12 @@ def _parity(tokens: np.ndarray, line: np.ndarray, count: int, width: int, seed:
     return out
 
 
+def _set_hashes(word: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each set of words (runs that begin at ``first``), whatever their order."""
+    n = np.diff(np.append(first, len(word))).astype(np.uint64)
+    return [W.mix(np.add.reduceat(W.mix(word, seed), first) ^ n, seed + 1) for seed in (8, 14)]
+
+
 def _again(doc: np.ndarray, sid: np.ndarray, sid2: np.ndarray) -> np.ndarray:
     """Is this line's set also that of an earlier line of its text?"""
     key = W.mix(sid ^ W.mix(doc.astype(np.uint64), 12))
@@ -259,7 +266,7 @@ def scan_lines(docs: DataFrame, rank: np.ndarray, frequent: dict[int, int], perc
                 index = np.cumsum(good) - 1
                 line, ldoc, number, n = index[line], ldoc[good], number[good], n[good]
                 first = np.concatenate([[0], np.cumsum(n)[:-1]])
-                sid, sid2 = (W.mix(np.add.reduceat(W.mix(word, seed), first) ^ n.astype(np.uint64), seed + 1) for seed in (8, 14))
+                sid, sid2 = _set_hashes(word, first)
                 again = _again(ldoc, sid, sid2)
                 entry = _entries(token, line, n, sid, _parity(token, line, len(n), BITS, 10), first, percent, blocks)
                 held.append(entry)
@@ -388,37 +395,71 @@ def large_groups(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(trimmed(run), "key long, sid long, n int, pos int")
 
 
-def wanted_sets(docs: DataFrame, wanted: DataFrame, rank: np.ndarray) -> DataFrame:
-    """(sid, cid, shingles, bitmap): the words of the lines ``wanted`` (sid, doc_id, line_no), read again."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "sid")).alias("asked"))
-    lists = _small(materialize(lists, "asked"), F.size("asked"))
+def _places(h: np.ndarray, line_no: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The two bits of a line in a filter of 2**bits bits; ``h`` is a hash of its document's id."""
+    key = W.mix(h ^ W.mix(line_no.astype(np.uint64), 20), 21)
+    return [W.mix(key, seed) >> U(64 - bits) for seed in (22, 23)]
+
+
+def line_filter(wanted: DataFrame) -> np.ndarray:
+    """A bit filter of the lines (doc_id, line_no) of ``wanted``: 32 bits a line, 2**27 bits (16 MB) at most. Beyond
+    that it lets more other lines through, never fewer wanted ones."""
+    bits = min(max((32 * wanted.count()).bit_length(), 10), 27)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = W.text_buffer(batch.column(0))
-            asked = batch.column(1)
+            at = np.unique(np.concatenate(_places(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), bits)))
+            words, first = np.unique(at >> U(6), return_index=True)
+            if len(words):
+                value = np.bitwise_or.reduceat(U(1) << (at & U(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(value.view(np.int64))], names=["w", "v"])
+
+    set_ = wanted.select(F.xxhash64("doc_id"), "line_no").mapInArrow(trimmed(run), "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[set_.column(0).to_numpy()] = set_.column(1).to_numpy().view(np.uint64)
+    return out
+
+
+def wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cid, shingles, bitmap): the words of the line sets ``wanted`` (sid, sid2, doc_id, line_no, at), read again, as
+    number ``at``. The texts do not move: the reading tasks take the lines that a filter of the wanted ones lets through,
+    and their sets meet the wanted ones by both hashes, which turns away what the filter should not have let through."""
+    held = docs.sparkSession.sparkContext.broadcast(line_filter(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = held.value
+        bits = len(marks).bit_length() + 5
+        for batch in batches:
+            data, offsets = W.text_buffer(batch.column(1))
+            ids = batch.column(0).to_numpy().view(np.uint64)
             for lo, hi in W.slices(offsets, SLICE):
                 p = offsets[lo:hi + 1]
-                line, hashes, ldoc, number = line_words(data[p[0]:p[-1]], p - p[0])
-                flat = asked.slice(lo, hi - lo)
-                of = np.repeat(np.arange(hi - lo), flat.value_lengths().to_numpy())
-                items = flat.flatten()
-                rows = np.searchsorted(ldoc, of) + items.field("line_no").to_numpy()
-                inside = rows < np.searchsorted(ldoc, of, side="right")
-                sid = np.zeros(len(ldoc), np.int64)
-                pick = np.zeros(len(ldoc), bool)
-                sid[rows[inside]], pick[rows[inside]] = items.field("sid").to_numpy()[inside], True
-                keep = pick[line]
-                line, word = W.distinct_per(line[keep], hashes[keep])
-                chosen = np.unique(line)
-                new = np.searchsorted(chosen, line)
-                bitmap = _parity(word, new, len(chosen), WIDE, 10)
-                starts = np.searchsorted(new, np.arange(len(chosen) + 1))
-                sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(word.view(np.int64)))
-                blobs = pa.array([b.tobytes() for b in bitmap], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(sid[chosen]), sets, blobs], names=["cid", "shingles", "bitmap"])
-
-    return docs.join(lists, "doc_id").select("text", "asked").mapInArrow(trimmed(run), "cid long, shingles array<long>, bitmap binary")
+                part = data[p[0]:p[-1]]
+                ls, le, ldoc = W.lines(part, p - p[0])
+                number = np.arange(len(ls)) - np.searchsorted(ldoc, np.arange(hi - lo))[ldoc]
+                pick = np.ones(len(ls), bool)
+                for at in _places(ids[lo:hi][ldoc], number, bits):
+                    pick &= (marks[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == 1
+                ls, le = ls[pick], le[pick]
+                ends = np.cumsum(le - ls)
+                if not len(ends) or not ends[-1]:
+                    continue
+                starts = ends - (le - ls)
+                text = W.LOWER[part[np.repeat(ls - starts, le - ls) + np.arange(ends[-1])]]
+                bounds = np.append(starts, ends[-1])
+                ws, we = W.spans(text, bounds)
+                line, word = W.distinct_per(W.owner(bounds, ws), W.hash_spans(text, ws, we))
+                if not len(line):
+                    continue
+                new = np.concatenate([[True], line[1:] != line[:-1]])
+                first, line = np.flatnonzero(new), np.cumsum(new) - 1
+                sid, sid2 = _set_hashes(word, first)
+                sets = pa.ListArray.from_arrays(pa.array(np.append(first, len(word)), pa.int32()), pa.array(word.view(np.int64)))
+                blobs = pa.array([b.tobytes() for b in _parity(word, line, len(first), WIDE, 10)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array(sid2.view(np.int64)), sets, blobs], names=["sid", "sid2", "shingles", "bitmap"])
+
+    read = docs.select(F.xxhash64("doc_id"), "text").mapInArrow(trimmed(run), "sid long, sid2 long, shingles array<long>, bitmap binary")
+    return read.join(wanted.select("sid", "sid2", F.col("at").alias("cid")), ["sid", "sid2"]).select("cid", "shingles", "bitmap").dropDuplicates(["cid"])
 
 
 def partners(entries: DataFrame, percent: int, every: bool) -> DataFrame:
@@ -494,7 +535,7 @@ def gone_lines(docs: DataFrame, percent: int = 75, min_words: int = 3) -> DataFr
     wanted = fresh.join(_small(possible), "sid", "left_semi").groupBy("sid", "sid2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"))
     first = materialize(wanted.select("sid", "sid2", "f.doc_id", "f.line_no"), "wanted")
     wanted = materialize(global_row_number(first, ["doc_id", "line_no", "sid"], out="at"), "numbered")
-    sets = materialize(wanted_sets(docs, wanted.select("doc_id", "line_no", F.col("at").alias("sid")), rank), "sets")
+    sets = materialize(wanted_sets(docs, wanted), "sets")
     info = sets.select(F.col("cid").alias("at"), "bitmap").join(wanted.select("sid", "at"), "at")
     entries = active.join(info, "sid").select("key", F.col("at").alias("sid"), "n", "pos", "bitmap", "at")
     entries = materialize(entries, "entries")

@@ -53,6 +53,7 @@ U = np.uint64
 BUCKET_BITS = 18       # buckets of the rarity table: 2 MB, whatever the input
 TOKEN_BITS = 44        # of a word's hash in candidate generation; the rest of a long numbers the line
 LINES_AT_ONCE = 1 << (64 - TOKEN_BITS)
+CHUNK = 1 << 14        # buckets of the rarity table in one row
 SLICE = 1 << 20        # bytes of text per numpy step: fewer lines with words than LINES_AT_ONCE
 FREQUENT = 2048        # a word is counted by name in a task where it makes up 1 in this many words
 NAMED = 4096           # so many words at most are dealt into block pairs from the start
@@ -66,10 +67,10 @@ ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("pos", "<u2"), ("sid", "<u8"),
 
 
 def _small(df: DataFrame, weight: Column | None = None) -> DataFrame:
-    """A written table with a broadcast hint if it was counted to be small, else as it is (a plain join).
-    ``weight`` counts what a row holds beyond itself."""
+    """A written table with a broadcast hint if it was counted to be small, else for a sort-merge join, so that the plan
+    changes at one counted size only. ``weight`` counts what a row holds beyond itself."""
     rows = df.count() if weight is None else df.agg(F.sum(weight + 1)).first()[0] or 0
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
+    return F.broadcast(df) if rows <= SMALL_ROWS else df.hint("merge")
 
 
 def line_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -91,7 +92,11 @@ def ordered_tokens(line: np.ndarray, hashes: np.ndarray, rank: np.ndarray) -> tu
     wide = len(line) and line[-1] >= LINES_AT_ONCE
     both = token if wide else (line.astype(np.uint64) << U(TOKEN_BITS)) | token
     order = np.lexsort((token, line)) if wide else np.argsort(both)
-    line, token, hashes = line[order], token[order], hashes[order]
+    if wide:
+        line, token, hashes = line[order], token[order], hashes[order]
+    else:
+        both, hashes = both[order], hashes[order]
+        line, token = (both >> U(TOKEN_BITS)).astype(np.int64), both & ((U(1) << U(TOKEN_BITS)) - U(1))
     same = (token[1:] == token[:-1]) & (line[1:] == line[:-1])
     if (same & (hashes[1:] != hashes[:-1])).any():  # two words with one token: bring equal words together
         order = np.lexsort((hashes, token, line))
@@ -131,24 +136,33 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int], int]:
                 for i in np.flatnonzero((count > 64) & (count * FREQUENT > len(hashes))):
                     name = int(hashes[edge[i]]) >> (64 - TOKEN_BITS)
                     named[name] = named.get(name, 0) + int(count[i])
-        some = np.flatnonzero(buckets)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.full(len(some), -1)), pa.array(buckets[some])], names=["bucket", "name", "count"])
-        names = sorted(named)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(names), -1)), pa.array(names, pa.int64()), pa.array([named[x] for x in names], pa.int64())],
-                                         names=["bucket", "name", "count"])
-
-    # One row per bucket and per frequent word: a fixed number of the first, at most FREQUENT per slice of the second.
-    total = docs.select("text").mapInArrow(trimmed(run), "bucket long, name long, count long").groupBy("bucket", "name").agg(F.sum("count").alias("count"))
-    total = materialize(total, "words")
-    named = total.filter((F.col("name") >= 0) & (F.col("count") > GROUP)).orderBy(F.desc("count"), "name").limit(NAMED)
-    table = total.filter("name < 0").unionByName(named).toArrow()
-    release(total)
-    bucket, name, count = (table.column(i).to_numpy() for i in range(3))
+        # The buckets as CHUNK counts a row, so a task has a fixed number of rows; then at most FREQUENT names a slice.
+        for lo in range(0, len(buckets), CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([-1]), pa.array([0]), pa.array([buckets[lo:lo + CHUNK].tobytes()], pa.binary())], names=names)
+        said = sorted(named)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(said), -1)), pa.array(said, pa.int64()), pa.array([named[x] for x in said], pa.int64()),
+                                          pa.nulls(len(said), pa.binary())], names=names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for lo, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[lo] = sums.get(lo, 0) + np.frombuffer(counts, np.int64)
+        for lo, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([counts.tobytes()], pa.binary())], names=["bucket", "counts"])
+
+    names = ["bucket", "name", "count", "counts"]
+    seen = materialize(docs.select("text").mapInArrow(trimmed(run), "bucket long, name long, count long, counts binary"), "words")
+    chunks = seen.filter("bucket >= 0").select("bucket", "counts").repartition(16, "bucket").mapInArrow(trimmed(add), "bucket long, counts binary").collect()
+    named = seen.filter("name >= 0").groupBy("name").agg(F.sum("count").alias("count")).filter(F.col("count") > GROUP)
+    named = named.orderBy(F.desc("count"), "name").limit(NAMED).collect()
+    release(seen)
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    counts[bucket[name < 0]] = count[name < 0]
+    for r in chunks:  # 2**BUCKET_BITS counts in all
+        counts[r["bucket"]:r["bucket"] + CHUNK] = np.frombuffer(r["counts"], np.int64)
     rank = np.empty(1 << BUCKET_BITS, np.uint64)
     rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts), dtype=np.uint64)
-    return rank, {int(a): int(c) for a, c in zip(name[name >= 0], count[name >= 0])}, int(counts.sum())
+    return rank, {r["name"]: r["count"] for r in named}, int(counts.sum())
 
 
 def _entries(tokens: np.ndarray, line: np.ndarray, n: np.ndarray, sid: np.ndarray, bits: np.ndarray, first: np.ndarray,

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from ..operators import batches, tokens, validate
 from ..session import checkpoint_dir, table
-from ..sources import files, sinks
+from ..sources import encoding, files, sinks
 from . import checks, fixtures
 
 FILE_LENGTH = 64  # ids of the written training set
 MODEL = "base/model"
+BAD_BYTES = [b"\xff", b"\xe3\x81", b"\xed\xa0\x80", b"\xc0\xaf", b"\xf0\x9f\x99"]
 
 
 def _folder(spark, name: str) -> str:
@@ -133,9 +134,25 @@ def q_require_valid(spark, d):
     return spark.createDataFrame(said, "scope string, outcome string")
 
 
+# --- B7: the byte at which a strict reader stops -------------------------------------------------------------------------
+
+def q_first_undecodable(spark, d):
+    """Thirteen files of messages in order; in most, a byte sequence that is no UTF-8 ends every seventeenth message."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text", (F.col("conv_id") % 13).alias("f"))
+    kinds = F.array(*[F.lit(bytearray(b)) for b in BAD_BYTES])
+    bad = F.when((F.col("f") % 4 != 0) & ((F.col("conv_id") * 31 + F.col("turn")) % 17 == F.col("f")),
+                 F.get(kinds, (F.col("f") % len(BAD_BYTES)).cast("int"))).otherwise(F.lit(b""))
+    lines = c.select("f", "conv_id", "turn", F.concat(F.coalesce("text", F.lit("")).cast("binary"), bad).cast("string").alias("line"))
+    root = _folder(spark, "undecodable")
+    # one file per f, its lines in order
+    lines.repartition("f").sortWithinPartitions("f", "conv_id", "turn").select("f", "line").write.partitionBy("f").text(root)
+    found = encoding.first_undecodable(spark, root)
+    return found.select(F.regexp_extract("file", "/f=([0-9]+)/", 1).cast("long").alias("f"), "bad_offset", "bad_bytes", "reason", "line_no")
+
+
 QUERIES = {"read_prompt_catalog": q_read_prompt_catalog, "read_run_manifests": q_read_run_manifests, "list_artifacts": q_list_artifacts,
            "write_training_set": q_write_training_set, "write_history": q_write_history, "write_run_manifest": q_write_run_manifest,
-           "require_valid": q_require_valid}
+           "require_valid": q_require_valid, "first_undecodable": q_first_undecodable}
 
 _SAID = "chr(12288) || ' ' || chr(10) || text || chr(10) || ' second line' || chr(8195) || chr(10) || chr(10) || chr(10)"
 
@@ -160,4 +177,13 @@ f AS (SELECT 'f' || conv_id % 10 AS file, count(*) AS n, count(*) FILTER (WHERE
 g AS (SELECT *, errors > n * 0.1 AS bad FROM f)
 SELECT 'all' AS scope, count(*) || ' file(s) refused: ' || string_agg(file || ': ' || errors || ' of ' || n || ' lines are bad', '; ' ORDER BY file) AS outcome FROM g WHERE bad
 UNION ALL SELECT 'good', 'passed ' || count(*) FROM g WHERE NOT bad""",
+    "first_undecodable": """WITH c AS (SELECT conv_id % 13 AS f, conv_id, turn, coalesce(text, '') AS t,
+    conv_id % 13 % 4 <> 0 AND (conv_id * 31 + turn) % 17 = conv_id % 13 AS bad FROM conversations),
+p AS (SELECT f, t, bad, sum(strlen(t) + 1) OVER w - 1 AS place, sum(length(t) - length(replace(t, chr(10), '')) + 1) OVER w AS line_no,
+    count(*) FILTER (WHERE bad) OVER w AS k FROM c WINDOW w AS (PARTITION BY f ORDER BY conv_id, turn ROWS UNBOUNDED PRECEDING)),
+h AS (SELECT f, place, line_no FROM p WHERE bad AND k = 1)
+SELECT f, CAST(place AS BIGINT) AS bad_offset, CAST(CASE WHEN place IS NULL THEN NULL ELSE ([1, 2, 1, 1, 3])[f % 5 + 1] END AS INTEGER) AS bad_bytes,
+  CASE WHEN place IS NULL THEN NULL WHEN f % 5 IN (0, 3) THEN 'invalid start byte' ELSE 'invalid continuation byte' END AS reason,
+  CAST(line_no AS BIGINT) AS line_no
+FROM (SELECT DISTINCT f FROM c) LEFT JOIN h USING (f)""",
 }

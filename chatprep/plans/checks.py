@@ -1045,7 +1045,21 @@ def q_adapter_config_scan(spark, d):
     return registry.adapter_config_scan(fixtures.adapter_configs(spark, d))
 
 
+def _model_links(spark, d):
+    return registry.model_links(fixtures.merge_manifests(spark, d), fixtures.model_configs(spark, d))
+
+
+def q_model_lineage(spark, d):
+    return registry.model_lineage(_model_links(spark, d))
+
+
+def q_resolve_artifact_chain(spark, d):
+    return registry.resolve_artifact_chain(fixtures.artifact_listing(spark, d), _model_links(spark, d))
+
+
 QUERIES.update({
+    "model_lineage": q_model_lineage,
+    "resolve_artifact_chain": q_resolve_artifact_chain,
     "valid_adapters": q_valid_adapters,
     "missing_artifacts": q_missing_artifacts,
     "resolve_artifact_source": q_resolve_artifact_source,
@@ -1059,8 +1073,26 @@ LISTING = f"""listing AS (
     CAST(p_size AS BIGINT) * 1000 + p_partkey AS length, p_partkey, p_size, p_retailprice, p_brand
   FROM part)"""
 _RUN = "'runs/r' || CAST(p_partkey // 7 {} AS VARCHAR)"
+# every chain walked one link at a time, from each directory, until it stops or meets itself
+_WALK = "WITH RECURSIVE " + LISTING + f""",
+made AS (SELECT dir AS node, 0 AS prio, {_RUN.format('+ 2')} AS nxt FROM listing WHERE file = 'config.json' AND p_size % 2 = 0
+  UNION ALL SELECT dir, 1, {_RUN.format('- 1')} FROM listing WHERE file = 'merge_info.json'),
+known AS (SELECT DISTINCT dir AS node FROM listing WHERE file IN ('config.json', 'merge_info.json')),
+links AS (SELECT node, (SELECT arg_min(nxt, (prio, nxt)) FROM made m WHERE m.node = k.node) AS nxt FROM known k),
+"""
 
 ORACLE_SQL.update({
+    "model_lineage": _WALK + """walk AS (SELECT node AS dir, node AS here, CAST(0 AS BIGINT) AS depth, [node] AS seen FROM links
+  UNION ALL SELECT w.dir, l.nxt, w.depth + 1, list_append(w.seen, l.nxt) FROM walk w JOIN links l ON l.node = w.here
+  WHERE l.nxt IS NOT NULL AND NOT list_contains(w.seen, l.nxt))
+SELECT w.dir, CASE WHEN l.nxt IS NULL THEN w.here END AS root, CASE WHEN l.nxt IS NULL THEN w.depth END AS depth, l.nxt IS NOT NULL AS cyclic
+FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY depth DESC) AS nth FROM walk) w LEFT JOIN links l ON l.node = w.here WHERE nth = 1""",
+    "resolve_artifact_chain": _WALK + """holders AS (SELECT DISTINCT dir AS node FROM listing WHERE file = 'tokenizer.model'),
+walk AS (SELECT node AS dir, node AS here, CAST(0 AS BIGINT) AS hops, [node] AS seen FROM links
+  UNION ALL SELECT w.dir, l.nxt, w.hops + 1, list_append(w.seen, l.nxt) FROM walk w JOIN links l ON l.node = w.here
+  WHERE l.nxt IS NOT NULL AND NOT list_contains(w.seen, l.nxt)),
+hit AS (SELECT dir, min(hops) AS hops, arg_min(here, hops) AS source_dir FROM walk WHERE here IN (SELECT node FROM holders) GROUP BY dir)
+SELECT links.node AS dir, source_dir, hops FROM links LEFT JOIN hit ON hit.dir = links.node""",
     "valid_adapters": "WITH " + LISTING + """
 SELECT dir, bool_or(file = 'adapter_config.json') AS is_adapter,
   CASE WHEN bool_or(file = 'config.json') THEN 'local' ELSE 'hub' END AS model_source,

@@ -81,8 +81,14 @@ def validation_report(lines: DataFrame, max_error_rate: float = MAX_ERROR_RATE,
 
     ``passed`` is false when ``error_count > line_count * max_error_rate`` (double arithmetic,
     as in Python: exactly 10 % bad still passes) or when any line is not valid UTF-8."""
+    classified = classify_lines(lines, line_col).withColumn("valid_utf8", F.is_valid_utf8(F.col(line_col)))
+    return status_report(classified, max_error_rate, by, files)
+
+
+def status_report(classified: DataFrame, max_error_rate: float = MAX_ERROR_RATE, by: list[str] | None = None,
+                  files: DataFrame | None = None) -> DataFrame:
+    """``validation_report`` of lines that have been classified: ``status`` and ``valid_utf8`` beside the ``by`` columns."""
     by = by if by is not None else ["file"]
-    classified = classify_lines(lines, line_col)
     st = F.col("status")
     agg = classified.groupBy(*by).agg(
         F.count(F.lit(1)).alias("line_count"),
@@ -91,7 +97,7 @@ def validation_report(lines: DataFrame, max_error_rate: float = MAX_ERROR_RATE,
         F.count_if(st == STATUS_NOT_OBJECT).alias("not_object"),
         F.count_if(st == STATUS_MISSING).alias("missing_messages"),
         F.count_if(st == STATUS_NOT_LIST).alias("messages_not_list"),
-        F.count_if(~F.is_valid_utf8(F.col(line_col))).alias("invalid_utf8"),
+        F.count_if(~F.col("valid_utf8")).alias("invalid_utf8"),
     )
     report = agg.withColumn("error_rate", F.round(F.col("error_count") / F.col("line_count"), 6)).withColumn(
         "passed",

@@ -7,6 +7,7 @@ renamed through the Hadoop file system, so their content never passes through th
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -14,11 +15,12 @@ from pyspark.sql import functions as F
 
 from ..operators import batches, tokens, validate
 from ..session import checkpoint_dir, table
-from ..sources import encoding, files, sinks
+from ..sources import encoding, files, gate, sinks
 from . import checks, fixtures
 
 FILE_LENGTH = 64  # ids of the written training set
 MODEL = "base/model"
+FEW_BAD = [0, 1, 2, 4, 6, 8]  # of these, every twelfth line is bad
 BAD_BYTES = [b"\xff", b"\xe3\x81", b"\xed\xa0\x80", b"\xc0\xaf", b"\xf0\x9f\x99"]
 
 
@@ -150,9 +152,51 @@ def q_first_undecodable(spark, d):
     return found.select(F.regexp_extract("file", "/f=([0-9]+)/", 1).cast("long").alias("f"), "bad_offset", "bad_bytes", "reason", "line_no")
 
 
+# --- B3, B4: the gate as a staged write ------------------------------------------------------------------------------------
+
+def _gated(spark, d, rests: list[int]) -> tuple[str, str]:
+    """Five files of the dirty lines with ``conv_id % 10`` in ``rests``, sent through the gate: where to, and what it said."""
+    root = _folder(spark, "gate")
+    lines = fixtures.chat_lines(spark, d, numbered=False).filter((F.col("conv_id") % 10).isin(rests))
+    lines = lines.select(F.floor(F.col("conv_id") / 10 % 5).alias("f"), "conv_id", "line")
+    lines.repartition("f").sortWithinPartitions("f", "conv_id").select("f", "line").write.partitionBy("f").text(f"{root}/raw")
+    try:
+        report = gate.write_gated(spark, f"{root}/raw", f"{root}/lines")
+    except ValueError as refused:
+        return f"{root}/lines", re.sub(r"\S*/(f=[0-9]+)/[^:]*", r"\1", str(refused))
+    return f"{root}/lines", f"passed {report.count()} file(s)"
+
+
+def q_write_gated(spark, d):
+    """What readers see: the good lines with their numbers, and none at all if a file was refused."""
+    path, said = _gated(spark, d, FEW_BAD)
+    if not said.startswith("passed"):
+        return spark.createDataFrame([], "file string, line_no long, line string")
+    return gate.read_gated_lines(spark, path).withColumn("file", F.regexp_extract("file", "/(f=[0-9]+)/", 1))
+
+
+def q_write_gated_refused(spark, d):
+    path, said = _gated(spark, d, list(range(10)))
+    sc = spark.sparkContext
+    parent = sc._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    left = parent.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(parent)
+    return spark.createDataFrame([(said, ",".join(sorted(s.getPath().getName() for s in left)))], "outcome string, left_behind string")
+
+
 QUERIES = {"read_prompt_catalog": q_read_prompt_catalog, "read_run_manifests": q_read_run_manifests, "list_artifacts": q_list_artifacts,
            "write_training_set": q_write_training_set, "write_history": q_write_history, "write_run_manifest": q_write_run_manifest,
-           "require_valid": q_require_valid, "first_undecodable": q_first_undecodable}
+           "require_valid": q_require_valid, "first_undecodable": q_first_undecodable,
+           "write_gated": q_write_gated, "write_gated_refused": q_write_gated_refused}
+
+def _gate_sql(rests: list[int]) -> str:
+    return "WITH " + checks.CHAT_LINES + ", " + checks.STATUS + f""",
+mine AS (SELECT 'f=' || conv_id // 10 % 5 AS f, conv_id, line, status FROM classified
+  JOIN (SELECT conv_id, line_no AS k FROM lines) ON k = line_no WHERE conv_id % 10 IN ({', '.join(map(str, rests))})),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY conv_id) AS line_no FROM mine),
+counted AS (SELECT f, count(*) AS n, count(*) FILTER (WHERE status <> 'ok') AS errors FROM mine GROUP BY f),
+refused AS (SELECT * FROM counted WHERE errors > n * 0.1)
+"""
+
 
 _SAID = "chr(12288) || ' ' || chr(10) || text || chr(10) || ' second line' || chr(8195) || chr(10) || chr(10) || chr(10)"
 
@@ -186,4 +230,9 @@ SELECT f, CAST(place AS BIGINT) AS bad_offset, CAST(CASE WHEN place IS NULL THEN
   CASE WHEN place IS NULL THEN NULL WHEN f % 5 IN (0, 3) THEN 'invalid start byte' ELSE 'invalid continuation byte' END AS reason,
   CAST(line_no AS BIGINT) AS line_no
 FROM (SELECT DISTINCT f FROM c) LEFT JOIN h USING (f)""",
+    "write_gated": _gate_sql(FEW_BAD) + """SELECT f AS file, line_no, line FROM numbered
+WHERE status = 'ok' AND NOT EXISTS (SELECT 1 FROM refused)""",
+    "write_gated_refused": _gate_sql(list(range(10))) + """SELECT CASE WHEN count(*) = 0 THEN 'passed ' || (SELECT count(*) FROM counted) || ' file(s)'
+  ELSE count(*) || ' file(s) refused: ' || string_agg(f || ': ' || errors || ' of ' || n || ' lines are bad', '; ' ORDER BY f) END AS outcome,
+  CASE WHEN count(*) = 0 THEN 'lines,raw' ELSE 'raw' END AS left_behind FROM refused""",
 }

@@ -20,9 +20,9 @@ from ..operators.batches import (
 from ..operators.messages import FALLBACK_SYSTEM_PROMPT
 from ..operators.sessions import conversation_record, final_records
 from ..operators.tokens import DEFAULT_MAX_LENGTH
-from ..operators.validate import require_examples, require_valid, validation_report
+from ..operators.validate import require_examples
 from ..session import checkpoint_dir
-from ..sources.jsonl import list_input_files, read_jsonl_lines
+from ..sources.gate import read_gated_lines, write_gated
 from ..sources.sinks import write_history, write_run_manifest, write_training_set
 from .training import training_examples_from_lines
 
@@ -32,17 +32,17 @@ def prepare_training_run(spark: SparkSession, paths: str | list[str], out_dir: s
                          epochs: int = DEFAULT_EPOCHS, batch_size: int = DEFAULT_BATCH_SIZE,
                          accumulation: int = DEFAULT_ACCUMULATION, seed: int = DEFAULT_SEED,
                          extra_config: dict | None = None) -> dict:
-    """Writes ``out_dir/examples`` (Parquet, keyed by file and line number), ``out_dir/plan`` (Parquet,
+    """Writes ``out_dir/lines`` (the good lines, see ``write_gated``), ``out_dir/examples`` (Parquet, keyed by file and line number), ``out_dir/plan`` (Parquet,
     partitioned by epoch) and ``out_dir/training_info.json``; returns file, line, error and example counts.
 
-    Raises ``ValueError`` when a file fails the gate or no example is left. The report and the numbered
-    lines are pinned once, the examples are written once and read back, so nothing is computed twice
-    (and a lost executor does not send the job back to the raw files)."""
+    Raises ``ValueError`` when a file fails the gate (nothing is left behind then) or no example is left, and
+    ``FileExistsError`` if the lines of an earlier run are in ``out_dir``. The raw files are read once, by the
+    staged write of the gate; the examples are written once and read back, so nothing is computed twice (and a lost
+    executor does not send the job back to the raw files)."""
     out = out_dir.rstrip("/")
     checkpoint_dir(spark)
-    lines = read_jsonl_lines(spark, paths).checkpoint(eager=True)
-    report = validation_report(lines, files=list_input_files(spark, paths)).checkpoint(eager=True)
-    require_valid(report)
+    report = write_gated(spark, paths, f"{out}/lines")
+    lines = read_gated_lines(spark, f"{out}/lines")
     # one summary row for the caller (the report itself has one row per file)
     totals = report.agg(F.count(F.lit(1)).alias("files"), F.sum("line_count").alias("lines"),
                         F.sum("error_count").alias("errors")).first().asDict()

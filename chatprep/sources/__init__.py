@@ -2,6 +2,7 @@
 
 from .encoding import first_undecodable
 from .files import list_artifacts, read_prompt_catalog, read_run_manifests
+from .gate import read_gated_lines, write_gated
 from .jsonl import (
     CHAT_SCHEMA,
     MESSAGES_TYPE,
@@ -14,7 +15,7 @@ from .jsonl import (
 from .sinks import run_manifest, write_history, write_run_manifest, write_training_set
 
 __all__ = [
-    "first_undecodable", "list_artifacts", "read_prompt_catalog", "read_run_manifests",
+    "first_undecodable", "read_gated_lines", "write_gated", "list_artifacts", "read_prompt_catalog", "read_run_manifests",
     "CHAT_SCHEMA", "MESSAGES_TYPE", "parse_chat_lines", "read_chat_jsonl", "read_jsonl_lines",
     "list_input_files", "read_unnumbered_lines",
     "run_manifest", "write_history", "write_run_manifest", "write_training_set",

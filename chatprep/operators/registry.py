@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .ranking import checked_broadcast
+from .ranking import checked_broadcast, num_partitions
 
 # --- fixed values ----------------------------------------------------------------------------
 ADAPTER_MARKER = "adapter_config.json"   # a directory is a LoRA adapter iff it holds this file
@@ -119,14 +119,15 @@ def follow_links(links: DataFrame, stops: DataFrame | None = None) -> DataFrame:
         "node", F.when(closed, F.col("node")).otherwise(F.col("next")).alias("end"), F.when(closed, 0).otherwise(1).cast("long").alias("steps"),
         F.when(F.col("stop"), F.lit("found")).when(closed, F.lit("end")).alias("outcome"))
     state = state.checkpoint(eager=True)
-    count, reach = state.count(), 1
+    count, reach, parts = state.count(), 1, num_partitions(links.sparkSession)
     while reach <= count and not state.filter("outcome IS NULL").isEmpty():
         there = checked_broadcast(state.select(F.col("node").alias("end"), F.col("end").alias("_end"), F.col("steps").alias("_steps"),
                                                F.col("outcome").alias("_outcome"), F.lit(True).alias("_node")))
         further = state.filter("outcome IS NULL").join(there, "end", "left").select(
             "node", F.coalesce("_end", "end").alias("end"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
             F.when(F.col("_node").isNull(), F.lit("end")).otherwise(F.col("_outcome")).alias("outcome"))
-        state = state.filter("outcome IS NOT NULL").unionByName(further).checkpoint(eager=True)
+        # the two parts together have the partitions of both: without the limit their number would double every round
+        state = state.filter("outcome IS NOT NULL").unionByName(further).coalesce(parts).checkpoint(eager=True)
         reach *= 2
     open_still = F.col("outcome").isNull()
     return state.select("node", F.when(~open_still, F.col("end")).alias("end"), F.when(~open_still, F.col("steps")).alias("steps"),

@@ -47,7 +47,7 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int
     return F.broadcast(df) if small else df
 
 
-def num_partitions(spark: SparkSession, n: int | None = None) -> int:
+def shuffle_partitions(spark: SparkSession, n: int | None = None) -> int:
     if n:
         return n
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -64,7 +64,7 @@ def global_row_number(df: DataFrame, order_cols: list[str], group_col: str | Non
     spark = df.sparkSession
     checkpoint_dir(spark)
     keys = ([group_col] if group_col else []) + list(order_cols)
-    n = num_partitions(spark, num_partitions)
+    n = shuffle_partitions(spark, num_partitions)
     ranged = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
@@ -102,7 +102,7 @@ def running_sums(df: DataFrame, key: list[str], order_col: str, values: dict[str
     names = list(values)
     x = df.withColumns({f"_v{i}": F.coalesce((F.col(v) if isinstance(v, str) else v).cast("long"), F.lit(0))
                         for i, v in enumerate(values.values())})
-    ranged = x.repartitionByRange(num_partitions(spark, num_partitions), *key, order_col)
+    ranged = x.repartitionByRange(shuffle_partitions(spark, num_partitions), *key, order_col)
     # Pin contents: the frame is read twice, and range bounds come from sampling.
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     totals = ranged.groupBy("_pid", *key).agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])

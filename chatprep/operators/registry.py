@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .ranking import checked_broadcast, num_partitions
+from .ranking import checked_broadcast, shuffle_partitions
 
 # --- fixed values ----------------------------------------------------------------------------
 ADAPTER_MARKER = "adapter_config.json"   # a directory is a LoRA adapter iff it holds this file
@@ -119,7 +119,7 @@ def follow_links(links: DataFrame, stops: DataFrame | None = None) -> DataFrame:
         "node", F.when(closed, F.col("node")).otherwise(F.col("next")).alias("end"), F.when(closed, 0).otherwise(1).cast("long").alias("steps"),
         F.when(F.col("stop"), F.lit("found")).when(closed, F.lit("end")).alias("outcome"))
     state = state.checkpoint(eager=True)
-    count, reach, parts = state.count(), 1, num_partitions(links.sparkSession)
+    count, reach, parts = state.count(), 1, shuffle_partitions(links.sparkSession)
     while reach <= count and not state.filter("outcome IS NULL").isEmpty():
         there = checked_broadcast(state.select(F.col("node").alias("end"), F.col("end").alias("_end"), F.col("steps").alias("_steps"),
                                                F.col("outcome").alias("_outcome"), F.lit(True).alias("_node")))

@@ -1,6 +1,7 @@
 """Learned merges equal one merge at a time; encoding and decoding are exact."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -8,8 +9,6 @@ import pytest
 from chatprep.operators import subwords
 from chatprep.operators.tokens import SPECIAL_TOKENS
 
-import re
-
 PIECE = re.compile("|".join(SPECIAL_TOKENS) + r"| ?[^<\t-\r ]{1,64}|[<\t-\r ]")
 
 

@@ -1,15 +1,18 @@
 """Registered queries of the readers, sinks and the gate: files are written from the given tables under the
 checkpoint folder and read back by the library; the SQL computes the same from the tables alone.
 
-Files whose names matter (prompt files, manifests) are written by Spark, one directory per file, and then
-renamed through the Hadoop file system, so their content never passes through the driver.
+Files whose names matter (prompt files, manifests) are written by the tasks, each under its own name, so neither
+their content nor their names pass through the driver.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,20 +31,33 @@ def _folder(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def _file_writer(root: str):
+    """Of ``(dir, file, content)``, one file each as ``root/dir/file``; yields how many."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = pafs.FileSystem.from_uri(root)
+        made = set()
+        for batch in batches:
+            for folder, file, content in zip(*(c.to_pylist() for c in batch.columns)):
+                if folder not in made:
+                    fs.create_dir(f"{top}/{folder}", recursive=True)
+                    made.add(folder)
+                staged = f"{top}/{folder}/.{file}.{uuid.uuid4().hex}"  # a repeated task replaces whole files
+                with fs.open_output_stream(staged) as out:
+                    out.write((content or b"") + b"\n")
+                fs.move(staged, f"{top}/{folder}/{file}")
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    return write
+
+
 def _written_named(rows: DataFrame, root: str) -> str:
-    """Write ``(dir, file, content)``, one file each, as ``root/dir/file``; returns ``root``."""
-    spark = rows.sparkSession
-    named = rows.select(F.base64(F.concat_ws("\n", "dir", "file").cast("binary")).alias("_n"), "content").withColumn("_n", F.translate("_n", "/+=\r\n", "_-"))
-    named.repartition("_n").write.partitionBy("_n").text(f"{root}/_written")
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(sc._jsc.hadoopConfiguration())
-    places = rows.select("dir", "file", F.translate(F.base64(F.concat_ws("\n", "dir", "file").cast("binary")), "/+=\r\n", "_-").alias("_n"))
-    for place in places.toLocalIterator():  # names only
-        (part,) = [s.getPath() for s in fs.listStatus(path(f"{root}/_written/_n={place['_n']}")) if s.getPath().getName().startswith("part-")]
-        fs.mkdirs(path(f"{root}/{place['dir']}"))
-        if not fs.rename(part, path(f"{root}/{place['dir']}/{place['file']}")):
-            raise OSError(f"cannot rename {part}")
+    """Write ``(dir, file, content)``, one file each, as ``root/dir/file``; returns ``root``. A name that is null
+    or comes twice is an error."""
+    single = rows.groupBy("dir", "file").agg(F.max("content").cast("binary").alias("content"), F.count(F.lit(1)).alias("n"))
+    fault = F.raise_error(F.concat(F.lit("not one file: "), F.coalesce(F.concat_ws("/", "dir", "file"), F.lit("null"))))
+    sure = (F.col("n") == 1) & F.col("dir").isNotNull() & F.col("file").isNotNull()
+    named = single.select(F.when(sure, F.col("dir")).otherwise(fault).alias("dir"), "file", "content")
+    named.mapInArrow(_file_writer(root), "n long").write.format("noop").mode("overwrite").save()
     return root
 
 

@@ -52,8 +52,9 @@ def _file_writer(root: str):
 
 def _written_named(rows: DataFrame, root: str) -> str:
     """Write ``(dir, file, content)``, one file each, as ``root/dir/file``; returns ``root``. A name that is null
-    or comes twice is an error."""
-    single = rows.groupBy("dir", "file").agg(F.max("content").cast("binary").alias("content"), F.count(F.lit(1)).alias("n"))
+    or comes twice is an error. The number of tasks is given: by the bytes alone all these small files fall to one."""
+    dealt = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "dir", "file")
+    single = dealt.groupBy("dir", "file").agg(F.max("content").cast("binary").alias("content"), F.count(F.lit(1)).alias("n"))
     fault = F.raise_error(F.concat(F.lit("not one file: "), F.coalesce(F.concat_ws("/", "dir", "file"), F.lit("null"))))
     sure = (F.col("n") == 1) & F.col("dir").isNotNull() & F.col("file").isNotNull()
     named = single.select(F.when(sure, F.col("dir")).otherwise(fault).alias("dir"), "file", "content")

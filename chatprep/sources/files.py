@@ -60,13 +60,20 @@ def _parent_dir(path_col):
     return F.regexp_extract(path_col, r"^(.*)/[^/]*$", 1)
 
 
+def _in_few_tasks(read: DataFrame) -> DataFrame:
+    """At most as many tasks as a shuffle of the session. Spark counts 4 MiB for every file it opens, so a task takes
+    32 small files at most, and starting the task takes longer than reading them."""
+    return read.coalesce(int(read.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def read_prompt_catalog(spark: SparkSession, directory: str) -> DataFrame:
-    """``(name, prompt)`` for every ``*.txt`` file in ``directory``; the whole file, stripped."""
-    return (
-        spark.read.text(directory, wholetext=True, pathGlobFilter="*.txt")
+    """``(name, prompt)`` for every ``*.txt`` file in ``directory``; the whole file, stripped.
+    Read as bytes: the whole-text reader copies the Hadoop configuration for every file, one task at a time."""
+    return _in_few_tasks(
+        spark.read.format("binaryFile").load(directory, pathGlobFilter="*.txt")
         .select(
             F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("name"),
-            py_strip("value").alias("prompt"),
+            py_strip(F.col("content").cast("string")).alias("prompt"),
         )
     )
 
@@ -75,7 +82,7 @@ def read_run_manifests(spark: SparkSession, root: str, kind: str = "training_inf
     """Every ``<kind>.json`` below ``root`` (one pretty-printed JSON object per file) with the
     directory it sits in."""
     schema = MANIFEST_KINDS[kind]
-    return (
+    return _in_few_tasks(
         spark.read.schema(schema)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
@@ -89,7 +96,7 @@ def read_run_manifests(spark: SparkSession, root: str, kind: str = "training_inf
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """``(dir, file, path, length, modificationTime)`` of every file below ``root``.
     The file content column is never selected, so it is never read."""
-    return (
+    return _in_few_tasks(
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         .select("path", "length", "modificationTime")
         .withColumn("dir", _parent_dir(F.col("path")))
